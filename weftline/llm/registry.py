@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op6_separators, op10_packing
+from . import op1_gif, op2_mixing, op6_separators, op10_packing
 from .common import table
 
 
+def op1_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_gif.digest(op1_gif.to_media(table(spark, sf_dir, "documents")))
+
+
+def op2_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_mixing.query(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_separators.scan(op6_separators.write_flat(table(spark, sf_dir, "documents")))
 
@@ -18,5 +26,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op6_separator_scan, op10_best_fit_packing)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif_media, op2_raked_mixing, op6_separator_scan, op10_best_fit_packing)}
+ORACLE_SQL: dict[str, str] = {"op2_raked_mixing": op2_mixing.sql()}

@@ -45,14 +45,14 @@ def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """At most per_class rows of each class for training, chosen by a hash of doc_id: (doc_id, label, text).
+def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, most: dict[int, int]) -> DataFrame:
+    """At most most[c] rows of each class c for training, chosen by a hash of doc_id: (doc_id, label, text).
 
-    Rows of the held-out fold and rows without a label never take part. The ids, at most 2 * per_class of
+    Rows of the held-out fold and rows without a label never take part. The ids, at most most[0] + most[1] of
     them, are few enough to broadcast.
     """
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     usable = usable.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-    parts = [usable.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
+    parts = [usable.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most[c]) for c in (0, 1)]
     ids = parts[0].unionByName(parts[1])
     return doc_texts(docs).join(F.broadcast(ids), "doc_id")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_gif, op2_mixing, op3_quality, op5_knn, op6_separators, op7_toxicity, op10_packing
+from . import op1_gif, op2_mixing, op3_quality, op4_suffixes, op5_knn, op6_separators, op7_toxicity, op10_packing
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_suffixes.query(table(spark, sf_dir, "documents"))
+
+
 def op5_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_knn.query(table(spark, sf_dir, "embeddings"))
 
@@ -38,5 +42,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif_media, op2_raked_mixing, op3_quality_fm, op5_voronoi_knn, op6_separator_scan, op7_toxicity_kneser_ney, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif_media, op2_raked_mixing, op3_quality_fm, op4_suffix_dedup, op5_voronoi_knn, op6_separator_scan, op7_toxicity_kneser_ney, op10_best_fit_packing)}
 ORACLE_SQL: dict[str, str] = {"op2_raked_mixing": op2_mixing.sql(), "op5_voronoi_knn": op5_knn.SQL}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_gif, op2_mixing, op3_quality, op4_suffixes, op5_knn, op6_separators, op7_toxicity, op8_chosen_path, op10_packing
+from . import op1_gif, op2_mixing, op3_quality, op4_suffixes, op5_knn, op6_separators, op7_toxicity, op8_chosen_path, op9_html, op10_packing
 from .common import table
 
 
@@ -42,9 +42,13 @@ def op8_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_chosen_path.join(table(spark, sf_dir, "documents"))
 
 
+def op9_html_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_html.query(table(spark, sf_dir, "pages"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif_media, op2_raked_mixing, op3_quality_fm, op4_suffix_dedup, op5_voronoi_knn, op6_separator_scan, op7_toxicity_kneser_ney, op8_chosen_path_join, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif_media, op2_raked_mixing, op3_quality_fm, op4_suffix_dedup, op5_voronoi_knn, op6_separator_scan, op7_toxicity_kneser_ney, op8_chosen_path_join, op9_html_block_labeller, op10_best_fit_packing)}
 ORACLE_SQL: dict[str, str] = {"op2_raked_mixing": op2_mixing.sql(), "op5_voronoi_knn": op5_knn.SQL}

@@ -95,6 +95,17 @@ def sample(docs: DataFrame, temper: float = TEMPER, sweeps: int = SWEEPS, target
     return drawn.select("doc_id", *DIMENSIONS, "n_tokens", "probability", (draw(F.col("doc_id")) < F.col("probability")).alias("kept"))
 
 
+def sampled(docs: DataFrame, temper: float = TEMPER, sweeps: int = SWEEPS, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The documents that are kept, with all their columns. A doc_id's rows are kept or left together only if their cells agree."""
+    odds = probabilities(measured(docs), temper, sweeps, targets).select(*(F.col(d).alias(f"_cell_{d}") for d in DIMENSIONS), F.col("probability").alias("_probability"))
+    text = F.coalesce("text", F.lit(""))
+    tokens = F.greatest(F.regexp_count(text, F.lit(WORD)), F.lit(1))
+    cell = {"source": F.coalesce("source", F.lit(NONE)), "lang": F.coalesce("lang", F.lit(NONE)), "topic": topic(text, tokens)}
+    placed = docs.withColumns({f"_cell_{d}": c for d, c in cell.items()})
+    drawn = placed.join(odds, [f"_cell_{d}" for d in DIMENSIONS])
+    return drawn.where(draw(F.col("doc_id")) < F.col("_probability")).select(*docs.columns)
+
+
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return sample(docs).select("doc_id", *DIMENSIONS, "n_tokens", F.round("probability", 6).alias("probability"), F.col("kept").cast("int").alias("kept"))
 

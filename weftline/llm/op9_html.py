@@ -1,7 +1,8 @@
 """Main text of pages by a recurrent block labeller: a bidirectional LSTM in numpy over each page's leaf blocks.
 
 A page is the sequence of its leaf blocks. A block's vector holds its tag path and the names in its class, id and role
-attributes (hashed), its words (hashed, all of them), and its length, link density and punctuation. One LSTM
+attributes (hashed, and counted by the roles that lists know), its words (hashed, all of them), and its length, link density and
+punctuation. One LSTM
 reads the sequence forwards and one backwards, so every block is classified with the whole page around it.
 
 There are no labels for pages, so the network learns from rules (teacher()) on a bounded, documented sample of
@@ -30,20 +31,21 @@ from pyspark.sql import functions as F
 from .html_blocks import Block, blocks
 
 TRAINING_PAGES = 400
-PATH_BUCKETS, WORD_BUCKETS, MEASURES = 96, 32, 6
+PATH_BUCKETS, WORD_BUCKETS, MEASURES = 128, 32, 10
 INPUT, HIDDEN = PATH_BUCKETS + WORD_BUCKETS + MEASURES, 24
-TRAINING_STEPS, TRAINING_LENGTH = 320, 48
+TRAINING_STEPS, TRAINING_LENGTH = 400, 48
+TOGETHER_BLOCKS = 1 << 14  # blocks, padding included, that are labelled at once
 
 # Elements and attribute words of main and of side matter.
-MAIN_TAGS = ("article", "main")
-MAIN_NAMES = ("article", "content", "post", "entry", "story", "main", "body", "text", "blog", "news", "page")
-SIDE_TAGS = ("nav", "footer", "header", "aside", "form", "menu", "button", "select", "option", "dialog", "label", "fieldset")
-SIDE_NAMES = (
+MAIN_TAGS = frozenset(("article", "main"))
+MAIN_NAMES = frozenset(("article", "content", "post", "entry", "story", "main", "body", "text", "blog", "news", "page"))
+SIDE_TAGS = frozenset(("nav", "footer", "header", "aside", "form", "menu", "button", "select", "option", "dialog", "label", "fieldset"))
+SIDE_NAMES = frozenset((
     "nav", "navigation", "navbar", "menu", "sidebar", "side", "footer", "foot", "header", "masthead", "topbar", "banner", "ad", "ads", "advert",
     "advertisement", "sponsor", "sponsored", "promo", "cookie", "cookies", "consent", "gdpr", "notice", "alert", "popup", "modal", "overlay", "comment",
     "comments", "reply", "replies", "respond", "disqus", "share", "sharing", "social", "related", "recommended", "breadcrumb", "breadcrumbs", "pagination",
     "pager", "widget", "subscribe", "newsletter", "signup", "login", "search", "form", "copyright", "legal", "toolbar", "skip", "tags", "hidden", "contentinfo", "complementary",
-)
+))
 
 
 def teacher(page: list[Block]) -> np.ndarray:
@@ -85,7 +87,8 @@ class Vectors:
             hashed = np.bincount([self._bucket(self.words, w, WORD_BUCKETS) for w in words], minlength=WORD_BUCKETS)
             out[k, PATH_BUCKETS : PATH_BUCKETS + WORD_BUCKETS] = np.sqrt(hashed / max(1, len(words)))
             n = len(b.text)
-            out[k, -MEASURES:] = np.log1p(n) / 8, b.linked / n, len(_PUNCTUATION.findall(b.text)) / len(words) if words else 0, k == 0, k == len(page) - 1, len(b.path) / 16
+            roles = (sum(t in SIDE_TAGS for t in b.path), sum(x in SIDE_NAMES for x in b.names), sum(t in MAIN_TAGS for t in b.path), sum(x in MAIN_NAMES for x in b.names))
+            out[k, -MEASURES:] = np.log1p(n) / 8, b.linked / n, len(_PUNCTUATION.findall(b.text)) / len(words) if words else 0, k == 0, k == len(page) - 1, len(b.path) / 16, *roles
         return np.minimum(out, 3)
 
 
@@ -197,11 +200,11 @@ class Labeller:
 def varied(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], np.ndarray]:
     """The page with its roles as they are, but other elements for them, and some more side matter: (blocks, labels)."""
     labels = teacher(page)
-    main_tag, main_name = [(str(rng.choice(MAIN_TAGS)), ""), ("div", str(rng.choice(MAIN_NAMES))), ("section", str(rng.choice(MAIN_NAMES)))][rng.integers(3)]
+    main_tag, main_name = [(str(rng.choice(sorted(MAIN_TAGS))), ""), ("div", str(rng.choice(sorted(MAIN_NAMES)))), ("section", str(rng.choice(sorted(MAIN_NAMES))))][rng.integers(3)]
     out: list[tuple[Block, float]] = []
 
     def side(text: str, linked: int, within: tuple[str, ...] = (), within_names: tuple[str, ...] = ()) -> Block:
-        tag, name = (str(rng.choice(SIDE_TAGS)), "") if rng.random() < 0.4 else (str(rng.choice(["div", "section", "ul", "p", "aside"])), str(rng.choice(SIDE_NAMES)))
+        tag, name = (str(rng.choice(sorted(SIDE_TAGS))), "") if rng.random() < 0.4 else (str(rng.choice(["div", "section", "ul", "p", "aside"])), str(rng.choice(sorted(SIDE_NAMES))))
         inner = [(), ("ul", "li"), ("p",), ("div", "p"), ("div",), ("span",)][rng.integers(6)]
         return Block(("html", "body", *within, tag, *inner), (*within_names, *((name,) if name else ())), text, linked, False)
 
@@ -248,7 +251,7 @@ def fit(pages: DataFrame, most: int = TRAINING_PAGES, steps: int = TRAINING_STEP
     return labeller
 
 
-def extract(pages: DataFrame, labeller: Labeller, together: int = 64) -> DataFrame:
+def extract(pages: DataFrame, labeller: Labeller) -> DataFrame:
     """(page_id, url, text, n_chars): the blocks that the labeller takes for main text, in page order, one a line."""
     shared = pages.sparkSession.sparkContext.broadcast(labeller)
 
@@ -258,8 +261,9 @@ def extract(pages: DataFrame, labeller: Labeller, together: int = 64) -> DataFra
             texts = [""] * len(batch)
             parsed = [blocks(h) for h in batch["html"]]
             order = sorted((k for k, p in enumerate(parsed) if p), key=lambda k: len(parsed[k]))
-            for at in range(0, len(order), together):  # pages of about one length
-                group = order[at : at + together]
+            while order:  # pages of about one length, the longest first
+                group = order[-max(1, min(64, TOGETHER_BLOCKS // len(parsed[order[-1]]))) :]
+                del order[-len(group) :]
                 for k, p in zip(group, labeller.probabilities([make.of(parsed[k]) for k in group])):
                     texts[k] = "\n".join(b.text for b, q in zip(parsed[k], p) if q >= 0.5 and not b.raw)
             yield pd.DataFrame({"page_id": batch["page_id"].to_numpy(), "url": batch["url"].to_numpy(), "text": texts, "n_chars": [len(t) for t in texts]})

@@ -114,7 +114,8 @@ def parse(data: np.ndarray, ends: np.ndarray, ids: np.ndarray) -> Parse:
     place = (np.arange(n) - starts[np.maximum(run, 0)]).astype(np.uint64)
     weighed = np.where(inside, suffixes * (place * np.uint64(2) + np.uint64(1)), np.uint64(0))
     phrases = _mix(np.add.reduceat(weighed, starts) + sizes.astype(np.uint64))
-    return Parse(starts, sizes, low[starts], phrases, ids[np.searchsorted(ends, starts, side="right")], suffixes)
+    # Minima are small numbers: mixed once more, they spread over all buckets.
+    return Parse(starts, sizes, _mix(low[starts]), phrases, ids[np.searchsorted(ends, starts, side="right")], suffixes)
 
 
 # Blocks: some documents, packed.

@@ -200,11 +200,6 @@ def coverage_report(spark, d):
     return shares.coverage(gold(spark, d), retail.dim_product(spark, d).where("cast(sku as int) % 10 <> 0"))
 
 
-@query("select m::date as month, year(m)::int as year, month(m)::int as month_of_year, quarter(m)::int as quarter, case when m <= date '2001-07-01' then 'TRAIN' when m <= date '2001-09-01' then 'HOLDOUT' else 'FORECAST' end as split from (select unnest(generate_series(date '1995-01-01', date '2002-07-01', interval 1 month)) as m)")
-def dim_date(spark, d):
-    return retail.dim_date(spark)
-
-
 # Features
 
 LAGS = (1, 2, 3, 6, 12, 24)
@@ -234,10 +229,11 @@ FEATURE_QUERIES = {
 for _name, _columns in FEATURE_QUERIES.items():
 
     def _feature_query(spark, d, columns=_columns):
-        return rounded(featured(spark, d).select("entity", "month", *columns.split()))
+        frame = rounded(featured(spark, d).select("entity", "month", *columns.split()))
+        return frame.withColumns({c: F.col(c) + 0.0 for c in columns.split()})  # no negative zeros
 
     _feature_query.__name__ = _name
-    query(sql(f"select entity, month, {rounds(_columns)} from {FEATURE_SQL}", "panel_color"))(_feature_query)
+    query(sql("select entity, month, " + ", ".join(f"round({c}, 4) + 0.0::double as {c}" for c in _columns.split()) + f" from {FEATURE_SQL}", "panel_color"))(_feature_query)
 
 
 @query(sql(f"select entity, month, trend_index::int as trend_index, {rounds('momentum_3 yoy_growth')} from (select *, {MOMENTUM} from {FEATURE_SQL})", "panel_color"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import month_of
@@ -51,7 +51,7 @@ def with_headers(lines: DataFrame, headers: DataFrame, key: str = "order_number"
     return joined.withColumn("header_matched", F.coalesce("_matched", F.lit(0))).drop("_matched")
 
 
-def is_goods(item: str = "item", quantity: str = "shipped_qty") -> F.Column:
+def is_goods(item: str = "item", quantity: str = "shipped_qty") -> Column:
     return (F.col(quantity) > 0) & ~F.coalesce(F.upper(F.col(item)).rlike(EXCLUDED_ITEMS), F.lit(False))
 
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.config import BOUNDS, Adjustments
@@ -33,7 +33,7 @@ def state(panel: DataFrame) -> DataFrame:
     return panel.groupBy("entity").agg(F.transform(ordered, lambda x: x["units"]).alias("u"), F.min("month").alias("first"))
 
 
-def inputs(at: str = "size(u)") -> dict[str, F.Column]:
+def inputs(at: str = "size(u)") -> dict[str, Column]:
     """Features of the month at place `at` of u from those before it; 0 where history is too short."""
     out = {f"lag_{k}": F.expr(f"coalesce(if({at} - {k} >= 0, u[int({at} - {k})], 0D), 0D)") for k in (1, 2, 3, 6, 12)}
     for n in (3, 6, 12):

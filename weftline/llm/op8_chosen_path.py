@@ -3,8 +3,10 @@
 A document is its set of SHINGLE-word shingles; equal sets are one node. Sets carry a MinHash sketch, whose
 coordinates are sampled shared tokens. Each of RUNS runs puts a set on the path of one coordinate's value;
 paths with more than SMALL sets are split again by further chosen coordinates (CHILDREN for each set and level), so
-similar sets go on together and others part. Small buckets are compared by brute force on sketches, far below the threshold
-to lose nothing; what no split divides are groups of copies, which are joined whole. Runs repeat until a pair at the
+similar sets go on together and others part. Before a split, sets are held against the path's root: those somewhat like it
+join its component at once, and go on only if a set unlike it is there that they might still be linked to, which the triangle
+inequality of Jaccard distance rules out for sets close to the root. So groups of copies aren't split again and again. Small buckets are
+compared by brute force on sketches, far below the threshold to lose nothing; what no split divides is joined whole. Runs repeat until a pair at the
 threshold is missed with a probability of (1 - threshold) ** RUNS at most, about 1e-7.
 
 The components that candidates form are then verified exactly: sets of a component meet in pairs of blocks of
@@ -37,6 +39,7 @@ SMALL = 128
 CHILDREN = 2
 LEVELS = 3
 SKETCH_MARGIN = 0.25  # five deviations of the sketch's estimate
+LOOSE = 0.30  # an estimate from which on a set of a large path joins its root's component
 BLOCK = 256
 SET_BYTES = 5  # of a shingle's hash, within a component
 CACHE = 300_000
@@ -156,11 +159,24 @@ def _compare_buckets(batches: Iterator[pd.DataFrame], least: float) -> Iterator[
         yield e
 
 
+def _against_roots(large: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(path, node, root, alike): the share of coordinates that a set has in common with its path's smallest node."""
+    roots = large.groupBy("path").agg(F.min("node").alias("root"))
+    roots = written(roots.join(sketches.withColumnsRenamed({"node": "root", "sketch": "root_sketch"}), "root"), "roots")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), -1) for c in ("sketch", "root_sketch"))
+            yield batch[["path", "node", "root"]].assign(alike=(a == b).mean(1))
+
+    return large.join(sketches, "node").join(roots, "path").mapInPandas(compare, "path long, node long, root long, alike double")
+
+
 def candidates(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b): edges that connect all sets similar enough (and some others). nodes: (node, sketch, paths), one row a set."""
     paths = nodes.select("node", F.explode("paths").alias("path"))
     sketches = nodes.select("node", "sketch")
-    small, whole = [], None
+    small, near, whole = [], [], None
     for level in range(LEVELS + 1):
         sizes = written(paths.groupBy("path").count().where("count > 1"), "path-sizes")
         paths = written(paths.join(sizes, "path"), "paths")
@@ -171,16 +187,24 @@ def candidates(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if level == LEVELS:
             whole = large
             break
+        rooted = written(_against_roots(large, sketches), "path-roots")
+        near.append(rooted.where(F.col("alike") >= LOOSE).select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b"))
+        strangers = written(rooted.where(F.col("alike") < LOOSE).groupBy("path").agg(F.count("*").alias("n")), "path-strangers")
+        # A set linked to a stranger is at most LOOSE + (1 - threshold) similar to the root; estimates are off by less than half a margin.
+        going = rooted.where(F.col("alike") < LOOSE + 1 - threshold + SKETCH_MARGIN).join(strangers.select("path"), "path", "left_semi")
         # Every path chooses its own coordinates.
         chosen = F.transform(F.sequence(F.lit(1), F.lit(CHILDREN)), lambda k: F.pmod(F.xxhash64("path", k), F.lit(COORDINATES)).cast("int"))
         child = F.transform(chosen, lambda c: F.xxhash64("path", c, F.substring(F.hex("sketch"), 2 * c + 1, F.lit(2))))
-        paths = large.join(sketches, "node").select("node", F.explode(F.array_distinct(child)).alias("path"))
+        paths = going.select("path", "node").join(sketches, "node").select("node", F.explode(F.array_distinct(child)).alias("path"))
+        paths = written(paths, "child-paths")  # read twice: to be counted, and to be joined with the counts
     buckets = small[0]
     for s in small[1:]:
         buckets = buckets.unionByName(s)
     least = threshold - SKETCH_MARGIN
     sorted_ = buckets.join(sketches, "node").repartition("path").sortWithinPartitions("path")
     edges = sorted_.mapInPandas(lambda batches: _compare_buckets(batches, least), "a long, b long")
+    for e in near:
+        edges = edges.unionByName(e)
     if whole is not None:
         root = written(whole.groupBy("path").agg(F.min("node").alias("b")), "copy-roots")
         edges = edges.unionByName(whole.join(root, "path").select(F.col("node").alias("a"), "b").where("a <> b"))

@@ -40,6 +40,20 @@ def test_pieces(docs, texts, ids):
         assert at <= 1024
 
 
+def test_added_token_in_texts(spark):
+    """Packing has the library's default ids; the separator scan reads the added token's text as plain, as its id separates documents."""
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "x<|endoftext|", " <|ENDOFTEXT|> ", "é<|endoftext|>é  <|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert t.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    expected = [np.array([*t.encode(x, add_special_tokens=False).ids, 2], "<u4") for x in texts]
+    found = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in op10_packing.pack(docs).collect()}
+    assert found == {k: (len(e), zlib.crc32(e.tobytes())) for k, e in enumerate(expected)}
+    t.encode_special_tokens = True
+    scanned = {r["doc_id"]: r["n_tokens"] for r in op6_separators.scan(op6_separators.write_flat(docs)).collect()}
+    assert scanned == {k: len(t.encode(x, add_special_tokens=False).ids) for k, x in enumerate(texts)}
+
+
 def test_packing_is_tight(spark):
     docs = spark.createDataFrame([(k, "word " * (k % 700)) for k in range(600)], "doc_id long, text string").coalesce(1)
     rows = op10_packing.pack(docs).collect()

@@ -6,7 +6,7 @@ by a shift and a lowest-set-bit test. When one bin too many is open, the fullest
 beyond the open bins, and a lost task repeats with the same result.
 
 Defined cases: a null or empty text is the separator alone (one token); equal or repeated rows are packed one by
-one, as given; a document of more than `length` tokens is cut into pieces of `length`, the first piece taking
+one, as given; the text <|endoftext|> is the token of that name; a document of more than `length` tokens is cut into pieces of `length`, the first piece taking
 the remainder; an empty table gives no rows; other columns of the input are ignored.
 """
 
@@ -88,7 +88,7 @@ def pack(docs: DataFrame, length: int = 1024, open_bins: int = 2048, separator:
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = np.append(bpe.encode(text), np.uint32(separator)).astype("<u4")
+                ids = np.append(bpe.encode_added(text), np.uint32(separator)).astype("<u4")
                 raw = memoryview(ids).cast("B")
                 rows += [(doc_id, k, s, n, zlib.crc32(raw[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(pieces_of(len(ids), length))]
             sizes = np.array([r[3] for r in rows], np.int64)

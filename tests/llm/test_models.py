@@ -120,6 +120,17 @@ def test_search(spark, spread):
     assert sorted(map(tuple, op5_knn.query(frame).collect())) == knn_truth(rows)
 
 
+def test_search_with_a_repeated_query_id(spark):
+    """Rows of a query's own vec_id don't raise the floor under its neighbours."""
+    rows = [(20, [4.0, 4.0, 4.0])] * 30 + [(40, [-4.0, 4.0, 0.0])] * 2 + [(i, [1.0 + i % 10, 1.0, 2.0]) for i in range(1000, 1100, 4) if i % 20] + [(i, [-2.0, 1.0 + i % 7, 0.0]) for i in range(2001, 2101, 4)]
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<double>").repartition(3)
+    found = op5_knn.top_k(vectors, F.col("vec_id") % 20 == 0, k=20, pivots=200).collect()
+    for q in (20, 40):
+        v, copies = np.array(dict(rows)[q]), sum(i == q for i, _ in rows)
+        best = sorted((-int(v @ np.array(x)), i) for i, x in rows if i != q for _ in range(copies))[:20]
+        assert sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q) == [(k, i, -s) for k, (s, i) in enumerate(best, 1)]
+
+
 def test_search_prunes(spark):
     """Cells far from a group are not sent to it."""
     rows = [(i, [100.0 if i % 2 else -100.0, (i % 7) / 10, 1.0]) for i in range(400)]

@@ -2,8 +2,8 @@
 
 Pivots, a bounded sample, cut space into cells. Each query belongs to its nearest pivot's group, whose summary is the
 pivot p and the radius r of its queries. For any vector x, every query of the group scores between
-p.x - r|x| and p.x + r|x|. The (k + 1)-th largest of the lower bounds over all vectors (one more, as a query leaves its own row out) is
-therefore a floor under each query's k-th score, and a vector whose upper bound is below the floor is not
+p.x - r|x| and p.x + r|x|. The (k + 1)-th largest of the lower bounds, the largest one for each vec_id (one more, as a query leaves all rows of its
+own vec_id out, however many), is therefore a floor under each query's k-th score, and a vector whose upper bound is below the floor is not
 sent to the group. What is left is replicated in blocks and solved locally by matrix products, a bounded number
 of vectors and queries at a time; the local lists merge by a ranked window. The bounds only ever drop vectors that
 can't be in a result, so results are exact.
@@ -99,23 +99,31 @@ def _bounds(x: np.ndarray, groups: np.ndarray, radius: np.ndarray) -> tuple[np.n
     return middle - reach - slack, middle + reach + slack
 
 
+def _leading(low: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `most` largest bounds and their ids, one bound an id."""
+    order = np.lexsort((ids, -low))
+    first = np.sort(np.unique(ids[order], return_index=True)[1])[:most]
+    return low[order[first]], ids[order[first]]
+
+
 def floors(data: DataFrame, cells: list[int], groups: np.ndarray, radius: np.ndarray, k: int) -> np.ndarray:
-    """For each group the (k + 1)-th largest lower bound over all vectors, merged in two steps."""
+    """For each group the (k + 1)-th largest lower bound, one a vec_id, merged in two steps."""
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        top, share = np.empty((0, len(groups))), 0
+        top, share = [(np.empty(0), np.empty(0, np.int64))] * len(groups), 0
         for batch in batches:
-            for n, d, v, b in zip(batch["n"], batch["dtype"], batch["vectors"], batch["block"]):
-                low = np.concatenate([top, _bounds(_matrix(d, v, n), groups, radius)[0]])
-                top, share = np.sort(low, axis=0)[-(k + 1) :], b % 64
-        if len(top):
-            yield pd.DataFrame({"g": np.tile(np.arange(len(groups)), len(top)), "share": share, "low": top.ravel()})
+            for n, d, i, v, b in zip(batch["n"], batch["dtype"], batch["ids"], batch["vectors"], batch["block"]):
+                low, ids, share = _bounds(_matrix(d, v, n), groups, radius)[0], _ids(i), b % 64
+                top = [_leading(np.concatenate([t, low[:, g]]), np.concatenate([t_ids, ids]), k + 1) for g, (t, t_ids) in enumerate(top)]
+        for g, (t, t_ids) in enumerate(top):
+            yield pd.DataFrame({"g": g, "share": share, "vec_id": t_ids, "low": t})
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame.nlargest(k + 1, "low")
+        low, ids = _leading(frame["low"].to_numpy(), frame["vec_id"].to_numpy(), k + 1)
+        return pd.DataFrame({"g": frame["g"].iloc[0], "share": frame["share"].iloc[0], "vec_id": ids, "low": low})
 
-    shape = "g int, share long, low double"
-    found = data.select("n", "dtype", "vectors", "block").mapInPandas(best, shape)
+    shape = "g int, share long, vec_id long, low double"
+    found = data.select("n", "dtype", "ids", "vectors", "block").mapInPandas(best, shape)
     for key in (["g", "share"], ["g"]):
         found = found.groupBy(*key).applyInPandas(merge, shape)
     lows = found.groupBy("g").agg(F.min("low").alias("low"), F.count("*").alias("n")).collect()
@@ -157,7 +165,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOT
                 yield pd.DataFrame(found, columns=["cell", "block", "n", "dtype", "vectors", "ids"])[["cell", "block", "n", "dtype", "ids", "vectors"]]
 
     sent = data.mapInPandas(replicate, BLOCK).withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)))
-    chunks = queries.select("cell", F.col("block").alias("chunk"))
+    chunks = queries.select("cell", F.col("block").alias("chunk")).distinct()  # blocks that begin with rows of one vec_id are one chunk
     sent = sent.join(F.broadcast(chunks) if queries.count() <= pivots * 64 else chunks, "cell")
     asked = queries.withColumnRenamed("block", "chunk").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 

@@ -1,6 +1,7 @@
 """Classifiers on held-out rows, raking against DuckDB, exact search against brute force, and page text."""
 
 import random
+import zlib
 
 import duckdb
 import numpy as np
@@ -65,6 +66,22 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
     assert a == b
 
 
+def test_toxicity_counts_every_labelled_row(spark):
+    """Counts don't stop at the curve's sample, and n-grams seen once are kept."""
+    words = [f"w{i:03d}" for i in range(200)]
+    rows = [(i, f"{words[i]} {words[(i + 1) % 200]} once{i:03d}", int(i % 2)) for i in range(200)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, toxic int"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = op7_toxicity.fit(docs, labels, most={0: 5, 1: 5})
+    learnt = [(t.split(), y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5]
+    expected = {}
+    for w, y in learnt:
+        for k in range(3):
+            expected.setdefault((op7_toxicity.word_key(w[k - 1]) if k else 0, op7_toxicity.word_key(w[k])), [0, 0])[y] += 1
+    found = model.tables.pairs.groupBy("prev", "word").agg(F.sum("s0"), F.sum("s1")).collect()
+    assert {(r[0], r[1]): [r[2], r[3]] for r in found if r[0]} == {k: v for k, v in expected.items() if k[0]}
+    assert model.tables.words.count() == len({w for t, _ in learnt for w in t})
+
+
 def test_machine_by_its_definition():
     m = op3_quality.Machine()
     m.w[:], m.bias = np.random.default_rng(1).normal(size=op3_quality.BUCKETS), 0.3

@@ -9,9 +9,10 @@ A document's words carry log ratios of the toxic to the ordinary model; a logist
 ratios (of the whole document, of its most toxic windows, and of its most toxic words) makes them a score between 0 and 1. The curve
 is fitted on rows that its models did not see.
 
-The n-gram contexts are counted in Spark over a bounded, documented sample of labelled rows (MOST of each
-class, none of the held-out fold), and the models that fit on it are broadcast: their size is bounded by the sample.
-Scoring reads every whole text in one pass without a shuffle.
+The n-gram contexts are counted in Spark over every labelled row outside the held-out fold, rare n-grams too, and the
+counts stay tables. Scoring deals the documents to blocks; a block's distinct n-grams meet the counts in hash
+buckets, and what is found goes back to the block. Only sums of counts pass through the driver, and a bounded sample (MOST rows of each class)
+on which the logistic curve is fitted. Words and pairs are known by 64-bit hashes.
 
 Defined cases: a null or empty text, or one without words, scores by the curve at 0 ratios; equal texts score equally;
 repeated rows stay; without labels of both classes every score is 0; empty tables give no rows; other columns,
@@ -21,82 +22,88 @@ among them lang and source, are never read.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_texts, held_out, labelled_sample, written
 
-MOST = {0: 4000, 1: 2000}  # rows of each class to learn from
-LEAST_COUNT = 2  # contexts that an n-gram must have for the models to list it
+MOST = {0: 4000, 1: 2000}  # rows of each class that the logistic curve is fitted on; the counts come from all rows
 WINDOW = 8
 TOP = 3
 PREFIX = 4
 WORD = re.compile(r"\w+")
 CALIBRATION_FOLDS = 2
+TRUSTED = 3.0  # contexts at which an n-gram's own ratio counts half
+BLOCK_ROWS = 1000  # documents whose n-grams are looked up together
+BUCKET_PAIRS = 400_000  # bigrams that a lookup task has at once, about
+CACHED_WORDS = 500_000
+
+_keys: dict[str, int] = {}
 
 
 def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def bigram_contexts(sample: DataFrame, folds: int = CALIBRATION_FOLDS) -> DataFrame:
-    """(label, prev, word, n_all, n_0, ...): the different words before each bigram of the class; n_k leaves fold k out."""
+def word_key(word: str) -> int:
+    """64 bits: a hash of the beginning above a hash of the word, so that the beginning can be read off."""
+    key = _keys.get(word)
+    if key is None:
+        if len(_keys) >= CACHED_WORDS:
+            _keys.clear()
+        key = (zlib.crc32(word[:PREFIX].encode("utf-8", "replace")) << 32) | zlib.crc32(word.encode("utf-8", "replace"))
+        key = _keys[word] = key - (1 << 64) if key >= 1 << 63 else key
+    return key
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for fold, label, text in zip(batch["fold"], batch["label"], batch["text"]):
-                w = ["", "", *words(text)]
-                grams = list(set(zip(w, w[1:], w[2:])))
-                if grams:
-                    yield pd.DataFrame({"fold": fold, "label": label, "before": [g[0] for g in grams], "prev": [g[1] for g in grams], "word": [g[2] for g in grams]})
 
-    grams = folded(sample, folds).mapInPandas(emit, "fold int, label int, before string, prev string, word string")
-    held = grams.groupBy("label", "prev", "word", "before").agg(F.expr("bit_or(shiftleft(1, fold))").alias("held"))
-    return held.groupBy("label", "prev", "word").agg(F.count("*").alias("n_all"), *(F.count_if(F.col("held") != (1 << k)).alias(f"n_{k}") for k in range(folds)))
+def word_keys(text: str) -> np.ndarray:
+    return np.fromiter(map(word_key, words(text)), np.int64)
 
 
-def folded(sample: DataFrame, folds: int) -> DataFrame:
-    return sample.select(F.pmod(F.xxhash64("doc_id"), F.lit(folds)).cast("int").alias("fold"), "label", "text")
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit keys of pairs."""
+    x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
-@dataclass
-class Counts:
-    """What the models need, n-grams below LEAST_COUNT only as sums. c, c1 .. c4: entries in all, and with counts of 1 to 4."""
+def bucket_of(prev, word, n: int):
+    """The lookup bucket of pairs; the same for arrays as for columns (bucket_column)."""
+    return (prev ^ (word >> 7)) % n
 
-    words: pd.DataFrame  # word, prefix, s0, s1: different words before the word, by class
-    prefixes: pd.DataFrame  # label, prefix, size, c, c1 .. c4: of the words of a beginning
-    contexts: pd.DataFrame  # prev, and for each class total, c, c1 .. c4 of what follows it
-    pairs: pd.DataFrame  # prev, word, s0, s1
-    totals: pd.DataFrame  # label, c1 .. c4 of all bigrams
 
+def bucket_column(prev: str, word: str, n: int) -> Column:
+    return F.pmod(F.col(prev).bitwiseXOR(F.shiftright(word, 7)), F.lit(n)).cast("int")
 
-def gathered(bigrams: DataFrame, column: str, least: int = LEAST_COUNT) -> Counts:
-    """The grouped tables; their size is bounded by the sample's."""
-    b = bigrams.select("label", "prev", "word", F.col(column).alias("n")).where("n > 0")
 
-    def counted(n: str) -> list:
-        return [F.count("*").alias("c"), *(F.count_if(F.col(n) == k).alias(f"c{k}") for k in (1, 2, 3, 4))]
+def bigram_contexts(rows: DataFrame, folds: int = CALIBRATION_FOLDS) -> DataFrame:
+    """(label, prev, word, n_all, n_0, ...): the different words before each bigram of the class; n_k leaves fold k out.
 
-    def by_class(frame: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-        return frame.groupBy(*keys).agg(*(F.sum(F.when(F.col("label") == c, F.col(v)).otherwise(0)).alias(f"{v}{c}") for c in (0, 1) for v in values))
+    Distinct contexts are dealt by all of their words, and only then counted by bigram with partial sums, so a common pair is no hot key.
+    """
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (fold, label), part in batch.groupby(["fold", "label"]):
+                padded = [np.concatenate([[0, 0], k]) for k in map(word_keys, part["text"]) if len(k)]
+                if padded:
+                    before, prev, word = (np.concatenate([k[i : len(k) - 2 + i] for k in padded]) for i in range(3))
+                    at = np.unique(mixed(mixed(before, prev), word), return_index=True)[1]
+                    yield pd.DataFrame({"fold": fold, "label": label, "before": before[at], "prev": prev[at], "word": word[at]})
+
+    grams = folded(rows, folds).mapInPandas(emit, "fold int, label int, before long, prev long, word long")
+    held = grams.groupBy("label", "prev", "word", "before").agg(F.expr("bit_or(shiftleft(1, fold))").alias("held"))
+    return held.groupBy("label", "prev", "word").agg(F.count("*").alias("n_all"), *(F.count_if(F.col("held") != (1 << k)).alias(f"n_{k}") for k in range(folds)))
 
-    word = b.groupBy("label", "word").agg(F.count("*").alias("s")).withColumn("prefix", F.substring("word", 1, PREFIX))
-    listed = by_class(word, ["word", "prefix"], ["s"]).where(F.col("s0") + F.col("s1") >= least)
-    context = b.groupBy("label", "prev").agg(F.sum("n").alias("total_"), F.count("*").alias("c_"), *(F.count_if(F.col("n") == k).alias(f"c{k}_") for k in (1, 2)))
-    context = by_class(context, ["prev"], ["total_", "c_", "c1_", "c2_"])
-    pairs = by_class(b.withColumnRenamed("n", "s"), ["prev", "word"], ["s"])
-    return Counts(
-        listed.toPandas(),
-        word.groupBy("label", "prefix").agg(F.sum("s").alias("size"), *counted("s")).toPandas(),
-        context.join(listed.select(F.col("word").alias("prev")), "prev", "left_semi").toPandas(),
-        pairs.where(F.col("s0") + F.col("s1") >= 2 * least).toPandas(),
-        b.groupBy("label").agg(*counted("n")).toPandas(),
-    )
+
+def folded(rows: DataFrame, folds: int) -> DataFrame:
+    return rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(folds)).cast("int").alias("fold"), "label", "text")
 
 
 def _discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
@@ -107,93 +114,187 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
     return np.array([0, *(min(max(d, 0.1), k - 0.02) for k, d in found)])
 
 
-def _discounted(n: np.ndarray, discounts: np.ndarray | None = None) -> np.ndarray:
-    if discounts is None:
-        discounts = _discounts(*((n == k).sum() for k in (1, 2, 3, 4)))
+def _discounted(n: np.ndarray, discounts: np.ndarray) -> np.ndarray:
     return np.maximum(n - discounts[np.minimum(n, 3).astype(int)], 0)
 
 
 @dataclass
-class Ratios:
-    """Log ratios of the two models: of known bigrams, words and beginnings, and what a context adds for other words."""
-
-    words: dict[str, int]
-    prefixes: dict[str, int]
-    unigram: np.ndarray  # of the words, then of the beginnings, then of anything else
-    backoff: np.ndarray  # the same places, as contexts
-    keys: np.ndarray  # sorted context * len(unigram) + word
-    bigram: np.ndarray
-
-    def of(self, tokens: list[str]) -> np.ndarray:
-        n, word, prefix, rest = len(self.unigram), self.words.get, self.prefixes.get, len(self.unigram) - 1
-        w = np.fromiter((i if (i := word(t, -1)) >= 0 else prefix(t[:PREFIX], rest) for t in tokens), np.int64, len(tokens))
-        out = self.unigram[w]
-        if len(w) > 1 and len(self.keys):
-            key = w[:-1] * n + w[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            out[1:] = np.where(self.keys[at] == key, self.bigram[at], out[1:] + self.backoff[w[:-1]])
-        return out
-
-
-def fit_ratios(counts: Counts, least: int = LEAST_COUNT) -> Ratios:
-    listed = counts.words.sort_values("word")
-    words_ = pd.Index(listed["word"])
-    pre = counts.prefixes
-    shared_pre = pre.groupby("prefix")["size"].sum()
-    prefixes = shared_pre[shared_pre >= least].index.sort_values()
-    share = (listed["s0"] + listed["s1"]).to_numpy() / shared_pre.reindex(listed["prefix"]).to_numpy()
-    shared_pre = (shared_pre + 0.5) / (shared_pre.sum() + 0.5 * (len(shared_pre) + 1))
-    p_pre, p_word, left_pre, left_word = [], [], [], []
-    for label in (0, 1):
-        own = pre[pre["label"] == label]
-        total = own["size"].sum()
-        kept = pd.Series(_discounted(own["size"].to_numpy()), index=own["prefix"]) / total
-        left_pre.append(max(1e-6, 1 - kept.sum()))
-        p_pre.append(kept.reindex(shared_pre.index).fillna(0) + left_pre[-1] * shared_pre)
-        d = _discounts(*(own[f"c{k}"].sum() for k in (1, 2, 3, 4)))
-        taken = own["c1"].sum() * d[1] + own["c2"].sum() * d[2] + (own["c"] - own["c1"] - own["c2"]).sum() * d[3]
-        left_word.append(max(1e-6, taken / total))
-        p_word.append(_discounted(listed[f"s{label}"].to_numpy(), d) / total + left_word[-1] * p_pre[-1].reindex(listed["prefix"]).to_numpy() * share)
-    unknown = np.log(left_word[1] * left_pre[1] / (left_word[0] * left_pre[0]))
-    by_prefix = np.log(left_word[1] * p_pre[1].reindex(prefixes).to_numpy() / (left_word[0] * p_pre[0].reindex(prefixes).to_numpy()))
-    unigram = np.concatenate([np.log(p_word[1] / p_word[0]), by_prefix, [unknown]]) - unknown
-    n, ids = len(unigram), {w: i for i, w in enumerate(words_)}
-
-    pairs = counts.pairs.assign(context=counts.pairs["prev"].map(ids), id=counts.pairs["word"].map(ids)).dropna(subset=["context", "id"])
-    pairs["key"] = (pairs["context"] * n + pairs["id"]).astype("int64")
-    pairs = pairs.sort_values("key")
-    keys, context, word = pairs["key"].to_numpy(), pairs["context"].to_numpy().astype(int), pairs["id"].to_numpy().astype(int)
-    sums = counts.contexts.set_index("prev").reindex(words_).fillna(0)
-    mass, kept = [], []
-    for label in (0, 1):
-        all_ = counts.totals[counts.totals["label"] == label]
-        d = _discounts(*(all_[f"c{k}"].sum() for k in (1, 2, 3, 4)))
-        c1, c2, c = (sums[f"{name}_{label}"].to_numpy() for name in ("c1", "c2", "c"))
-        total = sums[f"total_{label}"].to_numpy() + 1.0  # one more for a context that was never seen
-        mass.append((total, (c1 * d[1] + c2 * d[2] + (c - c1 - c2) * d[3] + 1.0) / total))
-        kept.append(_discounted(pairs[f"s{label}"].to_numpy(), d))
-    shared_pair = (pairs["s0"] + pairs["s1"]).to_numpy() / (mass[0][0] + mass[1][0])[context]
-    logs = [np.log(kept[k] / mass[k][0][context] + mass[k][1][context] * (shared_pair + p_word[k][word]) / 2) for k in (0, 1)]
-    backoff = np.zeros(n)
-    backoff[: len(ids)] = np.log(mass[1][1] / mass[0][1])
-    return Ratios(ids, {p: len(ids) + i for i, p in enumerate(prefixes)}, unigram, backoff, keys, logs[1] - logs[0] - unknown)
+class Level:
+    """Of one class and one kind of n-gram: the sum of counts, the discounts, and the share of mass that they free."""
+
+    total: float
+    discounts: np.ndarray
+    left: float
+
+
+@dataclass
+class Tables:
+    """Counts of n-grams as tables, which grow with the corpus and stay in Spark, and their sums, which don't."""
+
+    words: DataFrame  # key, s0, s1 (different words before the word, by class), and as a context total_, c_, c1_, c2_ by class
+    prefixes: DataFrame  # key, size0, size1
+    pairs: DataFrame  # prev, word, s0, s1: a row a class
+    n_pairs: int
+    levels: dict[tuple[str, int], Level]
+    shared: tuple[float, int]  # sum and number of the beginnings of both classes
+
+
+WORD_VALUES = ["s0", "s1", *(f"{v}{c}" for c in (0, 1) for v in ("total_", "c_", "c1_", "c2_"))]
+
+
+def counted(bigrams: DataFrame, column: str) -> Tables | None:
+    """Every n-gram, the rare ones too."""
+    b = bigrams.select("label", "prev", "word", F.col(column).alias("n")).where("n > 0")
+
+    def by_class(frame: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+        return frame.groupBy(*keys).agg(*(F.sum(F.when(F.col("label") == c, F.col(v)).otherwise(0)).alias(f"{v}{c}") for c in (0, 1) for v in values))
+
+    def spread(frame: DataFrame, n: str) -> dict[int, dict]:
+        found = frame.groupBy("label").agg(F.sum(n).alias("total"), F.count("*").alias("c"), *(F.count_if(F.col(n) == k).alias(f"c{k}") for k in (1, 2, 3, 4)))
+        return {r["label"]: r.asDict() for r in found.collect()}
+
+    word = written(b.groupBy("label", F.col("word").alias("key")).agg(F.count("*").alias("s")), "toxicity-words")
+    prefix = written(word.groupBy("label", F.shiftrightunsigned("key", 32).alias("key")).agg(F.sum("s").alias("size")), "toxicity-beginnings")
+    levels, n_pairs = {}, 0
+    for name, sums in (("pair", spread(b, "n")), ("word", spread(word, "s")), ("prefix", spread(prefix, "size"))):
+        if len(sums) < 2:
+            return None
+        for label, r in sums.items():
+            d = _discounts(*(r[f"c{k}"] for k in (1, 2, 3, 4)))
+            freed = r["c1"] * d[1] + r["c2"] * d[2] + (r["c"] - r["c1"] - r["c2"]) * d[3]
+            n_pairs += r["c"] if name == "pair" else 0
+            levels[name, label] = Level(r["total"], d, max(1e-6, freed / r["total"]))
+    context = b.groupBy("label", F.col("prev").alias("key")).agg(F.sum("n").alias("total_"), F.count("*").alias("c_"), *(F.count_if(F.col("n") == k).alias(f"c{k}_") for k in (1, 2)))
+    known = by_class(word, ["key"], ["s"]).join(by_class(context, ["key"], ["total_", "c_", "c1_", "c2_"]), "key", "left").na.fill(0)
+    pairs = b.select("prev", "word", *(F.when(F.col("label") == c, F.col("n")).otherwise(0).alias(f"s{c}") for c in (0, 1)))
+    both = prefix.agg(F.sum("size").alias("size"), F.count_distinct("key").alias("n")).first()
+    return Tables(written(known.select("key", *WORD_VALUES), "toxicity-known"), by_class(prefix, ["key"], ["size"]), pairs, n_pairs, levels, (both["size"], both["n"]))
+
+
+def found_in(ids: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Rows of values for ids by sorted keys, 0 for unknown ones."""
+    if not len(keys):
+        return np.zeros((len(ids), values.shape[1]))
+    at = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
+    return np.where((keys[at] == ids)[:, None], values[at], 0.0)
+
+
+def trust(n: np.ndarray) -> np.ndarray:
+    """How far the ratio of an n-gram with n contexts moves from what shorter ones say: rare n-grams count, but little."""
+    return n / (n + TRUSTED)
+
+
+def ratios(keys: np.ndarray, known: dict[int, tuple[np.ndarray, np.ndarray]], levels: dict[tuple[str, int], Level], shared: tuple[float, int]) -> np.ndarray:
+    """Log ratios of the toxic to the ordinary model of each word of a text. known: sorted keys and counts of WORDS, PREFIXES and PAIRS."""
+    w = found_in(keys, *known[WORDS])
+    s, size = w[:, :2], found_in((keys >> 32) & 0xFFFFFFFF, *known[PREFIXES])
+    listed, begun = s.sum(1) > 0, size.sum(1) > 0
+    rest = np.log(levels["word", 1].left * levels["prefix", 1].left / (levels["word", 0].left * levels["prefix", 0].left))
+    uniform = (size.sum(1) + 0.5) / (shared[0] + 0.5 * (shared[1] + 1))
+    share = s.sum(1) / np.maximum(size.sum(1), 1)
+    p_word, logs, lower = [], [], []
+    for c in (0, 1):
+        level, below = levels["word", c], levels["prefix", c]
+        p_pre = _discounted(size[:, c], below.discounts) / below.total + below.left * uniform
+        p_word.append(_discounted(s[:, c], level.discounts) / level.total + level.left * p_pre * share)
+        lower.append(np.log(np.where(begun, level.left * p_pre, level.left * below.left)))
+        logs.append(np.log(np.where(listed, p_word[c], 1.0)))
+    out = lower[1] - lower[0] - rest
+    out = out + np.where(listed, logs[1] - logs[0] - rest - out, 0.0) * trust(s.sum(1))
+    if len(keys) > 1:
+        pair = found_in(mixed(keys[:-1], keys[1:]), *known[PAIRS])
+        context, mass, kept = w[:-1, 2:].reshape(-1, 2, 4), [], []
+        for c in (0, 1):
+            total, n, n1, n2 = context[:, c].T
+            d = levels["pair", c].discounts
+            mass.append((total + 1.0, (n1 * d[1] + n2 * d[2] + (n - n1 - n2) * d[3] + 1.0) / (total + 1.0)))  # one more for a context that was never seen
+            kept.append(_discounted(pair[:, c], d))
+        shared_pair = pair.sum(1) / (mass[0][0] + mass[1][0])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            log = [np.log(kept[c] / mass[c][0] + mass[c][1] * (shared_pair + p_word[c][1:]) / 2) for c in (0, 1)]
+            backoff = np.where(listed[:-1], np.log(mass[1][1] / mass[0][1]), 0.0)
+        out[1:] += backoff
+        out[1:] += np.where(pair.sum(1) > 0, log[1] - log[0] - rest - out[1:], 0.0) * trust(pair.sum(1))
+    return out
 
 
 FEATURES = ["mean", "window", "pair", "top"]
+WORDS, PREFIXES, PAIRS = 0, 1, 2
 
 
-def evidence(ratios: Ratios, text: str) -> tuple[float, ...]:
+def evidence(r: np.ndarray) -> tuple[float, ...]:
     """Length-normalised ratios: of the document, of its most toxic WINDOW and pair of words, and of its TOP most toxic words."""
-    tokens = words(text)
-    if not tokens:
+    if not len(r):
         return (0.0,) * len(FEATURES)
-    r = ratios.of(tokens)
     sums = np.concatenate([[0.0], np.cumsum(r)])
     windows = [(sums[k:] - sums[:-k]).max() / k for k in (min(WINDOW, len(r)), min(2, len(r)))]
     top = np.partition(r, len(r) - TOP)[-TOP:] if len(r) > TOP else r
     return float(r.mean()), float(windows[0]), float(windows[1]), float(top.mean())
 
 
+def judged(rows: DataFrame, tables: Tables) -> DataFrame:
+    """(doc_id, label, text_key, FEATURES) of rows (doc_id, label, text).
+
+    Documents are dealt to blocks; a block asks the count tables for its distinct n-grams, and gets back those that they know.
+    """
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    n_blocks = -(-rows.count() // BLOCK_ROWS) or 1
+    n_buckets = -(-tables.n_pairs // BUCKET_PAIRS) or 1
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(n_blocks)).cast("int"))
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for block, texts in batch.groupby("block")["text"]:
+                keys = [k for k in map(word_keys, texts) if len(k)]
+                if not keys:
+                    continue
+                ids = np.unique(np.concatenate(keys))
+                prev, word = np.concatenate([k[:-1] for k in keys]), np.concatenate([k[1:] for k in keys])
+                pair, at = np.unique(mixed(prev, word), return_index=True)
+                begun = np.unique((ids >> 32) & 0xFFFFFFFF)
+                for kind, asked, place in ((WORDS, ids, ids % n_buckets), (PREFIXES, begun, begun % n_buckets), (PAIRS, pair, bucket_of(prev[at], word[at], n_buckets))):
+                    order = np.argsort(place, kind="stable")
+                    ends = np.searchsorted(place[order], np.arange(n_buckets + 1))
+                    found += [(kind, b, block, asked[order[ends[b] : ends[b + 1]]].tobytes()) for b in np.unique(place)]
+            yield pd.DataFrame(found, columns=["kind", "bucket", "block", "ids"])
+
+    asked = rows.select("block", "text").mapInPandas(ask, "kind int, bucket int, block int, ids binary")
+    answer = "block int, kind int, ids binary, counts binary"
+
+    def look_up(kind: int, table: DataFrame, values: list[str]) -> DataFrame:
+        def answered(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            keys = mixed(left["prev"].to_numpy(), left["word"].to_numpy()) if kind == PAIRS else left["key"].to_numpy()
+            keys, at = np.unique(keys, return_inverse=True)
+            counts = np.stack([np.bincount(at, left[v], len(keys)) for v in values], axis=1).astype(np.int32)
+            found = []
+            if len(keys):
+                for block, ids in zip(right["block"], right["ids"]):
+                    wanted = np.frombuffer(ids, np.int64)
+                    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                    hit = keys[at] == wanted
+                    found.append((block, kind, wanted[hit].tobytes(), counts[at[hit]].tobytes()))
+            return pd.DataFrame(found, columns=["block", "kind", "ids", "counts"])
+
+        place = bucket_column("prev", "word", n_buckets) if kind == PAIRS else F.pmod("key", F.lit(n_buckets)).cast("int")
+        return table.withColumn("bucket", place).groupBy("bucket").cogroup(asked.where(F.col("kind") == kind).groupBy("bucket")).applyInPandas(answered, answer)
+
+    answers = look_up(WORDS, tables.words, WORD_VALUES).unionByName(look_up(PREFIXES, tables.prefixes, ["size0", "size1"])).unionByName(look_up(PAIRS, tables.pairs, ["s0", "s1"]))
+    levels, shared, widths = tables.levels, tables.shared, {WORDS: len(WORD_VALUES), PREFIXES: 2, PAIRS: 2}
+
+    def weigh(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        known = {}
+        for kind, width in widths.items():
+            own = right[right["kind"] == kind]
+            ids, counts = np.frombuffer(b"".join(own["ids"]), np.int64), np.frombuffer(b"".join(own["counts"]), np.int32).reshape(-1, width)
+            ids, at = np.unique(ids, return_index=True)
+            known[kind] = ids, counts[at].astype(np.float64)
+        out = pd.DataFrame([evidence(ratios(k, known, levels, shared)) if len(k) else evidence(k) for k in map(word_keys, left["text"])], columns=FEATURES, dtype=float)
+        return pd.concat([left[["doc_id", "label", "text_key"]].reset_index(drop=True), out], axis=1)
+
+    shape = "doc_id long, label int, text_key long, " + ", ".join(f"{f} double" for f in FEATURES)
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(weigh, shape)
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-2) -> np.ndarray:
     """Weights (last: intercept) by Newton's method; classes weigh equally."""
     a = np.column_stack([x, np.ones(len(x))])
@@ -212,61 +313,54 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1
 
 @dataclass
 class Model:
-    ratios: Ratios
+    tables: Tables
     curve: np.ndarray
 
-    def score(self, text: str) -> float:
-        return float(1 / (1 + np.exp(-np.clip(np.array([*evidence(self.ratios, text), 1.0]) @ self.curve, -30, 30))))
+
+def learnable(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, label) of every labelled row outside the held-out fold."""
+    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
+    return doc_texts(docs).join(usable.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None) -> Model | None:
-    """Models of the sample; the curve comes from models of one half scoring the other."""
-    spark = docs.sparkSession
-    sample = written(labelled_sample(spark, docs, labels, "toxic", most or MOST), "toxicity-sample")
-    bigrams = written(bigram_contexts(sample), "toxicity-bigrams")
-    if bigrams.select("label").distinct().count() < 2:
+    """Models of all labelled rows; the curve comes from models of one half scoring a sample of the other."""
+    bigrams = written(bigram_contexts(learnable(docs, labels)), "toxicity-bigrams")
+    tables = counted(bigrams, "n_all")
+    if tables is None:
         return None
+    sample = written(labelled_sample(docs.sparkSession, docs, labels, "toxic", most or MOST), "toxicity-sample")
     seen = []
     for fold in range(CALIBRATION_FOLDS):
-        others = gathered(bigrams, f"n_{fold}")
-        if len(others.totals) < 2:
-            continue
-        shared = spark.sparkContext.broadcast(fit_ratios(others))
-
-        def judged(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                yield pd.DataFrame([(label, *evidence(shared.value, text)) for label, text in zip(batch["label"], batch["text"])], columns=["label", *FEATURES])
-
-        seen.append(folded(sample, CALIBRATION_FOLDS).where(F.col("fold") == fold).mapInPandas(judged, "label int, " + ", ".join(f"{f} double" for f in FEATURES)).toPandas())
-    ratios = fit_ratios(gathered(bigrams, "n_all"))
-    seen = pd.concat(seen) if seen else pd.DataFrame(columns=["label", *FEATURES])
+        others = counted(bigrams, f"n_{fold}")
+        if others is not None:
+            own = sample.where(F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_FOLDS)) == fold)
+            seen.append(judged(own, others).select("doc_id", "label", *FEATURES).toPandas())
+    seen = pd.concat(seen).sort_values(["doc_id", "label", *FEATURES]) if seen else pd.DataFrame(columns=["label", *FEATURES])
     if seen["label"].nunique() < 2:  # too few rows to halve
-        return Model(ratios, np.array([0.0, 0.0, 0.0, 1.0, -2.0]))
-    return Model(ratios, fit_logistic(seen[FEATURES].to_numpy(float), seen["label"].to_numpy(float)))
+        return Model(tables, np.array([0.0, 0.0, 0.0, 1.0, -2.0]))
+    return Model(tables, fit_logistic(seen[FEATURES].to_numpy(float), seen["label"].to_numpy(float)))
 
 
-def score(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, score, predicted) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scores(rows: DataFrame, model: Model | None) -> DataFrame:
+    """(doc_id, text_key, score) of rows (doc_id, text)."""
+    if model is None:
+        return rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(0.0).alias("score"))
+    *weights, intercept = map(float, model.curve)
+    z = sum((F.col(f) * w for f, w in zip(FEATURES, weights)), F.lit(intercept))
+    z = F.least(F.lit(30.0), F.greatest(F.lit(-30.0), z))
+    return judged(rows.withColumn("label", F.lit(0)), model.tables).select("doc_id", "text_key", (1 / (1 + F.exp(-z))).alias("score"))
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        for batch in batches:
-            s = np.array([model.score(t) if model else 0.0 for t in batch["text"]], float)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "score": s, "predicted": (s >= threshold).astype(np.int32)})
 
-    return doc_texts(docs).mapInPandas(scored, "doc_id long, score double, predicted int")
+def score(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
+    """(doc_id, score, predicted) of every whole text."""
+    return scores(doc_texts(docs), model).select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def kept(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
-    """The documents that the model doesn't reject, with all their columns, in one pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def toxic(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t or "") if shared.value else 0.0 for t in texts], dtype=float)
-
-    return docs.where(toxic(F.col("text").cast("string")) < threshold)
+    """The documents that the model doesn't reject, with all their columns. Scores depend on texts alone, so rejected texts are what is joined."""
+    rejected = scores(doc_texts(docs), model).where(F.col("score") >= threshold).select(F.col("text_key").alias("_rejected")).distinct()
+    return docs.join(rejected, F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_rejected"), "left_anti")
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -8,22 +8,25 @@ import re
 # Fixed values of HTML.
 BLOCK_TAGS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template iframe object svg math textarea noframes xmp".split())
+RAW_TAGS = frozenset("script style noscript template iframe object svg textarea noframes".split())
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _SPACE = re.compile(r"\s+")
-_NAME = re.compile(r"[a-z]+")
+_NAME = re.compile(r"[^\W\d_]+")
+
+
+Element = tuple[str, tuple[str, ...], int]  # tag, the names in its attributes, its number in the page
 
 
 class Block:
-    """Text of one leaf: path, the open elements from the root with the names in their attributes; linked, characters inside links."""
+    """Text of one leaf: path, the open elements from the root on; linked, characters inside links; raw: no text of the page, as a title."""
 
-    __slots__ = ("path", "names", "text", "linked", "raw")
+    __slots__ = ("path", "text", "linked", "raw")
 
-    def __init__(self, path: tuple[str, ...], names: tuple[str, ...], text: str, linked: int, raw: bool):
-        self.path, self.names, self.text, self.linked, self.raw = path, names, text, linked, raw
+    def __init__(self, path: tuple[Element, ...], text: str, linked: int, raw: bool):
+        self.path, self.text, self.linked, self.raw = path, text, linked, raw
 
 
 def names_of(attrs: str) -> tuple[str, ...]:
@@ -37,16 +40,15 @@ def names_of(attrs: str) -> tuple[str, ...]:
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, white space inside each made one space. Unclosed elements end with the block that holds them."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Element] = []
     parts: list[str] = []
-    linked = 0
+    linked = opened = 0
 
     def flush() -> None:
         nonlocal linked
         text = _SPACE.sub(" ", "".join(parts)).strip()
         if text:
-            names = tuple(n for _, own in stack for n in own)
-            out.append(Block(tuple(t for t, _ in stack), names, text, linked, any(t in RAW_TAGS or t == "title" for t, _ in stack)))
+            out.append(Block(tuple(stack), text, linked, any(e[0] == "title" for e in stack)))
         parts.clear()
         linked = 0
 
@@ -55,7 +57,7 @@ def blocks(page: str) -> list[Block]:
         if text:
             text = html.unescape(text)
             parts.append(text)
-            if any(t == "a" for t, _ in stack):
+            if any(e[0] == "a" for e in stack):
                 linked += len(text)
 
     at, size = 0, len(page)
@@ -77,7 +79,7 @@ def blocks(page: str) -> list[Block]:
         elif m["close"]:
             if tag in BLOCK_TAGS:
                 flush()
-            elif not parts and not any(t == tag for t, _ in stack):
+            elif not parts and not any(e[0] == tag for e in stack):
                 continue
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
@@ -101,6 +103,7 @@ def blocks(page: str) -> list[Block]:
                             del stack[k:]
                         elif stack[k][0] in BLOCK_TAGS:
                             break
-            stack.append((tag, names_of(m["attrs"])))
+            opened += 1
+            stack.append((tag, names_of(m["attrs"]), opened))
     flush()
     return out

@@ -1,24 +1,26 @@
 """Main text of pages by a recurrent block labeller: a bidirectional LSTM in numpy over each page's leaf blocks.
 
-A page is the sequence of its leaf blocks. A block's vector holds its tag path and the names in its class, id and role
-attributes (hashed, and counted by the roles that lists know), its words (hashed, all of them), and its length, link density and
-punctuation. One LSTM
-reads the sequence forwards and one backwards, so every block is classified with the whole page around it.
+A page is the sequence of its leaf blocks. A block's vector holds its tag path (hashed: the elements right around it by their distance,
+the others as a bag), the names in class, id and role attributes of its own branch below body (hashed by pieces of letters, so that
+related names are near each other; those of the nearest elements apart from the rest), its words (hashed, all of them), and
+measures: length, links, punctuation, place in the page, and which share of the page's plain text the elements around it hold. One LSTM
+reads the sequence forwards and one backwards, so every block is classified with the whole page around it. No list of names or
+elements takes part in the labelling.
 
-There are no labels for pages, so the network learns from rules (teacher()) on a bounded, documented sample of
-pages (TRAINING_PAGES), whose elements are also exchanged for others of the same role and which get extra side matter,
-so that names it hasn't met in the sample still mean something to it. Scripts, styles and the other elements whose content isn't text are cut by the scanner.
+There are no labels for pages, so the network learns from pages that html_layouts lays out at random, whose labels are known
+because the layout made them. Their words come from a bounded, documented sample of the pages' own blocks (MATERIAL_PAGES,
+MATERIAL_BLOCKS of each page, MATERIAL_LETTERS of each block). Scripts, styles and the other elements whose content isn't text are cut by the scanner.
 
-Learning happens on the driver over the sample's vectors; the weights, of fixed size, are broadcast, and pages are labelled
-in one pass without a shuffle. No page is shortened: a long one is a long sequence.
+Learning happens on the driver over the laid out pages; the weights, of fixed size, are broadcast, and pages are labelled
+in one pass without a shuffle. No page is shortened: a long one is read in stretches that hand the networks' states on, so the memory for vectors is bounded;
+the blocks themselves take memory in proportion to the page.
 
 Defined cases: a null or empty html has the text ''; markup that is broken or cut off is read as far as it goes; equal
-pages give equal texts; repeated rows stay; an empty table gives no rows; other columns are ignored.
+pages give equal texts; repeated rows stay, and so do rows without page_id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,68 +30,115 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .html_blocks import Block, blocks
+from .html_blocks import Block, Element, blocks
+from .html_layouts import labelled
 
-TRAINING_PAGES = 400
-PATH_BUCKETS, WORD_BUCKETS, MEASURES = 128, 32, 10
-INPUT, HIDDEN = PATH_BUCKETS + WORD_BUCKETS + MEASURES, 24
-TRAINING_STEPS, TRAINING_LENGTH = 400, 48
-TOGETHER_BLOCKS = 1 << 14  # blocks, padding included, that are labelled at once
+MATERIAL_PAGES, MATERIAL_BLOCKS, MATERIAL_LETTERS = 200, 10, 400
+TRAINING_PAGES, TRAINING_STEPS, TRAINING_LENGTH = 2400, 700, 40
+NEAR_TAGS, FAR_TAGS, NEAR_NAMES, FAR_NAMES, WORD_BUCKETS, MEASURES = 48, 24, 64, 32, 64, 19
+PATH = NEAR_TAGS + FAR_TAGS + NEAR_NAMES + FAR_NAMES
+INPUT, HIDDEN = PATH + WORD_BUCKETS + MEASURES, 24
+NEAREST = 3  # elements around a block whose names are told apart from the others'
+TOGETHER_BLOCKS = 1 << 13  # blocks, padding included, that are labelled at once
 
-# Elements and attribute words of main and of side matter.
-MAIN_TAGS = frozenset(("article", "main"))
-MAIN_NAMES = frozenset(("article", "content", "post", "entry", "story", "main", "body", "text", "blog", "news", "page"))
-SIDE_TAGS = frozenset(("nav", "footer", "header", "aside", "form", "menu", "button", "select", "option", "dialog", "label", "fieldset"))
-SIDE_NAMES = frozenset((
-    "nav", "navigation", "navbar", "menu", "sidebar", "side", "footer", "foot", "header", "masthead", "topbar", "banner", "ad", "ads", "advert",
-    "advertisement", "sponsor", "sponsored", "promo", "cookie", "cookies", "consent", "gdpr", "notice", "alert", "popup", "modal", "overlay", "comment",
-    "comments", "reply", "replies", "respond", "disqus", "share", "sharing", "social", "related", "recommended", "breadcrumb", "breadcrumbs", "pagination",
-    "pager", "widget", "subscribe", "newsletter", "signup", "login", "search", "form", "copyright", "legal", "toolbar", "skip", "tags", "hidden", "contentinfo", "complementary",
-))
+_ENDS = frozenset(".!?…:")
+MOST_WORDS, MOST_PATHS = 200_000, 5_000  # in a worker's caches
 
 
-def teacher(page: list[Block]) -> np.ndarray:
-    """1 for the blocks that rules take for main text."""
-    side = np.array([b.raw or any(t in SIDE_TAGS for t in b.path) or any(n in SIDE_NAMES for n in b.names) for b in page], bool)
-    inside = np.array([any(t in MAIN_TAGS for t in b.path) or any(n in MAIN_NAMES for n in b.names) for b in page], bool)
-    links = np.array([b.linked > 0.7 * len(b.text) for b in page], bool)
-    main = ~side & ~links
-    return (main & inside if (main & inside).any() else main).astype(float)
+def _bucket(key: str, buckets: int) -> int:
+    return zlib.crc32(key.encode("utf-8", "replace")) % buckets
 
 
-_PUNCTUATION = re.compile(r"[.,;:!?]")
+def _pieces(name: str) -> list[str]:
+    """A name, and its pieces of three letters."""
+    return [name, *(name[k : k + 3] for k in range(len(name) - 2) if len(name) > 3)]
+
+
+def branch(path: tuple[Element, ...]) -> tuple[Element, ...]:
+    """The elements around a block, without those that are around every block."""
+    return tuple(e for e in path if e[0] not in ("html", "body"))
+
+
+class WordBuckets(dict):
+    """The bucket of each word that was asked for; begins anew when it holds MOST_WORDS."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MOST_WORDS:
+            self.clear()
+        found = self[word] = _bucket(word, WORD_BUCKETS)
+        return found
 
 
 @dataclass
 class Vectors:
-    """Vectors of blocks, with bounded caches of hashed names and words for each worker."""
+    """Vectors of blocks, with bounded caches of hashed paths and words for each worker."""
 
-    names: dict = field(default_factory=dict)
-    words: dict = field(default_factory=dict)
-    most: int = 200_000
+    paths: dict = field(default_factory=dict)
+    words: WordBuckets = field(default_factory=WordBuckets)
 
-    def _bucket(self, cache: dict, key: str, buckets: int) -> int:
-        found = cache.get(key)
+    def path(self, elements: tuple[tuple[str, tuple[str, ...]], ...]) -> np.ndarray:
+        found = self.paths.get(elements)
         if found is None:
-            if len(cache) >= self.most:
-                cache.clear()
-            found = cache[key] = zlib.crc32(key.encode()) % buckets
+            if len(self.paths) >= MOST_PATHS:
+                self.paths.clear()
+            found = np.zeros(PATH, np.float32)
+            for distance, (tag, names) in enumerate(reversed(elements)):
+                if distance < NEAREST:
+                    found[_bucket(f"{distance}<{tag}", NEAR_TAGS)] += 1
+                found[NEAR_TAGS + _bucket(tag, FAR_TAGS)] += 1
+                at, size = (NEAR_TAGS + FAR_TAGS, NEAR_NAMES) if distance < NEAREST else (NEAR_TAGS + FAR_TAGS + NEAR_NAMES, FAR_NAMES)
+                pieces = [p for n in names for p in _pieces(n)]
+                for p in pieces:
+                    found[at + _bucket(p, size)] += 1 / np.sqrt(len(pieces))
+            self.paths[elements] = found = np.minimum(found, 2)
         return found
 
+    def page(self, page: list[Block]) -> "PageVectors":
+        return PageVectors(self, page)
+
     def of(self, page: list[Block]) -> np.ndarray:
-        out = np.zeros((len(page), INPUT), np.float32)
-        for k, b in enumerate(page):
-            for t in b.path:
-                out[k, self._bucket(self.names, "<" + t, PATH_BUCKETS)] += 1
-            for n in b.names:
-                out[k, self._bucket(self.names, n, PATH_BUCKETS)] += 1
-            words = b.text.lower().split()
-            hashed = np.bincount([self._bucket(self.words, w, WORD_BUCKETS) for w in words], minlength=WORD_BUCKETS)
-            out[k, PATH_BUCKETS : PATH_BUCKETS + WORD_BUCKETS] = np.sqrt(hashed / max(1, len(words)))
+        return self.page(page).rows(0, len(page))
+
+
+class PageVectors:
+    """The vectors of a page, made for a stretch of blocks at a time."""
+
+    def __init__(self, make: Vectors, page: list[Block]):
+        self.make, self.page = make, page
+        self.plain: dict[int, int] = {}  # characters outside links, by element
+        self.links: dict[int, list[int]] = {}  # blocks and mostly linked ones, by element
+        self.total = 0
+        for b in page:
+            if b.raw:
+                continue
+            own = len(b.text) - min(b.linked, len(b.text))
+            self.total += own
+            for _, _, number in b.path:
+                self.plain[number] = self.plain.get(number, 0) + own
+                counts = self.links.setdefault(number, [0, 0])
+                counts[0] += 1
+                counts[1] += 2 * b.linked > len(b.text)
+
+    def rows(self, begin: int, end: int) -> np.ndarray:
+        out = np.zeros((end - begin, INPUT), np.float32)
+        size, total = len(self.page), max(1, self.total)
+        for k in range(begin, end):
+            b, row = self.page[k], out[k - begin]
+            own = branch(b.path)
+            row[:PATH] = self.make.path(tuple(e[:2] for e in own))
+            words = b.text.lower().split()  # at least one, as blocks aren't blank
+            hashed = np.bincount(list(map(self.make.words.__getitem__, words)), minlength=WORD_BUCKETS)
+            row[PATH : PATH + WORD_BUCKETS] = np.sqrt(hashed / len(words))
             n = len(b.text)
-            roles = (sum(t in SIDE_TAGS for t in b.path), sum(x in SIDE_NAMES for x in b.names), sum(t in MAIN_TAGS for t in b.path), sum(x in MAIN_NAMES for x in b.names))
-            out[k, -MEASURES:] = np.log1p(n) / 8, b.linked / n, len(_PUNCTUATION.findall(b.text)) / len(words) if words else 0, k == 0, k == len(page) - 1, len(b.path) / 16, *roles
-        return np.minimum(out, 3)
+            around = [e[2] for e in own[-2:-6:-1]]
+            shares = [self.plain.get(e, 0) / total for e in around] + [1.0] * (4 - len(around))
+            linked = [many / all_ for all_, many in (self.links.get(e, (1, 0)) for e in around[:2])] + [0.0] * (2 - len(around))
+            largest = max((self.plain.get(e[2], 0) / total for e in own), default=1.0)
+            row[PATH + WORD_BUCKETS :] = (
+                np.log1p(n) / 8, min(1, b.linked / n), sum(map(b.text.count, ".,;:!?")) / len(words), b.text.rstrip("\"”»)")[-1:] in _ENDS, any(map(str.isdigit, b.text[:40])),
+                k == 0, k == size - 1, k / size, np.log1p(size) / 8, len(own) / 16, n / total, largest, *shares, *linked, b.raw,
+            )
+        return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -104,9 +153,10 @@ class Lstm:
         self.b = np.zeros(4 * HIDDEN, np.float32)
         self.b[HIDDEN : 2 * HIDDEN] = 1  # remember at first
 
-    def forward(self, x: np.ndarray, mask: np.ndarray, keep: bool = False):
+    def forward(self, x: np.ndarray, mask: np.ndarray, keep: bool = False, state: list[np.ndarray] | None = None):
+        """state: what was remembered of earlier stretches; what is remembered now takes its place."""
         n = x.shape[1]
-        h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+        h, c = state if state else (np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32))
         driven = x @ self.w[:INPUT] + self.b
         out, saved = np.empty((len(x), n, HIDDEN), np.float32), []
         for t in range(len(x)):
@@ -121,23 +171,24 @@ class Lstm:
                 saved.append((h, c, i, f, o, g, tanh_c, m))
             h, c = np.where(m, o * tanh_c, h), np.where(m, c_new, c)
             out[t] = h
+        if state is not None:
+            state[:] = h, c
         return out, saved
 
     def backward(self, x: np.ndarray, saved: list, d_out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        d_w, d_b = np.zeros_like(self.w), np.zeros_like(self.b)
+        d_z = np.empty((len(x), x.shape[1], 4 * HIDDEN), self.w.dtype)
         d_h, d_c = np.zeros_like(d_out[0]), np.zeros_like(d_out[0])
         for t in range(len(x) - 1, -1, -1):
-            h, c, i, f, o, g, tanh_c, m = saved[t]
+            _, c, i, f, o, g, tanh_c, m = saved[t]
             d_h = d_h + d_out[t]
             own_h, own_c = np.where(m, d_h, 0), np.where(m, d_c, 0)
             d_cell = own_c + own_h * o * (1 - tanh_c**2)
-            d_z = np.hstack([d_cell * g * i * (1 - i), d_cell * c * f * (1 - f), own_h * tanh_c * o * (1 - o), d_cell * i * (1 - g**2)])
-            d_w[:INPUT] += x[t].T @ d_z
-            d_w[INPUT:] += h.T @ d_z
-            d_b += d_z.sum(0)
-            d_h = d_z @ self.w[INPUT:].T + np.where(m, 0, d_h)
+            d_z[t] = np.hstack([d_cell * g * i * (1 - i), d_cell * c * f * (1 - f), own_h * tanh_c * o * (1 - o), d_cell * i * (1 - g**2)])
+            d_h = d_z[t] @ self.w[INPUT:].T + np.where(m, 0, d_h)
             d_c = d_cell * f + np.where(m, 0, d_c)
-        return d_w, d_b
+        read = np.concatenate([x, np.stack([s[0] for s in saved])], axis=2)
+        # One product a step of time: small ones run on one core, and the driver has others' work to leave room for.
+        return np.matmul(read.transpose(0, 2, 1), d_z).sum(0), d_z.sum((0, 1))
 
 
 class Labeller:
@@ -168,8 +219,22 @@ class Labeller:
         p = _sigmoid(np.concatenate([a, b[turned, column]], 2) @ self.v + self.bias)
         return [p[: len(q), k] for k, q in enumerate(pages)]
 
-    def learn(self, pages: list[tuple[np.ndarray, np.ndarray]], steps: int, seed: int = 12, batch: int = 24, rate: float = 0.01) -> None:
-        """Adam on the cross-entropy of blocks; long pages by stretches."""
+    def of_long(self, page: PageVectors, stretch: int = TOGETHER_BLOCKS) -> np.ndarray:
+        """Probabilities of one page, of which only a stretch of vectors is held at a time."""
+        size = len(page.page)
+        z = np.full(size, self.bias[0], np.float32)
+        always = np.ones((stretch, 1), bool)
+        for lstm, v, turn in ((self.ahead, self.v[:HIDDEN], 1), (self.back, self.v[HIDDEN:], -1)):
+            state: list[np.ndarray] = []
+            for begin in range(0, size, stretch):
+                end = min(begin + stretch, size)
+                a, b = (begin, end) if turn == 1 else (size - end, size - begin)
+                h, _ = lstm.forward(page.rows(a, b)[::turn, None], always[: b - a], state=state)
+                z[a:b] += (h[:, 0] @ v)[::turn]
+        return _sigmoid(z)
+
+    def learn(self, pages: list[tuple[np.ndarray, np.ndarray]], steps: int, seed: int = 12, batch: int = 24, rate: float = 0.02) -> None:
+        """Adam on the cross-entropy of blocks, by ever smaller steps; long pages by stretches."""
         rng = np.random.default_rng(seed)
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.parameters()]
         for step in range(1, steps + 1):
@@ -194,63 +259,48 @@ class Labeller:
             for p, g, (m, s) in zip(self.parameters(), gradients, moments):
                 m += 0.1 * (g - m)
                 s += 0.01 * (g * g - s)
-                p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
-
-
-def varied(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], np.ndarray]:
-    """The page with its roles as they are, but other elements for them, and some more side matter: (blocks, labels)."""
-    labels = teacher(page)
-    main_tag, main_name = [(str(rng.choice(sorted(MAIN_TAGS))), ""), ("div", str(rng.choice(sorted(MAIN_NAMES)))), ("section", str(rng.choice(sorted(MAIN_NAMES))))][rng.integers(3)]
-    out: list[tuple[Block, float]] = []
-
-    def side(text: str, linked: int, within: tuple[str, ...] = (), within_names: tuple[str, ...] = ()) -> Block:
-        tag, name = (str(rng.choice(sorted(SIDE_TAGS))), "") if rng.random() < 0.4 else (str(rng.choice(["div", "section", "ul", "p", "aside"])), str(rng.choice(sorted(SIDE_NAMES))))
-        inner = [(), ("ul", "li"), ("p",), ("div", "p"), ("div",), ("span",)][rng.integers(6)]
-        return Block(("html", "body", *within, tag, *inner), (*within_names, *((name,) if name else ())), text, linked, False)
-
-    swap = rng.random() < 0.8
-    texts = [b for b in page if b.text]
-    for b, y in zip(page, labels):
-        if not swap or b.raw:
-            out.append((b, y))
-        elif y:
-            tail = tuple(t for t in b.path if t not in ("html", "body", *MAIN_TAGS))
-            outer = ("div",) if rng.random() < 0.15 else ()
-            out.append((Block(("html", "body", *outer, main_tag, *tail), (main_name,) if main_name else (), b.text, b.linked, False), y))
-        else:
-            out.append((side(b.text, b.linked), 0.0))
-        if y and rng.random() < 0.12 and texts:  # side matter within and after the article
-            other = texts[rng.integers(len(texts))]
-            nested = rng.random() < 0.5
-            within, names = ((main_tag,), (main_name,) if main_name else ()) if nested and swap else (("article",) if nested else (), ())
-            out.append((side(other.text, 0 if rng.random() < 0.7 else len(other.text), within, names), 0.0))
-    return [b for b, _ in out], np.array([y for _, y in out])
-
-
-def fit(pages: DataFrame, most: int = TRAINING_PAGES, steps: int = TRAINING_STEPS) -> Labeller:
-    """A labeller learnt from the rules on at most `most` pages, chosen by a hash of page_id."""
-
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make = Vectors()
+                p -= rate * (1.05 - step / steps) * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
+
+
+def material(pages: DataFrame, most: int = MATERIAL_PAGES) -> list[str]:
+    """Texts of some blocks of at most `most` pages, chosen by a hash of page_id."""
+
+    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            found = []
             for page_id, text in zip(batch["page_id"], batch["html"]):
-                page, rng = blocks(text), np.random.default_rng(zlib.crc32(str(page_id).encode()))
-                for version in range(5):
-                    found, y = (page, teacher(page)) if version == 0 else varied(page, rng)
-                    if found:
-                        rows.append((page_id, version, make.of(found).astype(np.float16).tobytes(), y.astype(np.int8).tobytes()))
-            yield pd.DataFrame(rows, columns=["page_id", "version", "x", "y"])
-
-    ids = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(most)
-    sample = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("html", F.lit("")).alias("html")).join(F.broadcast(ids), "page_id")
-    rows = sample.mapInPandas(vectors, "page_id long, version int, x binary, y binary").toPandas().sort_values(["page_id", "version", "x"])
+                page = [b.text[:MATERIAL_LETTERS] for b in blocks(text) if not b.raw]
+                found += [(page_id, t) for t in page[:: -(-len(page) // MATERIAL_BLOCKS) or 1]]
+            yield pd.DataFrame(found, columns=["page_id", "text"])
+
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).where("page_id is not null")
+    ids = rows.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(most)
+    some = rows.join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
+    return [r["text"] for r in some.mapInPandas(texts, "page_id long, text string").orderBy("page_id", "text").collect()]
+
+
+def fit(pages: DataFrame, steps: int = TRAINING_STEPS, seed: int = 5) -> Labeller:
+    """A labeller learnt from pages laid out with the words of a sample of these."""
+    words, rng, make = material(pages), np.random.default_rng(seed), Vectors()
+    laid_out = [labelled(rng, words) for _ in range(min(TRAINING_PAGES, 4 * steps))]
     labeller = Labeller()
-    if len(rows):
-        labeller.learn([(np.frombuffer(x, np.float16).reshape(-1, INPUT).astype(np.float32), np.frombuffer(y, np.int8).astype(np.float32)) for x, y in zip(rows["x"], rows["y"])], steps)
+    labeller.learn([(make.of(page).astype(np.float16), y) for page, y in laid_out if page], steps)
     return labeller
 
 
+def main_blocks(labeller: Labeller, make: Vectors, pages: list[list[Block]]) -> list[list[Block]]:
+    """The blocks of main text of each page. Pages are read together with others of about their length."""
+    out: list[list[Block]] = [[] for _ in pages]
+    order = sorted((k for k, p in enumerate(pages) if p), key=lambda k: len(pages[k]))
+    while order:  # the longest first
+        group = order[-max(1, min(64, TOGETHER_BLOCKS // len(pages[order[-1]]))) :]
+        del order[-len(group) :]
+        found = labeller.probabilities([make.of(pages[k]) for k in group]) if len(pages[group[-1]]) <= TOGETHER_BLOCKS else [labeller.of_long(make.page(pages[k])) for k in group]
+        for k, p in zip(group, found):
+            out[k] = [b for b, q in zip(pages[k], p) if q >= 0.5 and not b.raw]
+    return out
+
+
 def extract(pages: DataFrame, labeller: Labeller) -> DataFrame:
     """(page_id, url, text, n_chars): the blocks that the labeller takes for main text, in page order, one a line."""
     shared = pages.sparkSession.sparkContext.broadcast(labeller)
@@ -258,18 +308,15 @@ def extract(pages: DataFrame, labeller: Labeller) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         labeller, make = shared.value, Vectors()
         for batch in batches:
-            texts = [""] * len(batch)
-            parsed = [blocks(h) for h in batch["html"]]
-            order = sorted((k for k, p in enumerate(parsed) if p), key=lambda k: len(parsed[k]))
-            while order:  # pages of about one length, the longest first
-                group = order[-max(1, min(64, TOGETHER_BLOCKS // len(parsed[order[-1]]))) :]
-                del order[-len(group) :]
-                for k, p in zip(group, labeller.probabilities([make.of(parsed[k]) for k in group])):
-                    texts[k] = "\n".join(b.text for b, q in zip(parsed[k], p) if q >= 0.5 and not b.raw)
-            yield pd.DataFrame({"page_id": batch["page_id"].to_numpy(), "url": batch["url"].to_numpy(), "text": texts, "n_chars": [len(t) for t in texts]})
-
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    return rows.mapInPandas(read, "page_id long, url string, text string, n_chars long")
+            for at in range(0, len(batch), 64):
+                part = batch.iloc[at : at + 64]
+                texts = ["\n".join(b.text for b in found) for found in main_blocks(labeller, make, [blocks(h) for h in part["html"]])]
+                yield pd.DataFrame({"page_id": part["page_id"].to_numpy(), "url": part["url"].to_numpy(), "text": texts, "n_chars": [len(t) for t in texts]})
+
+    # As text, ids come through pandas unharmed where others are null.
+    rows = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    found = rows.mapInPandas(read, "page_id string, url string, text string, n_chars long")
+    return found.withColumn("page_id", F.col("page_id").cast("long"))
 
 
 def query(pages: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -69,20 +70,76 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
     assert a == b
 
 
-def test_toxicity_counts_every_labelled_row(spark):
-    """Counts don't stop at the curve's sample, and n-grams seen once are kept."""
-    words = [f"w{i:03d}" for i in range(200)]
-    rows = [(i, f"{words[i]} {words[(i + 1) % 200]} once{i:03d}", int(i % 2)) for i in range(200)]
-    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, toxic int"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
-    model = op7_toxicity.fit(docs, labels, most={0: 5, 1: 5})
-    learnt = [(t.split(), y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5]
-    expected = {}
-    for w, y in learnt:
-        for k in range(3):
-            expected.setdefault((op7_toxicity.word_key(w[k - 1]) if k else 0, op7_toxicity.word_key(w[k])), [0, 0])[y] += 1
-    found = model.tables.pairs.groupBy("prev", "word").agg(F.sum("s0"), F.sum("s1")).collect()
-    assert {(r[0], r[1]): [r[2], r[3]] for r in found if r[0]} == {k: v for k, v in expected.items() if k[0]}
-    assert model.tables.words.count() == len({w for t, _ in learnt for w in t})
+def kneser_ney(rows, text):
+    """Plain dictionaries: (document, window, pair, top) by words and by beginnings of a text, from rows (words, label)."""
+    uses, before, after = Counter(), defaultdict(set), defaultdict(set)
+    for w, y in rows:
+        for v, x in zip(w, w[1:]):
+            uses[y, v, x] += 1
+            before[y, x].add(v)
+            after[y, v].add(x)
+    vocabulary = {x for _, x in before}
+    begun = Counter()
+    for (y, x), vs in before.items():
+        begun[y, x[: op7_toxicity.PREFIX]] += len(vs)
+    context = Counter({k: len(v) for k, v in before.items()})
+
+    def discount(counts, y):
+        one, two = (sum(n == k for (c, *_), n in counts.items() if c == y) for k in (1, 2))
+        return one / (one + 2 * two) if one else 0.5
+
+    def level(counts):
+        total = [sum(n for (c, *_), n in counts.items() if c == y) for y in (0, 1)]
+        return total, [discount(counts, y) for y in (0, 1)], [sum(c == y for c, *_ in counts) for y in (0, 1)], len({k[1:] for k in counts})
+
+    def single(counts, x):
+        total, d, kinds, different = level(counts)
+        shared = (counts[0, x] + counts[1, x] + 0.5) / (sum(total) + 0.5 * (different + 1))
+        return [max(counts[y, x] - d[y], 0) / total[y] + d[y] * kinds[y] / total[y] * shared for y in (0, 1)]
+
+    def rest(counts):
+        total, d, kinds, _ = level(counts)
+        return np.log(d[1] * kinds[1] / total[1] / (d[0] * kinds[0] / total[0]))
+
+    def ratio(counts, x):
+        n = counts[0, x] + counts[1, x]
+        p = single(counts, x)
+        return (np.log(p[1] / p[0]) - rest(counts)) * n / (n + op7_toxicity.TRUSTED)
+
+    d, w = [discount(uses, y) for y in (0, 1)], text
+    by_word = [ratio(context, x) for x in w]
+    for k in range(1, len(w)):
+        v, x = w[k - 1], w[k]
+        n, both = [sum(uses[y, v, z] for z in after[y, v]) for y in (0, 1)], uses[0, v, x] + uses[1, v, x]
+        p = [max(uses[y, v, x] - d[y], 0) / (n[y] + 1) + (d[y] * len(after[y, v]) + 1) / (n[y] + 1) * (both / (sum(n) + 2) + single(context, x)[y]) / 2 for y in (0, 1)]
+        if both:
+            by_word[k] += (np.log(p[1] / p[0]) - rest(context) - by_word[k]) * both / (both + op7_toxicity.TRUSTED_PAIRS)
+    out = []
+    for r in (by_word, [ratio(begun, x[: op7_toxicity.PREFIX]) for x in w]):
+        out.append(np.mean(r) if r else 0.0)
+        out += [max(np.mean(r[i : i + k]) for i in range(len(r) - k + 1)) if r else 0.0 for k in (min(op7_toxicity.WINDOW, len(r)), min(op7_toxicity.SHORT_WINDOW, len(r)))]
+        out.append(np.mean(sorted(r)[-op7_toxicity.TOP :]) if r else 0.0)
+    assert vocabulary
+    return out
+
+
+def test_toxicity_models_by_their_definition(spark, monkeypatch):
+    """Every labelled row counts, in many blocks and buckets; rare n-grams too."""
+    monkeypatch.setattr(op7_toxicity, "BLOCK_WORDS", 200)
+    monkeypatch.setattr(op7_toxicity, "BUCKET_ENTRIES", 300)
+    rng = random.Random(8)
+    forms = [a + b for a in ("stem", "root", "trunk", "leaf", "twig", "bark") for b in ("", "s", "ed", "ing", "er", "ly")]
+    rows = [(i, " ".join(rng.choice(forms[: 18 + 18 * (i % 2)]) for _ in range(rng.randint(0, 40))), i % 2) for i in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(500, None), (None, "stem roots"), (501, "never seen before"), (502, "root")], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    blocks_ = op7_toxicity.sequenced(docs, labels)
+    tables = op7_toxicity.counted(blocks_)
+    found = {r["doc_id"]: [r[f] for f in op7_toxicity.FEATURES] for r in op7_toxicity.judged(blocks_, tables).collect()}
+    texts = {i: t for i, t, _ in rows} | {500: "", None: "stem roots", 501: "never seen before", 502: "root"}
+    known = [(op7_toxicity.words(t), y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5]
+    assert set(found) == set(texts)
+    for i in list(range(0, 120, 7)) + [500, None, 501, 502]:
+        assert found[i] == pytest.approx(kneser_ney(known, op7_toxicity.words(texts[i])), abs=1e-9)
 
 
 def test_machine_by_its_definition():

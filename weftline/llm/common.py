@@ -56,3 +56,17 @@ def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, lab
     parts = [usable.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most[c]) for c in (0, 1)]
     ids = parts[0].unionByName(parts[1])
     return doc_texts(docs).join(F.broadcast(ids), "doc_id")
+
+
+def bucketed(df: DataFrame, column: str, buckets: int, label: str) -> DataFrame:
+    """df written to the shared folder in buckets of a column, so that joins and groups by it don't shuffle it.
+
+    The table's name leaves the catalog at once; its files stay, as those of written() do.
+    """
+    spark = df.sparkSession
+    name = f"weftline_{label}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, column).option("compression", "none").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    found = spark.table(name)
+    found.schema  # analysed while the catalog has the table
+    spark.sql(f"drop table {name}")
+    return found

@@ -1,22 +1,24 @@
-"""Toxicity by class-conditional Kneser-Ney models over words.
+"""Toxicity by class-conditional Kneser-Ney models over words, and over the beginnings of words.
 
-Two models, one for each class, give a word the probability that its class's bigrams, then the class's words, then
-the class's word beginnings (the first PREFIX letters, for inflected and rare forms) give it, and at last what
-both classes share; what a class's bigrams leave over goes half to the bigrams of both classes together. Every level below the bigrams counts contexts, not uses: how many different words precede a
-word, so a passage copied many times counts once. What neither class knows gets the same probability from both.
+Two models, one for each class, give a word after another one the probability of its class's bigrams; what these leave over goes
+half to the bigrams of both classes together, half to the class's words, and from there to the words of both classes. Below the bigrams
+a word counts as often as different words precede it in the class. A second pair of models does the same with the
+first PREFIX letters of words, for inflected and rare forms. What no class knows gets the same probability from both, and the ratio of an n-gram
+that is known from few contexts counts little (TRUSTED).
 
 A document's words carry log ratios of the toxic to the ordinary model; a logistic curve over length-normalised
 ratios (of the whole document, of its most toxic windows, and of its most toxic words) makes them a score between 0 and 1. The curve
-is fitted on rows that its models did not see.
+is fitted on rows whose half its models did not count.
 
-The n-gram contexts are counted in Spark over every labelled row outside the held-out fold, rare n-grams too, and the
-counts stay tables. Scoring deals the documents to blocks; a block's distinct n-grams meet the counts in hash
-buckets, and what is found goes back to the block. Only sums of counts pass through the driver, and a bounded sample (MOST rows of each class)
-on which the logistic curve is fitted. Words and pairs are known by 64-bit hashes.
+The counts come from every labelled row outside the held-out fold, rare n-grams too, and stay tables. Documents are read once, into blocks of
+numbered words. A block sends its different n-grams to buckets, packed; buckets add the counts of all blocks up, and tell blocks what
+they ask. Common words and passages weigh no more than an entry a block. Only sums of counts pass through the driver, and a bounded sample (MOST rows of each class)
+on which the logistic curve is fitted. Words are known by 32-bit hashes, asked pairs by SPARE bits more than it takes to number all pairs, so that about one unknown pair
+in 2**SPARE is taken for another one.
 
 Defined cases: a null or empty text, or one without words, scores by the curve at 0 ratios; equal texts score equally;
-repeated rows stay; without labels of both classes every score is 0; empty tables give no rows; other columns,
-among them lang and source, are never read.
+repeated rows stay, and so do rows without doc_id, which have no label; of several labels of a doc_id the largest counts;
+without labels of both classes every score is 0; empty tables give no rows; other columns, among them lang and source, are never read.
 """
 
 from __future__ import annotations
@@ -28,21 +30,32 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts, held_out, labelled_sample, written
+from .common import bucketed, held_out, written
+from .packing import from_steps, packed, steps, unpacked
 
 MOST = {0: 4000, 1: 2000}  # rows of each class that the logistic curve is fitted on; the counts come from all rows
-WINDOW = 8
+WINDOW, SHORT_WINDOW = 8, 2
 TOP = 3
 PREFIX = 4
 WORD = re.compile(r"\w+")
-CALIBRATION_FOLDS = 2
-TRUSTED = 3.0  # contexts at which an n-gram's own ratio counts half
-BLOCK_ROWS = 1000  # documents whose n-grams are looked up together
-BUCKET_PAIRS = 400_000  # bigrams that a lookup task has at once, about
+TRUSTED, TRUSTED_PAIRS = 3.0, 10.0  # contexts at which a word's, and uses at which a pair's own ratio counts half
+BLOCK_WORDS = 1_500_000  # of the documents of a block; a longer document is a block of its own
+BUCKET_ENTRIES = 1_000_000  # that a bucket's task has at once, about
+SPARE = 14
 CACHED_WORDS = 500_000
+LOW32 = np.uint64(0xFFFFFFFF)
+HALF = np.uint64(32)
+
+PAIRS, WORDS, PREFIXES, SPELLED = 0, 1, 2, 3
+#: Which rows a model counts: all, or those of one half.
+ALL_ROWS, HALVES = 0, (1, 2)
+#: Columns of counts. Pairs: uses by class and half. Words: by class the different words before it (in all rows and each half), its
+#: uses as a word before (in each half), and the different words after it (in all rows and each half). Beginnings: sums of the first of these.
+WIDTH = {PAIRS: 4, WORDS: 16, PREFIXES: 6}
 
 _keys: dict[str, int] = {}
 
@@ -52,258 +65,429 @@ def words(text: str) -> list[str]:
 
 
 def word_key(word: str) -> int:
-    """64 bits: a hash of the beginning above a hash of the word, so that the beginning can be read off."""
+    """64 bits: a hash of the beginning above a hash of the word."""
     key = _keys.get(word)
     if key is None:
         if len(_keys) >= CACHED_WORDS:
             _keys.clear()
-        key = (zlib.crc32(word[:PREFIX].encode("utf-8", "replace")) << 32) | zlib.crc32(word.encode("utf-8", "replace"))
-        key = _keys[word] = key - (1 << 64) if key >= 1 << 63 else key
+        key = _keys[word] = (zlib.crc32(word[:PREFIX].encode("utf-8", "replace")) << 32) | zlib.crc32(word.encode("utf-8", "replace"))
     return key
 
 
-def word_keys(text: str) -> np.ndarray:
-    return np.fromiter(map(word_key, words(text)), np.int64)
+def share(hashes: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """The bucket of hashes of so many bits, by the first 32 of them."""
+    return ((hashes >> np.uint64(bits - 32)) * np.uint64(buckets) >> HALF).astype(np.int64)
 
 
-def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """64-bit keys of pairs."""
-    x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (x ^ (x >> np.uint64(32))).view(np.int64)
-
+    return x ^ (x >> np.uint64(32))
 
-def bucket_of(prev, word, n: int):
-    """The lookup bucket of pairs; the same for arrays as for columns (bucket_column)."""
-    return (prev ^ (word >> 7)) % n
 
+# Documents as blocks of numbered words.
 
-def bucket_column(prev: str, word: str, n: int) -> Column:
-    return F.pmod(F.col(prev).bitwiseXOR(F.shiftright(word, 7)), F.lit(n)).cast("int")
 
+@dataclass
+class Sequences:
+    """doc: number of each word's document; code: its place in vocabulary (keys); kind: 0, or for rows to learn from 1 + 2 * label + half."""
+
+    doc_id: np.ndarray
+    known_id: np.ndarray
+    text_key: np.ndarray
+    kind: np.ndarray
+    length: np.ndarray
+    vocabulary: np.ndarray
+    code: np.ndarray
+
+    @staticmethod
+    def read(data: bytes) -> "Sequences":
+        doc_id, known_id, text_key, kind, length, vocabulary, code = unpacked(data)
+        return Sequences(doc_id.view(np.int64), known_id.astype(bool), text_key.view(np.int64), kind.astype(np.int64), length.astype(np.int64), vocabulary, code.astype(np.int64))
+
+    def pairs(self, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the second word of each pair, pairs: the first word's hash above the second's)"""
+        doc = np.repeat(np.arange(len(self.length)), self.length)
+        follows = doc[1:] == doc[:-1]
+        if chosen is not None:
+            follows &= chosen[doc[1:]]
+        at = np.flatnonzero(follows) + 1
+        word = self.vocabulary[self.code] & LOW32
+        return at, word[at - 1] << HALF | word[at]
+
+
+def _block(rows: list[tuple], keys: list[np.ndarray]) -> bytes:
+    every = np.concatenate(keys) if keys else np.empty(0, "u8")
+    vocabulary, code, uses = np.unique(every, return_inverse=True, return_counts=True)
+    order = np.argsort(-uses, kind="stable")  # common words get small numbers
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    ids, known, text_key, kind = (np.array(c, np.int64).view("u8") for c in zip(*rows))
+    return packed(ids, known, text_key, kind, np.array([len(k) for k in keys]), vocabulary[order], place[code])
+
+
+def sequenced(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """(block, labelled, data): the words of all documents, read once, bucketed by block."""
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    if labels is None:
+        rows = rows.withColumn("kind", F.lit(0))
+    else:
+        usable = labels.select(doc_id.alias("doc_id"), F.col("toxic").cast("int").alias("label")).where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+        usable = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
+        half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")  # equal texts are in one half
+        rows = rows.join(usable, "doc_id", "left").withColumn("kind", F.coalesce(1 + 2 * F.col("label") + half, F.lit(0))).drop("label")
 
-def bigram_contexts(rows: DataFrame, folds: int = CALIBRATION_FOLDS) -> DataFrame:
-    """(label, prev, word, n_all, n_0, ...): the different words before each bigram of the class; n_k leaves fold k out.
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base, made = TaskContext.get().partitionId() << 32, 0
+        found, keys, size = [], [], 0
 
-    Distinct contexts are dealt by all of their words, and only then counted by bigram with partial sums, so a common pair is no hot key.
-    """
+        def block() -> pd.DataFrame:
+            return pd.DataFrame({"block": [base + made], "labelled": [any(f[3] for f in found)], "n": [size], "data": [_block(found, keys)]})
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for (fold, label), part in batch.groupby(["fold", "label"]):
-                padded = [np.concatenate([[0, 0], k]) for k in map(word_keys, part["text"]) if len(k)]
-                if padded:
-                    before, prev, word = (np.concatenate([k[i : len(k) - 2 + i] for k in padded]) for i in range(3))
-                    at = np.unique(mixed(mixed(before, prev), word), return_index=True)[1]
-                    yield pd.DataFrame({"fold": fold, "label": label, "before": before[at], "prev": prev[at], "word": word[at]})
+            for doc_id, known, text, text_key, kind in zip(batch["id"], batch["known"], batch["text"], batch["text_key"], batch["kind"]):
+                found.append((doc_id, known, text_key, kind))
+                keys.append(np.fromiter(map(word_key, words(text)), np.uint64))
+                size += len(keys[-1])
+                if size >= BLOCK_WORDS:
+                    yield block()
+                    found, keys, size, made = [], [], 0, made + 1
+        if found:
+            yield block()
+
+    # Ids come through pandas unharmed where others are null, as their nulls travel apart.
+    rows = rows.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("doc_id").isNotNull().alias("known"), "text", "text_key", "kind")
+    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return bucketed(rows.mapInPandas(build, "block long, labelled boolean, n long, data binary"), "block", max(8, -(-total // (8 * BLOCK_WORDS))), "sequences")
+
+
+# Counts.
+
+
+def _cut(block: int, kind: int, bucket: np.ndarray, columns: list[np.ndarray]) -> list[tuple]:
+    """Rows (kind, bucket, block, data) of columns whose first is sorted."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cuts = [*np.flatnonzero(np.diff(bucket, prepend=-1)).tolist(), len(bucket)]
+    out = []
+    for a, b in zip(cuts, cuts[1:]):
+        first, *others = (c[order[a:b]] for c in columns)
+        out.append((kind, int(bucket[a]), block, packed(steps(first), *others)))
+    return out
+
 
-    grams = folded(rows, folds).mapInPandas(emit, "fold int, label int, before long, prev long, word long")
-    held = grams.groupBy("label", "prev", "word", "before").agg(F.expr("bit_or(shiftleft(1, fold))").alias("held"))
-    return held.groupBy("label", "prev", "word").agg(F.count("*").alias("n_all"), *(F.count_if(F.col("held") != (1 << k)).alias(f"n_{k}") for k in range(folds)))
+def _added(frame: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys of packed rows, and the sums of their `width` columns."""
+    rows = [unpacked(d) for d in frame["data"]]
+    keys = np.concatenate([from_steps(r[0]) for r in rows] or [np.empty(0, "u8")])
+    keys, at = np.unique(keys, return_inverse=True)
+    counts = np.stack([np.bincount(at, np.concatenate([r[1 + k] for r in rows] or [np.empty(0)]), len(keys)) for k in range(width)], axis=1)
+    return keys, counts.astype(np.int64)
 
 
-def folded(rows: DataFrame, folds: int) -> DataFrame:
-    return rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(folds)).cast("int").alias("fold"), "label", "text")
+def _first_of(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys of packed rows, and one value of each."""
+    rows = [unpacked(d) for d in frame["data"]]
+    keys, at = np.unique(np.concatenate([from_steps(r[0]) for r in rows] or [np.empty(0, "u8")]), return_index=True)
+    return keys, np.concatenate([r[1] for r in rows] or [np.empty(0, "u8")])[at]
 
 
-def _discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
-    """Modified Kneser-Ney discounts for counts of 0, 1, 2 and more, from the numbers of n-grams with counts of 1 to 4."""
-    n1, n2, n3, n4 = (max(1, n) for n in (n1, n2, n3, n4))
-    y = n1 / (n1 + 2 * n2)
-    found = ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * n4 / n3))
-    return np.array([0, *(min(max(d, 0.1), k - 0.02) for k, d in found)])
+def by_rows(uses: np.ndarray) -> np.ndarray:
+    """Uses by class and half, (n, 2, 2), as uses by class in all rows and in each half, (n, 2, 3)."""
+    return np.concatenate([uses.sum(2, keepdims=True), uses], axis=2)
 
 
-def _discounted(n: np.ndarray, discounts: np.ndarray) -> np.ndarray:
-    return np.maximum(n - discounts[np.minimum(n, 3).astype(int)], 0)
+def _spread(counts: np.ndarray) -> list[int]:
+    """For each column the numbers of 1 and 2, and of other numbers above 0, and the sum."""
+    flat = counts.reshape(len(counts), 6)
+    return np.stack([(flat == 1).sum(0), (flat == 2).sum(0), (flat > 0).sum(0), flat.sum(0)]).ravel().astype(np.int64).tolist()
 
 
 @dataclass
 class Level:
-    """Of one class and one kind of n-gram: the sum of counts, the discounts, and the share of mass that they free."""
+    """Of one kind of n-gram and one choice of rows, by class: the discount, the different n-grams and the sum of their counts."""
+
+    discount: np.ndarray
+    different: np.ndarray
+    total: np.ndarray
 
-    total: float
-    discounts: np.ndarray
-    left: float
+    @staticmethod
+    def of(spread: np.ndarray, rows: int) -> "Level":
+        one, two, different, total = spread.reshape(4, 2, 3)[:, :, rows].astype(float)
+        return Level(np.where(one > 0, one / np.maximum(one + 2 * two, 1), 0.5), different, total)
+
+    @property
+    def freed(self) -> np.ndarray:
+        return self.discount * self.different / np.maximum(self.total, 1)
 
 
 @dataclass
 class Tables:
-    """Counts of n-grams as tables, which grow with the corpus and stay in Spark, and their sums, which don't."""
-
-    words: DataFrame  # key, s0, s1 (different words before the word, by class), and as a context total_, c_, c1_, c2_ by class
-    prefixes: DataFrame  # key, size0, size1
-    pairs: DataFrame  # prev, word, s0, s1: a row a class
-    n_pairs: int
-    levels: dict[tuple[str, int], Level]
-    shared: tuple[float, int]  # sum and number of the beginnings of both classes
-
-
-WORD_VALUES = ["s0", "s1", *(f"{v}{c}" for c in (0, 1) for v in ("total_", "c_", "c1_", "c2_"))]
-
-
-def counted(bigrams: DataFrame, column: str) -> Tables | None:
-    """Every n-gram, the rare ones too."""
-    b = bigrams.select("label", "prev", "word", F.col(column).alias("n")).where("n > 0")
-
-    def by_class(frame: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-        return frame.groupBy(*keys).agg(*(F.sum(F.when(F.col("label") == c, F.col(v)).otherwise(0)).alias(f"{v}{c}") for c in (0, 1) for v in values))
-
-    def spread(frame: DataFrame, n: str) -> dict[int, dict]:
-        found = frame.groupBy("label").agg(F.sum(n).alias("total"), F.count("*").alias("c"), *(F.count_if(F.col(n) == k).alias(f"c{k}") for k in (1, 2, 3, 4)))
-        return {r["label"]: r.asDict() for r in found.collect()}
-
-    word = written(b.groupBy("label", F.col("word").alias("key")).agg(F.count("*").alias("s")), "toxicity-words")
-    prefix = written(word.groupBy("label", F.shiftrightunsigned("key", 32).alias("key")).agg(F.sum("s").alias("size")), "toxicity-beginnings")
-    levels, n_pairs = {}, 0
-    for name, sums in (("pair", spread(b, "n")), ("word", spread(word, "s")), ("prefix", spread(prefix, "size"))):
-        if len(sums) < 2:
-            return None
-        for label, r in sums.items():
-            d = _discounts(*(r[f"c{k}"] for k in (1, 2, 3, 4)))
-            freed = r["c1"] * d[1] + r["c2"] * d[2] + (r["c"] - r["c1"] - r["c2"]) * d[3]
-            n_pairs += r["c"] if name == "pair" else 0
-            levels[name, label] = Level(r["total"], d, max(1e-6, freed / r["total"]))
-    context = b.groupBy("label", F.col("prev").alias("key")).agg(F.sum("n").alias("total_"), F.count("*").alias("c_"), *(F.count_if(F.col("n") == k).alias(f"c{k}_") for k in (1, 2)))
-    known = by_class(word, ["key"], ["s"]).join(by_class(context, ["key"], ["total_", "c_", "c1_", "c2_"]), "key", "left").na.fill(0)
-    pairs = b.select("prev", "word", *(F.when(F.col("label") == c, F.col("n")).otherwise(0).alias(f"s{c}") for c in (0, 1)))
-    both = prefix.agg(F.sum("size").alias("size"), F.count_distinct("key").alias("n")).first()
-    return Tables(written(known.select("key", *WORD_VALUES), "toxicity-known"), by_class(prefix, ["key"], ["size"]), pairs, n_pairs, levels, (both["size"], both["n"]))
-
-
-def found_in(ids: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Rows of values for ids by sorted keys, 0 for unknown ones."""
-    if not len(keys):
-        return np.zeros((len(ids), values.shape[1]))
-    at = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
-    return np.where((keys[at] == ids)[:, None], values[at], 0.0)
-
-
-def trust(n: np.ndarray) -> np.ndarray:
-    """How far the ratio of an n-gram with n contexts moves from what shorter ones say: rare n-grams count, but little."""
-    return n / (n + TRUSTED)
-
-
-def ratios(keys: np.ndarray, known: dict[int, tuple[np.ndarray, np.ndarray]], levels: dict[tuple[str, int], Level], shared: tuple[float, int]) -> np.ndarray:
-    """Log ratios of the toxic to the ordinary model of each word of a text. known: sorted keys and counts of WORDS, PREFIXES and PAIRS."""
-    w = found_in(keys, *known[WORDS])
-    s, size = w[:, :2], found_in((keys >> 32) & 0xFFFFFFFF, *known[PREFIXES])
-    listed, begun = s.sum(1) > 0, size.sum(1) > 0
-    rest = np.log(levels["word", 1].left * levels["prefix", 1].left / (levels["word", 0].left * levels["prefix", 0].left))
-    uniform = (size.sum(1) + 0.5) / (shared[0] + 0.5 * (shared[1] + 1))
-    share = s.sum(1) / np.maximum(size.sum(1), 1)
-    p_word, logs, lower = [], [], []
-    for c in (0, 1):
-        level, below = levels["word", c], levels["prefix", c]
-        p_pre = _discounted(size[:, c], below.discounts) / below.total + below.left * uniform
-        p_word.append(_discounted(s[:, c], level.discounts) / level.total + level.left * p_pre * share)
-        lower.append(np.log(np.where(begun, level.left * p_pre, level.left * below.left)))
-        logs.append(np.log(np.where(listed, p_word[c], 1.0)))
-    out = lower[1] - lower[0] - rest
-    out = out + np.where(listed, logs[1] - logs[0] - rest - out, 0.0) * trust(s.sum(1))
-    if len(keys) > 1:
-        pair = found_in(mixed(keys[:-1], keys[1:]), *known[PAIRS])
-        context, mass, kept = w[:-1, 2:].reshape(-1, 2, 4), [], []
-        for c in (0, 1):
-            total, n, n1, n2 = context[:, c].T
-            d = levels["pair", c].discounts
-            mass.append((total + 1.0, (n1 * d[1] + n2 * d[2] + (n - n1 - n2) * d[3] + 1.0) / (total + 1.0)))  # one more for a context that was never seen
-            kept.append(_discounted(pair[:, c], d))
-        shared_pair = pair.sum(1) / (mass[0][0] + mass[1][0])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            log = [np.log(kept[c] / mass[c][0] + mass[c][1] * (shared_pair + p_word[c][1:]) / 2) for c in (0, 1)]
-            backoff = np.where(listed[:-1], np.log(mass[1][1] / mass[0][1]), 0.0)
-        out[1:] += backoff
-        out[1:] += np.where(pair.sum(1) > 0, log[1] - log[0] - rest - out[1:], 0.0) * trust(pair.sum(1))
-    return out
+    """Counts of n-grams as tables of packed buckets, which grow with the corpus and stay in Spark, and their sums, which don't."""
+
+    tables: dict[int, DataFrame]
+    n_buckets: dict[int, int]
+    bits: int  # of a pair's hash
+    levels: dict[tuple[int, int], Level]  # by kind and choice of rows
+    different: dict[int, int]  # words and beginnings that either class has
+
+
+ENTRIES = "kind int, bucket int, block long, data binary"
+
+
+def _dealt(df: DataFrame, buckets: int) -> DataFrame:
+    """Rows by bucket, so many tasks as there are buckets."""
+    return df.repartition(max(1, min(buckets, 20_000)), "bucket")
+
+
+def _sums(df: DataFrame, column: str) -> np.ndarray:
+    row = df.agg(*(F.sum(F.element_at(column, k + 1)).alias(f"s{k}") for k in range(24)), F.sum("n").alias("n")).first()
+    return np.array([x or 0 for x in row], np.int64)
+
+
+def counted(blocks: DataFrame) -> Tables | None:
+    """Every n-gram of the rows to learn from, the rare ones too; None where a class has none."""
+    size = blocks.agg(F.sum("n").alias("n")).first()["n"] or 0
+    buckets = -(-size // BUCKET_ENTRIES) or 1
+    word_buckets = -(-buckets // 4)
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for block, data in zip(batch["block"], batch["data"]):
+                s = Sequences.read(data)
+                at, pair = s.pairs(s.kind > 0)
+                kind = np.repeat(s.kind, s.length)
+                different, index = np.unique(pair, return_inverse=True)
+                uses = np.bincount(index * 4 + kind[at] - 1, minlength=4 * len(different)).reshape(-1, 4)
+                out = _cut(block, PAIRS, share(mixed(different), 64, buckets), [different, *uses.T])
+                spelled = s.vocabulary[np.unique(s.code[kind > 0])]
+                spelled = spelled[np.unique(spelled & LOW32, return_index=True)[1]]
+                out += _cut(block, SPELLED, (spelled & LOW32).astype(np.int64) % word_buckets, [spelled & LOW32, spelled >> HALF])
+                yield pd.DataFrame(out, columns=["kind", "bucket", "block", "data"])
+
+    entries = written(blocks.where("labelled").select("block", "data").mapInPandas(emit, ENTRIES), "toxicity-entries")
+
+    def add_pairs(frame: pd.DataFrame) -> pd.DataFrame:
+        keys, uses = _added(frame, 4)
+        return pd.DataFrame([(int(frame["bucket"].iloc[0]), len(keys), _spread(by_rows(uses.reshape(-1, 2, 2))), packed(steps(keys), *uses.T))], columns=["bucket", "n", "spread", "data"])
+
+    shape = "bucket int, n long, spread array<long>, data binary"
+    pairs = written(_dealt(entries.where(F.col("kind") == PAIRS), buckets).groupBy("bucket").applyInPandas(add_pairs, shape), "toxicity-pairs")
+    sums = {PAIRS: _sums(pairs, "spread")}
+
+    def words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for bucket, data in zip(batch["bucket"], batch["data"]):
+                distances, *uses = unpacked(data)
+                pair = from_steps(distances)
+                uses = by_rows(np.stack(uses, axis=1).astype(np.int64).reshape(-1, 2, 2))
+                ids, at = np.unique(np.concatenate([pair & LOW32, pair >> HALF]), return_inverse=True)
+                word, before = at[: len(pair)], at[len(pair) :]
+                values = []
+                for c in (0, 1):
+                    values += [np.bincount(word, uses[:, c, r] > 0, len(ids)) for r in range(3)]
+                    values += [np.bincount(before, uses[:, c, r], len(ids)) for r in HALVES]
+                    values += [np.bincount(before, uses[:, c, r] > 0, len(ids)) for r in range(3)]
+                yield pd.DataFrame(_cut(bucket, WORDS, ids.astype(np.int64) % word_buckets, [ids, *(v.astype("u8") for v in values)]), columns=["kind", "bucket", "block", "data"])
+
+    found = pairs.select("bucket", "data").mapInPandas(words_of, ENTRIES).unionByName(entries.where(F.col("kind") == SPELLED))
+
+    def add_words(frame: pd.DataFrame) -> pd.DataFrame:
+        """The words of a bucket, and what they add to their beginnings. Words that are never part of a pair are left out."""
+        bucket = int(frame["bucket"].iloc[0])
+        keys, values = _added(frame[frame["kind"] == WORDS], WIDTH[WORDS])
+        spelled, beginning = _first_of(frame[frame["kind"] == SPELLED])
+        contexts = values[:, [0, 1, 2, 8, 9, 10]]
+        begun, at = np.unique(beginning[np.searchsorted(spelled, keys)], return_inverse=True)
+        sums = [np.bincount(at, contexts[:, k], len(begun)).astype("u8") for k in range(6)]
+        out = [(WORDS, bucket, int((contexts[:, [0, 3]].sum(1) > 0).sum()), _spread(contexts), packed(steps(keys), *values.T))]
+        out += [(PREFIXES, b, 0, None, d) for _, b, _, d in _cut(bucket, PREFIXES, begun.astype(np.int64) % word_buckets, [begun, *sums])]
+        return pd.DataFrame(out, columns=["kind", "bucket", "n", "spread", "data"])
+
+    both = written(_dealt(found, word_buckets).groupBy("bucket").applyInPandas(add_words, "kind int, " + shape), "toxicity-words")
+
+    def add_beginnings(frame: pd.DataFrame) -> pd.DataFrame:
+        keys, sums = _added(frame, WIDTH[PREFIXES])
+        return pd.DataFrame([(int(frame["bucket"].iloc[0]), int((sums[:, [0, 3]].sum(1) > 0).sum()), _spread(sums), packed(steps(keys), *sums.T))], columns=["bucket", "n", "spread", "data"])
+
+    known = both.where(F.col("kind") == WORDS)
+    beginnings = written(both.where(F.col("kind") == PREFIXES).groupBy("bucket").applyInPandas(add_beginnings, shape), "toxicity-beginnings")
+    sums |= {WORDS: _sums(known, "spread"), PREFIXES: _sums(beginnings, "spread")}
+    levels = {(kind, rows): Level.of(s[:24], rows) for kind, s in sums.items() for rows in (ALL_ROWS, *HALVES)}
+    if (levels[PAIRS, ALL_ROWS].total == 0).any():
+        return None
+    n_pairs = int(sums[PAIRS][24])
+    return Tables({PAIRS: pairs, WORDS: known, PREFIXES: beginnings}, {PAIRS: buckets, WORDS: word_buckets, PREFIXES: word_buckets}, max(40, min(62, n_pairs.bit_length() + SPARE)), levels, {k: int(sums[k][24]) for k in (WORDS, PREFIXES)})
+
+
+# Ratios.
+
+
+def _shared(counts: np.ndarray, level: Level, different: int) -> np.ndarray:
+    """The probability of words by the contexts that both classes have seen."""
+    return (counts.sum(1) + 0.5) / (level.total.sum() + 0.5 * (different + 1))
 
 
-FEATURES = ["mean", "window", "pair", "top"]
-WORDS, PREFIXES, PAIRS = 0, 1, 2
+def _single(counts: np.ndarray, level: Level, different: int) -> np.ndarray:
+    """(n, 2): probabilities of words by class, from their contexts."""
+    shared = _shared(counts, level, different)
+    return np.maximum(counts - level.discount, 0) / np.maximum(level.total, 1) + level.freed * shared[:, None]
 
 
-def evidence(r: np.ndarray) -> tuple[float, ...]:
-    """Length-normalised ratios: of the document, of its most toxic WINDOW and pair of words, and of its TOP most toxic words."""
-    if not len(r):
-        return (0.0,) * len(FEATURES)
+def _rest(level: Level) -> float:
+    """The log ratio of what no class knows, which is taken away from all ratios."""
+    return float(np.log(level.freed[1] / level.freed[0]))
+
+
+def _trust(n: np.ndarray, half: float) -> np.ndarray:
+    return n / (n + half)
+
+
+def ratios(s: Sequences, at: np.ndarray, uses: np.ndarray, values: np.ndarray, begun: np.ndarray, levels: dict[int, Level], different: dict[int, int], rows: int) -> np.ndarray:
+    """(2, words): log ratios of the toxic to the ordinary model for each word of a block, by words and by beginnings.
+
+    uses (pairs, 2): counts of the pairs whose second words are at `at`; values (vocabulary, 2, 8) and begun (vocabulary, 2, 3): columns of WORDS and PREFIXES.
+    """
+    contexts, level = values[:, :, rows].astype(float), levels[WORDS]
+    single, rest = _single(contexts, level, different[WORDS]), _rest(level)
+    own = (np.log(single[:, 1] / single[:, 0]) - rest) * _trust(contexts.sum(1), TRUSTED)
+    by_word = own[s.code]
+    if len(at):
+        before, word = s.code[at - 1], s.code[at]
+        n = values[:, :, 3] + values[:, :, 4] if rows == ALL_ROWS else values[:, :, 2 + rows]
+        n, after, d = n[before].astype(float), values[:, :, 5 + rows][before].astype(float), levels[PAIRS].discount
+        left = (d * after + 1) / (n + 1)  # one more for a word that was never seen before another
+        both = uses.sum(1)
+        p = np.maximum(uses - d, 0) / (n + 1) + left * (both[:, None] / (n.sum(1) + 2)[:, None] + single[word]) / 2
+        by_word[at] += np.where(both > 0, np.log(p[:, 1] / p[:, 0]) - rest - by_word[at], 0.0) * _trust(both, TRUSTED_PAIRS)
+    counts, level = begun[:, :, rows].astype(float), levels[PREFIXES]
+    single = _single(counts, level, different[PREFIXES])
+    by_beginning = (np.log(single[:, 1] / single[:, 0]) - _rest(level)) * _trust(counts.sum(1), TRUSTED)
+    return np.stack([by_word, by_beginning[s.code]])
+
+
+FEATURES = [f"{name}_{by}" for by in ("words", "beginnings") for name in ("mean", "window", "pair", "top")]
+
+
+def evidence(r: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """(documents, 4): length-normalised ratios of each document, of its most toxic WINDOW and pair of words, and of its TOP most toxic words."""
+    out = np.zeros((len(length), 4))
+    has = np.flatnonzero(length)
+    if not len(has):
+        return out
+    size = length[has]
+    start = np.cumsum(size) - size
+    doc = np.repeat(np.arange(len(has)), size)
+    place = np.arange(len(r)) - start[doc]
     sums = np.concatenate([[0.0], np.cumsum(r)])
-    windows = [(sums[k:] - sums[:-k]).max() / k for k in (min(WINDOW, len(r)), min(2, len(r)))]
-    top = np.partition(r, len(r) - TOP)[-TOP:] if len(r) > TOP else r
-    return float(r.mean()), float(windows[0]), float(windows[1]), float(top.mean())
+    out[has, 0] = np.add.reduceat(r, start) / size
+    for column, window in ((1, WINDOW), (2, SHORT_WINDOW)):
+        width = np.minimum(window, size)[doc]
+        fits = place + width <= size[doc]
+        end = np.minimum(np.arange(len(r)) + width, len(r))
+        out[has, column] = np.maximum.reduceat(np.where(fits, (sums[end] - sums[:-1]) / width, -np.inf), start)
+    order = np.lexsort((-r, doc))
+    best = np.where(place < TOP, r[order], 0.0)  # places count on, as documents keep their stretches in this order
+    out[has, 3] = np.add.reduceat(best, start) / np.minimum(TOP, size)
+    return out
 
 
-def judged(rows: DataFrame, tables: Tables) -> DataFrame:
-    """(doc_id, label, text_key, FEATURES) of rows (doc_id, label, text).
+def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
+    """(doc_id, text_key, label, FEATURES by all rows, half_ + FEATURES by the rows of the other half) of all documents of the blocks.
 
-    Documents are dealt to blocks; a block asks the count tables for its distinct n-grams, and gets back those that they know.
+    label is null where a row is not to be learnt from. A block asks the buckets for its different n-grams; they answer in the order of the question.
     """
-    rows = rows.withColumn("text_key", F.xxhash64("text"))
-    n_blocks = -(-rows.count() // BLOCK_ROWS) or 1
-    n_buckets = -(-tables.n_pairs // BUCKET_PAIRS) or 1
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(n_blocks)).cast("int"))
+    n_buckets, spare, bits = tables.n_buckets, np.uint64(64 - tables.bits), tables.bits
+
+    def questions(s: Sequences) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By kind: different keys in order, their buckets, and the place of each pair or word among them."""
+        _, pair = s.pairs()
+        found = {}
+        for kind, keys in ((PAIRS, mixed(pair) >> spare), (WORDS, s.vocabulary & LOW32), (PREFIXES, s.vocabulary >> HALF)):
+            different, index = np.unique(keys, return_inverse=True)
+            found[kind] = different, share(different, bits, n_buckets[kind]) if kind == PAIRS else (different % np.uint64(n_buckets[kind])).astype(np.int64), index
+        return found
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for block, texts in batch.groupby("block")["text"]:
-                keys = [k for k in map(word_keys, texts) if len(k)]
-                if not keys:
-                    continue
-                ids = np.unique(np.concatenate(keys))
-                prev, word = np.concatenate([k[:-1] for k in keys]), np.concatenate([k[1:] for k in keys])
-                pair, at = np.unique(mixed(prev, word), return_index=True)
-                begun = np.unique((ids >> 32) & 0xFFFFFFFF)
-                for kind, asked, place in ((WORDS, ids, ids % n_buckets), (PREFIXES, begun, begun % n_buckets), (PAIRS, pair, bucket_of(prev[at], word[at], n_buckets))):
-                    order = np.argsort(place, kind="stable")
-                    ends = np.searchsorted(place[order], np.arange(n_buckets + 1))
-                    found += [(kind, b, block, asked[order[ends[b] : ends[b + 1]]].tobytes()) for b in np.unique(place)]
-            yield pd.DataFrame(found, columns=["kind", "bucket", "block", "ids"])
-
-    asked = rows.select("block", "text").mapInPandas(ask, "kind int, bucket int, block int, ids binary")
-    answer = "block int, kind int, ids binary, counts binary"
-
-    def look_up(kind: int, table: DataFrame, values: list[str]) -> DataFrame:
-        def answered(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            keys = mixed(left["prev"].to_numpy(), left["word"].to_numpy()) if kind == PAIRS else left["key"].to_numpy()
-            keys, at = np.unique(keys, return_inverse=True)
-            counts = np.stack([np.bincount(at, left[v], len(keys)) for v in values], axis=1).astype(np.int32)
-            found = []
-            if len(keys):
-                for block, ids in zip(right["block"], right["ids"]):
-                    wanted = np.frombuffer(ids, np.int64)
-                    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                    hit = keys[at] == wanted
-                    found.append((block, kind, wanted[hit].tobytes(), counts[at[hit]].tobytes()))
-            return pd.DataFrame(found, columns=["block", "kind", "ids", "counts"])
-
-        place = bucket_column("prev", "word", n_buckets) if kind == PAIRS else F.pmod("key", F.lit(n_buckets)).cast("int")
-        return table.withColumn("bucket", place).groupBy("bucket").cogroup(asked.where(F.col("kind") == kind).groupBy("bucket")).applyInPandas(answered, answer)
-
-    answers = look_up(WORDS, tables.words, WORD_VALUES).unionByName(look_up(PREFIXES, tables.prefixes, ["size0", "size1"])).unionByName(look_up(PAIRS, tables.pairs, ["s0", "s1"]))
-    levels, shared, widths = tables.levels, tables.shared, {WORDS: len(WORD_VALUES), PREFIXES: 2, PAIRS: 2}
+            for block, data in zip(batch["block"], batch["data"]):
+                for kind, (keys, bucket, _) in questions(Sequences.read(data)).items():
+                    yield pd.DataFrame(_cut(block, kind, bucket, [keys]), columns=["kind", "bucket", "block", "data"])
+
+    asked = blocks.select("block", "data").mapInPandas(ask, ENTRIES)
+
+    def told(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for kind in np.unique(right["kind"]):
+            width = WIDTH[kind]
+            rows = [unpacked(d) for d in left.loc[left["kind"] == kind, "data"]]
+            if not rows:
+                continue
+            keys, counts = from_steps(rows[0][0]), np.stack(rows[0][1:], axis=1)
+            if kind == PAIRS:
+                keys = mixed(keys) >> spare
+                order = np.argsort(keys, kind="stable")
+                keys, counts = keys[order], counts[order]
+            for block, bucket, data in right.loc[right["kind"] == kind, ["block", "bucket", "data"]].itertuples(index=False):
+                wanted = from_steps(unpacked(data)[0])
+                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                found = np.where((keys[at] == wanted)[:, None], counts[at], 0) if len(keys) else np.zeros((len(wanted), width), "u8")
+                out.append((int(kind), bucket, block, packed(*found.T)))
+        return pd.DataFrame(out, columns=["kind", "bucket", "block", "data"])
+
+    listed = [table.select(F.lit(kind).alias("kind"), "bucket", "data") for kind, table in tables.tables.items()]
+    listed = listed[0].unionByName(listed[1]).unionByName(listed[2])
+    answers = _dealt(listed, n_buckets[PAIRS]).groupBy("bucket").cogroup(_dealt(asked, n_buckets[PAIRS]).groupBy("bucket")).applyInPandas(told, ENTRIES)
+    by_rows_levels = {rows: {kind: tables.levels[kind, rows] for kind in WIDTH} for rows in (ALL_ROWS, *HALVES)}
+    usable = [rows for rows in HALVES if all((level.total > 0).all() for level in by_rows_levels[rows].values())]
+    different = tables.different
 
     def weigh(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        known = {}
-        for kind, width in widths.items():
-            own = right[right["kind"] == kind]
-            ids, counts = np.frombuffer(b"".join(own["ids"]), np.int64), np.frombuffer(b"".join(own["counts"]), np.int32).reshape(-1, width)
-            ids, at = np.unique(ids, return_index=True)
-            known[kind] = ids, counts[at].astype(np.float64)
-        out = pd.DataFrame([evidence(ratios(k, known, levels, shared)) if len(k) else evidence(k) for k in map(word_keys, left["text"])], columns=FEATURES, dtype=float)
-        return pd.concat([left[["doc_id", "label", "text_key"]].reset_index(drop=True), out], axis=1)
-
-    shape = "doc_id long, label int, text_key long, " + ", ".join(f"{f} double" for f in FEATURES)
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(weigh, shape)
+        out = []
+        for data in left["data"]:
+            s = Sequences.read(data)
+            counts = {}
+            for kind, (keys, bucket, index) in questions(s).items():
+                found = np.zeros((len(keys), WIDTH[kind]), np.int64)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.searchsorted(bucket[order], np.arange(n_buckets[kind] + 1))
+                for b, answer in right.loc[right["kind"] == kind, ["bucket", "data"]].itertuples(index=False):
+                    found[order[ends[b] : ends[b + 1]]] = np.stack(unpacked(answer), axis=1)
+                counts[kind] = found[index]
+            at, _ = s.pairs()
+            uses, values, begun = counts[PAIRS].reshape(-1, 2, 2), counts[WORDS].reshape(-1, 2, 8), counts[PREFIXES].reshape(-1, 2, 3)
+            columns = {"id": s.doc_id, "known": s.known_id, "text_key": s.text_key, "kind": s.kind}
+
+            def features(rows: int) -> np.ndarray:
+                own = uses.sum(2) if rows == ALL_ROWS else uses[:, :, rows - 1]
+                return np.hstack([evidence(r, s.length) for r in ratios(s, at, own, values, begun, by_rows_levels[rows], different, rows)])
+
+            whole, other = features(ALL_ROWS), np.full((len(s.kind), len(FEATURES)), np.nan)
+            for rows in usable:  # a document of one half is judged by what the other half says
+                chosen = (s.kind > 0) & ((s.kind - 1) % 2 != rows - 1)
+                if chosen.any():
+                    other[chosen] = features(rows)[chosen]
+            columns |= {f: whole[:, k] for k, f in enumerate(FEATURES)} | {f"half_{f}": other[:, k] for k, f in enumerate(FEATURES)}
+            out.append(pd.DataFrame(columns))
+        return pd.concat(out) if out else pd.DataFrame(columns=names)
+
+    names = ["id", "known", "text_key", "kind", *FEATURES, *(f"half_{f}" for f in FEATURES)]
+    shape = "id long, known boolean, text_key long, kind long, " + ", ".join(f"{f} double" for f in names[4:])
+    found = blocks.select("block", "data").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(weigh, shape)
+    label = F.when(F.col("kind") > 0, F.floor((F.col("kind") - 1) / 2).cast("int"))
+    return found.select(F.when(F.col("known"), F.col("id")).alias("doc_id"), "text_key", label.alias("label"), *names[4:])
+
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-2) -> np.ndarray:
-    """Weights (last: intercept) by Newton's method; classes weigh equally."""
+    """Weights (last: intercept) by Newton's method."""
     a = np.column_stack([x, np.ones(len(x))])
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
     w = np.zeros(a.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (weight * (p - y)) + ridge * w
-        hessian = (a * (weight * p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
+        gradient = a.T @ (p - y) + ridge * w
+        hessian = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -317,52 +501,51 @@ class Model:
     curve: np.ndarray
 
 
-def learnable(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, label) of every labelled row outside the held-out fold."""
-    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
-    return doc_texts(docs).join(usable.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))), "doc_id")
+def fitted_curve(features: DataFrame, most: dict[int, int] | None = None) -> np.ndarray:
+    """The curve by how the models of one half judge rows of the other half, at most `most` of each class, chosen by a hash of doc_id."""
+    columns = [f"half_{f}" for f in FEATURES]
+    rows = features.where(F.col("label").isNotNull() & ~F.isnan(columns[0])).select("doc_id", "label", *columns)
+    parts = [rows.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id", *columns).limit(n).toPandas() for c, n in (most or MOST).items()]
+    if any(len(p) == 0 for p in parts):  # too few rows to halve
+        return np.array([0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0, -2.0])
+    seen = pd.concat(parts)
+    return fit_logistic(seen[columns].to_numpy(float), seen["label"].to_numpy(float))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None) -> Model | None:
-    """Models of all labelled rows; the curve comes from models of one half scoring a sample of the other."""
-    bigrams = written(bigram_contexts(learnable(docs, labels)), "toxicity-bigrams")
-    tables = counted(bigrams, "n_all")
+def learnt(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None) -> tuple[Model | None, DataFrame]:
+    """The model of all labelled rows, and what it says about every document: (doc_id, text_key, score)."""
+    blocks = sequenced(docs, labels)
+    tables = counted(blocks)
     if tables is None:
-        return None
-    sample = written(labelled_sample(docs.sparkSession, docs, labels, "toxic", most or MOST), "toxicity-sample")
-    seen = []
-    for fold in range(CALIBRATION_FOLDS):
-        others = counted(bigrams, f"n_{fold}")
-        if others is not None:
-            own = sample.where(F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_FOLDS)) == fold)
-            seen.append(judged(own, others).select("doc_id", "label", *FEATURES).toPandas())
-    seen = pd.concat(seen).sort_values(["doc_id", "label", *FEATURES]) if seen else pd.DataFrame(columns=["label", *FEATURES])
-    if seen["label"].nunique() < 2:  # too few rows to halve
-        return Model(tables, np.array([0.0, 0.0, 0.0, 1.0, -2.0]))
-    return Model(tables, fit_logistic(seen[FEATURES].to_numpy(float), seen["label"].to_numpy(float)))
-
-
-def scores(rows: DataFrame, model: Model | None) -> DataFrame:
-    """(doc_id, text_key, score) of rows (doc_id, text)."""
-    if model is None:
-        return rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(0.0).alias("score"))
+        return None, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key"), F.lit(0.0).alias("score"))
+    features = written(judged(blocks, tables), "toxicity-features")
+    model = Model(tables, fitted_curve(features, most))
+    return model, scored(features, model)
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None) -> Model | None:
+    return learnt(docs, labels, most)[0]
+
+
+def scored(features: DataFrame, model: Model) -> DataFrame:
     *weights, intercept = map(float, model.curve)
     z = sum((F.col(f) * w for f, w in zip(FEATURES, weights)), F.lit(intercept))
     z = F.least(F.lit(30.0), F.greatest(F.lit(-30.0), z))
-    return judged(rows.withColumn("label", F.lit(0)), model.tables).select("doc_id", "text_key", (1 / (1 + F.exp(-z))).alias("score"))
+    return features.select("doc_id", "text_key", (1 / (1 + F.exp(-z))).alias("score"))
 
 
-def score(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, score, predicted) of every whole text."""
-    return scores(doc_texts(docs), model).select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """(doc_id, score, predicted) of every whole text of other documents."""
+    found = scored(judged(sequenced(docs), model.tables), model)
+    return found.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def kept(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
+def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents that the model doesn't reject, with all their columns. Scores depend on texts alone, so rejected texts are what is joined."""
-    rejected = scores(doc_texts(docs), model).where(F.col("score") >= threshold).select(F.col("text_key").alias("_rejected")).distinct()
+    rejected = learnt(docs, labels)[1].where(F.col("score") >= threshold).select(F.col("text_key").alias("_rejected")).distinct()
     return docs.join(rejected, F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_rejected"), "left_anti")
 
 
-def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    scored = score(docs, fit(docs, labels))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+def query(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    found = learnt(docs, labels)[1]
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

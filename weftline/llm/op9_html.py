@@ -34,7 +34,7 @@ from .html_blocks import Block, Element, blocks
 from .html_layouts import labelled
 
 MATERIAL_PAGES, MATERIAL_BLOCKS, MATERIAL_LETTERS = 200, 10, 400
-TRAINING_PAGES, TRAINING_STEPS, TRAINING_LENGTH = 2400, 700, 40
+TRAINING_PAGES, TRAINING_STEPS, TRAINING_LENGTH = 2000, 500, 40
 NEAR_TAGS, FAR_TAGS, NEAR_NAMES, FAR_NAMES, WORD_BUCKETS, MEASURES = 48, 24, 64, 32, 64, 19
 PATH = NEAR_TAGS + FAR_TAGS + NEAR_NAMES + FAR_NAMES
 INPUT, HIDDEN = PATH + WORD_BUCKETS + MEASURES, 24

@@ -12,8 +12,7 @@ from weftline.llm.common import table, written
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models reject go. Labels are looked up for the documents at hand."""
-    model = op7_toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return op7_toxicity.kept(docs, model)
+    return op7_toxicity.kept(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,7 +45,7 @@ WORD = re.compile(r"\w+")
 TRUSTED, TRUSTED_PAIRS = 3.0, 10.0  # contexts at which a word's, and uses at which a pair's own ratio counts half
 BLOCK_WORDS = 1_500_000  # of the documents of a block; a longer document is a block of its own
 BUCKET_ENTRIES = 1_000_000  # that a bucket's task has at once, about
-SPARE = 14
+SPARE = 12
 CACHED_WORDS = 500_000
 LOW32 = np.uint64(0xFFFFFFFF)
 HALF = np.uint64(32)
@@ -90,7 +90,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Sequences:
-    """doc: number of each word's document; code: its place in vocabulary (keys); kind: 0, or for rows to learn from 1 + 2 * label + half."""
+    """length: words of each document; code: the place of each word in vocabulary (keys); kind: of each document 0, or for rows to learn from 1 + 2 * label + half."""
 
     doc_id: np.ndarray
     known_id: np.ndarray
@@ -101,9 +101,15 @@ class Sequences:
     code: np.ndarray
 
     @staticmethod
-    def read(data: bytes) -> "Sequences":
-        doc_id, known_id, text_key, kind, length, vocabulary, code = unpacked(data)
-        return Sequences(doc_id.view(np.int64), known_id.astype(bool), text_key.view(np.int64), kind.astype(np.int64), length.astype(np.int64), vocabulary, code.astype(np.int64))
+    def read(data: bytes, labels: list | None = None) -> "Sequences":
+        """labels: (doc_id, label) of the rows to learn from. Equal texts are in one half."""
+        doc_id, known_id, text_key, length, vocabulary, code = unpacked(data)
+        doc_id, known_id, kind = doc_id.view(np.int64), known_id.astype(bool), np.zeros(len(doc_id), np.int64)
+        if labels is not None and len(labels):
+            of = {r["doc_id"]: r["label"] for r in labels}
+            label = np.array([of.get(i, -1) if k else -1 for i, k in zip(doc_id.tolist(), known_id)])
+            kind = np.where(label >= 0, 1 + 2 * label + (text_key & np.uint64(1)).astype(np.int64), 0)
+        return Sequences(doc_id, known_id, text_key.view(np.int64), kind, length.astype(np.int64), vocabulary, code.astype(np.int64))
 
     def pairs(self, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(places of the second word of each pair, pairs: the first word's hash above the second's)"""
@@ -122,33 +128,26 @@ def _block(rows: list[tuple], keys: list[np.ndarray]) -> bytes:
     order = np.argsort(-uses, kind="stable")  # common words get small numbers
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    ids, known, text_key, kind = (np.array(c, np.int64).view("u8") for c in zip(*rows))
-    return packed(ids, known, text_key, kind, np.array([len(k) for k in keys]), vocabulary[order], place[code])
+    ids, known, text_key = (np.array(c, np.int64).view("u8") for c in zip(*rows))
+    return packed(ids, known, text_key, np.array([len(k) for k in keys]), vocabulary[order], place[code])
 
 
-def sequenced(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """(block, labelled, data): the words of all documents, read once, bucketed by block."""
-    doc_id = F.col("doc_id").cast("long")
-    rows = docs.select(doc_id.alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("text_key", F.xxhash64("text"))
-    if labels is None:
-        rows = rows.withColumn("kind", F.lit(0))
-    else:
-        usable = labels.select(doc_id.alias("doc_id"), F.col("toxic").cast("int").alias("label")).where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-        usable = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
-        half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")  # equal texts are in one half
-        rows = rows.join(usable, "doc_id", "left").withColumn("kind", F.coalesce(1 + 2 * F.col("label") + half, F.lit(0))).drop("label")
+BLOCK = "block long, n long, ids array<long>, data binary"
+
+
+def sequenced(docs: DataFrame) -> DataFrame:
+    """(block, n, ids, data): the words of all documents, read once, bucketed by block."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base, made = TaskContext.get().partitionId() << 32, 0
         found, keys, size = [], [], 0
 
         def block() -> pd.DataFrame:
-            return pd.DataFrame({"block": [base + made], "labelled": [any(f[3] for f in found)], "n": [size], "data": [_block(found, keys)]})
+            return pd.DataFrame({"block": [base + made], "n": [size], "ids": [[f[0] for f in found if f[1]]], "data": [_block(found, keys)]})
 
         for batch in batches:
-            for doc_id, known, text, text_key, kind in zip(batch["id"], batch["known"], batch["text"], batch["text_key"], batch["kind"]):
-                found.append((doc_id, known, text_key, kind))
+            for doc_id, known, text, text_key in zip(batch["id"], batch["known"], batch["text"], batch["text_key"]):
+                found.append((doc_id, known, text_key))
                 keys.append(np.fromiter(map(word_key, words(text)), np.uint64))
                 size += len(keys[-1])
                 if size >= BLOCK_WORDS:
@@ -158,9 +157,20 @@ def sequenced(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             yield block()
 
     # Ids come through pandas unharmed where others are null, as their nulls travel apart.
-    rows = rows.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("doc_id").isNotNull().alias("known"), "text", "text_key", "kind")
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(F.coalesce(doc_id, F.lit(0)).cast("long").alias("id"), doc_id.isNotNull().alias("known"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    return bucketed(rows.mapInPandas(build, "block long, labelled boolean, n long, data binary"), "block", max(8, -(-total // (8 * BLOCK_WORDS))), "sequences")
+    return bucketed(rows.mapInPandas(build, BLOCK), "block", max(8, -(-total // (8 * BLOCK_WORDS))), "sequences")
+
+
+def labelled(blocks: DataFrame, labels: DataFrame) -> DataFrame:
+    """The blocks with the labels (doc_id, label) of their rows to learn from. Ids meet labels, so that no text is moved for it."""
+    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label")).where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+    usable = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
+    found = blocks.select("block", F.explode("ids").alias("doc_id")).distinct().join(usable, "doc_id")
+    by_block = found.groupBy("block").agg(F.collect_list(F.struct("doc_id", "label")).alias("labels"))
+    return blocks.join(written(by_block, "toxicity-labels"), "block", "left").select("block", "n", "labels", "data")
 
 
 # Counts.
@@ -255,8 +265,8 @@ def counted(blocks: DataFrame) -> Tables | None:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for block, data in zip(batch["block"], batch["data"]):
-                s = Sequences.read(data)
+            for block, data, labels in zip(batch["block"], batch["data"], batch["labels"]):
+                s = Sequences.read(data, labels)
                 at, pair = s.pairs(s.kind > 0)
                 kind = np.repeat(s.kind, s.length)
                 different, index = np.unique(pair, return_inverse=True)
@@ -264,23 +274,31 @@ def counted(blocks: DataFrame) -> Tables | None:
                 out = _cut(block, PAIRS, share(mixed(different), 64, buckets), [different, *uses.T])
                 spelled = s.vocabulary[np.unique(s.code[kind > 0])]
                 spelled = spelled[np.unique(spelled & LOW32, return_index=True)[1]]
-                out += _cut(block, SPELLED, (spelled & LOW32).astype(np.int64) % word_buckets, [spelled & LOW32, spelled >> HALF])
+                out += _cut(block, SPELLED, (spelled & LOW32).astype(np.int64) % buckets, [spelled & LOW32, spelled >> HALF])
                 yield pd.DataFrame(out, columns=["kind", "bucket", "block", "data"])
 
-    entries = written(blocks.where("labelled").select("block", "data").mapInPandas(emit, ENTRIES), "toxicity-entries")
-
     def add_pairs(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, uses = _added(frame, 4)
-        return pd.DataFrame([(int(frame["bucket"].iloc[0]), len(keys), _spread(by_rows(uses.reshape(-1, 2, 2))), packed(steps(keys), *uses.T))], columns=["bucket", "n", "spread", "data"])
+        """The pairs of a bucket, and how the words that fall to it are spelled."""
+        bucket = int(frame["bucket"].iloc[0])
+        keys, uses = _added(frame[frame["kind"] == PAIRS], WIDTH[PAIRS])
+        spelled, beginning = _first_of(frame[frame["kind"] == SPELLED])
+        out = [(PAIRS, bucket, len(keys), _spread(by_rows(uses.reshape(-1, 2, 2))), packed(steps(keys), *uses.T)), (SPELLED, bucket, 0, None, packed(steps(spelled), beginning))]
+        return pd.DataFrame(out, columns=["kind", "bucket", "n", "spread", "data"])
 
     shape = "bucket int, n long, spread array<long>, data binary"
-    pairs = written(_dealt(entries.where(F.col("kind") == PAIRS), buckets).groupBy("bucket").applyInPandas(add_pairs, shape), "toxicity-pairs")
+    entries = blocks.where("labels is not null").select("block", "data", "labels").mapInPandas(emit, ENTRIES)
+    pairs_and_words = written(_dealt(entries, buckets).groupBy("bucket").applyInPandas(add_pairs, "kind int, " + shape), "toxicity-pairs")
+    pairs = pairs_and_words.where(F.col("kind") == PAIRS)
     sums = {PAIRS: _sums(pairs, "spread")}
 
     def words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for bucket, data in zip(batch["bucket"], batch["data"]):
+            for kind, bucket, data in zip(batch["kind"], batch["bucket"], batch["data"]):
                 distances, *uses = unpacked(data)
+                if kind == SPELLED:
+                    spelled = from_steps(distances)
+                    yield pd.DataFrame(_cut(bucket, SPELLED, spelled.astype(np.int64) % word_buckets, [spelled, *uses]), columns=["kind", "bucket", "block", "data"])
+                    continue
                 pair = from_steps(distances)
                 uses = by_rows(np.stack(uses, axis=1).astype(np.int64).reshape(-1, 2, 2))
                 ids, at = np.unique(np.concatenate([pair & LOW32, pair >> HALF]), return_inverse=True)
@@ -292,7 +310,7 @@ def counted(blocks: DataFrame) -> Tables | None:
                     values += [np.bincount(before, uses[:, c, r] > 0, len(ids)) for r in range(3)]
                 yield pd.DataFrame(_cut(bucket, WORDS, ids.astype(np.int64) % word_buckets, [ids, *(v.astype("u8") for v in values)]), columns=["kind", "bucket", "block", "data"])
 
-    found = pairs.select("bucket", "data").mapInPandas(words_of, ENTRIES).unionByName(entries.where(F.col("kind") == SPELLED))
+    found = pairs_and_words.select("kind", "bucket", "data").mapInPandas(words_of, ENTRIES)
 
     def add_words(frame: pd.DataFrame) -> pd.DataFrame:
         """The words of a bucket, and what they add to their beginnings. Words that are never part of a pair are left out."""
@@ -446,8 +464,8 @@ def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
 
     def weigh(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for data in left["data"]:
-            s = Sequences.read(data)
+        for data, labels in zip(left["data"], left["labels"]):
+            s = Sequences.read(data, labels)
             counts = {}
             for kind, (keys, bucket, index) in questions(s).items():
                 found = np.zeros((len(keys), WIDTH[kind]), np.int64)
@@ -475,7 +493,7 @@ def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
 
     names = ["id", "known", "text_key", "kind", *FEATURES, *(f"half_{f}" for f in FEATURES)]
     shape = "id long, known boolean, text_key long, kind long, " + ", ".join(f"{f} double" for f in names[4:])
-    found = blocks.select("block", "data").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(weigh, shape)
+    found = blocks.select("block", "data", "labels").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(weigh, shape)
     label = F.when(F.col("kind") > 0, F.floor((F.col("kind") - 1) / 2).cast("int"))
     return found.select(F.when(F.col("known"), F.col("id")).alias("doc_id"), "text_key", label.alias("label"), *names[4:])
 
@@ -514,7 +532,7 @@ def fitted_curve(features: DataFrame, most: dict[int, int] | None = None) -> np.
 
 def learnt(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None) -> tuple[Model | None, DataFrame]:
     """The model of all labelled rows, and what it says about every document: (doc_id, text_key, score)."""
-    blocks = sequenced(docs, labels)
+    blocks = labelled(sequenced(docs), labels)
     tables = counted(blocks)
     if tables is None:
         return None, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key"), F.lit(0.0).alias("score"))
@@ -536,7 +554,8 @@ def scored(features: DataFrame, model: Model) -> DataFrame:
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """(doc_id, score, predicted) of every whole text of other documents."""
-    found = scored(judged(sequenced(docs), model.tables), model)
+    blocks = sequenced(docs).withColumn("labels", F.lit(None).cast("array<struct<doc_id:bigint,label:int>>"))
+    found = scored(judged(blocks, model.tables), model)
     return found.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

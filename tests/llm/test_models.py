@@ -132,7 +132,7 @@ def test_toxicity_models_by_their_definition(spark, monkeypatch):
     rows = [(i, " ".join(rng.choice(forms[: 18 + 18 * (i % 2)]) for _ in range(rng.randint(0, 40))), i % 2) for i in range(120)]
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(500, None), (None, "stem roots"), (501, "never seen before"), (502, "root")], "doc_id long, text string").repartition(5)
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
-    blocks_ = op7_toxicity.sequenced(docs, labels)
+    blocks_ = op7_toxicity.labelled(op7_toxicity.sequenced(docs), labels)
     tables = op7_toxicity.counted(blocks_)
     found = {r["doc_id"]: [r[f] for f in op7_toxicity.FEATURES] for r in op7_toxicity.judged(blocks_, tables).collect()}
     texts = {i: t for i, t, _ in rows} | {500: "", None: "stem roots", 501: "never seen before", 502: "root"}
@@ -208,13 +208,35 @@ def test_search_with_a_repeated_query_id(spark):
         assert sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q) == [(k, i, -s) for k, (s, i) in enumerate(best, 1)]
 
 
+@pytest.mark.parametrize("chunk", [1_000_000, 7])
+def test_search_over_many_parts(spark, monkeypatch, chunk):
+    """Cells in several parts, parts of several cells, a cell that is split, and queries in chunks."""
+    monkeypatch.setattr(op5_knn, "CHUNK_QUERIES", chunk)
+    monkeypatch.setattr(op5_knn, "BLOCK_ROWS", 16)
+    rng = random.Random(9)
+    rows = [(i, [float(rng.randint(-40, 40)) for _ in range(3)]) for i in range(700)] + [(i, [9.0, 9.0, 9.0]) for i in range(1000, 1300)] + [(40, [1.0, 2.0, 3.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<double>").repartition(4)
+    found = {}
+    for r in op5_knn.top_k(vectors, F.col("vec_id") % 20 == 0, k=5, pivots=20, part_rows=60).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    ids, v = np.array([i for i, _ in rows]), np.array([x for _, x in rows])
+    for q in {i for i in ids.tolist() if i % 20 == 0}:
+        best = sorted((-int(s), i) for row in v[ids == q] for i, s in zip(ids.tolist(), v @ row) if i != q)[:5]
+        assert sorted(found[q]) == [(k, i, -s) for k, (s, i) in enumerate(best, 1)]
+
+
 def test_search_prunes(spark):
-    """Cells far from a group are not sent to it."""
-    rows = [(i, [100.0 if i % 2 else -100.0, (i % 7) / 10, 1.0]) for i in range(400)]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    assert sorted(map(tuple, op5_knn.query(frame).collect())) == knn_truth(rows)
-    low, high = op5_knn._bounds(np.array([[1.0, 0.0], [-1.0, 0.0]]), np.array([[1.0, 0.0]]), np.array([0.1]))
-    assert low[0, 0] > high[1, 0]
+    """On clustered vectors a query goes to few parts, however many there are: what is replicated grows with the queries alone."""
+    sends = []
+    for clusters in (8, 32):
+        rng = np.random.default_rng(3)
+        centre = rng.normal(size=(clusters, 12))
+        centre *= 1000 / np.sqrt((centre**2).sum(1))[:, None]
+        rows = [(i, np.rint(centre[i % clusters] + rng.normal(size=12)).tolist()) for i in range(clusters * 100)]
+        vectors = spark.createDataFrame(rows, "vec_id long, v array<double>").repartition(4)
+        made = op5_knn.voronoi(vectors, F.col("vec_id") % 20 == 0, 20, 4 * clusters, 100)
+        sends.append((made[1].agg(F.sum("n")).first()[0] or 0) / (clusters * 5))
+    assert max(sends) <= 2  # parts besides its own that a query is sent to; without bounds 7 and 31
 
 
 def test_search_in_nothing_and_little(spark):

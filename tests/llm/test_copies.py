@@ -1,15 +1,21 @@
 """Suffix dedup and chosen-path join against brute force."""
 
 import hashlib
+import random
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.llm import components, op4_suffixes, op8_chosen_path
 
 
+def words(rng, n):
+    return " ".join("".join(rng.choice(["th", "er", "on", "an", "re", "ti", "es"]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+
 def suffix_truth(texts, span=50):
     rows = [(i, (t or "").encode()) for i, t in texts]
     first = {}
@@ -31,6 +37,33 @@ def test_suffixes(docs, texts):
     assert sorted(map(tuple, op4_suffixes.query(docs).collect())) == suffix_truth(texts)
 
 
+def test_suffixes_of_hot_triggers(spark, docs, texts, monkeypatch):
+    """Suffixes that are dealt one by one give the same result, in many blocks."""
+    monkeypatch.setattr(op4_suffixes, "HOT_PHRASES", 1)
+    monkeypatch.setattr(op4_suffixes, "BLOCK_BYTES", 2000)
+    rng = random.Random(5)
+    line = words(rng, 12)
+    more = [(1000 + i, f"{words(rng, 3 + i % 9)} {line} {words(rng, 9)}") for i in range(60)]
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string")).repartition(5)
+    assert sorted(map(tuple, op4_suffixes.query(rows).collect())) == suffix_truth(texts + more)
+
+
+def test_ranks_of_suffixes():
+    rng = np.random.default_rng(2)
+    raw = rng.integers(0, 2, 4000).astype(np.uint8)
+    raw[1000:1200] = raw[:200]
+    places = rng.permutation(len(raw) - op4_suffixes.SPAN)
+    by_bytes = {b: k for k, b in enumerate(sorted({raw[p : p + op4_suffixes.SPAN].tobytes() for p in places}))}
+    assert op4_suffixes.suffix_ranks(raw, places).tolist() == [by_bytes[raw[p : p + op4_suffixes.SPAN].tobytes()] for p in places]
+
+
+def test_rows_without_doc_id_come_last(spark):
+    text = "a passage that is long enough to be found again, and then some more of it"
+    rows = spark.createDataFrame([(None, text), (3, text), (None, text), (2**53 + 1, "short")], "doc_id long, text string").coalesce(1)
+    found = sorted((str(r["doc_id"]), r["n_removed"]) for r in op4_suffixes.query(rows).collect())
+    assert found == sorted([("None", len(text)), ("None", len(text)), ("3", 0), (str(2**53 + 1), 0)])
+
+
 def test_parse_is_independent_of_surroundings():
     rng = np.random.default_rng(1)
     shared = rng.integers(97, 100, 4000).astype(np.uint8)
@@ -42,6 +75,12 @@ def test_parse_is_independent_of_surroundings():
     assert a.sizes.sum() == 4000 - 49  # every suffix in just one phrase
 
 
+def test_empty_text_before_another():
+    data = np.frombuffer(bytes(range(60)), np.uint8)
+    p = op4_suffixes.parse(data, np.array([0, 60]), np.array([1, 2]))
+    assert p.starts[0] == 0 and p.sizes.sum() == 11 and set(p.documents) == {2}
+
+
 def test_long_documents_are_parsed_in_steps(monkeypatch):
     monkeypatch.setattr(op4_suffixes, "CHUNK_BYTES", 300)
     rng = np.random.default_rng(2)
@@ -59,8 +98,12 @@ def test_kept_text_has_whole_characters(spark):
 
 
 def test_all_columns_stay(docs):
-    out = op4_suffixes.deduplicated(docs)
-    assert out.columns == docs.columns and out.count() == docs.count()
+    rows = docs.withColumns({"at": F.expr("timestamp'2020-01-02 03:04:05.123456'"), "plain": F.expr("timestamp_ntz'2020-01-02 03:04:05.123456'"), "many": F.expr("array(named_struct('k', decimal(1.25), 'm', map('a', 1)))"), "x0": F.lit(1.5), "raw": F.expr("X'00ff'")})
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("int"))
+    out = op4_suffixes.deduplicated(rows)
+    assert out.schema.simpleString() == rows.schema.simpleString() and out.count() == rows.count()
+    others = [c for c in rows.columns if c not in ("text", "n_chars")]
+    assert sorted(map(str, out.select(others).collect())) == sorted(map(str, rows.select(others).collect()))
 
 
 def jaccard_truth(texts, threshold=0.8):

@@ -10,7 +10,8 @@ from weftline.functions import accuracy_tier, direction, ratio
 
 def scored(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
     """Forecast rows with an actual (sku and month sold), with errors. forecasts: sku, month, step, units; actuals: sku, month, units."""
-    joined = forecasts.select("sku", "month", "step", F.col("units").alias("predicted")).join(actuals.select("sku", "month", F.col("units").alias("actual")), ["sku", "month"])
+    variant = ["variant"] if "variant" in forecasts.columns else []
+    joined = forecasts.select(*variant, "sku", "month", "step", F.col("units").alias("predicted")).join(actuals.select("sku", "month", F.col("units").alias("actual")), ["sku", "month"])
     return joined.withColumn("abs_error", F.abs(F.col("actual") - F.col("predicted")))
 
 
@@ -18,8 +19,23 @@ def _floor1(by: DataFrame) -> DataFrame:
     return by.agg(F.count("*").alias("n"), F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"), (F.sum("abs_error") * 100 / F.greatest(F.lit(1.0), F.sum("actual"))).alias("wmape"))
 
 
-def holdout_table(rows: DataFrame) -> DataFrame:
-    return _floor1(rows.groupBy("step", "month"))
+def holdout_table(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
+    return _floor1(rows.groupBy(*(by or []), "step", "month"))
+
+
+def grid_table(allocated: DataFrame, parents: DataFrame, actuals: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """A row a variant: mean WMAPE over months of one and of all steps, bias, whether its sums meet the parents', and its place by WMAPE.
+
+    allocated: variant, parent, child, month, step, units; parents: child (the variants' parent), month, step, units. One grouping by
+    parent makes the checks, one by month the errors; the few variants are then put in order.
+    """
+    totals = allocated.groupBy("variant", "parent", "month", "step").agg(F.sum("units").alias("total"), F.min("units").alias("least"))
+    held = totals.join(parents.select(F.col("child").alias("parent"), "month", "step", F.col("units").alias("parent_units")), ["parent", "month", "step"])
+    checks = held.groupBy("variant").agg(((F.max(F.abs(F.col("parent_units") - F.col("total"))) < tolerance) & (F.min("least") >= 0)).cast("int").alias("validated"))
+    months = holdout_table(scored(allocated.withColumnRenamed("child", "sku"), actuals), ["variant"])
+    errors = months.groupBy("variant").agg(F.avg(F.when(F.col("step") == 1, F.col("wmape"))).alias("h1_wmape"), F.avg("wmape").alias("h3_wmape"), ratio(F.sum("predicted"), F.sum("actual")).alias("bias_ratio"), F.sum("n").alias("n"))
+    place = F.row_number().over(Window.orderBy(F.round("h3_wmape", 6), "variant"))  # as many rows as variants
+    return errors.join(checks, "variant").select("variant", F.col("variant").startswith("baseline").cast("int").alias("is_baseline"), "n", "h1_wmape", "h3_wmape", "bias_ratio", "validated", place.alias("place"))
 
 
 def holdout_by_segment(rows: DataFrame, segments: DataFrame) -> DataFrame:
@@ -135,9 +151,10 @@ def verdict(summary: DataFrame) -> DataFrame:
     return summary.withColumn("verdict", F.when((F.col("wmape") < 55) & (off <= 0.05), "GREEN").when((F.col("wmape") <= 70) & (off <= 0.10), "AMBER").otherwise("RED"))
 
 
-def win_loss(a: DataFrame, b: DataFrame, products: DataFrame, parent: str = "style") -> DataFrame:
-    """By parent, on the skus and months that both versions scored: which has the smaller error."""
-    both = a.select("sku", "month", "step", "actual", F.col("abs_error").alias("error_a")).join(b.select("sku", "month", "step", F.col("abs_error").alias("error_b")), ["sku", "month", "step"])
+def win_loss(rows: DataFrame, products: DataFrame, parent: str = "style") -> DataFrame:
+    """By parent, on the skus and months that both variants a and b scored: which has the smaller error."""
+    error = {v: F.max(F.when(F.col("variant") == v, F.col("abs_error"))).alias(f"error_{v}") for v in ("a", "b")}
+    both = rows.groupBy("sku", "month", "step").agg(F.max("actual").alias("actual"), *error.values()).where("error_a is not null and error_b is not null")
     joined = both.join(products.select("sku", F.col(parent).alias("parent")), "sku").where("parent is not null")
     sums = joined.groupBy("parent").agg(F.sum("actual").alias("actual"), F.sum("error_a").alias("error_a"), F.sum("error_b").alias("error_b"))
     delta = F.round(F.col("error_b") - F.col("error_a"), 4)

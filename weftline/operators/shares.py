@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,54 +16,99 @@ BASELINE = Shares()
 RECENCY = Shares(recency=True)
 SMOOTHED = Shares(smoothing=0.3)
 CAPPED = Shares(cap=1.5)
+GRID = ((3.0, 2.0, 1.0), (4.0, 2.0, 1.0), (5.0, 2.0, 1.0), (6.0, 2.0, 1.0), (5.0, 3.0, 1.0), (6.0, 3.0, 1.0), (4.0, 3.0, 1.0), (5.0, 1.0, 1.0), (6.0, 1.0, 1.0))  # fixed values: weights of recent, middle and old months
 VARIANTS = {"baseline": BASELINE, "recency_only": RECENCY, "smoothing_only": SMOOTHED, "caps_only": CAPPED}
 
 
-def _recency(ago: Column, cfg: Shares) -> Column:
-    out = F.lit(cfg.recency_rest)
-    for most, weight in reversed(cfg.recency_steps):
-        out = F.when(ago <= most, weight).otherwise(out)
-    return out
+def child_sums(demand: DataFrame, children: DataFrame, end: date, cfgs: Iterable[Shares]) -> DataFrame:
+    """(parent, child, units and whether sold in each stretch of months, the parent's months with sales in each window).
 
-
-def compute_shares(demand: DataFrame, children: DataFrame, end: date, cfg: Shares = BASELINE) -> DataFrame:
-    """(parent, child, units, share, used_window): shares of each parent's children, which sum to 1.
-
-    demand: child, month, units (sparse); children: parent, child, unique by child. A parent takes its last `window` months if they
-    have enough months with sales, else its whole history, else equal shares. Then, in this order and as set: recency weights,
-    smoothing towards equal shares, caps, and normalising. Skewed parents are pre-aggregated by child before anything is joined.
+    demand: child, month, units (sparse); children: parent, child, unique by child. The stretches are bounded by the windows and recency steps of
+    all settings, so any of them follows from these sums; skewed parents are pre-aggregated by child before anything is joined.
     """
+    cfgs = list(cfgs)
     known = demand.where(F.col("month") <= F.lit(end)).join(children, "child")
     ago = months_ago("month", F.lit(end))
-    recent = ago < cfg.window
-    weight = _recency(ago, cfg) if cfg.recency else F.lit(1.0)
-    by_child = known.groupBy("parent", "child").agg(
-        F.sum(F.when(recent, F.col("units") * weight).otherwise(0.0)).alias("recent_weighted"),
-        F.sum(F.col("units") * weight).alias("all_weighted"),
-        F.sum(F.when(recent, F.col("units")).otherwise(0.0)).alias("recent_units"),
-        F.sum("units").alias("all_units"),
-        F.max(recent.cast("int")).alias("seen_recently"),
+    stretches = []
+    for low, high in _stretches(cfgs):
+        inside = (ago >= low) & (ago <= high) if high is not None else ago >= low
+        stretches += [F.sum(F.when(inside, F.col("units")).otherwise(0.0)).alias(f"u{low}"), F.max(inside.cast("int")).alias(f"s{low}")]
+    by_child = known.groupBy("parent", "child").agg(*stretches)
+    windows = sorted({c.window for c in cfgs})
+    months = known.where(ago < windows[-1]).groupBy("parent").agg(*(F.count_distinct(F.when(ago < w, F.col("month"))).alias(f"m{w}") for w in windows))
+    return children.join(by_child, ["parent", "child"], "left").join(months, "parent", "left")
+
+
+def _stretches(cfgs: list[Shares]) -> list[tuple[int, int | None]]:
+    ends = sorted({c.window - 1 for c in cfgs} | {most for c in cfgs for most, _ in c.recency_steps})
+    starts = [0, *(e + 1 for e in ends)]
+    return list(zip(starts, [*ends, None]))
+
+
+def setting(cfg: Shares, cfgs: list[Shares]) -> Column:
+    """One choice of rules as a value: weights of the stretches, which of them are in the window, and the rest."""
+    weights, inside = [], []
+    for low, high in _stretches(cfgs):
+        weight = next((w for most, w in cfg.recency_steps if high is not None and high <= most), cfg.recency_rest) if cfg.recency else 1.0
+        weights.append(F.lit(float(weight)).alias(f"w{low}"))
+        inside.append(F.lit(1 if high is not None and high < cfg.window else 0).alias(f"i{low}"))
+    return F.struct(
+        *weights,
+        *inside,
+        F.lit(cfg.window).alias("window"),
+        F.lit(cfg.least_months).alias("least_months"),
+        F.lit(cfg.smoothing).alias("smoothing"),
+        F.lit(cfg.cap).alias("cap"),
+        F.lit(cfg.unseen == "equal").alias("unseen_equal"),
     )
-    months = known.where(recent).groupBy("parent").agg(F.count_distinct("month").alias("n_months"))
-    w = Window.partitionBy("parent")
-    rows = children.join(by_child, ["parent", "child"], "left").join(months, "parent", "left")
-    window = (
-        F.when((F.coalesce("n_months", F.lit(0)) >= cfg.least_months) & (F.sum("recent_units").over(w) > 0), "primary")
-        .when(F.sum("all_units").over(w) > 0, "full_history")
-        .otherwise("equal")
+
+
+def split(rows: DataFrame, cfgs: list[Shares], by: list[str]) -> DataFrame:
+    """(by, child, units, share, used_window) of child_sums rows that have a column `rule` (see setting). `by` ends with the parent.
+
+    A parent takes its window's months if enough of them have sales, else its whole history, else equal shares. Then, in this
+    order and as set: recency weights, smoothing towards equal shares, caps, and normalising.
+    """
+    w = Window.partitionBy(*by)
+    lows = [low for low, _ in _stretches(cfgs)]
+    rule = F.col("rule")
+    units = {low: F.coalesce(F.col(f"u{low}"), F.lit(0.0)) for low in lows}
+    rows = rows.withColumns(
+        {
+            "_recent": sum((units[low] * rule[f"i{low}"] for low in lows), F.lit(0.0)),
+            "_all": sum(units.values(), F.lit(0.0)),
+            "_recent_weighted": sum((units[low] * rule[f"w{low}"] * rule[f"i{low}"] for low in lows), F.lit(0.0)),
+            "_all_weighted": sum((units[low] * rule[f"w{low}"] for low in lows), F.lit(0.0)),
+            "_seen": F.greatest(*(F.coalesce(F.col(f"s{low}"), F.lit(0)) * rule[f"i{low}"] for low in lows)),
+            "_ever": F.greatest(*(F.coalesce(F.col(f"s{low}"), F.lit(0)) for low in lows)),
+            "_months": F.coalesce(*(F.when(rule["window"] == n, F.col(f"m{n}")) for n in sorted({c.window for c in cfgs})), F.lit(0)),
+            "equal_share": 1.0 / F.count("*").over(w),
+        }
     )
-    rows = rows.withColumn("used_window", window).withColumn("equal_share", 1.0 / F.count("*").over(w))
-    primary = F.col("used_window") == "primary"
-    rows = rows.withColumn("units", F.when(primary & (F.col("seen_recently") == 1), F.col("recent_weighted")).when(F.col("used_window") == "full_history", F.col("all_weighted")))
-    unseen = F.col("equal_share") if cfg.unseen == "equal" else F.lit(0.0)
+    window = F.when((F.col("_months") >= rule["least_months"]) & (F.sum("_recent").over(w) > 0), "primary").when(F.sum("_all").over(w) > 0, "full_history").otherwise("equal")
+    rows = rows.withColumn("used_window", window)
+    own = F.when((F.col("used_window") == "primary") & (F.col("_seen") == 1), F.col("_recent_weighted")).when((F.col("used_window") == "full_history") & (F.col("_ever") == 1), F.col("_all_weighted"))
+    rows = rows.withColumn("units", own)
+    unseen = F.when(rule["unseen_equal"], F.col("equal_share")).otherwise(0.0)
     share = F.when(F.col("used_window") == "equal", F.col("equal_share")).otherwise(F.coalesce(F.try_divide(F.col("units"), F.sum("units").over(w)), unseen))
-    if cfg.smoothing:
-        share = (1 - cfg.smoothing) * share + cfg.smoothing * F.col("equal_share")
-    rows = rows.withColumn("weighted", share)
-    if cfg.cap:
-        rows = rows.withColumn("weighted", F.least("weighted", cfg.cap * F.col("equal_share")))
+    share = F.when(rule["smoothing"] > 0, (1 - rule["smoothing"]) * share + rule["smoothing"] * F.col("equal_share")).otherwise(share)
+    rows = rows.withColumn("_share", share)
+    rows = rows.withColumn("weighted", F.when(rule["cap"] > 0, F.least(F.col("_share"), rule["cap"] * F.col("equal_share"))).otherwise(F.col("_share")))
     final = F.coalesce(F.try_divide(F.col("weighted"), F.sum("weighted").over(w)), F.col("equal_share"))
-    return rows.select("parent", "child", F.coalesce("units", F.lit(0.0)).alias("units"), final.alias("share"), "used_window")
+    return rows.select(*by, "child", F.coalesce("units", F.lit(0.0)).alias("units"), final.alias("share"), "used_window")
+
+
+def compute_shares(demand: DataFrame, children: DataFrame, end: date, cfg: Shares = BASELINE) -> DataFrame:
+    """(parent, child, units, share, used_window): shares of each parent's children, which sum to 1."""
+    return split(child_sums(demand, children, end, [cfg]).withColumn("rule", setting(cfg, [cfg])), [cfg], ["parent"])
+
+
+def variant_shares(demand: DataFrame, children: DataFrame, end: date, variants: dict[str, Shares]) -> DataFrame:
+    """The same with a column `variant`: demand is summed once, and every variant weighs the sums."""
+    cfgs = list(variants.values())
+    rules = F.array(*(F.struct(F.lit(name).alias("variant"), setting(cfg, cfgs).alias("rule")) for name, cfg in variants.items()))
+    rows = child_sums(demand, children, end, cfgs).withColumn("_each", F.explode(rules)).select("*", F.col("_each.variant").alias("variant"), F.col("_each.rule").alias("rule"))
+    return split(rows, cfgs, ["variant", "parent"])
 
 
 def size_shares(demand: DataFrame, children: DataFrame, end: date) -> DataFrame:
@@ -125,23 +171,30 @@ STRATEGIES = {"STABLE": BASELINE, "DOMINANT": BASELINE, "HIGH_VOLUME": RECENCY,
 
 
 def segmented_shares(demand: DataFrame, children: DataFrame, end: date, kinds: DataFrame) -> DataFrame:
-    """Each parent's shares by its profile's settings. kinds: parent, profile."""
-    parts = []
-    for profile, cfg in STRATEGIES.items():
-        own = children.join(kinds.where(F.col("profile") == profile).select("parent"), "parent", "left_semi").select("parent", "child")
-        parts.append(compute_shares(demand, own, end, cfg).withColumn("profile", F.lit(profile)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Each parent's shares by its profile's settings, in one pass. kinds: parent, profile."""
+    cfgs = list(STRATEGIES.values())
+    rule = F.coalesce(*(F.when(F.col("profile") == profile, setting(cfg, cfgs)) for profile, cfg in STRATEGIES.items()))
+    rows = child_sums(demand, children, end, cfgs).join(kinds.select("parent", "profile"), "parent").withColumn("rule", rule)
+    return split(rows, cfgs, ["profile", "parent"])
+
+
+def weight_grid() -> dict[str, Shares]:
+    """The recency weights that are tried over half a year, after the baseline over a whole one; a repeated setting is tried once."""
+    found = {"baseline_L12_3_2_1": RECENCY}
+    for recent, mid, old in GRID:
+        cfg = Shares(window=6, least_months=3, recency=True, recency_steps=((2, recent), (5, mid)), recency_rest=old)
+        if cfg not in found.values():
+            found[f"L6_{recent:g}_{mid:g}_{old:g}"] = cfg
+    return found
 
 
 def allocate(forecasts: DataFrame, shares: DataFrame) -> DataFrame:
-    """Parents' forecasts times their children's shares. forecasts: parent, month, step, units, lower, upper."""
-    joined = forecasts.join(shares.select("parent", "child", "share"), "parent", "left")
+    """Parents' forecasts times their children's shares. forecasts: parent, month, step, units, lower, upper; shares may come in variants."""
+    variant = ["variant"] if "variant" in shares.columns else []
+    joined = forecasts.join(shares.select(*variant, "parent", "child", "share"), "parent", "left")
     share = F.coalesce("share", F.lit(0.0))
     values = {c: settled(F.greatest(F.col(c) * share, F.lit(0.0))) for c in ("units", "lower", "upper")}
-    return joined.select("parent", "child", "month", "step", *(v.alias(c) for c, v in values.items()))
+    return joined.select(*variant, "parent", "child", "month", "step", *(v.alias(c) for c, v in values.items()))
 
 
 def reconcile(forecasts: DataFrame, allocated: DataFrame, tolerance: float = 0.01) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.config import BACKTEST, CROSS_VALIDATED, FOLDS, GLOBAL, MODEL_VERSION, Calendar, Calibration
-from weftline.functions import months_ago, settled
+from weftline.functions import settled
 from weftline.operators import baselines, calibrate, etl, ml, panel, score, selection, shares
 from weftline.plans.sqltext import END, HOLDOUT, shares as shares_sql, sql, walk
 from weftline.plans.sqltext import FOLDS as SQL_FOLDS
@@ -382,7 +382,11 @@ for _by in ("month", "segment", "model"):
 
 # Shares and allocation
 
-SHARE_COLUMNS = "parent, child, round(units, 4) as units, round(share, 4) as share, used_window"
+SHARE_COLUMNS = "parent, child, round(units, 4) as units, round(share + 1e-9::double, 4) as share, used_window"
+
+
+def settled_shares(df: DataFrame) -> DataFrame:
+    return rounded(df.withColumn("share", settled(F.col("share"))))
 
 
 def split(spark, d, parent, child, cfg):
@@ -399,7 +403,7 @@ SHARE_QUERIES = {
 for _name, (_parent, _child, _cfg, _args) in SHARE_QUERIES.items():
 
     def _share_query(spark, d, parent=_parent, child=_child, cfg=_cfg):
-        return rounded(split(spark, d, parent, child, cfg))
+        return settled_shares(split(spark, d, parent, child, cfg))
 
     _share_query.__name__ = _name
     query(sql(f"select {SHARE_COLUMNS} from {shares_sql(_parent, _child, **_args)}", f"demand_{_child}", "products"))(_share_query)
@@ -411,7 +415,7 @@ SIZE_PARTS = "(with products as (select *, color || '#' || coalesce(nullif(size,
 @query(sql(f"select {SHARE_COLUMNS} from {SIZE_PARTS}", "gold", "products"))
 def share_size_v6(spark, d):
     kids = retail.dim_product(spark, d).select(F.col("color").alias("parent"), F.col("sku").alias("child"), F.nullif("size", F.lit("13")).alias("size"))
-    return rounded(shares.size_shares(child_demand(spark, d, "sku"), kids, CAL.train_end))
+    return settled_shares(shares.size_shares(child_demand(spark, d, "sku"), kids, CAL.train_end))
 
 
 def _profile_sql(parent: str, child: str) -> str:
@@ -448,7 +452,7 @@ SEGMENTED_SQL = " union all ".join(
 
 @query(sql(f"select {SHARE_COLUMNS}, profile from (with kinds as (select * from {_profile_sql('color', 'sku')}) {SEGMENTED_SQL})", "demand_sku", "products"))
 def share_segmented(spark, d):
-    return rounded(shares.segmented_shares(child_demand(spark, d, "sku"), children(spark, d, "color", "sku"), CAL.train_end, _kinds(spark, d, "color", "sku")))
+    return settled_shares(shares.segmented_shares(child_demand(spark, d, "sku"), children(spark, d, "color", "sku"), CAL.train_end, _kinds(spark, d, "color", "sku")))
 
 
 STYLE_FC = "(select entity as parent, month, step, seasonal_naive as units, seasonal_naive * 0.8::double as lower, seasonal_naive * 1.2::double as upper from forecast_style)"
@@ -510,50 +514,55 @@ FLOOR1 = "round(sum(abs_error) * 100 / greatest(1, sum(actual)), 4) as wmape"
 
 @query(sql(" union all ".join(f"select '{v}' as variant, step, month, count(*) as n, {FLOOR1} from {scored_sql(**a)} group by step, month" for v, a in VARIANT_ARGS.items()), *SCORE_NEEDS))
 def alloc_variant_compare(spark, d):
-    return rounded(score.union_all([score.holdout_table(sku_scored(spark, d, cfg)).select(F.lit(v).alias("variant"), "step", "month", "n", "wmape") for v, cfg in shares.VARIANTS.items()]))
+    return rounded(score.holdout_table(variants_scored(spark, d, shares.VARIANTS), ["variant"]).select("variant", "step", "month", "n", "wmape"))
+
+
+def variant_alloc(spark, d, variants):
+    """Colour forecasts split by several settings at once."""
+    up = color_alloc(spark, d).drop("parent").withColumnRenamed("child", "parent")
+    return shares.allocate(up, shares.variant_shares(child_demand(spark, d, "sku"), children(spark, d, "color", "sku"), CAL.train_end, variants))
+
+
+def variants_scored(spark, d, variants):
+    f = variant_alloc(spark, d, variants).where(F.col("month").isin(*CAL.holdout)).withColumnRenamed("child", "sku")
+    return score.scored(f, gold(spark, d))
 
 
-GRID = [(3.0, 2.0, 1.0), (4.0, 2.0, 1.0), (2.0, 1.5, 1.0), (5.0, 3.0, 1.0)]
+GRID_ARGS = {"baseline_L12_3_2_1": {"recency": True}} | {f"L6_{a:g}_{b:g}_{c:g}": {"recency": True, "window": 6, "least": 3, "weights": (a, b, c)} for a, b, c in shares.GRID}
+GRID_ROWS = " union all ".join(f"""select '{v}' as variant, a.parent, a.month, a.step, a.units as predicted, g.units as actual from {sku_alloc_sql(**args)} a left join gold g on g.sku = a.child and g.month = a.month
+    where a.month in {HOLDOUT}""" for v, args in GRID_ARGS.items())
+GRID_SQL = f"""(with r as materialized ({GRID_ROWS}),
+    m as (select variant, step, month, sum(abs(actual - predicted)) * 100 / greatest(1, sum(actual)) as wmape, sum(actual) as a, sum(predicted) as p, count(*) as n from r where actual is not null group by all),
+    t as (select variant, avg(wmape) filter (step = 1) as h1_wmape, avg(wmape) as h3_wmape, sum(p) / nullif(sum(a), 0) as bias_ratio, sum(n)::bigint as n from m group by 1),
+    v as (select variant, (max(abs(units - total)) < 0.01 and min(least_) >= 0)::int as validated from
+        (select r.variant, f.units, sum(r.predicted) as total, min(r.predicted) as least_ from r join {COLOR_ALLOC} f on f.child = r.parent and f.month = r.month and f.step = r.step group by r.variant, f.child, f.month, f.step, f.units) group by 1)
+    select t.*, validated, (variant like 'baseline%')::int as is_baseline, row_number() over (order by round(h3_wmape, 6), variant)::int as place from t join v using (variant))"""
 
 
 def grid(spark, d):
-    """Weight settings as data: child sums by recency step are made once, and every setting weighs them."""
-    demand = child_demand(spark, d, "sku").where(F.col("month") <= F.lit(CAL.train_end))
-    ago = months_ago("month", F.lit(CAL.train_end))
-    step = F.when(ago <= 2, 0).when(ago <= 5, 1).otherwise(2)
-    kids = children(spark, d, "color", "sku")
-    sums = demand.join(kids, "child").where(ago < 12).groupBy("parent", "child").agg(*(F.sum(F.when(step == k, F.col("units")).otherwise(0.0)).alias(f"u{k}") for k in range(3)))
-    settings = F.array(*(F.struct(F.lit(f"w{a:g}_{b:g}_{c:g}").alias("variant"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a, b, c in GRID))
-    each = sums.select("*", F.explode(settings).alias("s")).select("parent", "child", F.col("s.variant").alias("variant"), (F.col("u0") * F.col("s.a") + F.col("u1") * F.col("s.b") + F.col("u2") * F.col("s.c")).alias("w"))
-    total = each.groupBy("parent", "variant").agg(F.sum("w").alias("total")).where("total > 0")
-    share = each.join(total, ["parent", "variant"]).select("parent", "child", "variant", (F.col("w") / F.col("total")).alias("share"))
-    up = color_alloc(spark, d).where(F.col("month").isin(*CAL.holdout)).select(F.col("child").alias("parent"), "month", "step", "units")
-    f = share.join(up, "parent").select(F.col("child").alias("sku"), "variant", "month", "step", settled(F.col("units") * F.col("share")).alias("predicted"))
-    rows = f.join(gold(spark, d).select("sku", "month", F.col("units").alias("actual")), ["sku", "month"])
-    return rows.groupBy("variant").agg(F.count("*").alias("n"), (F.sum(F.abs(F.col("actual") - F.col("predicted"))) * 100 / F.sum("actual")).alias("wmape"), (F.sum("predicted") / F.sum("actual")).alias("bias_ratio"))
-
-
-AGO_TEXT = f"((year({END}) - year(g.month)) * 12 + month({END}) - month(g.month))"
-GRID_SQL = f"""(with e as (select p.color as parent, g.entity as child, v.variant, sum(g.units * case when {AGO_TEXT} <= 2 then a when {AGO_TEXT} <= 5 then b else c end) as w from demand_sku g join products p on p.sku = g.entity
-        join (values {', '.join(f"('w{a:g}_{b:g}_{c:g}', {a}::double, {b}::double, {c}::double)" for a, b, c in GRID)}) v(variant, a, b, c) on true where g.month <= {END} and {AGO_TEXT} < 12 group by all),
-    s as (select parent, child, variant, w / sum(w) over (partition by parent, variant) as share from e),
-    r as (select s.variant, round(f.units * s.share + 1e-9::double, 4) as predicted, g.units as actual from s join {COLOR_ALLOC} f on f.child = s.parent join gold g on g.sku = s.child and g.month = f.month where f.month in {HOLDOUT})
-    select variant, count(*) as n, sum(abs(actual - predicted)) * 100 / sum(actual) as wmape, sum(predicted) / sum(actual) as bias_ratio from r group by 1)"""
-
-
-@query(sql(f"select variant, n, {rounds('wmape bias_ratio')} from {GRID_SQL}", *SCORE_NEEDS))
+    f = variant_alloc(spark, d, shares.weight_grid()).where(F.col("month").isin(*CAL.holdout))
+    return score.grid_table(f, color_alloc(spark, d), gold(spark, d))
+
+
+@query(sql(f"select variant, is_baseline, n, {rounds('h1_wmape h3_wmape bias_ratio')}, validated, place from {GRID_SQL}", *SCORE_NEEDS))
 def alloc_grid(spark, d):
     return rounded(grid(spark, d))
 
 
-@query(sql(f"select variant, {rounds('wmape')} from {GRID_SQL} order by wmape, variant limit 3", *SCORE_NEEDS))
+@query(sql(f"select variant, {rounds('h3_wmape')} from {GRID_SQL} where place <= 3", *SCORE_NEEDS))
 def alloc_grid_top3(spark, d):
-    return rounded(grid(spark, d).select("variant", "wmape").orderBy("wmape", "variant").limit(3))
+    return rounded(grid(spark, d).where("place <= 3").select("variant", "h3_wmape"))
+
+
+@query(sql(f"select variant, validated, {rounds('h3_wmape')} from {GRID_SQL} order by validated desc, place limit 1", *SCORE_NEEDS))
+def alloc_grid_best(spark, d):
+    return rounded(grid(spark, d).orderBy(F.desc("validated"), "place").limit(1).select("variant", "validated", "h3_wmape"))
 
 
 @query(sql(f"select parent, round(sum(a.actual), 4) as actual, round(sum(a.abs_error), 4) as error_a, round(sum(b.abs_error), 4) as error_b, case when round(sum(b.abs_error) - sum(a.abs_error), 4) < 0 then 'b' when round(sum(b.abs_error) - sum(a.abs_error), 4) > 0 then 'a' else 'tie' end as winner from {scored_sql()} a join {scored_sql(recency=True)} b using (sku, month, step) join (select sku, style as parent from products) using (sku) group by 1", *SCORE_NEEDS))
 def parent_win_loss(spark, d):
-    return rounded(score.win_loss(sku_scored(spark, d), sku_scored(spark, d, shares.RECENCY), retail.dim_product(spark, d)))
+    both = variants_scored(spark, d, {"a": shares.BASELINE, "b": shares.RECENCY})
+    return rounded(score.win_loss(both, retail.dim_product(spark, d)))
 
 
 # Calibration
@@ -690,7 +699,7 @@ def validation_report(spark, d):
 
 @query(sql(" union all ".join(f"select '{v}' as version, {', '.join(f'round(sum(abs_error) filter (step = {s}) * 100 / greatest(1, sum(actual) filter (step = {s})), 4) as wmape_step_{s}' for s in (1, 2))} from {scored_sql(**a)}" for v, a in (("baseline", {}), ("recency_only", {"recency": True}))), *SCORE_NEEDS))
 def version_compare(spark, d):
-    rows = score.union_all([sku_scored(spark, d, cfg).withColumn("version", F.lit(v)) for v, cfg in (("baseline", shares.BASELINE), ("recency_only", shares.RECENCY))])
+    rows = variants_scored(spark, d, {"baseline": shares.BASELINE, "recency_only": shares.RECENCY}).withColumnRenamed("variant", "version")
     w = F.sum("abs_error") * 100 / F.greatest(F.lit(1.0), F.sum("actual"))
     return rounded(rows.groupBy("version").pivot("step", [1, 2]).agg(w).withColumnsRenamed({"1": "wmape_step_1", "2": "wmape_step_2"}))
 

@@ -65,19 +65,19 @@ def walk(entity: str, horizon: int, count: int, step: int, least: int) -> str:
         from x join f on x.month = f.origin where x.age >= {least} and x.actual is not null)"""
 
 
-def shares(parent: str, child: str, recency: bool = False, smoothing: float = 0.0, cap: float = 0.0, unseen: str = "equal", where: str = "true", prefix: str = "") -> str:
-    weight = f"case when {AGO} <= 2 then 3.0 when {AGO} <= 5 then 2.0 else 1.0 end::double" if recency else "1.0::double"
+def shares(parent: str, child: str, recency: bool = False, smoothing: float = 0.0, cap: float = 0.0, unseen: str = "equal", where: str = "true", prefix: str = "", window: int = 12, least: int = 6, weights: tuple[float, float, float] = (3.0, 2.0, 1.0)) -> str:
+    weight = f"case when {AGO} <= 2 then {weights[0]} when {AGO} <= 5 then {weights[1]} else {weights[2]} end::double" if recency else "1.0::double"
     unseen_sql = "equal_share" if unseen == "equal" else "0.0::double"
     weighted = f"case when used_window = 'equal' then equal_share else coalesce(units / nullif(sum(units) over (partition by parent), 0), {unseen_sql}) end"
     if smoothing:
         weighted = f"({1 - smoothing}::double * ({weighted}) + {smoothing}::double * equal_share)"
     capped = f"least(weighted, {cap}::double * equal_share)" if cap else "weighted"
     return f"""(with kids as (select distinct {parent} as parent, {child} as child from products where {where}),
-        d as (select k.parent, k.child, g.month, g.units, {weight} as w, {AGO} < 12 as recent from demand_{child} g join kids k on g.entity = k.child where g.month <= {END}),
+        d as (select k.parent, k.child, g.month, g.units, {weight} as w, {AGO} < {window} as recent from demand_{child} g join kids k on g.entity = k.child where g.month <= {END}),
         c as (select parent, child, sum(case when recent then units * w else 0 end) as recent_weighted, sum(units * w) as all_weighted, sum(case when recent then units else 0 end) as recent_units, sum(units) as all_units, max(recent::int) as seen_recently from d group by all),
         m as (select parent, count(distinct month) as n_months from d where recent group by parent),
         r as (select k.parent, k.child, c.*exclude(parent, child), n_months, 1.0::double / count(*) over p as equal_share, sum(recent_units) over p as pr, sum(all_units) over p as pa from kids k left join c on c.parent = k.parent and c.child = k.child left join m on m.parent = k.parent window p as (partition by k.parent)),
-        u as (select *, case when coalesce(n_months, 0) >= 6 and pr > 0 then 'primary' when pa > 0 then 'full_history' else 'equal' end as used_window from r),
+        u as (select *, case when coalesce(n_months, 0) >= {least} and pr > 0 then 'primary' when pa > 0 then 'full_history' else 'equal' end as used_window from r),
         x as (select *, case when used_window = 'primary' and seen_recently = 1 then recent_weighted when used_window = 'full_history' then all_weighted end as units from u),
         y as (select *, {weighted} as weighted from x), z as (select *, {capped} as final from y)
         select parent, child, coalesce(units, 0)::double as units, coalesce(final / nullif(sum(final) over (partition by parent), 0), equal_share) as share, used_window {prefix} from z)"""

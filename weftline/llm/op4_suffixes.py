@@ -45,7 +45,7 @@ from .packing import packed, unpacked
 
 SPAN = 50
 TRIGGER = 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 CHUNK_BYTES = 1 << 19  # of which the arrays of one step are made
 BLOCKS = "block long, data binary"
 KEYS = "bucket int, block long, n int, width int, data binary"
@@ -362,9 +362,10 @@ class Dictionary:
     begin: np.ndarray  # in the block's bytes
     size: np.ndarray  # number of suffixes that begin in it
     first: np.ndarray  # the first document of the block that has it
-    places: np.ndarray  # of all suffixes that are to be looked up
-    documents: np.ndarray  # of each of these
-    slot: np.ndarray  # the number of each of these among the suffixes of the stretches
+    of_phrase: np.ndarray  # the stretch of each phrase that goes whole
+    hot_places: np.ndarray  # of all suffixes that go one by one
+    hot_documents: np.ndarray
+    of_hot: np.ndarray  # the stretch of each of these
 
 
 def _different(keys: tuple[np.ndarray, ...], documents: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -387,24 +388,21 @@ def dictionary(s: Settled, several: np.ndarray, hot: np.ndarray, bits: int) -> D
     trigger, whole = s.triggers[s.index], several & ~hot
     one, first, index = _different((phrases[whole], trigger[whole]), documents[whole])
     bucket, starts, sizes = trigger[whole][one] >> np.uint64(64 - bits), begin[whole][one], size[whole][one]
-    ends = np.cumsum(sizes)
-    places, owners, slot = _spans(begin[whole], size[whole]), np.repeat(documents[whole], size[whole]), _spans((ends - sizes)[index], size[whole])
+    places = owners = of_hot = np.empty(0, np.int64)
     if hot.any():
         # A suffix's fingerprint decides where it goes; bytes decide what it equals.
         prints = np.zeros(int((begin + size).max()), "u8")
         for offset, p in s.parses:
             at = _spans(p.starts, p.sizes)
             prints[offset + at] = p.suffixes[at]
-        single, owner = _spans(begin[hot], size[hot]), np.repeat(documents[hot], size[hot])
-        one, early, index = _different((prints[single],), owner)
-        bucket, starts, sizes, first = np.append(bucket, prints[single][one] >> np.uint64(64 - bits)), np.append(starts, single[one]), np.append(sizes, np.ones(len(one), np.int64)), np.append(first, early)
-        places, owners, slot = np.append(places, single), np.append(owners, owner), np.append(slot, (ends[-1] if len(ends) else 0) + index)
+        places, owners = _spans(begin[hot], size[hot]), np.repeat(documents[hot], size[hot])
+        one, early, of_hot = _different((prints[places],), owners)
+        of_hot = of_hot + len(bucket)
+        bucket, starts, sizes, first = np.append(bucket, prints[places][one] >> np.uint64(64 - bits)), np.append(starts, places[one]), np.append(sizes, np.ones(len(one), np.int64)), np.append(first, early)
     order = np.argsort(bucket, kind="stable")
-    moved = np.empty(len(order), np.int64)  # where the suffixes of each stretch begin after sorting
-    moved[order] = np.cumsum(sizes[order]) - sizes[order]
-    stretch = np.repeat(np.arange(len(sizes)), sizes)
-    slot = (moved[stretch] + np.arange(len(stretch)) - (np.cumsum(sizes) - sizes)[stretch])[slot]
-    return Dictionary(bucket[order].astype(np.int64), starts[order], sizes[order], first[order], places, owners, slot)
+    moved = np.empty(len(order), np.int64)
+    moved[order] = np.arange(len(order))
+    return Dictionary(bucket[order].astype(np.int64), starts[order], sizes[order], first[order], moved[index], places, owners, moved[of_hot])
 
 
 def phrases_sent(blocks: DataFrame, told: DataFrame, bits: int) -> DataFrame:
@@ -419,10 +417,10 @@ def phrases_sent(blocks: DataFrame, told: DataFrame, bits: int) -> DataFrame:
             cuts = [*np.flatnonzero(np.diff(d.bucket, prepend=-1)).tolist(), len(d.bucket)]
             for a, b in zip(cuts, cuts[1:]):
                 raw = text[_spans(d.begin[a:b], d.size[a:b] + SPAN - 1)]
-                out.append((int(d.bucket[a]), block, packed(d.size[a:b], d.first[a:b].view("u8"), raw)))
-        return pd.DataFrame(out, columns=["bucket", "block", "data"])
+                out.append((int(d.bucket[a]), block, packed(d.size[a:b], d.first[a:b].view("u8")), zstandard.ZstdCompressor(level=3).compress(raw.tobytes())))
+        return pd.DataFrame(out, columns=["bucket", "block", "data", "text"])
 
-    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(emit, "bucket int, block long, data binary")
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(emit, "bucket int, block long, data binary, text binary")
 
 
 def suffix_ranks(raw: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -446,9 +444,9 @@ def ordered(phrases: DataFrame, buckets: int) -> DataFrame:
     """To each block, for every suffix of the phrases that it sent, the first document that has its SPAN bytes: + 1, or 0 where that is the block's own first one with the phrase."""
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
-        sizes, firsts, raws = zip(*(unpacked(d) for d in frame["data"]))
+        sizes, firsts = zip(*(unpacked(d) for d in frame["data"]))
         size, first = np.concatenate(sizes).astype(np.int64), np.concatenate(firsts).view(np.int64)
-        raw = np.concatenate([r.astype(np.uint8) for r in raws])
+        raw = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(t) for t in frame["text"]), np.uint8)
         begin = np.cumsum(size + SPAN - 1) - (size + SPAN - 1)
         rank = suffix_ranks(raw, _spans(begin, size))
         own = np.repeat(first, size)
@@ -479,7 +477,14 @@ def _covered(s: Settled, n: int, right: pd.DataFrame, bits: int) -> np.ndarray:
         told = unpacked(data)[0].view(np.int64)
         at = slice(int(starts[np.searchsorted(d.bucket, bucket)]), int(starts[np.searchsorted(d.bucket, bucket, side="right")]))
         earliest[at] = np.where(told > 0, told - 1, earliest[at])
-    gone = d.places[d.documents > earliest[d.slot]]
+    whole = np.flatnonzero(several & ~hot)
+    for k in range(0, len(whole), 1 << 14):  # a bounded number of suffixes at a time
+        part, stretch = whole[k : k + (1 << 14)], d.of_phrase[k : k + (1 << 14)]
+        gone = np.repeat(documents[part], size[part]) > earliest[_spans(starts[stretch], size[part])]
+        gone = _spans(begin[part], size[part])[gone]
+        np.add.at(change, gone, 1)
+        np.add.at(change, gone + SPAN, -1)
+    gone = d.hot_places[d.hot_documents > earliest[starts[d.of_hot]]]
     np.add.at(change, gone, 1)
     np.add.at(change, gone + SPAN, -1)
     return np.cumsum(change[:n]) > 0

@@ -44,6 +44,20 @@ class Folds:
     least: int
 
 
+#: Models that are tried for each segment and horizon.
+ROSTER = {
+    ("REGULAR", 1): ("seasonal_naive",),
+    ("REGULAR", 3): ("seasonal_naive", "seasonal_avg3y"),
+    ("REGULAR", 12): ("seasonal_avg3y",),
+    ("INTERMITTENT", 1): ("croston_sba", "seasonal_naive"),
+    ("INTERMITTENT", 3): ("croston_sba", "seasonal_avg3y"),
+    ("INTERMITTENT", 12): ("seasonal_avg3y", "seasonal_naive"),
+    ("DEAD", 1): ("zero",),
+    ("DEAD", 3): ("zero",),
+    ("DEAD", 12): ("zero",),
+}
+LEARNT = {("REGULAR", 1): ("gbt",), ("REGULAR", 3): ("gbt",)}  # the roster's global regressors, which have no SQL
+
 FOLDS = (Folds(1, 6, 3, 24), Folds(3, 4, 3, 24), Folds(12, 3, 12, 36))
 
 
@@ -89,11 +103,12 @@ class Calibration:
     high: float
     strong: tuple[int, float]
     moderate: tuple[int, float]
+    weak: int = 1
     gate: float = 0.25
 
 
 BACKTEST = Calibration(0.85, 1.15, (6, 500.0), (3, 200.0))
-CROSS_VALIDATED = Calibration(0.80, 1.20, (8, 0.0), (4, 0.0))
+CROSS_VALIDATED = Calibration(0.80, 1.20, (8, 0.0), (4, 0.0), 2)
 GLOBAL = Calibration(0.95, 1.05, (1, 0.0), (1, 0.0))
 BOUNDS = 0.20
 CROSTON_ALPHA = 0.2

@@ -20,19 +20,16 @@ def histories(panel: DataFrame) -> DataFrame:
 
 def croston(u: Column, alpha: float = CROSTON_ALPHA) -> Column:
     """Smoothed size over smoothed interval of the non-zero months; 0 for a series without any."""
-    start = F.struct(F.lit(0.0).alias("size"), F.lit(1.0).alias("gap"), F.lit(0).alias("since"), F.lit(False).alias("begun"))
+    def state(size: Column, gap: Column, since: Column, begun: Column) -> Column:
+        return F.named_struct(F.lit("size"), size, F.lit("gap"), gap, F.lit("since"), since, F.lit("begun"), begun)
 
     def step(s: Column, x: Column) -> Column:
-        since = s["since"] + 1
-        sold = F.struct(
-            F.when(s["begun"], alpha * x + (1 - alpha) * s["size"]).otherwise(x).alias("size"),
-            F.when(s["begun"], alpha * since + (1 - alpha) * s["gap"]).otherwise(F.lit(1.0)).alias("gap"),
-            F.lit(0).alias("since"),
-            F.lit(True).alias("begun"),
-        )
-        idle = F.struct(s["size"].alias("size"), s["gap"].alias("gap"), since.alias("since"), s["begun"].alias("begun"))
-        return F.when(x > 0, sold).otherwise(idle)
+        sold, since = x > 0, s["since"] + 1
+        size = F.when(s["begun"], alpha * x + (1 - alpha) * s["size"]).otherwise(x)
+        gap = F.when(s["begun"], alpha * since + (1 - alpha) * s["gap"]).otherwise(F.lit(1.0))
+        return state(F.when(sold, size).otherwise(s["size"]), F.when(sold, gap).otherwise(s["gap"]), F.when(sold, F.lit(0)).otherwise(since), sold | s["begun"])
 
+    start = state(F.lit(0.0), F.lit(1.0), F.lit(0), F.lit(False))
     return F.aggregate(u, start, step, lambda s: F.when(s["begun"], s["size"] / s["gap"]).otherwise(F.lit(0.0)))
 
 
@@ -77,15 +74,11 @@ def shrunk(value: Column, trail_3: Column, cfg: Adjustments = Adjustments()) ->
     return F.when(far, cfg.shrink_weight * trail_3 + (1 - cfg.shrink_weight) * value).otherwise(value)
 
 
-def dispatched(forecasts: DataFrame, segments: DataFrame, best: dict[str, str]) -> DataFrame:
-    """Each entity's forecast by its segment's model, with bounds; a segment without one takes the seasonal naive."""
+def dispatched(forecasts: DataFrame, segments: DataFrame, best: DataFrame) -> DataFrame:
+    """Each entity's forecast by the model chosen for its segment, with bounds; a segment without one takes the seasonal naive. best: segment, best_model."""
     joined = forecasts.join(segments.select("entity", "segment"), "entity", "left")
-    model = F.lit("seasonal_naive")
-    for s, m in best.items():
-        model = F.when(F.col("segment") == s, m).otherwise(model)
-    joined = joined.withColumn("model", model)
-    units = F.lit(None).cast("double")
-    for m in MODELS:
-        units = F.when(F.col("model") == m, F.col(m)).otherwise(units)
+    joined = joined.join(F.broadcast(best.select("segment", "best_model")), "segment", "left")  # a row a segment
+    joined = joined.withColumn("model", F.coalesce("best_model", F.lit("seasonal_naive"))).drop("best_model")
+    units = F.coalesce(*(F.when(F.col("model") == m, F.col(m)) for m in MODELS))
     out = joined.withColumn("units", F.greatest(units, F.lit(0.0)))
     return out.withColumns({"lower": F.col("units") * (1 - BOUNDS), "upper": F.col("units") * (1 + BOUNDS)})

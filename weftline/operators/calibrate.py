@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.config import BACKTEST, CROSS_VALIDATED, GLOBAL, Calibration, Folds
+from weftline.config import GLOBAL, Calibration, Folds
 from weftline.functions import clipped, ratio, settled
 from weftline.operators.selection import walk_forward
 
@@ -25,7 +25,7 @@ def backtest(panel: DataFrame, end: date, model: str = "seasonal_naive") -> Data
 
 
 def tier(n: Column, total: Column, cfg: Calibration) -> Column:
-    return F.when((n >= cfg.strong[0]) & (total >= cfg.strong[1]), "STRONG").when((n >= cfg.moderate[0]) & (total >= cfg.moderate[1]), "MODERATE").when(n > 0, "WEAK").otherwise("NONE")
+    return F.when((n >= cfg.strong[0]) & (total >= cfg.strong[1]), "STRONG").when((n >= cfg.moderate[0]) & (total >= cfg.moderate[1]), "MODERATE").when(n >= cfg.weak, "WEAK").otherwise("NONE")
 
 
 def factors(evidence: DataFrame, keys: list[str], cfg: Calibration, positive: str = "actual") -> DataFrame:
@@ -52,6 +52,15 @@ def first_of(primary: DataFrame, fallback: DataFrame, keys: list[str]) -> DataFr
     return primary.unionByName(fallback.join(primary.select(*keys), keys, "left_anti"), allowMissingColumns=True)
 
 
+def validated(panel: DataFrame, end: date, folds: tuple[Folds, ...], model: str = "seasonal_naive") -> DataFrame:
+    """What one model said and what came in the folds of validation: entity, origin, month, horizon, predicted, actual."""
+    parts = [walk_forward(panel, end, f).select("entity", "origin", "month", F.lit(f.horizon).alias("horizon"), F.col(model).alias("predicted"), "actual") for f in folds]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _gate_error(rows: DataFrame, predicted: Column) -> DataFrame:
     """WMAPE by horizon over entities summed over all gate months."""
     sums = rows.groupBy("horizon", "entity").agg(F.sum("actual").alias("a"), F.sum(predicted).alias("p"))
@@ -103,10 +112,3 @@ def validate(table: DataFrame, keys: list[str], cfg: Calibration, evidence_end:
     late = table.sparkSession.createDataFrame([(int(evidence_end >= holdout_start),)], "x long")
     parts = [d.select(F.lit(name).alias("check"), (F.col("x") == 0).cast("int").alias("passed"), F.col("x").cast("long").alias("n_failed")) for name, d in (("factor_range", out_of_range), ("unique_keys", doubled), ("no_leakage", late))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
-POLICIES = {"cross_validated": CROSS_VALIDATED, "backtest": BACKTEST, "global": GLOBAL}
-
-
-def keep_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return df.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_place = 1").drop("_place")

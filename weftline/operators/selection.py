@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.config import FOLDS, Folds
+from weftline.config import CROSTON_ALPHA, FOLDS, ROSTER, Folds
 from weftline.functions import mae, mape, rmse, wmape
+from weftline.operators.baselines import croston
 
-CV_MODELS = ("ma_3", "ma_12", "seasonal_naive", "seasonal_avg3y")
+CV_MODELS = ("ma_3", "ma_12", "seasonal_naive", "seasonal_avg3y", "croston_sba", "zero")
 
 
 def origins(end: date, folds: Folds) -> list[date]:
@@ -21,7 +22,10 @@ def origins(end: date, folds: Folds) -> list[date]:
 
 
 def walk_forward(panel: DataFrame, end: date, folds: Folds) -> DataFrame:
-    """(entity, fold, origin, month, step, actual, one column a model): one window pass over the panel for all folds."""
+    """(entity, fold, origin, month, step, actual, one column a model): one window pass over the panel for all folds.
+
+    Croston's method reads each series as it was at the origin, whose length the calendar bounds.
+    """
     w = Window.partitionBy("entity").orderBy("month")
     steps = range(1, folds.horizon + 1)
 
@@ -41,14 +45,15 @@ def walk_forward(panel: DataFrame, end: date, folds: Folds) -> DataFrame:
             F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.size(known)).otherwise(0.0).alias("seasonal_avg3y"),
         )
 
-    rows = panel.select("entity", "month", "units", mean(3).alias("ma_3"), mean(12).alias("ma_12"), F.row_number().over(w).alias("age"), F.array(*(ahead(h) for h in steps)).alias("ahead"))
+    rows = panel.select("entity", "month", "units", mean(3).alias("ma_3"), mean(12).alias("ma_12"), F.row_number().over(w).alias("age"), F.collect_list("units").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("u"), F.array(*(ahead(h) for h in steps)).alias("ahead"))
     starts = origins(end, folds)
     fold = F.lit(None).cast("int")
     for k, o in enumerate(starts, 1):
         fold = F.when(F.col("month") == F.lit(o), k).otherwise(fold)
     chosen = rows.withColumn("fold", fold).where((F.col("fold").isNotNull()) & (F.col("age") >= folds.least))
-    each = chosen.select("entity", "fold", F.col("month").alias("origin"), "ma_3", "ma_12", F.explode("ahead").alias("a"))
-    return each.select("entity", "fold", "origin", F.expr("add_months(origin, a.step)").alias("month"), F.col("a.step").alias("step"), F.col("a.actual").alias("actual"), "ma_3", "ma_12", F.col("a.seasonal_naive").alias("seasonal_naive"), F.col("a.seasonal_avg3y").alias("seasonal_avg3y")).where("actual is not null")
+    sba = (croston(F.col("u")) * (1 - CROSTON_ALPHA / 2)).alias("croston_sba")
+    each = chosen.select("entity", "fold", F.col("month").alias("origin"), "ma_3", "ma_12", sba, F.explode("ahead").alias("a"))
+    return each.select("entity", "fold", "origin", F.expr("add_months(origin, a.step)").alias("month"), F.col("a.step").alias("step"), F.col("a.actual").alias("actual"), "ma_3", "ma_12", F.col("a.seasonal_naive").alias("seasonal_naive"), F.col("a.seasonal_avg3y").alias("seasonal_avg3y"), "croston_sba", F.lit(0.0).alias("zero")).where("actual is not null")
 
 
 def long_form(scored: DataFrame) -> DataFrame:
@@ -56,14 +61,27 @@ def long_form(scored: DataFrame) -> DataFrame:
     return scored.unpivot([c for c in scored.columns if c not in CV_MODELS], list(CV_MODELS), "model", "predicted")
 
 
-def cv_metrics(panel: DataFrame, segments: DataFrame, end: date, folds: tuple[Folds, ...] = FOLDS) -> DataFrame:
-    """Errors by model, horizon, segment and fold."""
+def in_roster(roster: dict[tuple[str, int], tuple[str, ...]] = ROSTER) -> Column:
+    """Whether a row's model is one of those that its segment and horizon try."""
+    tried = F.array(*(F.lit(f"{segment}/{horizon}/{model}") for (segment, horizon), models in roster.items() for model in models))
+    return F.array_contains(tried, F.concat_ws("/", "segment", F.col("horizon").cast("string"), "model"))
+
+
+def cv_metrics(panel: DataFrame, segments: DataFrame, end: date, folds: tuple[Folds, ...] = FOLDS, roster: dict[tuple[str, int], tuple[str, ...]] | None = ROSTER, more: DataFrame | None = None) -> DataFrame:
+    """Errors by model, horizon, segment and fold, of the roster's models (of all without a roster).
+
+    more: rows (entity, fold, origin, month, step, actual, horizon, model, predicted) of other models, which are all scored.
+    """
     parts = [long_form(walk_forward(panel, end, f)).withColumn("horizon", F.lit(f.horizon)) for f in folds]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
     a, p = F.col("actual"), F.col("predicted")
     joined = rows.join(segments.select("entity", "segment"), "entity")
+    if roster is not None:
+        joined = joined.where(in_roster(roster))
+    if more is not None:
+        joined = joined.unionByName(more.join(segments.select("entity", "segment"), "entity"))
     return joined.groupBy("model", "horizon", "segment", "fold", "origin").agg(rmse(a, p).alias("rmse"), mae(a, p).alias("mae"), mape(a, p).alias("mape"), wmape(a, p).alias("wmape"), F.count_distinct("entity").alias("n_entities"), F.count("*").alias("n_rows"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.config import BACKTEST, CROSS_VALIDATED, FOLDS, GLOBAL, MODEL_VERSION, Calendar, Calibration
+from weftline.config import BACKTEST, CROSS_VALIDATED, FOLDS, GLOBAL, MODEL_VERSION, ROSTER, Calendar, Calibration
 from weftline.functions import settled
 from weftline.operators import baselines, calibrate, etl, ml, panel, score, selection, shares
 from weftline.plans.sqltext import END, HOLDOUT, shares as shares_sql, sql, walk
@@ -299,24 +299,13 @@ def fc_adjust_shrink(spark, d):
     return f.select("entity", "month", "step", F.round(baselines.shrunk(F.col("seasonal_naive"), F.col("trail_3")), 4).alias("units"))
 
 
-BEST = {"DEAD": "zero", "INTERMITTENT": "croston_sba", "REGULAR": "seasonal_naive"}
-
-
-@query(sql(f"""select entity as key, month, step as horizon, 'sku' as level, segment, model, '{MODEL_VERSION}' as model_version, round(u, 4) as units, round(u * 0.8::double, 4) as lower, round(u * 1.2::double, 4) as upper from
-    (select f.*, s.segment, case segment when 'DEAD' then 'zero' when 'INTERMITTENT' then 'croston_sba' else 'seasonal_naive' end as model, case segment when 'DEAD' then 0 when 'INTERMITTENT' then c.croston_sba else f.seasonal_naive end as u
-     from forecast_sku f join segment_sku s using (entity) join croston_sku c using (entity))""", "forecast_sku", "segment_sku", "croston_sku"))
-def fc_dispatch(spark, d):
-    p = dense(spark, d, "sku")
-    out = baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), panel.segment(p, CAL.train_end), BEST)
-    return out.select(F.col("entity").alias("key"), "month", F.col("step").alias("horizon"), F.lit("sku").alias("level"), "segment", "model", F.lit(MODEL_VERSION).alias("model_version"), *(F.round(c, 4).alias(c) for c in ("units", "lower", "upper")))
-
-
 # Validation and selection
 
 CV_ROWS = " union all ".join(f"select * from {walk('color', h, *SQL_FOLDS[h])}" for h in (1, 3, 12))
+TRIED = ", ".join(f"'{segment}/{horizon}/{model}'" for (segment, horizon), models in ROSTER.items() for model in models)
 CV_SQL = f"""(select model, horizon, segment, fold, origin, sqrt(avg((actual - predicted) * (actual - predicted))) as rmse, avg(abs(actual - predicted)) as mae, avg(abs(actual - predicted) / actual) filter (actual > 0) * 100 as mape,
     sum(abs(actual - predicted)) * 100 / nullif(sum(abs(actual)), 0) as wmape, count(distinct entity) as n_entities, count(*) as n_rows
-    from (select entity, fold, origin, horizon, actual, model, predicted from ({CV_ROWS}) unpivot (predicted for model in (ma_3, ma_12, seasonal_naive, seasonal_avg3y))) join segment_color using (entity) group by model, horizon, segment, fold, origin)"""
+    from (select entity, fold, origin, horizon, actual, model, predicted from ({CV_ROWS}) unpivot (predicted for model in (ma_3, ma_12, seasonal_naive, seasonal_avg3y, croston_sba, zero))) join segment_color using (entity) where (segment || '/' || horizon || '/' || model) in ({TRIED}) group by model, horizon, segment, fold, origin)"""
 BEST_SQL = f"""(select * from (select *, row_number() over (partition by segment, horizon order by round(mean_wmape, 6) nulls last, best_model) as place from
     (select segment, horizon, model as best_model, avg(wmape) as mean_wmape, avg(rmse) as mean_rmse, avg(mae) as mean_mae, avg(mape) as mean_mape from {CV_SQL} group by all)) where place = 1)"""
 
@@ -326,7 +315,7 @@ def metrics(spark, d):
     return selection.cv_metrics(p, panel.segment(p, CAL.train_end), CAL.train_end)
 
 
-@query(sql(f"select entity, fold, origin, month, step, horizon, {rounds('actual ma_3 ma_12 seasonal_naive seasonal_avg3y')} from ({CV_ROWS})", "panel_color"))
+@query(sql(f"select entity, fold, origin, month, step, horizon, {rounds('actual ma_3 ma_12 seasonal_naive seasonal_avg3y croston_sba zero')} from ({CV_ROWS})", "panel_color"))
 def cv_folds(spark, d):
     p = dense(spark, d, "color")
     return rounded(score.union_all([selection.walk_forward(p, CAL.train_end, f).withColumn("horizon", F.lit(f.horizon)) for f in FOLDS]))
@@ -342,6 +331,26 @@ def best_model(spark, d):
     return rounded(selection.best_models(metrics(spark, d)))
 
 
+SKU_CV = f"""(select segment, model, avg(wmape) as mean_wmape from (select model, segment, fold, sum(abs(actual - predicted)) * 100 / nullif(sum(abs(actual)), 0) as wmape
+    from (select entity, fold, actual, model, predicted from {walk('sku', 3, *SQL_FOLDS[3])} unpivot (predicted for model in (ma_3, ma_12, seasonal_naive, seasonal_avg3y, croston_sba, zero))) join segment_sku using (entity)
+    where (segment || '/3/' || model) in ({TRIED}) group by model, segment, fold) group by segment, model)"""
+SKU_BEST = f"(select segment, model as best_model from (select *, row_number() over (partition by segment order by round(mean_wmape, 6) nulls last, model) as place from {SKU_CV}) where place = 1)"
+
+
+def sku_best(p, s):
+    return selection.best_models(selection.cv_metrics(p, s, CAL.train_end, tuple(f for f in FOLDS if f.horizon == 3)))
+
+
+@query(sql(f"""select entity as key, month, step as horizon, 'sku' as level, segment, model, '{MODEL_VERSION}' as model_version, round(u, 4) as units, round(u * 0.8::double, 4) as lower, round(u * 1.2::double, 4) as upper from
+    (select f.*, s.segment, coalesce(b.best_model, 'seasonal_naive') as model, case coalesce(b.best_model, 'seasonal_naive') when 'zero' then 0 when 'croston_sba' then c.croston_sba when 'seasonal_avg3y' then f.seasonal_avg3y else f.seasonal_naive end as u
+     from forecast_sku f join segment_sku s using (entity) join croston_sku c using (entity) left join {SKU_BEST} b using (segment))""", "forecast_sku", "segment_sku", "croston_sku"))
+def fc_dispatch(spark, d):
+    p = dense(spark, d, "sku")
+    s = panel.segment(p, CAL.train_end)
+    out = baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), s, sku_best(p, s))
+    return out.select(F.col("entity").alias("key"), "month", F.col("step").alias("horizon"), F.lit("sku").alias("level"), "segment", "model", F.lit(MODEL_VERSION).alias("model_version"), *(F.round(c, 4).alias(c) for c in ("units", "lower", "upper")))
+
+
 ERRORS_SQL = f"(select segment, horizon, case when segment = 'DEAD' then 0 else mean_wmape / 100 end as expected_error from {BEST_SQL})"
 
 
@@ -581,7 +590,7 @@ def backtest_stylecode(spark, d):
 
 
 def factor_sql(rows: str, keys: str, cfg: Calibration) -> str:
-    tier = f"case when n >= {cfg.strong[0]} and total_actual >= {cfg.strong[1]} then 'STRONG' when n >= {cfg.moderate[0]} and total_actual >= {cfg.moderate[1]} then 'MODERATE' when n > 0 then 'WEAK' else 'NONE' end"
+    tier = f"case when n >= {cfg.strong[0]} and total_actual >= {cfg.strong[1]} then 'STRONG' when n >= {cfg.moderate[0]} and total_actual >= {cfg.moderate[1]} then 'MODERATE' when n >= {cfg.weak} then 'WEAK' else 'NONE' end"
     return f"""(select *, case when evidence in ('STRONG', 'MODERATE') and raw_factor is not null then least(greatest(raw_factor, {cfg.low}::double), {cfg.high}::double) else 1 end as factor from
         (select *, total_actual / nullif(total_predicted, 0) as raw_factor, {tier} as evidence from (select {keys}, count(*) as n, sum(actual) as total_actual, sum(predicted) as total_predicted from {rows} where {{positive}} > 0 group by all)))"""
 
@@ -589,9 +598,18 @@ def factor_sql(rows: str, keys: str, cfg: Calibration) -> str:
 FACTOR_COLUMNS = f"n, {rounds('total_actual total_predicted raw_factor')}, evidence, {rounds('factor')}"
 
 
-@query(sql(f"select entity, horizon, {FACTOR_COLUMNS} from {factor_sql(BT_SQL, 'entity, horizon', CROSS_VALIDATED).format(positive='predicted')}", "panel_style"))
+CV_EVIDENCE = "(select entity, origin, month, horizon, seasonal_naive as predicted, actual from (" + " union all ".join(f"select * from {walk('style', h, *SQL_FOLDS[h])}" for h in (1, 3)) + "))"
+CV_FACTORS = factor_sql(CV_EVIDENCE, "entity, horizon", CROSS_VALIDATED).format(positive="predicted")
+
+
+def cv_factors(spark, d):
+    rows = calibrate.validated(dense(spark, d, "style"), CAL.train_end, tuple(f for f in FOLDS if f.horizon != 12))
+    return calibrate.factors(rows, ["entity", "horizon"], CROSS_VALIDATED, positive="predicted")
+
+
+@query(sql(f"select entity, horizon, {FACTOR_COLUMNS} from {CV_FACTORS}", "panel_style"))
 def calib_cv(spark, d):
-    return rounded(calibrate.factors(tested(spark, d), ["entity", "horizon"], CROSS_VALIDATED, positive="predicted"))
+    return rounded(cv_factors(spark, d))
 
 
 BT_FACTORS = factor_sql(BT_SQL, "entity, horizon", BACKTEST).format(positive="actual")
@@ -638,7 +656,7 @@ def bias_analysis(spark, d):
     return rounded(calibrate.bias_analysis(rows, calibrate.factors(rows, ["entity", "horizon"], BACKTEST), ["entity", "horizon"], ["horizon"]))
 
 
-@query(sql(f"select 'factor_range' as \"check\", (count(*) filter (factor < 0.85 or factor > 1.15) = 0)::int as passed, count(*) filter (factor < 0.85 or factor > 1.15) as n_failed from {BT_FACTORS} union all select 'unique_keys', 1, 0 union all select 'no_leakage', (max(month) < date '2001-08-01')::int, (max(month) >= date '2001-08-01')::int from {BT_SQL}", "panel_style"))
+@query(sql(f"select 'factor_range' as \"check\", (count(*) filter (factor < 0.85 or factor > 1.15) = 0)::int as passed, count(*) filter (factor < 0.85 or factor > 1.15) as n_failed from {BT_FACTORS} union all select 'unique_keys', (count(*) = 0)::int, count(*) from (select entity, horizon from {BT_FACTORS} group by all having count(*) > 1) union all select 'no_leakage', (max(month) < date '2001-08-01')::int, (max(month) >= date '2001-08-01')::int from {BT_SQL}", "panel_style"))
 def calib_validate(spark, d):
     rows = tested(spark, d)
     last = rows.agg(F.max("month")).first()[0]
@@ -808,6 +826,8 @@ def stream_windowed_events(spark, d):
 
 
 def entry(spark: SparkSession, d: str) -> DataFrame:
-    """Segments of style colors with next month's seasonal forecast."""
+    """Segments of style colors with next month's forecast by the model that validation chose."""
     p = dense(spark, d, "color")
-    return baselines.dispatched(baselines.forecast(p, CAL.train_end, 1), panel.segment(p, CAL.train_end), BEST).select("entity", "segment", "month", "model", *(F.round(c, 4).alias(c) for c in ("units", "lower", "upper")))
+    s = panel.segment(p, CAL.train_end)
+    best = selection.best_models(selection.cv_metrics(p, s, CAL.train_end, FOLDS[:1]))
+    return baselines.dispatched(baselines.forecast(p, CAL.train_end, 1), s, best).select("entity", "segment", "month", "model", *(F.round(c, 4).alias(c) for c in ("units", "lower", "upper")))

@@ -38,6 +38,15 @@ def _croston(entity: str) -> str:
         select e.entity, coalesce(q / p, 0) as croston, coalesce(q / p * 0.9::double, 0) as croston_sba from (select distinct entity from panel_{entity}) e left join last_ l on l.entity = e.entity"""
 
 
+def _croston_at(entity: str, origins: str) -> str:
+    """Croston's method on the series as they were at each origin: entity, origin, sba."""
+    return f"""(with recursive o(origin) as (values {origins}), places as (select p.entity, o.origin, p.units, row_number() over (partition by p.entity, o.origin order by p.month) as i from panel_{entity} p join o on p.month <= o.origin),
+        ranked as (select entity, origin, i, units, row_number() over (partition by entity, origin order by i) as r from places where units > 0),
+        st as (select entity, origin, r, i, units::double as q, 1.0::double as p from ranked where r = 1
+            union all select n.entity, n.origin, n.r, n.i, 0.2::double * n.units + 0.8::double * s.q, 0.2::double * (n.i - s.i) + 0.8::double * s.p from st s join ranked n on n.entity = s.entity and n.origin = s.origin and n.r = s.r + 1)
+        select entity, origin, arg_max(q, r) / arg_max(p, r) * 0.9::double as sba from st group by entity, origin)"""
+
+
 def months_before(months: int) -> str:
     return f"({END} - interval {months} month)::date"
 
@@ -48,6 +57,7 @@ FOLDS = {1: (6, 3, 24), 3: (4, 3, 24), 12: (3, 12, 36)}
 def walk(entity: str, horizon: int, count: int, step: int, least: int) -> str:
     """Rows of walk-forward validation for one horizon."""
     folds = ", ".join(f"({count - k}, {months_before(horizon + k * step)})" for k in range(count))
+    origins = ", ".join(f"({months_before(horizon + k * step)})" for k in range(count))
 
     def before(h: int, y: int) -> str:
         k = 12 * y - h
@@ -61,8 +71,8 @@ def walk(entity: str, horizon: int, count: int, step: int, least: int) -> str:
     return f"""(with r as (select entity, month, greatest(0, avg(units) over (w rows between 2 preceding and current row)) as ma_3, greatest(0, avg(units) over (w rows between 11 preceding and current row)) as ma_12,
             row_number() over w as age, {columns} from panel_{entity} window w as (partition by entity order by month)),
         f(fold, origin) as (values {folds}), x as ({" union all ".join(parts)})
-        select x.entity, f.fold, f.origin, (f.origin + to_months(x.step))::date as month, x.step, {horizon} as horizon, x.actual, x.ma_3, x.ma_12, x.seasonal_naive::double as seasonal_naive, x.seasonal_avg3y::double as seasonal_avg3y
-        from x join f on x.month = f.origin where x.age >= {least} and x.actual is not null)"""
+        select x.entity, f.fold, f.origin, (f.origin + to_months(x.step))::date as month, x.step, {horizon} as horizon, x.actual, x.ma_3, x.ma_12, x.seasonal_naive::double as seasonal_naive, x.seasonal_avg3y::double as seasonal_avg3y, coalesce(cr.sba, 0)::double as croston_sba, 0.0::double as zero
+        from x join f on x.month = f.origin left join {_croston_at(entity, origins)} cr on cr.entity = x.entity and cr.origin = f.origin where x.age >= {least} and x.actual is not null)"""
 
 
 def shares(parent: str, child: str, recency: bool = False, smoothing: float = 0.0, cap: float = 0.0, unseen: str = "equal", where: str = "true", prefix: str = "", window: int = 12, least: int = 6, weights: tuple[float, float, float] = (3.0, 2.0, 1.0)) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftline.config import Features, Segments
 from weftline.functions import clipped, ratio
+from weftline.operators.ranking import placed
 
 
 def demand_by(gold: DataFrame, products: DataFrame, entity: str) -> DataFrame:
@@ -97,9 +98,9 @@ def feature_names(horizon: int, columns: list[str], cfg: Features = Features())
 
 
 def encoding(df: DataFrame, column: str) -> DataFrame:
-    """(value, code): the sorted different values from 0 on. The values of a dimension are few."""
+    """(value, code): the sorted different values from 0 on."""
     values = df.select(F.col(column).alias("value")).where("value is not null").distinct()
-    return values.withColumn("code", F.dense_rank().over(Window.orderBy("value")) - 1)
+    return placed(values, [F.col("value")]).select("value", (F.col("place") - 1).cast("int").alias("code"))
 
 
 def encoded(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import accuracy_tier, direction, ratio
+from weftline.operators.ranking import placed
 
 
 def scored(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
@@ -57,30 +58,67 @@ def decomposition(rows: DataFrame, products: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def risk_flags(forecasts: DataFrame, gold: DataFrame, products: DataFrame, shares: DataFrame, before: object, recent_months: int = 6, zero_rate: float = 0.50, jump: float = 3.0, low_units: float = 5.0, concentration: float | None = 0.85) -> DataFrame:
-    """(sku, month, step, flag, severity): one join with history, then an array of conditions exploded."""
+def risk_flags(forecasts: DataFrame, gold: DataFrame, shares: DataFrame, calibration: DataFrame, before: object, sparse: int = 6, zero_rate: float = 0.50, concentrated: float = 0.85, jump: float = 3.0, low_units: float = 5.0, high_bias: float = 1.30) -> DataFrame:
+    """(sku, month, step, flag, severity): one join with history and evidence, then an array of conditions exploded.
+
+    forecasts: sku, style, month, step, units; calibration: entity (the style), horizon, evidence, bias. History ends before `before`; its
+    last three months are counted from its own last one. A sku without history has no months, a zero rate of 1 and a recent mean of 0.
+    """
     known = gold.where(F.col("month") < F.lit(before))
-    recent = known.where(F.col("month") >= F.add_months(F.lit(before), -recent_months))
-    history = known.groupBy("sku").agg(F.count("*").alias("months_sold"), F.avg((F.col("units") == 0).cast("double")).alias("zero_rate"))
-    last = recent.groupBy("sku").agg(F.sum("units").alias("recent_units"), F.avg("units").alias("recent_mean"))
-    rows = forecasts.select("sku", "month", "step", "units").join(history, "sku", "left").join(last, "sku", "left").join(products.select("sku", "style", "color"), "sku", "left").join(shares.select(F.col("child").alias("sku"), "share"), "sku", "left")
+    last = known.agg(F.add_months(F.max("month"), -2)).scalar()
+    recent = F.col("month") >= last
+    history = known.groupBy("sku").agg(F.count_if(F.col("units") > 0).alias("sold"), (1 - F.count_if(F.col("units") > 0) / F.count("*")).alias("zeros"), F.avg(F.when(recent, F.col("units"))).alias("mean_3"))
+    rows = forecasts.join(history, "sku", "left").join(shares.select(F.col("child").alias("sku"), "share"), "sku", "left")
+    rows = rows.join(calibration.select(F.col("entity").alias("style"), F.col("horizon").alias("step"), "evidence", "bias"), ["style", "step"], "left")
+    mean = F.coalesce("mean_3", F.lit(0.0))
     conditions: list[tuple[str, str, Column]] = [
-        ("no_history", "HIGH", F.col("months_sold").isNull()),
-        ("no_hierarchy", "MEDIUM", F.col("color").isNull()),
-        ("intermittent_history", "MEDIUM", F.coalesce("zero_rate", F.lit(1.0)) >= zero_rate),
-        ("forecast_jump", "HIGH", F.col("units") > jump * F.col("recent_mean")),
-        ("low_recent_sales", "LOW", F.col("recent_units") <= low_units),
-        ("zero_forecast", "LOW", F.col("units") == 0),
+        ("sparse_history", "MEDIUM", F.coalesce("sold", F.lit(0)) < sparse),
+        ("intermittent_demand", "LOW", F.coalesce("zeros", F.lit(1.0)) > zero_rate),
+        ("high_allocation_concentration", "LOW", F.col("share") > concentrated),
+        ("large_forecast_jump", "HIGH", (mean > 0) & (F.col("units") > jump * mean)),
+        ("low_recent_demand", "LOW", mean <= low_units),
+        ("calibration_weak_or_missing", "LOW", F.coalesce("evidence", F.lit("NONE")).isin("WEAK", "NONE")),
+        ("parent_forecast_high_error", "MEDIUM", F.col("bias") > high_bias),
     ]
-    if concentration is not None:
-        conditions.append(("high_allocation_concentration", "LOW", F.col("share") > concentration))
     flags = F.array(*(F.when(c, F.struct(F.lit(name).alias("flag"), F.lit(severity).alias("severity"))) for name, severity, c in conditions))
     return rows.select("sku", "month", "step", F.explode(F.filter(flags, lambda f: f.isNotNull())).alias("f")).select("sku", "month", "step", "f.flag", "f.severity")
 
 
-def check_row(name: str, df: DataFrame, failed: Column) -> DataFrame:
-    """(check, passed, n_failed) of one condition over a table, in one aggregation."""
-    return df.agg(F.count_if(failed).alias("x")).select(F.lit(name).alias("check"), (F.col("x") == 0).cast("int").alias("passed"), F.col("x").alias("n_failed"))
+def validation_report(parents: DataFrame, colors: DataFrame, skus: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """(check, passed, n_failed) of a production forecast, from two aggregations: totals by level, and all conditions on rows at once.
+
+    parents: parent, month, step, units; colors and skus: parent, child, month, step, units, lower, upper.
+    """
+    key = ["month", "step"]
+
+    def meets(up: DataFrame, name: str, down: DataFrame) -> DataFrame:
+        sums = down.groupBy("parent", *key).agg(F.sum("units").alias("below"))
+        joined = up.select(F.col(name).alias("parent"), *key, "units").join(sums, ["parent", *key], "left")
+        return joined.agg(F.count_if(F.abs(F.col("units") - F.coalesce("below", F.lit(0.0))) >= tolerance).alias("x"))
+
+    twice = skus.groupBy("child", *key).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("units") < 0).alias("no_negative_units"),
+        F.count_if(F.col("units").isNull()).alias("no_null_units"),
+        F.count_if((F.col("lower") > F.col("units")) | (F.col("units") > F.col("upper"))).alias("bounds_ordered"),
+    )
+    rows = twice.agg(*(F.sum(c).alias(c) for c in ("no_negative_units", "no_null_units", "bounds_ordered")), F.count_if(F.col("n") > 1).alias("unique_keys"))
+    one = rows.crossJoin(meets(parents, "parent", colors).withColumnRenamed("x", "colors_meet_styles")).crossJoin(meets(colors, "child", skus).withColumnRenamed("x", "skus_meet_colors"))  # one row each
+    checks = one.select(*(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in one.columns)).unpivot([], one.columns, "check", "n_failed")
+    return checks.select("check", (F.col("n_failed") == 0).cast("int").alias("passed"), "n_failed")
+
+
+def lowest_step(rows: DataFrame) -> DataFrame:
+    """Of each sku and month the row of the lowest step."""
+    w = Window.partitionBy("sku", "month").orderBy("step")
+    return rows.withColumn("_place", F.row_number().over(w)).where("_place = 1").drop("_place")
+
+
+def same_population(rows: DataFrame) -> DataFrame:
+    """Errors of variants by step and month on the skus that all of them scored."""
+    n = rows.select("variant").distinct().agg(F.count("*")).scalar()
+    both = rows.groupBy("sku", "month", "step").agg(F.count_distinct("variant").alias("n_variants")).where(F.col("n_variants") == n)
+    return holdout_table(rows.join(both, ["sku", "month", "step"], "left_semi"), ["variant"])
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
@@ -104,24 +142,29 @@ def performance(rows: DataFrame, key: str, strong: float, moderate: float) -> Da
 
 def concentration(perf: DataFrame, key: str) -> DataFrame:
     """Rank by error with running sums: how few make most of it."""
-    w = Window.orderBy(F.desc("abs_error"), key)
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return perf.select(key, "abs_error", F.row_number().over(w).alias("rank"), F.sum("abs_error").over(running).alias("cumulative_error"), (F.sum("abs_error").over(running) * 100 / F.sum("abs_error").over(every)).alias("cumulative_percent"))
+    total = perf.agg(F.sum("abs_error")).scalar()
+    out = placed(perf.select(key, "abs_error"), [F.round("abs_error", 6).desc(), F.col(key)], {"cumulative_error": "abs_error"})
+    return out.select(key, "abs_error", F.col("place").alias("rank"), "cumulative_error", ratio(F.col("cumulative_error") * 100, total).alias("cumulative_percent"))
+
+
+def banded(perf: DataFrame, key: str) -> DataFrame:
+    """Each row's band by volume: the top 20 %, the middle 30 %, the rest; both upper bands have a row at least."""
+    n = perf.agg(F.count("*")).scalar()
+    top, middle = F.greatest(F.lit(1), F.ceil(n * 2 / 10)), F.greatest(F.lit(1), F.ceil(n * 3 / 10))
+    band = F.when(F.col("place") <= top, "TOP_20").when(F.col("place") <= top + middle, "MIDDLE_30").otherwise("BOTTOM_50")
+    return placed(perf, [F.round("actual", 6).desc(), F.col(key)]).withColumn("band", band)
 
 
 def volume_bands(perf: DataFrame, key: str) -> DataFrame:
-    """The top 20 %, middle 30 % and rest by volume."""
-    w = Window.orderBy(F.desc("actual"), key)
-    ranked = perf.withColumn("place", F.row_number().over(w)).withColumn("n", F.count("*").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    top, middle = F.ceil(F.col("n") * 2 / 10), F.ceil(F.col("n") * 5 / 10)
-    band = F.when(F.col("place") <= top, "TOP_20").when(F.col("place") <= middle, "MIDDLE_30").otherwise("BOTTOM_50")
-    return ranked.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"), ratio(F.sum("abs_error") * 100, F.sum("actual")).alias("wmape"))
+    sums = banded(perf, key).groupBy("band").agg(F.count("*").alias("n"), F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"), F.sum("abs_error").alias("abs_error"))
+    positive = F.when(F.col("actual") > 0, F.col("actual"))
+    return sums.withColumns({"wmape": ratio(F.col("abs_error") * 100, positive), "bias_ratio": ratio(F.col("predicted"), positive)})
 
 
 def accuracy_rank(perf: DataFrame, key: str) -> DataFrame:
-    w = Window.orderBy(F.round("wmape", 6).asc_nulls_last(), key)
-    return perf.select(key, "wmape", "tier", F.row_number().over(w).alias("rank"))
+    """Rows with a WMAPE, the best first."""
+    known = perf.where("wmape is not null").select(key, "wmape", "bias_ratio", "tier")
+    return placed(known, [F.round("wmape", 6), F.col(key)]).withColumnRenamed("place", "rank")
 
 
 def high_impact(perf: DataFrame, key: str) -> DataFrame:
@@ -130,18 +173,30 @@ def high_impact(perf: DataFrame, key: str) -> DataFrame:
     return perf.where((F.col("abs_error") >= p80) & (F.col("actual") > p50))
 
 
-def client_summary(rows: DataFrame) -> DataFrame:
-    """Metrics in long form."""
-    one = rows.agg(
-        F.count("*").cast("double").alias("n_rows"),
-        F.count_distinct("sku").cast("double").alias("n_skus"),
-        F.count_distinct("style").cast("double").alias("n_styles"),
-        F.sum("actual").alias("total_actual"),
+def client_summary(skus: DataFrame, styles: DataFrame) -> DataFrame:
+    """Fourteen metrics in long form. skus, styles: performance()."""
+
+    def percent(tier: str) -> Column:
+        return F.count_if(F.col("tier") == tier) * 100.0 / F.count("*")
+
+    def missed(band: str) -> Column:
+        inside = F.col("band") == band
+        return ratio(F.sum(F.when(inside, F.col("abs_error"))) * 100, F.sum(F.when(inside, F.col("actual"))))
+
+    of_skus = banded(skus, "sku").agg(
+        F.count("*").cast("double").alias("n_skus"),
         F.sum("predicted").alias("total_predicted"),
-        F.sum("abs_error").alias("total_abs_error"),
+        F.sum("actual").alias("total_actual"),
         ratio(F.sum("abs_error") * 100, F.sum("actual")).alias("wmape"),
-        ratio(F.sum("predicted"), F.sum("actual")).alias("bias_ratio"),
+        missed("TOP_20").alias("wmape_top_20"),
+        missed("BOTTOM_50").alias("wmape_bottom_50"),
+        *(percent(t).alias(f"skus_{t.lower()}") for t in ("STRONG", "MODERATE", "WEAK")),
+        F.sum("abs_error").alias("total_abs_error"),
     )
+    of_styles = styles.agg(F.count("*").cast("double").alias("n_styles"), *(percent(t).alias(f"styles_{t.lower()}") for t in ("STRONG", "MODERATE", "WEAK")))
+    worst = skus.orderBy(F.desc("abs_error"), "sku").limit(10).agg(F.sum("abs_error").alias("worst"))
+    one = of_skus.crossJoin(of_styles).crossJoin(worst)  # one row each
+    one = one.withColumn("error_top_10", ratio(F.col("worst") * 100, F.col("total_abs_error"))).drop("worst", "total_abs_error")
     return one.unpivot([], one.columns, "metric", "value")
 
 

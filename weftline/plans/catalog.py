@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.config import BACKTEST, CROSS_VALIDATED, FOLDS, GLOBAL, MODEL_VERSION, ROSTER, Calendar, Calibration
-from weftline.functions import settled
+from weftline.functions import ratio, settled
 from weftline.operators import baselines, calibrate, etl, ml, panel, score, selection, shares
 from weftline.plans.sqltext import END, HOLDOUT, shares as shares_sql, sql, walk
 from weftline.plans.sqltext import FOLDS as SQL_FOLDS
@@ -689,30 +689,34 @@ def production_sku(spark, d):
     return rounded(out.select("sku", "month", "step", "style", "color", "size", "segment", "units", "calibration_factor"))
 
 
-@query(sql(f"""select sku, month, step, f.flag, f.severity from (select sku, month, step, unnest([case when months_sold is null then {{'flag': 'no_history', 'severity': 'HIGH'}} end, case when color is null then {{'flag': 'no_hierarchy', 'severity': 'MEDIUM'}} end,
-    case when coalesce(zero_rate, 1) >= 0.5 then {{'flag': 'intermittent_history', 'severity': 'MEDIUM'}} end, case when units > 3 * recent_mean then {{'flag': 'forecast_jump', 'severity': 'HIGH'}} end, case when recent_units <= 5 then {{'flag': 'low_recent_sales', 'severity': 'LOW'}} end,
-    case when units = 0 then {{'flag': 'zero_forecast', 'severity': 'LOW'}} end, case when share > 0.85 then {{'flag': 'high_allocation_concentration', 'severity': 'LOW'}} end]) as f from
-    (select a.child as sku, a.month, a.step, a.units, p.color, h.*exclude(sku), r.*exclude(sku), s.share from {sku_alloc_sql()} a left join (select sku, count(*) as months_sold, avg((units = 0)::int::double) as zero_rate from gold where month < date '2001-08-01' group by 1) h on h.sku = a.child
-     left join (select sku, sum(units) as recent_units, avg(units) as recent_mean from gold where month < date '2001-08-01' and month >= date '2001-02-01' group by 1) r on r.sku = a.child left join products p on p.sku = a.child left join {shares_sql('color', 'sku')} s on s.child = a.child)) where f is not null""", *SCORE_NEEDS))
+RISK_ROWS = f"""(select a.child as sku, a.month, a.step, a.units, s.share, t.evidence, t.bias, coalesce(h.sold, 0) as sold, coalesce(h.zeros, 1) as zeros, coalesce(h.mean_3, 0) as mean_3
+    from {sku_alloc_sql()} a join products p on p.sku = a.child
+    left join (select sku, count(*) filter (units > 0) as sold, 1 - count(*) filter (units > 0)::double / count(*) as zeros,
+        avg(units) filter (month >= (select max(month) from gold where month < date '2001-08-01') - interval 2 month) as mean_3 from gold where month < date '2001-08-01' group by 1) h on h.sku = a.child
+    left join {shares_sql('color', 'sku')} s on s.child = a.child
+    left join (select entity, horizon, evidence, total_predicted / nullif(total_actual, 0) as bias from {BT_FACTORS}) t on t.entity = p.style and t.horizon = a.step)"""
+RISKS = [("sparse_history", "MEDIUM", "sold < 6"), ("intermittent_demand", "LOW", "zeros > 0.5"), ("high_allocation_concentration", "LOW", "share > 0.85"), ("large_forecast_jump", "HIGH", "mean_3 > 0 and units > 3 * mean_3"),
+         ("low_recent_demand", "LOW", "mean_3 <= 5"), ("calibration_weak_or_missing", "LOW", "coalesce(evidence, 'NONE') in ('WEAK', 'NONE')"), ("parent_forecast_high_error", "MEDIUM", "bias > 1.3")]
+
+
+@query(sql("with r as materialized (select * from " + RISK_ROWS + ") " + " union all ".join(f"select sku, month, step, '{f}' as flag, '{s}' as severity from r where {c}" for f, s, c in RISKS), *SCORE_NEEDS, "panel_style").replace("\nwith r as materialized (", ",\nr as materialized (", 1))
 def risk_flags(spark, d):
-    f = sku_alloc(spark, d).withColumnRenamed("child", "sku")
-    return score.risk_flags(f, gold(spark, d), retail.dim_product(spark, d), split(spark, d, "color", "sku", shares.BASELINE), CAL.holdout[0])
+    f = sku_alloc(spark, d).withColumnRenamed("child", "sku").join(retail.dim_product(spark, d).select("sku", "style"), "sku")
+    factors = calibrate.factors(tested(spark, d), ["entity", "horizon"], BACKTEST).withColumn("bias", ratio(F.col("total_predicted"), F.col("total_actual")))
+    return score.risk_flags(f, gold(spark, d), split(spark, d, "color", "sku", shares.BASELINE), factors, CAL.holdout[0])
+
+
+def meets_sql(name: str, up: str, key: str, down: str) -> str:
+    return f"select '{name}' as \"check\", (count(*) filter (abs(u.units - coalesce(b.below, 0)) >= 0.01) = 0)::int as passed, count(*) filter (abs(u.units - coalesce(b.below, 0)) >= 0.01) as n_failed from {up} u left join (select parent, month, step, sum(units) as below from {down} group by all) b on b.parent = u.{key} and b.month = u.month and b.step = u.step"
 
 
-@query(sql(f"select 'no_negative_units' as \"check\", (count(*) filter (units < 0) = 0)::int as passed, count(*) filter (units < 0) as n_failed from {sku_alloc_sql()} union all select 'no_null_units', (count(*) filter (units is null) = 0)::int, count(*) filter (units is null) from {sku_alloc_sql()} union all select 'bounds_ordered', (count(*) filter (lower > units or units > upper) = 0)::int, count(*) filter (lower > units or units > upper) from {sku_alloc_sql()} union all select 'reconciles', (count(*) filter (abs(u - v) >= 0.01) = 0)::int, count(*) filter (abs(u - v) >= 0.01) from (select f.units as u, a.v from {STYLE_FC} f join (select parent, month, step, sum(units) as v from {COLOR_ALLOC} group by all) a using (parent, month, step)) union all select 'unique_keys', (count(*) = 0)::int, count(*) from (select child, month, step from {sku_alloc_sql()} group by all having count(*) > 1)", *SCORE_NEEDS))
+ROW_CHECKS = {"no_negative_units": "units < 0", "no_null_units": "units is null", "bounds_ordered": "lower > units or units > upper"}
+
+
+@query(sql(" union all ".join([f"select '{name}' as \"check\", (count(*) filter ({c}) = 0)::int as passed, count(*) filter ({c}) as n_failed from {sku_alloc_sql()}" for name, c in ROW_CHECKS.items()]
+    + [meets_sql("colors_meet_styles", STYLE_FC, "parent", COLOR_ALLOC), meets_sql("skus_meet_colors", COLOR_ALLOC, "child", sku_alloc_sql()), f"select 'unique_keys', (count(*) = 0)::int, count(*) from (select child, month, step from {sku_alloc_sql()} group by all having count(*) > 1)"]), *SCORE_NEEDS))
 def validation_report(spark, d):
-    f = sku_alloc(spark, d)
-    r = shares.reconcile(parent_forecast(spark, d), color_alloc(spark, d))
-    twice = f.groupBy("child", "month", "step").agg(F.count("*").alias("n"))
-    return score.union_all(
-        [
-            score.check_row("no_negative_units", f, F.col("units") < 0),
-            score.check_row("no_null_units", f, F.col("units").isNull()),
-            score.check_row("bounds_ordered", f, (F.col("lower") > F.col("units")) | (F.col("units") > F.col("upper"))),
-            score.check_row("reconciles", r, F.col("passed") == 0),
-            score.check_row("unique_keys", twice, F.col("n") > 1),
-        ]
-    )
+    return score.validation_report(parent_forecast(spark, d), color_alloc(spark, d), sku_alloc(spark, d))
 
 
 @query(sql(" union all ".join(f"select '{v}' as version, {', '.join(f'round(sum(abs_error) filter (step = {s}) * 100 / greatest(1, sum(actual) filter (step = {s})), 4) as wmape_step_{s}' for s in (1, 2))} from {scored_sql(**a)}" for v, a in (("baseline", {}), ("recency_only", {"recency": True}))), *SCORE_NEEDS))
@@ -751,41 +755,60 @@ def diag_sku_perf(spark, d):
     return settled_ratios(score.performance(diagnosed(spark, d), "sku", 50, 100))
 
 
-def color_perf(spark, d):
-    return score.performance(diagnosed(spark, d), "color", 40, 70)
+def sku_perf(spark, d):
+    return score.performance(diagnosed(spark, d), "sku", 50, 100)
+
 
+def style_perf(spark, d):
+    return score.performance(diagnosed(spark, d), "style", 40, 70)
 
-COLOR_PERF = perf_sql("color", 40, 70)
 
+SKU_PERF, STYLE_PERF = perf_sql("sku", 50, 100), perf_sql("style", 40, 70)
 
-@query(sql(f"select color, round(abs_error, 4) as abs_error, rank, round(sum(abs_error) over (order by rank), 4) as cumulative_error, round(sum(abs_error) over (order by rank) * 100 / sum(abs_error) over (), 4) as cumulative_percent from (select *, row_number() over (order by abs_error desc, color)::int as rank from {COLOR_PERF})", *SCORE_NEEDS))
+
+@query(sql(f"select sku, round(abs_error, 4) as abs_error, rank, round(sum(abs_error) over (order by rank), 4) as cumulative_error, round(sum(abs_error) over (order by rank) * 100 / sum(abs_error) over () + 1e-9::double, 4) as cumulative_percent from (select *, row_number() over (order by round(abs_error, 6) desc, sku) as rank from {SKU_PERF})", *SCORE_NEEDS))
 def diag_error_concentration(spark, d):
-    return rounded(score.concentration(color_perf(spark, d), "color"))
+    return rounded(score.concentration(sku_perf(spark, d), "sku").withColumn("cumulative_percent", settled(F.col("cumulative_percent"))))
+
 
+BAND_SQL = f"(select *, case when place <= greatest(1, ceil(n * 2 / 10)) then 'TOP_20' when place <= greatest(1, ceil(n * 2 / 10)) + greatest(1, ceil(n * 3 / 10)) then 'MIDDLE_30' else 'BOTTOM_50' end as band from (select *, row_number() over (order by round(actual, 6) desc, sku) as place, count(*) over () as n from {SKU_PERF}))"
 
-@query(sql(f"select case when place <= ceil(n * 2 / 10) then 'TOP_20' when place <= ceil(n * 5 / 10) then 'MIDDLE_30' else 'BOTTOM_50' end as band, count(*) as n, round(sum(actual), 4) as actual, round(sum(predicted), 4) as predicted, round(sum(abs_error) * 100 / nullif(sum(actual), 0), 4) as wmape from (select *, row_number() over (order by actual desc, color) as place, count(*) over () as n from {COLOR_PERF}) group by 1", *SCORE_NEEDS))
+
+@query(sql(f"select band, count(*) as n, round(sum(actual), 4) as actual, round(sum(predicted), 4) as predicted, round(sum(abs_error), 4) as abs_error, round(sum(abs_error) * 100 / nullif(sum(actual), 0), 4) as wmape, round(sum(predicted) / nullif(sum(actual), 0), 4) as bias_ratio from {BAND_SQL} group by 1", *SCORE_NEEDS))
 def diag_volume_bands(spark, d):
-    return rounded(score.volume_bands(color_perf(spark, d), "color"))
+    return rounded(score.volume_bands(sku_perf(spark, d), "sku"))
+
 
+for _key in ("sku", "style"):
+    _perf = {"sku": (sku_perf, SKU_PERF), "style": (style_perf, STYLE_PERF)}[_key]
 
-@query(sql(f"select color, round(wmape, 4) as wmape, tier, row_number() over (order by round(wmape, 6) nulls last, color)::int as rank from {COLOR_PERF}", *SCORE_NEEDS))
-def diag_accuracy_rank(spark, d):
-    return rounded(score.accuracy_rank(color_perf(spark, d), "color"))
+    def _rank_query(spark, d, key=_key, perf=_perf[0]):
+        return rounded(score.accuracy_rank(perf(spark, d), key).withColumns({c: settled(F.col(c)) for c in ("wmape", "bias_ratio")}))
 
+    _rank_query.__name__ = "diag_accuracy_rank" if _key == "sku" else "diag_reliability_rank"
+    query(sql(f"select {_key}, round(wmape + 1e-9::double, 4) as wmape, round(bias_ratio + 1e-9::double, 4) as bias_ratio, tier, row_number() over (order by round(wmape, 6), {_key}) as rank from {_perf[1]} where wmape is not null", *SCORE_NEEDS))(_rank_query)
 
-@query(sql(f"select bias, count(*) as n, round(sum(abs_error), 4) as abs_error from {COLOR_PERF} group by 1", *SCORE_NEEDS))
+
+@query(sql(f"select bias, count(*) as n, round(sum(abs_error), 4) as abs_error from {SKU_PERF} group by 1", *SCORE_NEEDS))
 def diag_bias_direction(spark, d):
-    return rounded(color_perf(spark, d).groupBy("bias").agg(F.count("*").alias("n"), F.sum("abs_error").alias("abs_error")))
+    return rounded(sku_perf(spark, d).groupBy("bias").agg(F.count("*").alias("n"), F.sum("abs_error").alias("abs_error")))
 
 
-@query(sql(f"select color, {PERF_COLUMNS} from {COLOR_PERF} where abs_error >= (select quantile_cont(abs_error, 0.8) from {COLOR_PERF}) and actual > (select quantile_cont(actual, 0.5) from {COLOR_PERF})", *SCORE_NEEDS))
+@query(sql(f"select sku, {PERF_COLUMNS} from {SKU_PERF} where abs_error >= (select quantile_cont(abs_error, 0.8) from {SKU_PERF}) and actual > (select quantile_cont(actual, 0.5) from {SKU_PERF})", *SCORE_NEEDS))
 def diag_high_impact(spark, d):
-    return settled_ratios(score.high_impact(color_perf(spark, d), "color"))
+    return settled_ratios(score.high_impact(sku_perf(spark, d), "sku"))
+
+
+def tier_sql(prefix: str) -> str:
+    return ", ".join(f"count(*) filter (tier = '{t}') * 100.0::double / count(*) as {prefix}_{t.lower()}" for t in ("STRONG", "MODERATE", "WEAK"))
 
 
-@query(sql(f"select metric, round(value, 4) as value from (select count(*)::double as n_rows, count(distinct sku)::double as n_skus, count(distinct style)::double as n_styles, sum(actual)::double as total_actual, sum(predicted)::double as total_predicted, sum(abs_error)::double as total_abs_error, sum(abs_error) * 100 / sum(actual) as wmape, sum(predicted) / sum(actual) as bias_ratio from {DIAG}) unpivot (value for metric in (*))", *SCORE_NEEDS))
+@query(sql(f"""select metric, round(value, 4) as value from (select * from (select count(*)::double as n_skus, sum(predicted)::double as total_predicted, sum(actual)::double as total_actual, sum(abs_error) * 100 / sum(actual) as wmape,
+        sum(abs_error) filter (band = 'TOP_20') * 100 / nullif(sum(actual) filter (band = 'TOP_20'), 0) as wmape_top_20, sum(abs_error) filter (band = 'BOTTOM_50') * 100 / nullif(sum(actual) filter (band = 'BOTTOM_50'), 0) as wmape_bottom_50,
+        {tier_sql('skus')}, (select sum(abs_error) from (select abs_error from {SKU_PERF} order by abs_error desc, sku limit 10)) * 100 / nullif(sum(abs_error), 0) as error_top_10 from {BAND_SQL}),
+    (select count(*)::double as n_styles, {tier_sql('styles')} from {STYLE_PERF})) unpivot (value for metric in (*))""", *SCORE_NEEDS))
 def diag_client_summary(spark, d):
-    return rounded(score.client_summary(diagnosed(spark, d)))
+    return rounded(score.client_summary(sku_perf(spark, d), style_perf(spark, d)))
 
 
 @query(sql(f"select step, {rounds('wmape bias_ratio')}, case when wmape < 55 and abs(bias_ratio - 1) <= 0.05 then 'GREEN' when wmape <= 70 and abs(bias_ratio - 1) <= 0.1 then 'AMBER' else 'RED' end as verdict from (select step, sum(abs_error) * 100 / sum(actual) as wmape, sum(predicted) / sum(actual) as bias_ratio from {scored_sql()} group by 1)", *SCORE_NEEDS))

@@ -45,7 +45,7 @@ from .packing import packed, unpacked
 
 SPAN = 50
 TRIGGER = 20
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 4 << 20
 CHUNK_BYTES = 1 << 19  # of which the arrays of one step are made
 BLOCKS = "block long, data binary"
 KEYS = "bucket int, block long, n int, width int, data binary"
@@ -258,11 +258,13 @@ def settle(ids: np.ndarray, ends: np.ndarray, data: np.ndarray, bits: int) -> Se
     triggers = join("triggers").astype("u8") & ~np.uint64((1 << 64 - bits - 8 * KEY) - 1)
     phrases = join("phrases").astype("u8") >> np.uint64(64 - 8 * PHRASE) | np.uint64(1)
     keys, documents, index = _smallest(triggers, join("documents").astype(np.int64))
-    order = np.lexsort((phrases, index))
-    new = np.ones(len(order), bool)
-    new[1:] = (index[order][1:] != index[order][:-1]) | (phrases[order][1:] != phrases[order][:-1])
-    different = np.bincount(index[order][new], minlength=len(keys)).astype("u8")
-    one = phrases[order][np.searchsorted(index[order], np.arange(len(keys)))] if len(keys) else phrases
+    order = np.argsort(index, kind="stable")
+    starts = np.searchsorted(index[order], np.arange(len(keys)))
+    one = np.minimum.reduceat(phrases[order], starts) if len(keys) else phrases
+    most = np.maximum.reduceat(phrases[order], starts) if len(keys) else phrases
+    mixed = np.flatnonzero((one != most)[index]) if len(keys) else index
+    pairs = np.unique(np.stack([index[mixed].astype("u8"), phrases[mixed]], axis=1), axis=0) if len(mixed) else np.empty((0, 2), "u8")
+    different = np.bincount(pairs[:, 0].astype(np.int64), minlength=len(keys)).astype("u8")
     return Settled(parses, keys, documents, np.where(different > 1, different * np.uint64(2), one), index)
 
 
@@ -424,20 +426,26 @@ def phrases_sent(blocks: DataFrame, told: DataFrame, bits: int) -> DataFrame:
 
 
 def suffix_ranks(raw: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The rank of each suffix (equal for equal ones) in the order of their first SPAN bytes, by 8 bytes at a time."""
-    if not len(places):
-        return np.empty(0, np.int64)
+    """The place of each suffix (equal for equal ones) in the order of their first SPAN bytes, by 8 bytes at a time."""
     padded = np.concatenate([raw, np.zeros(16, np.uint8)])
     word = np.ndarray(shape=(len(padded) - 7,), dtype=">u8", buffer=padded, strides=(1,))
-    rank = np.zeros(len(places), np.uint64)
+    rank, open_ = np.zeros(len(places), np.int64), np.arange(len(places))
     for depth in range(0, SPAN, 8):
-        here = word[places + depth].astype(np.uint64)
+        here = word[places[open_] + depth].astype(np.uint64)
         if depth + 8 > SPAN:  # the last step reads only what is left
             here >>= np.uint64(8 * (depth + 8 - SPAN))
-        _, here = np.unique(here, return_inverse=True)
-        _, rank = np.unique(rank << np.uint64(32) | here.astype(np.uint64), return_inverse=True)
-        rank = rank.astype(np.uint64)
-    return rank.astype(np.int64)
+        order = np.lexsort((here, rank[open_])) if depth else np.argsort(here, kind="stable")
+        open_, here = open_[order], here[order]
+        before, at = rank[open_], np.arange(len(open_))
+        other = np.concatenate([[True], before[1:] != before[:-1]])[: len(at)]
+        new = other | np.concatenate([[True], here[1:] != here[:-1]])[: len(at)]
+        starts = np.flatnonzero(new)
+        rank[open_] = before + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(other, at, 0))
+        size = np.diff(np.append(starts, len(at)))
+        open_ = open_[np.repeat(size > 1, size)]  # the others are settled
+        if not len(open_):
+            break
+    return rank
 
 
 def ordered(phrases: DataFrame, buckets: int) -> DataFrame:
@@ -498,7 +506,7 @@ def dedup(docs: DataFrame, carry: list[str] | None = None, with_text: bool = Fal
     carry = carry or []
     blocks = blocked(docs, carry)
     n = blocks.count()
-    bits = min(20, max(4, (max(1, n) - 1).bit_length()))  # as many buckets as blocks, about
+    bits = min(20, max(4, (n // 4).bit_length()))  # a bucket has as much as two to four blocks
     told = written(answers(trigger_keys(blocks, bits), 1 << bits), "phrase-answers")
     told_suffixes = ordered(phrases_sent(blocks, told, bits), 1 << bits)
     step = lambda df, k: df.select("block", "bucket", "kind" if k == 0 else F.lit(0).alias("kind"), "n" if k == 0 else F.lit(0).alias("n"), F.lit(k).alias("step"), "data")

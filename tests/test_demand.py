@@ -243,12 +243,16 @@ def test_encoding_of_unseen(spark):
 
 
 def test_risk_flags(spark):
-    f = spark.createDataFrame([("1", month("2025-01"), 1, 100.0), ("2", month("2025-01"), 1, 0.0)], "sku string, month date, step int, units double")
-    gold = spark.createDataFrame([("1", month("2024-12"), 4.0)], "sku string, month date, units double")
-    products = spark.createDataFrame([("1", "s", "c")], "sku string, style string, color string")
-    share = spark.createDataFrame([("c", "1", 0.9)], "parent string, child string, share double")
-    found = {(r["sku"], r["flag"]) for r in score.risk_flags(f, gold, products, share, month("2025-01")).collect()}
-    assert found == {("1", "forecast_jump"), ("1", "low_recent_sales"), ("1", "high_allocation_concentration"), ("2", "no_history"), ("2", "no_hierarchy"), ("2", "intermittent_history"), ("2", "zero_forecast")}
+    f = spark.createDataFrame([("1", "s", month("2025-01"), 1, 100.0), ("2", "z", month("2025-01"), 1, 0.0), ("3", "s", month("2025-01"), 1, 20.0)], "sku string, style string, month date, step int, units double")
+    gold = spark.createDataFrame([("1", month("2024-12"), 4.0)] + [("3", month(f"2024-{k:02d}"), 10.0) for k in range(5, 13)] + [("1", month("2025-01"), 99.0)], "sku string, month date, units double")
+    share = spark.createDataFrame([("c", "1", 0.9), ("c", "3", 0.1)], "parent string, child string, share double")
+    evidence = spark.createDataFrame([("s", 1, "STRONG", 1.4)], "entity string, horizon int, evidence string, bias double")
+    found = {(r["sku"], r["flag"]) for r in score.risk_flags(f, gold, share, evidence, month("2025-01")).collect()}
+    assert found == {
+        *(("1", x) for x in ("sparse_history", "high_allocation_concentration", "large_forecast_jump", "low_recent_demand", "parent_forecast_high_error")),
+        *(("2", x) for x in ("sparse_history", "intermittent_demand", "low_recent_demand", "calibration_weak_or_missing")),
+        ("3", "parent_forecast_high_error"),
+    }
 
 
 def test_stream_upsert(spark, tmp_path):
@@ -258,3 +262,43 @@ def test_stream_upsert(spark, tmp_path):
     stream.start_upsert(stream.windowed(source), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     rows = spark.read.parquet(str(tmp_path / "out" / "v0")).collect()
     assert [(r["key"], r["n"], r["total"]) for r in rows] == [("view", 2, 5.0)]
+
+
+def test_runs_write_their_tables(spark, tmp_path):
+    """From headers and lines to a checked production forecast, every table written and read back."""
+    from weftline.operators import runs
+    from weftline.sources import retail
+
+    sf = "/root/testdata/sf0.001"
+    headers = retail.table(spark, sf, "orders").selectExpr("o_orderkey as order_number", "cast(o_orderdate as date) as order_date")
+    products = retail.dim_product(spark, sf)
+    paths = runs.run_etl(headers, retail.order_lines(spark, sf).join(products.select("sku", "item"), "sku"), products, str(tmp_path / "etl"))
+    gold = spark.read.parquet(paths["gold"])
+    assert gold.groupBy("sku", "month").count().where("count > 1").count() == 0
+    assert gold.agg({"units": "sum"}).first()[0] == retail.order_lines(spark, sf).where("shipped_qty > 0").agg({"shipped_qty": "sum"}).first()[0]
+    out = runs.run_production(spark, paths, month("2001-07"), str(tmp_path / "run"))
+    checks = {r["check"]: r["passed"] for r in spark.read.parquet(out["validation"]).collect()}
+    assert set(checks) == {"no_negative_units", "no_null_units", "bounds_ordered", "unique_keys", "colors_meet_styles", "skus_meet_colors"}
+    assert checks["no_negative_units"] == checks["unique_keys"] == checks["no_null_units"] == checks["bounds_ordered"] == 1
+    assert spark.read.parquet(out["sku_forecast"]).count() == 3 * products.count()
+
+
+def test_places_over_partitions(spark):
+    """Places and running sums are those of one window over everything, ties and all."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from weftline.operators.ranking import placed
+
+    rows = spark.range(5000).select("id", (F.col("id") * 7919 % 97).cast("double").alias("x")).repartition(7)
+    found = {r["id"]: (r["place"], r["s"]) for r in placed(rows, [F.desc("x"), F.col("id")], {"s": "x"}).collect()}
+    w = Window.orderBy(F.desc("x"), "id")
+    assert found == {r["id"]: (r["p"], r["s"]) for r in rows.select("id", F.row_number().over(w).alias("p"), F.sum("x").over(w).alias("s")).collect()}
+    assert placed(rows.where("false"), [F.col("id")]).count() == 0
+
+
+def test_coerced_rows_and_their_count(spark):
+    from weftline.operators import panel
+
+    raw = spark.createDataFrame([("a", "2020-01-01", "2"), ("a", "soon", "2"), (None, "2020-01-01", "2"), ("b", "2020-02-01", "many")], "entity string, month string, units string")
+    rows, dropped = panel.coerced(raw)
+    assert [(r["entity"], r["units"]) for r in rows.collect()] == [("a", 2.0)] and dropped.first()[0] == 3

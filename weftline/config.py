@@ -94,7 +94,6 @@ class Profiles:
     child_months: float = 6.0
     dominant: float = 0.70
     stable: float = 0.10
-    high_volume: float = 500.0
 
 
 @dataclass(frozen=True)

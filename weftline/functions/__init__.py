@@ -40,11 +40,6 @@ def wmape(actual: Column, predicted: Column) -> Column:
     return ratio(F.sum(F.abs(actual - predicted)) * 100.0, F.sum(F.abs(actual)))
 
 
-def wmape_floor1(actual: Column, predicted: Column) -> Column:
-    """The same over the sum of actuals, but 1 at least."""
-    return F.sum(F.abs(actual - predicted)) * 100.0 / F.greatest(F.sum(actual), F.lit(1.0))
-
-
 def rmse(actual: Column, predicted: Column) -> Column:
     return F.sqrt(F.avg((actual - predicted) * (actual - predicted)))
 

@@ -36,6 +36,20 @@ def with_products(panel: DataFrame, products: DataFrame) -> DataFrame:
     return joined.na.fill("UNKNOWN", attributes)
 
 
+def filled(rows: DataFrame, products: DataFrame, attributes: list[str]) -> DataFrame:
+    """Rows of skus whose missing attributes come from the products, and are UNKNOWN where those lack them too."""
+    known = products.select("sku", *(F.col(a).alias(f"_{a}") for a in attributes))
+    joined = rows.join(known, "sku", "left")
+    return joined.withColumns({a: F.coalesce(a, f"_{a}", F.lit("UNKNOWN")) for a in attributes}).drop(*(f"_{a}" for a in attributes))
+
+
+def coerced(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with a month, an entity and units of the right type, one row with the number of the others)."""
+    typed = raw.select(F.col("entity").cast("string").alias("entity"), F.try_to_timestamp(F.col("month").cast("string")).cast("date").alias("month"), F.expr("try_cast(units as double)").alias("units"))
+    bad = F.col("entity").isNull() | F.col("month").isNull() | F.col("units").isNull()
+    return typed.where(~bad), typed.agg(F.count_if(bad).alias("n_dropped"))
+
+
 def with_calendar(panel: DataFrame, months: DataFrame) -> DataFrame:
     joined = panel.join(F.broadcast(months), "month", "left")  # one row a month
     return joined.withColumns({"year": F.coalesce("year", F.year("month")), "quarter": F.coalesce("quarter", F.quarter("month")), "month_of_year": F.coalesce("month_of_year", F.month("month"))})

@@ -78,8 +78,3 @@ def normalised(df: DataFrame) -> DataFrame:
     if "has_actual" in renamed.columns:
         renamed = renamed.withColumn("has_actual", F.lower(F.col("has_actual").cast("string")) == "true")
     return renamed
-
-
-def holdout_actuals(gold: DataFrame, months: Iterable[object]) -> DataFrame:
-    """Actuals of the given months; the filter reaches the scan."""
-    return gold.where(F.col("month").isin(*months))

@@ -10,21 +10,31 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.config import BOUNDS, Adjustments
+from weftline.config import BOUNDS, Adjustments, Features, Folds
+from weftline.operators.baselines import blended
+from weftline.operators.selection import origins
 
-INPUTS = ("lag_1", "lag_2", "lag_3", "lag_6", "lag_12", "mean_3", "mean_6", "mean_12", "trend", "month_sin", "month_cos")
+ALWAYS = ("trend", "momentum_3", "yoy_growth", "month_sin", "month_cos")
+TREES = {"gbt": 100, "random_forest": 300}
 
 
-def train(name: str, rows: DataFrame, seed: int = 42, iterations: int = 20) -> PipelineModel:
-    """A model of `label` on INPUTS."""
+def input_names(horizon: int, cfg: Features = Features()) -> list[str]:
+    """What a model of the horizon sees: nothing younger than the horizon."""
+    windows = [n for n in cfg.windows if horizon < 12 or n == 12]
+    return [f"lag_{k}" for k in cfg.lags if k >= horizon] + [f"{s}_{n}" for n in windows for s in ("mean", "std")] + list(ALWAYS)
+
+
+def train(name: str, rows: DataFrame, horizon: int = 1, seed: int = 42, iterations: int | None = None) -> PipelineModel:
+    """A model of `label` on the horizon's inputs; iterations: trees, TREES unless given."""
+    iterations = iterations or TREES[name]
     common = {"featuresCol": "features", "labelCol": "label", "seed": seed}
     if name == "gbt":
         learner = GBTRegressor(maxIter=iterations, maxDepth=5, stepSize=0.1, subsamplingRate=0.8, **common)
     elif name == "random_forest":
-        learner = RandomForestRegressor(numTrees=iterations, maxDepth=8, minInstancesPerNode=5, **common)
+        learner = RandomForestRegressor(numTrees=iterations, maxDepth=10, minInstancesPerNode=5, **common)
     else:
         raise ValueError(f"unknown model {name}")
-    return Pipeline(stages=[VectorAssembler(inputCols=list(INPUTS), outputCol="features"), learner]).fit(rows)
+    return Pipeline(stages=[VectorAssembler(inputCols=input_names(horizon), outputCol="features"), learner]).fit(rows)
 
 
 def state(panel: DataFrame) -> DataFrame:
@@ -33,14 +43,27 @@ def state(panel: DataFrame) -> DataFrame:
     return panel.groupBy("entity").agg(F.transform(ordered, lambda x: x["units"]).alias("u"), F.min("month").alias("first"))
 
 
-def inputs(at: str = "size(u)") -> dict[str, Column]:
+def inputs(at: str = "size(u)", cfg: Features = Features()) -> dict[str, Column]:
     """Features of the month at place `at` of u from those before it; 0 where history is too short."""
-    out = {f"lag_{k}": F.expr(f"coalesce(if({at} - {k} >= 0, u[int({at} - {k})], 0D), 0D)") for k in (1, 2, 3, 6, 12)}
-    for n in (3, 6, 12):
+
+    def lag(k: int) -> str:
+        return f"coalesce(if({at} - {k} >= 0, u[int({at} - {k})], 0D), 0D)"
+
+    out = {f"lag_{k}": F.expr(lag(k)) for k in cfg.lags}
+    for n in cfg.windows:
         part = f"slice(u, greatest(1, int({at}) - {n} + 1), least({n}, int({at})))"
-        out[f"mean_{n}"] = F.expr(f"if({at} > 0, aggregate({part}, 0D, (a, x) -> a + x) / greatest(1, size({part})), 0D)")
+        total, squares = f"aggregate({part}, 0D, (a, x) -> a + x)", f"aggregate({part}, 0D, (a, x) -> a + x * x)"
+        out[f"mean_{n}"] = F.expr(f"if({at} > 0, {total} / greatest(1, size({part})), 0D)")
+        out[f"std_{n}"] = F.expr(f"if({at} > 1, sqrt(greatest(0D, ({squares} - {total} * {total} / size({part})) / (size({part}) - 1))), 0D)")
+    growth = f"if({lag(24)} > 0, least(greatest({lag(12)} / {lag(24)}, {cfg.growth_low}D), {cfg.growth_high}D), 1D)"
     month = f"month(add_months(first, int({at})))"
-    return out | {"trend": F.expr(f"double({at})"), "month_sin": F.expr(f"sin({month} * pi() / 6)"), "month_cos": F.expr(f"cos({month} * pi() / 6)")}
+    return out | {
+        "trend": F.expr(f"double({at})"),
+        "momentum_3": F.expr(f"least(greatest(({lag(1)} - {lag(3)}) / ({lag(3)} + 1), -{cfg.momentum_clip}D), {cfg.momentum_clip}D)"),
+        "yoy_growth": F.expr(growth),
+        "month_sin": F.expr(f"sin({month} * pi() / 6)"),
+        "month_cos": F.expr(f"cos({month} * pi() / 6)"),
+    }
 
 
 def training_rows(histories: DataFrame, least: int = 12) -> DataFrame:
@@ -51,13 +74,15 @@ def training_rows(histories: DataFrame, least: int = 12) -> DataFrame:
 def recursive_forecast(model: PipelineModel, histories: DataFrame, end: date, steps: int, cfg: Adjustments = Adjustments()) -> DataFrame:
     """(entity, month, step, units, lower, upper). Each step is one narrow transformation on the state.
 
-    A prediction grows by no more than the guardrail over the month before it (if that sold); it is reported as it
-    is, but later steps see it mixed with the mean of the last three months.
+    A prediction far from the same month of the year before is mixed with it, and grows by no more than the guardrail over the month before it
+    (if that sold); it is reported as it is, but later steps see it mixed with the mean of the last three months.
     """
     guard = 0.15 if steps == 3 else 0.25
     now, parts = histories, []
     for step in range(1, steps + 1):
         predicted = model.transform(now.withColumns(inputs())).select("entity", "u", "first", F.greatest("prediction", F.lit(0.0)).alias("p"))
+        seasonal = F.expr("if(size(u) >= 12, u[size(u) - 12], null)")
+        predicted = predicted.withColumn("p", F.when(seasonal.isNull(), F.col("p")).otherwise(blended(F.col("p"), seasonal, cfg)))
         last = F.element_at("u", -1)
         predicted = predicted.withColumn("p", F.when(last > 0, F.least(F.col("p"), last * (1 + guard))).otherwise(F.col("p")))
         parts.append(predicted.select("entity", F.add_months(F.lit(end), step).alias("month"), F.lit(step).alias("step"), F.round("p", 4).alias("units")))
@@ -68,3 +93,22 @@ def recursive_forecast(model: PipelineModel, histories: DataFrame, end: date, st
     for p in parts[1:]:
         rows = rows.unionByName(p)
     return rows.withColumns({"lower": F.round(F.col("units") * (1 - BOUNDS), 4), "upper": F.round(F.col("units") * (1 + BOUNDS), 4)})
+
+
+def walk_forward(name: str, panel: DataFrame, end: date, folds: Folds, iterations: int | None = None) -> DataFrame:
+    """(entity, fold, origin, month, step, actual, horizon, model, predicted): a model of each fold, learnt from what was known at its origin.
+
+    The folds are few; each trains on the whole panel up to its origin, as Spark jobs.
+    """
+    parts = []
+    for fold, origin in enumerate(origins(end, folds), 1):
+        known = panel.where(F.col("month") <= F.lit(origin))
+        histories = state(known).where(F.size("u") >= folds.least)
+        model = train(name, training_rows(histories), folds.horizon, iterations=iterations)
+        ahead = recursive_forecast(model, histories, origin, folds.horizon)
+        joined = ahead.join(panel.select("entity", "month", F.col("units").alias("actual")), ["entity", "month"])
+        parts.append(joined.select("entity", F.lit(fold).alias("fold"), F.lit(origin).alias("origin"), "month", "step", "actual", F.lit(folds.horizon).alias("horizon"), F.lit(name).alias("model"), F.col("units").alias("predicted")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -105,12 +105,6 @@ def required(df: DataFrame, horizon: int, cfg: Features = Features()) -> DataFra
     return df.dropna(subset=list(dict(cfg.required)[horizon]))
 
 
-def feature_names(horizon: int, columns: list[str], cfg: Features = Features()) -> list[str]:
-    """Columns that a model of the horizon may use: nothing younger than the horizon, and the encodings."""
-    usable = [f"lag_{k}" for k in cfg.lags if k >= horizon] + [f"rolling_{s}_{n}" for n in cfg.windows if horizon < 12 or n == 12 for s in ("mean", "std")]
-    return [c for c in [*usable, "trend_index", "momentum_3", "yoy_growth", "month_sin", "month_cos"] if c in columns] + [c for c in columns if c.endswith("_enc")]
-
-
 def encoding(df: DataFrame, column: str) -> DataFrame:
     """(value, code): the sorted different values from 0 on."""
     values = df.select(F.col(column).alias("value")).where("value is not null").distinct()

@@ -823,13 +823,22 @@ def verdict(spark, d):
 @query()
 def ml_gbt_recursive(spark, d):
     h = ml.state(dense(spark, d, "color"))
-    return ml.recursive_forecast(ml.train("gbt", ml.training_rows(h), iterations=10), h, CAL.train_end, 3)
+    return ml.recursive_forecast(ml.train("gbt", ml.training_rows(h), 3), h, CAL.train_end, 3)
 
 
 @query()
 def ml_rf_h1(spark, d):
     h = ml.state(dense(spark, d, "color"))
-    return ml.recursive_forecast(ml.train("random_forest", ml.training_rows(h), iterations=10), h, CAL.train_end, 1)
+    return ml.recursive_forecast(ml.train("random_forest", ml.training_rows(h), 1), h, CAL.train_end, 1)
+
+
+@query()
+def ml_validation(spark, d):
+    """Errors of the roster with its boosted trees, three months ahead, by fold; each fold's trees are learnt anew."""
+    p = dense(spark, d, "color")
+    folds = next(f for f in FOLDS if f.horizon == 3)
+    more = ml.walk_forward("gbt", p, CAL.train_end, folds, iterations=20)
+    return rounded(selection.cv_metrics(p, panel.segment(p, CAL.train_end), CAL.train_end, (folds,), more=more))
 
 
 @query(sql("select date '2001-08-02' as run_date, entity as key, month, step as horizon, 'seasonal_naive' as model, round(case when step = 1 then seasonal_naive else ma_3 end, 4) as units from forecast_color", "forecast_color"))

@@ -187,3 +187,9 @@ def test_components(spark, seed):
 def test_no_rows(no_docs):
     assert op4_suffixes.query(no_docs).count() == 0
     assert op8_chosen_path.join(no_docs).count() == 0
+
+
+def test_join_leaves_rows_without_doc_id_alone(spark):
+    docs = spark.createDataFrame([(None, "one two three four five six"), (2**53 + 1, "one two three four five six"), (None, "x")], "doc_id long, text string").coalesce(1)
+    assert sorted(map(str, op8_chosen_path.join(docs).collect())) == sorted([f"Row(doc_id={2**53 + 1}, class_id={2**53 + 1}, n_links=0)", *["Row(doc_id=None, class_id=None, n_links=0)"] * 2])
+    assert op8_chosen_path.deduplicated(docs).count() == 3

@@ -98,7 +98,7 @@ def test_disposal_and_transparency():
         frame([0], 1, 1, top=1, disposal=2),  # black, cleared afterwards
         frame([3], 1, 1, left=1, top=0, delay=7),
     )
-    found = gif.decode(data)
+    found = list(gif.decode(data))
     assert [colours(f.canvas) for f in found] == ["rrrr", "grrr", "grrb", "grkr", "gb.r"]
     assert [f.delay_ms for f in found] == [50, 50, 50, 50, 70]
 
@@ -106,12 +106,12 @@ def test_disposal_and_transparency():
 def test_interlaced():
     rows = [0, 2, 1, 3]  # stored order of 4 rows: 0, 4th.., 2, then 1 and 3
     data = image(frame([1, 3, 2, 0], 1, 4, flags=0x40), w=1, h=4)
-    assert gif.decode(data)[0].samples.tolist() == [1, 2, 3, 0] and rows
+    assert next(gif.decode(data)).samples.tolist() == [1, 2, 3, 0] and rows
 
 
 def test_cut_off_stream_fills_up():
     data = gif.encode(bytes(range(64)) * 4, 64, 256, 40)
-    assert len(gif.decode(data[:-40])[0].samples) == 256
+    assert len(next(gif.decode(data[:-40])).samples) == 256
 
 
 def test_payloads_come_back(spark, docs, texts):
@@ -137,3 +137,16 @@ def test_frames_table(spark):
 
 def test_no_rows(no_docs):
     assert op1_gif.digest(op1_gif.to_media(no_docs)).count() == 0
+
+
+def test_broken_media_and_missing_ids(spark):
+    """Bytes that are no GIF have no frames, those of a GIF that breaks off come first, and a giant is not drawn."""
+    good = gif.encode(bytes(range(256)) * 2, 64, 4, 40)
+    giant = good[:6] + b"\xff\xff\xff\xff" + good[10:]
+    rows = spark.createDataFrame([(1, good), (2, b""), (3, b"GIF89a"), (4, b"no picture"), (5, good[: len(good) * 3 // 4]), (6, giant), (None, good), (2**53 + 1, good), (7, None)], "doc_id long, media binary").coalesce(1)
+    found = {}
+    for r in op1_gif.frames(rows).collect():
+        found.setdefault(r["id"], []).append(r["frame"])
+    assert found[1] == found[None] == found[2**53 + 1] == [0, 1] and found[5][:1] == [0] and not {2, 3, 4, 6, 7} & set(found)
+    docs = spark.createDataFrame([(None, "a"), (2**53 + 1, "b")], "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"] for r in op1_gif.digest(op1_gif.to_media(docs)).collect()} == {None, 2**53 + 1}

@@ -95,3 +95,10 @@ def test_flat_files_without_last_separator(spark, tmp_path):
 def test_no_rows(no_docs):
     assert op10_packing.pack(no_docs).count() == 0
     assert op6_separators.scan(op6_separators.write_flat(no_docs)).count() == 0
+
+
+def test_rows_without_doc_id(spark):
+    """They stay, and leave the other ids whole."""
+    docs = spark.createDataFrame([(None, "one two"), (2**53 + 1, "three four five")], "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"] for r in op10_packing.pack(docs).collect()} == {None, 2**53 + 1}
+    assert {r["doc_id"] for r in op6_separators.scan(op6_separators.write_flat(docs)).collect()} == {None, 2**53 + 1}

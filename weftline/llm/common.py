@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HELD_OUT_FOLDS = 5
+NO_ID = -(1 << 63)  # stands for no doc_id, so that ids stay whole numbers where pandas meets nulls
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -18,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     own = spark.sparkContext.getCheckpointDir()
     if own is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-weftline-"))
         own = spark.sparkContext.getCheckpointDir()
     return own.rstrip("/")
@@ -41,8 +44,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) with null texts as empty ones; other columns, whatever their names, are left behind."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    """(doc_id, text) with null texts as empty ones and null ids as NO_ID; other columns, whatever their names, are left behind."""
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+
+def with_ids(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The ids of doc_texts() as they were: null for NO_ID."""
+    return df.withColumn(id_col, F.when(F.col(id_col) != NO_ID, F.col(id_col)))
 
 
 def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, most: dict[int, int]) -> DataFrame:

@@ -8,6 +8,7 @@ and samples follow from pointers that are doubled until each reaches a literal.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -150,18 +151,33 @@ def _sub_blocks(data: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(parts), at + 1
 
 
-def decode(data: bytes, compose: bool = True) -> list[Frame]:
-    """All frames. Disposal 2 clears a frame's rectangle before the next one, 3 brings back what was there before."""
+MOST_PIXELS = 1 << 26  # of a canvas or a frame; what says that it is larger is taken for broken
+
+
+class Broken(ValueError):
+    """Bytes that are no GIF, or a GIF that breaks off; the frames before that are whole."""
+
+
+def decode(data: bytes, compose: bool = True) -> Iterator[Frame]:
+    """The frames one after another, so that only one of them and the canvas are held. Disposal 2 clears a frame's rectangle before the next one, 3 brings back what was there before."""
+    try:
+        yield from _frames(data, compose)
+    except (struct.error, IndexError) as e:
+        raise Broken("cut off") from e
+
+
+def _frames(data: bytes, compose: bool) -> Iterator[Frame]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
-        raise ValueError("not a GIF")
+        raise Broken("not a GIF")
     width, height, flags, _, _ = struct.unpack("<HHBBB", data[6:13])
     at = 13
     shared = np.zeros((0, 3), np.uint8)
     if flags & 0x80:
         n = 3 << (flags & 7) + 1
         shared, at = _colours(data[at : at + n]), at + n
-    canvas = np.zeros((height, width, 4), np.uint8)
-    frames: list[Frame] = []
+    if width * height > MOST_PIXELS:
+        raise Broken("too large")
+    canvas = np.zeros((height, width, 4) if compose else (0, 0, 4), np.uint8)
     delay, disposal, transparent = 0, 0, None
     while at < len(data):
         kind = data[at]
@@ -175,13 +191,15 @@ def decode(data: bytes, compose: bool = True) -> list[Frame]:
                 delay, disposal, transparent = 10 * hundredths, packed >> 2 & 7, index if packed & 1 else None
             continue
         if kind != 0x2C:
-            raise ValueError(f"unknown block {kind}")
+            raise Broken(f"unknown block {kind}")
         left, top, w, h, flags = struct.unpack("<HHHHB", data[at + 1 : at + 10])
         at += 10
         palette = shared
         if flags & 0x80:
             n = 3 << (flags & 7) + 1
             palette, at = _colours(data[at : at + n]), at + n
+        if w * h > MOST_PIXELS:
+            raise Broken("too large")
         stream, after = _sub_blocks(data, at + 1)
         samples = lzw_decode(stream, data[at], w * h)
         at = after
@@ -199,14 +217,13 @@ def decode(data: bytes, compose: bool = True) -> list[Frame]:
             seen = picture[: own.shape[0], : own.shape[1]]
             rgba = np.dstack([palette[np.minimum(seen, len(palette) - 1)], np.full(seen.shape, 255, np.uint8)]) if len(palette) else own
             own[...] = rgba if transparent is None else np.where((seen == transparent)[..., None], own, rgba)
-        frames.append(Frame(delay, left, top, picture.reshape(-1), palette, canvas.copy() if compose else canvas))
+        yield Frame(delay, left, top, picture.reshape(-1), palette, canvas.copy() if compose else canvas)
         if compose:
             if disposal == 2:
                 own[...] = 0
             elif disposal == 3:
                 canvas = before
         delay, disposal, transparent = 0, 0, None
-    return frames
 
 
 def encode(samples: bytes, width: int, rows: int, delay_ms: int) -> bytes:

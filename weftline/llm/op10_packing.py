@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import doc_texts
+from .common import doc_texts, with_ids
 from .tokens import BYTE_BPE, encoder
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -99,4 +99,4 @@ def pack(docs: DataFrame, length: int = 1024, open_bins: int = 2048, separator:
             out["sequence_id"], out["offset"] = base + places[:, 0], places[:, 1]
             yield out
 
-    return doc_texts(docs).mapInPandas(packed, SCHEMA)
+    return with_ids(doc_texts(docs).mapInPandas(packed, SCHEMA))

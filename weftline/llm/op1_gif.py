@@ -3,8 +3,9 @@
 Each row is encoded and decoded on its own inside its task; nothing is shuffled, and a lost task repeats.
 
 Defined cases: a null or empty text is a payload of 64 zero bytes with n_bytes 0; a very long text becomes many
-frames, so the decoder's working memory is that of a frame; equal texts give equal values; repeated rows stay;
-a null media value has no frames; an empty table gives no rows; other columns are ignored.
+frames, which are decoded one at a time; equal texts give equal values; repeated rows stay, and so do rows without doc_id;
+a media value that is null, empty or no GIF has no frames, one that breaks off has those before the break, and one that says that a picture is larger than
+MOST_PIXELS breaks there; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import gif
-from .common import doc_texts
+from .common import NO_ID, doc_texts, with_ids
 
 WIDTH = 64  # payloads are whole rows of so many samples
 ROWS = 256
@@ -45,7 +46,7 @@ def to_media(docs: DataFrame, width: int = WIDTH, rows: int = ROWS, delay_ms: in
                 padded = [p + bytes(-len(p) % width or (0 if p else width)) for p in payloads]
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "n_bytes": [len(p) for p in payloads], "media": [gif.encode(p, width, rows, delay_ms) for p in padded]})
 
-    return doc_texts(docs).mapInPandas(encoded, "doc_id long, n_bytes long, media binary")
+    return with_ids(doc_texts(docs).mapInPandas(encoded, "doc_id long, n_bytes long, media binary"))
 
 
 def frames(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -56,14 +57,18 @@ def frames(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -
             for key, data in zip(batch["id"], batch["media"]):
                 if data is None:
                     continue
-                found, clock = [], 0
-                for k, f in enumerate(gif.decode(data)):
-                    found.append((key, k, clock, f.delay_ms, f.left, f.top, f.canvas.shape[1], f.canvas.shape[0], f.samples.tobytes(), f.canvas.tobytes(), histogram(f.samples, f.palette).tolist()))
-                    clock += f.delay_ms
-                yield pd.DataFrame(found, columns=["id", "frame", "start_ms", "delay_ms", "left", "top", "width", "height", "samples", "rgba", "histogram"])
+                clock = 0
+                try:
+                    for k, f in enumerate(gif.decode(data)):
+                        row = (key, k, clock, f.delay_ms, f.left, f.top, f.canvas.shape[1], f.canvas.shape[0], f.samples.tobytes(), f.canvas.tobytes(), histogram(f.samples, f.palette).tolist())
+                        yield pd.DataFrame([row], columns=["id", "frame", "start_ms", "delay_ms", "left", "top", "width", "height", "samples", "rgba", "histogram"])
+                        clock += f.delay_ms
+                except gif.Broken:
+                    continue
 
     schema = "id long, frame int, start_ms long, delay_ms long, left int, top int, width int, height int, samples binary, rgba binary, histogram array<long>"
-    return media.select(F.col(id_col).cast("long").alias("id"), F.col(media_col).cast("binary").alias("media")).mapInPandas(decoded, schema)
+    rows = media.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(media_col).cast("binary").alias("media"))
+    return with_ids(rows.mapInPandas(decoded, schema), "id")
 
 
 def digest(media: DataFrame) -> DataFrame:
@@ -73,12 +78,16 @@ def digest(media: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for doc_id, n_bytes, data in zip(batch["doc_id"], batch["n_bytes"], batch["media"]):
-                stored = gif.decode(data)
-                payload = b"".join(f.samples.tobytes() for f in stored)
-                colours = sum(histogram(f.samples, f.palette) for f in stored)
-                feature = f"{len(stored)}f{sum(f.delay_ms for f in stored)}ms:" + "-".join(map(str, colours[np.arange(BINS) * (BINS * BINS + BINS + 1)]))
-                rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature, len(stored)))
+                parts, colours, shown_ms = [], np.zeros(BINS**3, np.int64), 0
+                for f in gif.decode(data, compose=False):
+                    parts.append(f.samples.tobytes())
+                    colours += histogram(f.samples, f.palette)
+                    shown_ms += f.delay_ms
+                payload = b"".join(parts)
+                feature = f"{len(parts)}f{shown_ms}ms:" + "-".join(map(str, colours[np.arange(BINS) * (BINS * BINS + BINS + 1)]))
+                rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature, len(parts)))
             yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames"])
 
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int"
-    return media.mapInPandas(read, schema)
+    rows = media.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_bytes", "media")
+    return with_ids(rows.mapInPandas(read, schema))

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts, held_out, labelled_sample
+from .common import doc_texts, held_out, labelled_sample, with_ids
 
 MOST = {0: 3000, 1: 3000}
 BUCKETS = 1 << 16
@@ -142,7 +142,7 @@ def score(docs: DataFrame, machine: Machine, threshold: float = 0.3) -> DataFram
             s = np.array([machine.score(*features.of(t)) for t in batch["text"]], float)
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "score": s, "predicted": (s >= threshold).astype(np.int32)})
 
-    return doc_texts(docs).mapInPandas(scored, "doc_id long, score double, predicted int")
+    return with_ids(doc_texts(docs).mapInPandas(scored, "doc_id long, score double, predicted int"))
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import doc_texts, written
+from .common import NO_ID, doc_texts, written
 from .tokens import BYTE_BPE, encoder
 
 #: The id that ends a document; the vocabulary's own ids stop just below it.
@@ -91,16 +91,21 @@ def scan(blocks: DataFrame, separator: int = END_OF_DOCUMENT) -> DataFrame:
             yield out
 
     found = blocks.mapInPandas(search, "file_id long, block_no long, doc_ids array<long>, n_tokens long, ends array<int>")
+    # The prefix scan sees three numbers a block; its sums then come back to the blocks' separators.
     file = Window.partitionBy("file_id").orderBy("block_no")
     before = file.rowsBetween(Window.unboundedPreceding, -1)
-    scanned = found.select(
-        "*",
+    sums = found.select("file_id", "block_no", "n_tokens", F.size("ends").alias("n_ends"), F.when(F.size("ends") > 0, F.element_at("ends", -1)).alias("own_last"))
+    sums = sums.select(
+        "file_id",
+        "block_no",
+        "own_last",
         F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"),
-        F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("docs_before"),
+        F.coalesce(F.sum("n_ends").over(before), F.lit(0)).alias("docs_before"),
         F.lead("block_no").over(file).isNull().alias("is_last"),
     )
-    scanned = scanned.withColumn("last_end", F.when(F.size("ends") > 0, F.col("base") + F.element_at("ends", -1) + 1))
-    scanned = scanned.withColumn("carried_from", F.coalesce(F.max("last_end").over(before), F.lit(0)))
+    sums = sums.withColumn("last_end", F.col("base") + F.col("own_last") + 1)
+    sums = sums.withColumn("carried_from", F.coalesce(F.max("last_end").over(before), F.lit(0))).drop("own_last")
+    scanned = found.join(sums, ["file_id", "block_no"])
     # A file's last block may close with tokens that no separator follows.
     ends = F.transform("ends", lambda e: F.struct((F.col("base") + e).alias("end"), F.lit(True).alias("complete")))
     stop = F.col("base") + F.col("n_tokens")
@@ -109,7 +114,7 @@ def scan(blocks: DataFrame, separator: int = END_OF_DOCUMENT) -> DataFrame:
     each = scanned.select("file_id", "docs_before", "carried_from", "all_ends", "doc_ids", F.posexplode("all_ends").alias("k", "doc"))
     start = F.when(F.col("k") == 0, F.col("carried_from")).otherwise(F.expr("all_ends[k - 1].end + 1"))
     return each.select(
-        F.expr("get(doc_ids, k)").alias("doc_id"),
+        F.expr(f"nullif(get(doc_ids, k), {NO_ID + 1} - 1)").alias("doc_id"),
         "file_id",
         (F.col("docs_before") + F.col("k")).alias("doc_no"),
         start.alias("start"),

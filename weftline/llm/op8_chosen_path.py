@@ -15,7 +15,7 @@ What is emitted from a block pair is a root and a number of links for each set,
 
 Defined cases: words are split at white space after lower-casing; a text of fewer words than a shingle has one
 shingle of them all; a null or empty text has no shingles, links to nothing and is a class of its own;
-equal texts and repeated rows link to each other; an empty table gives no rows; only doc_id and text are read.
+equal texts and repeated rows link to each other; rows without doc_id take no part (class null, no links, and deduplicated() keeps them); an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -267,6 +267,8 @@ def verified(members: DataFrame, docs: DataFrame, threshold: float, shingle: int
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, class_id, n_links): a class is named by its smallest doc_id; links count all documents at the threshold or above."""
+    nameless = docs.where("doc_id is null").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    docs = docs.where("doc_id is not null")
     sketches = written(sketched(docs, shingle), "sketches")
     worded = sketches.where("k1 is not null")
     sets = written(worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "sets")
@@ -282,10 +284,11 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE)
     classes = sets.join(found, "node", "left").join(links, "node", "left")
     classes = written(classes.select("k1", "k2", F.coalesce("class_id", "node").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
     keyed = sketches.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"], "left")
-    return keyed.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    found = keyed.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return found.unionByName(nameless)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents that are the smallest of their class, all columns kept; of repeated rows one stays."""
     kept = join(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))

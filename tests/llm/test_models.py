@@ -160,6 +160,30 @@ def test_raking_meets_its_targets(spark, docs):
             assert r["w"] == pytest.approx(r["target"], rel=1e-4)
 
 
+def test_raking_stops_within_a_tolerance(spark):
+    cells = spark.createDataFrame([("a", "x", "t", 10), ("a", "y", "u", 30), ("b", "x", "u", 20), ("b", "y", "t", 5)], "source string, lang string, topic string, n long")
+    targets = {d: op2_mixing.tempered(cells, d, 65, 0.5) for d in op2_mixing.DIMENSIONS}
+    raked = op2_mixing.rake(cells, targets, sweeps=40, tolerance=1e-6)
+    assert op2_mixing.residual(raked, targets) <= 1e-6
+    with pytest.raises(ValueError):
+        op2_mixing.rake(cells, targets, sweeps=1, tolerance=1e-9)
+
+
+def test_marginals_of_the_query_hold(spark):
+    rows = op2_mixing.measured(table(spark, SF, "documents"))
+    cells = op2_mixing.probabilities(rows)
+    total = cells.agg(F.sum("n")).first()[0]
+    assert op2_mixing.residual(cells, {d: op2_mixing.tempered(cells, d, total, op2_mixing.TEMPER) for d in op2_mixing.DIMENSIONS}) < 0.01
+
+
+def test_mixing_by_another_topic_and_clashing_names(spark, docs):
+    clashing = docs.withColumns({"_probability": F.lit(1), "_cell_source": F.lit("s"), "_": F.lit(2), "__p": F.lit(3), "topic": F.col("doc_id") % 3})
+    out = op2_mixing.sampled(clashing, topics=F.col("topic"))
+    assert out.columns == clashing.columns
+    drawn = op2_mixing.sample(clashing, topics=F.col("topic")).where("kept")
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(r["doc_id"] for r in drawn.collect()) and {r["topic"] for r in drawn.collect()} <= {"0", "1", "2"}
+
+
 def test_mixing_matches_sql(spark, docs):
     rows = op2_mixing.query(spark, docs)
     con = duckdb.connect()

@@ -108,6 +108,7 @@ class PageVectors:
         self.plain: dict[int, int] = {}  # characters outside links, by element
         self.links: dict[int, list[int]] = {}  # blocks and mostly linked ones, by element
         self.total = 0
+        self.known: dict[int, tuple[float, ...]] = {}  # what around() found, by element
         for b in page:
             if b.raw:
                 continue
@@ -119,6 +120,17 @@ class PageVectors:
                 counts[0] += 1
                 counts[1] += 2 * b.linked > len(b.text)
 
+    def around(self, own: tuple[Element, ...]) -> tuple[float, ...]:
+        """Of the elements around a block's own one: their shares of the page's plain text, how much of them is linked, and the largest share of any."""
+        key = own[-2][2] if len(own) > 1 else 0
+        found = self.known.get(key)
+        if found is None:
+            total, near = max(1, self.total), [e[2] for e in own[-2:-6:-1]]
+            shares = [self.plain.get(e, 0) / total for e in near] + [1.0] * (4 - len(near))
+            linked = [many / all_ for all_, many in (self.links.get(e, (1, 0)) for e in near[:2])] + [0.0] * (2 - len(near))
+            found = self.known[key] = (max((self.plain.get(e[2], 0) / total for e in own[:-1]), default=0.0), *shares, *linked)
+        return found
+
     def rows(self, begin: int, end: int) -> np.ndarray:
         out = np.zeros((end - begin, INPUT), np.float32)
         size, total = len(self.page), max(1, self.total)
@@ -130,13 +142,11 @@ class PageVectors:
             hashed = np.bincount(list(map(self.make.words.__getitem__, words)), minlength=WORD_BUCKETS)
             row[PATH : PATH + WORD_BUCKETS] = np.sqrt(hashed / len(words))
             n = len(b.text)
-            around = [e[2] for e in own[-2:-6:-1]]
-            shares = [self.plain.get(e, 0) / total for e in around] + [1.0] * (4 - len(around))
-            linked = [many / all_ for all_, many in (self.links.get(e, (1, 0)) for e in around[:2])] + [0.0] * (2 - len(around))
-            largest = max((self.plain.get(e[2], 0) / total for e in own), default=1.0)
+            largest, *around = self.around(own)
+            largest = max(largest, self.plain.get(own[-1][2], 0) / total if own else 1.0)
             row[PATH + WORD_BUCKETS :] = (
                 np.log1p(n) / 8, min(1, b.linked / n), sum(map(b.text.count, ".,;:!?")) / len(words), b.text.rstrip("\"”»)")[-1:] in _ENDS, any(map(str.isdigit, b.text[:40])),
-                k == 0, k == size - 1, k / size, np.log1p(size) / 8, len(own) / 16, n / total, largest, *shares, *linked, b.raw,
+                k == 0, k == size - 1, k / size, np.log1p(size) / 8, len(own) / 16, n / total, largest, *around, b.raw,
             )
         return out
 

@@ -302,3 +302,19 @@ def test_coerced_rows_and_their_count(spark):
     raw = spark.createDataFrame([("a", "2020-01-01", "2"), ("a", "soon", "2"), (None, "2020-01-01", "2"), ("b", "2020-02-01", "many")], "entity string, month string, units string")
     rows, dropped = panel.coerced(raw)
     assert [(r["entity"], r["units"]) for r in rows.collect()] == [("a", 2.0)] and dropped.first()[0] == 3
+
+
+def test_split_files_and_lookups(spark, tmp_path):
+    from weftline.sources import files
+
+    for k, name in enumerate(("order_lines_2020.csv", "order_lines_2021.csv")):
+        (tmp_path / name).write_text("order_number,acct_year\n" + "".join(f"{i},{2020 + k}\n" for i in range(3 + k)))
+    found = files.read_splits(spark, f"{tmp_path}/order lines*.csv")  # blanks in the pattern, _ in the names
+    assert [tuple(r) for r in files.listed(found).collect()] == [("order_lines_2020.csv", 3), ("order_lines_2021.csv", 4)]
+    assert files.whole_union([found, found.drop("acct_year")]).count() == 14
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_splits(spark, f"{tmp_path}/none*.csv")
+    for name in ("item", "size", "style", "color"):
+        (tmp_path / f"{name}.csv").write_text("code,name\n1,x\n")
+    lookups = files.read_lookups(spark, str(tmp_path))
+    assert set(lookups) == {"item", "size", "style", "color"} and lookups["size"].columns == ["code", "name"]

@@ -49,7 +49,7 @@ def history_factors(sparse: DataFrame, end: date, horizon: int, months: int = 24
 
 def first_of(primary: DataFrame, fallback: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the first table, and those of the second whose keys it lacks."""
-    return primary.unionByName(fallback.join(primary.select(*keys), keys, "left_anti"), allowMissingColumns=True)
+    return primary.unionByName(fallback.join(primary.select(*keys).distinct(), keys, "left_anti"), allowMissingColumns=True)
 
 
 def validated(panel: DataFrame, end: date, folds: tuple[Folds, ...], model: str = "seasonal_naive") -> DataFrame:
@@ -61,6 +61,14 @@ def validated(panel: DataFrame, end: date, folds: tuple[Folds, ...], model: str
     return out
 
 
+def global_evidence(backtested: DataFrame, diagnosed: DataFrame, before: date) -> DataFrame:
+    """(horizon, month, predicted, actual, source): the backtest's rows before a date; for a horizon without any, those of the holdout's diagnosis."""
+    columns = ["horizon", "month", "predicted", "actual"]
+    early = backtested.where(F.col("month") < F.lit(before)).select(*columns, F.lit("backtest").alias("source"))
+    other = diagnosed.select(*columns, F.lit("diagnosis").alias("source"))
+    return first_of(early, other, ["horizon"])
+
+
 def _gate_error(rows: DataFrame, predicted: Column) -> DataFrame:
     """WMAPE by horizon over entities summed over all gate months."""
     sums = rows.groupBy("horizon", "entity").agg(F.sum("actual").alias("a"), F.sum(predicted).alias("p"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from weftline.config import BACKTEST, CROSS_VALIDATED
-from weftline.functions import settled
-from weftline.operators import calibrate, etl, panel, score, shares
+from weftline.operators import baselines, calibrate, etl, panel, score, shares
 from weftline.plans import catalog as c
 from weftline.plans.sqltext import HOLDOUT, sql
 from weftline.sources import retail
@@ -128,3 +128,16 @@ def production_filled(spark, d):
     f = c.sku_alloc(spark, d).withColumnRenamed("child", "sku").withColumns({"style": F.lit(None).cast("string"), "color": F.when(F.col("step") == 1, F.col("parent"))})
     filled = panel.filled(f, retail.dim_product(spark, d), ["style", "color"])
     return c.rounded(filled.groupBy("style", "color", "step").agg(F.count("*").alias("n_skus"), F.sum("units").alias("units")))
+
+
+DIAGNOSED = f"(select f.entity, h.horizon, f.month, f.seasonal_naive as predicted, g.units as actual from forecast_style f join demand_style g on g.entity = f.entity and g.month = f.month join (values (1), (2), (3)) h(horizon) on f.step <= h.horizon where f.month in {HOLDOUT})"
+
+
+@c.query(sql(f"with b as (select horizon, predicted, actual from {c.BT_SQL} where month < date '2001-01-01') select horizon, source, count(*) as n, round(sum(predicted), 4) as predicted, round(sum(actual), 4) as actual from (select horizon, predicted, actual, 'backtest' as source from b union all select horizon, predicted, actual, 'diagnosis' from {DIAGNOSED} where horizon not in (select horizon from b)) group by all", "panel_style", "forecast_style", "demand_style").replace("\nwith b as (", ",\nb as (", 1))
+def calib_global_evidence(spark, d):
+    """What the global factors rest on; two months ahead were never backtested, so the holdout's diagnosis stands in."""
+    f = baselines.forecast(c.dense(spark, d, "style"), c.CAL.train_end, 3).where(F.col("month").isin(*c.CAL.holdout))
+    f = f.select("entity", F.explode(F.expr("filter(array(1, 2, 3), h -> step <= h)")).alias("horizon"), "month", F.col("seasonal_naive").alias("predicted"))
+    actual = panel.demand_by(c.gold(spark, d), retail.dim_product(spark, d), "style").select("entity", "month", F.col("units").alias("actual"))
+    rows = calibrate.global_evidence(c.tested(spark, d), f.join(actual, ["entity", "month"]), date(2001, 1, 1))
+    return c.rounded(rows.groupBy("horizon", "source").agg(F.count("*").alias("n"), F.sum("predicted").alias("predicted"), F.sum("actual").alias("actual")))

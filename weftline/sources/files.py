@@ -14,13 +14,40 @@ VARIANTS = {"predicted": "predicted_units", "forecast_units": "predicted_units",
 
 
 def read_splits(spark: SparkSession, pattern: str | list[str], schema: StructType | str | None = None, kind: str = "csv") -> DataFrame:
-    """All files that the pattern matches, with `source_file`; raises if there is none."""
+    """All files that the pattern matches, with `source_file`; where none does, the pattern with _ for blanks is tried, and then it raises."""
     reader = spark.read.format(kind)
     if kind == "csv":
         reader = reader.option("header", True)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(pattern).withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    try:
+        found = reader.load(pattern)
+    except AnalysisException as e:
+        other = pattern.replace(" ", "_") if isinstance(pattern, str) else [p.replace(" ", "_") for p in pattern]
+        if e.getCondition() != "PATH_NOT_FOUND" or other == pattern:
+            raise
+        found = reader.load(other)
+    return found.withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+
+
+def listed(splits: DataFrame) -> DataFrame:
+    """The source files in order, with their rows."""
+    return splits.groupBy("source_file").agg(F.count("*").alias("n_rows")).orderBy("source_file")
+
+
+def whole_union(parts: Iterable[DataFrame]) -> DataFrame:
+    """union_of(), after a check that it has as many rows as its parts together."""
+    parts = list(parts)
+    out = union_of(parts)
+    n, expected = out.count(), sum(p.count() for p in parts)
+    if n != expected:
+        raise ValueError(f"the union has {n} rows, its parts {expected}")
+    return out
+
+
+def read_lookups(spark: SparkSession, folder: str, names: Iterable[str] = ("item", "size", "style", "color"), kind: str = "csv") -> dict[str, DataFrame]:
+    """The lookup tables of a folder by name; one that is missing raises."""
+    return {name: read_splits(spark, f"{folder}/{name}*", kind=kind).drop("source_file") for name in names}
 
 
 def union_of(parts: Iterable[DataFrame]) -> DataFrame:

@@ -43,7 +43,7 @@ TOP = 3
 PREFIX = 4
 WORD = re.compile(r"\w+")
 TRUSTED, TRUSTED_PAIRS = 3.0, 10.0  # contexts at which a word's, and uses at which a pair's own ratio counts half
-BLOCK_WORDS = 1_500_000  # of the documents of a block; a longer document is a block of its own
+BLOCK_WORDS = 1_000_000  # of the documents of a block; a longer document is a block of its own
 BUCKET_ENTRIES = 1_000_000  # that a bucket's task has at once, about
 SPARE = 12
 CACHED_WORDS = 500_000

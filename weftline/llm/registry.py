@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_gif, op2_mixing, op3_quality, op4_suffixes, op5_knn, op6_separators, op7_toxicity, op8_chosen_path, op9_html, op10_packing
+from . import op1_gif, op2_mixing, op3_quality, op4_suffixes, op5_knn, op6_separators, op7_toxicity, op8_chosen_path, op9_html, op10_packing, op11_simhash, op12_lexical, op13_runs
 from .common import table
 
 
@@ -50,5 +50,32 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_gif_media, op2_raked_mixing, op3_quality_fm, op4_suffix_dedup, op5_voronoi_knn, op6_separator_scan, op7_toxicity_kneser_ney, op8_chosen_path_join, op9_html_block_labeller, op10_best_fit_packing)}
-ORACLE_SQL: dict[str, str] = {"op2_raked_mixing": op2_mixing.sql(), "op5_voronoi_knn": op5_knn.SQL}
+def op11_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_shared_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_runs.periodic(table(spark, sf_dir, "documents"), op13_runs.planted)
+
+
+REGISTERED = (
+    op1_gif_media,
+    op2_raked_mixing,
+    op3_quality_fm,
+    op4_suffix_dedup,
+    op5_voronoi_knn,
+    op6_separator_scan,
+    op7_toxicity_kneser_ney,
+    op8_chosen_path_join,
+    op9_html_block_labeller,
+    op10_best_fit_packing,
+    op11_simhash_tiles,
+    op12_shared_search,
+    op13_periodic_runs,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in REGISTERED}
+ORACLE_SQL: dict[str, str] = {"op2_raked_mixing": op2_mixing.sql(), "op5_voronoi_knn": op5_knn.SQL, "op12_shared_search": op12_lexical.SQL}

@@ -78,13 +78,14 @@ def test_size_shares_match_null_sizes(spark):
 
 def test_adjustments(spark):
     row = spark.range(1).select(
-        baselines.capped(F.lit(100.0), F.lit(720.0), F.lit(30.0)).alias("cap"),
-        baselines.shrunk(F.lit(100.0), F.lit(20.0)).alias("shrink_default"),
+        baselines.capped(F.lit(100.0), F.lit(60.0), F.lit(30.0)).alias("cap"),
+        baselines.shrunk(F.lit(90.0), F.lit(20.0)).alias("shrink"),
         baselines.blended(F.lit(100.0), F.lit(50.0)).alias("blend"),
         baselines.capped(F.lit(100.0), F.lit(0.0), F.lit(0.0)).alias("floor"),
+        baselines.shrunk(F.lit(30.0), F.lit(20.0)).alias("near"),
     ).first()
-    assert row["cap"] == 90 and row["blend"] == 85 and row["floor"] == 1
-    close(row["shrink_default"], 36)
+    assert row["cap"] == 90 and row["blend"] == 85 and row["floor"] == 1 and row["near"] == 30
+    close(row["shrink"], 76)
 
 
 def test_seasonal(spark):

@@ -56,19 +56,35 @@ ROSTER = {
     ("DEAD", 3): ("zero",),
     ("DEAD", 12): ("zero",),
 }
-LEARNT = {("REGULAR", 1): ("gbt",), ("REGULAR", 3): ("gbt",)}  # the roster's global regressors, which have no SQL
+#: The roster's global regressors: one model of all series of the segment, by horizon. What they say has no SQL.
+LEARNT = {("REGULAR", 1): ("gbt",), ("REGULAR", 3): ("gbt",)}
+
+#: What a model of each horizon sees, besides the codes of its categories.
+INPUTS = {
+    1: ("lag_1", "lag_2", "lag_3", "mean_3", "std_3", "std_6", "mean_12", "month_sin", "month_cos", "month_of_year", "quarter", "year", "trend"),
+    3: ("lag_1", "lag_3", "lag_6", "lag_12", "mean_3", "mean_6", "mean_12", "std_3", "std_6", "momentum_3", "month_sin", "month_cos", "month_of_year", "quarter", "year", "trend"),
+    12: ("lag_12", "lag_24", "mean_12", "std_12", "std_6", "yoy_growth", "month_sin", "month_cos", "month_of_year", "quarter", "year", "trend"),
+}
+#: Months of history without which a row of a horizon isn't learnt from: its longest required lag.
+HISTORY = {1: 3, 3: 12, 12: 24}
 
 FOLDS = (Folds(1, 6, 3, 24), Folds(3, 4, 3, 24), Folds(12, 3, 12, 36))
 
 
 @dataclass(frozen=True)
 class Adjustments:
-    cap_multiple: float = 1.5
-    shrink_weight: float = 0.8
-    blend_weight: float = 0.7
-    blend_threshold: float = 0.25
+    """Fixed values of the corrections after a model, and of what a recursion feeds back."""
+
+    shrink_threshold: float = 1.5
+    shrink_weight: float = 0.8  # of the forecast; the rest is the mean of the last three months
     recursive_alpha: float = 0.7
-    shrink_threshold: float = 2.0
+    blend_threshold: float = 0.25
+    blend_weight: float = 0.7
+    cap_multiple: float = 2.0
+
+
+#: The settings of the planning notebooks.
+CAUTIOUS = Adjustments(shrink_threshold=1.3, shrink_weight=0.75, recursive_alpha=0.6, blend_threshold=0.20)
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,11 @@ def clipped(c: Column, low: float | None = None, high: float | None = None) -> C
     return F.when(c.isNotNull(), out)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, null where b is 0."""
     return F.try_divide(a, b)

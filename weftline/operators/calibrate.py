@@ -9,19 +9,28 @@ from pyspark.sql import functions as F
 
 from weftline.config import GLOBAL, Calibration, Folds
 from weftline.functions import clipped, ratio, settled
-from weftline.operators.selection import walk_forward
+from weftline.operators.selection import tried, walk_forward
 
 #: Eight origins, a quarter apart.
-BACKTEST_FOLDS = {1: Folds(1, 8, 3, 24), 3: Folds(3, 8, 3, 24)}
+BACKTEST_FOLDS = (Folds(1, 8, 3, 24), Folds(3, 8, 3, 24))
+
+
+def with_errors(rows: DataFrame) -> DataFrame:
+    error = F.col("predicted") - F.col("actual")
+    return rows.withColumns({"error": error, "abs_error": F.abs(error), "bias_ratio": ratio(F.col("predicted"), F.col("actual"))})
 
 
 def backtest(panel: DataFrame, end: date, model: str = "seasonal_naive") -> DataFrame:
     """Forecasts of one model from all origins at once: entity, origin, month, horizon, predicted, actual and their error."""
-    parts = []
-    for h, folds in BACKTEST_FOLDS.items():
-        parts.append(walk_forward(panel, end, folds).select("entity", "origin", "month", F.lit(h).alias("horizon"), F.col(model).alias("predicted"), "actual"))
-    rows = parts[0].unionByName(parts[1])
-    return rows.withColumns({"error": F.col("predicted") - F.col("actual"), "abs_error": F.abs(F.col("predicted") - F.col("actual")), "bias_ratio": ratio(F.col("predicted"), F.col("actual"))})
+    return with_errors(validated(panel, end, BACKTEST_FOLDS, model))
+
+
+def backtest_roster(panel: DataFrame, segments: DataFrame, end: date, more: DataFrame | None = None) -> DataFrame:
+    """The same for every model that a series' segment tries, from one reading of the histories: entity, segment, model and the columns of backtest().
+
+    more: rows of learnt models (operators.ml.walk_forward over BACKTEST_FOLDS), scored where LEARNT asks for them.
+    """
+    return with_errors(tried(walk_forward(panel, end, BACKTEST_FOLDS), segments, more=more).select("entity", "segment", "model", "origin", "month", "horizon", "predicted", "actual"))
 
 
 def tier(n: Column, total: Column, cfg: Calibration) -> Column:
@@ -54,11 +63,7 @@ def first_of(primary: DataFrame, fallback: DataFrame, keys: list[str]) -> DataFr
 
 def validated(panel: DataFrame, end: date, folds: tuple[Folds, ...], model: str = "seasonal_naive") -> DataFrame:
     """What one model said and what came in the folds of validation: entity, origin, month, horizon, predicted, actual."""
-    parts = [walk_forward(panel, end, f).select("entity", "origin", "month", F.lit(f.horizon).alias("horizon"), F.col(model).alias("predicted"), "actual") for f in folds]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return walk_forward(panel, end, folds).select("entity", "origin", "month", "horizon", F.col(model).alias("predicted"), "actual")
 
 
 def global_evidence(backtested: DataFrame, diagnosed: DataFrame, before: date) -> DataFrame:

@@ -51,11 +51,11 @@ def holdout_by_segment(rows: DataFrame, segments: DataFrame) -> DataFrame:
 def decomposition(rows: DataFrame, products: DataFrame) -> DataFrame:
     """WMAPE at sku, color and style: how much of the error allocation makes."""
     joined = rows.join(products.select("sku", "color", "style"), "sku", "left")
-    parts = []
-    for level in ("sku", "color", "style"):
-        sums = joined.where(F.col(level).isNotNull()).groupBy(F.lit(level).alias("level"), "step", "month", level).agg(F.sum("actual").alias("a"), F.sum("predicted").alias("p"))
-        parts.append(sums.groupBy("level", "step", "month").agg(F.sum("a").alias("actual"), F.sum("p").alias("predicted"), F.when(F.sum("a") > 0, F.sum(F.abs(F.col("a") - F.col("p"))) * 100 / F.sum("a")).alias("wmape")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    levels = F.array(*(F.struct(F.lit(level).alias("level"), F.col(level).alias("key")) for level in ("sku", "color", "style")))
+    each = joined.select("step", "month", "actual", "predicted", F.explode(levels).alias("l")).where("l.key is not null")
+    sums = each.groupBy("l.level", "l.key", "step", "month").agg(F.sum("actual").alias("a"), F.sum("predicted").alias("p"))
+    error = F.when(F.sum("a") > 0, F.sum(F.abs(F.col("a") - F.col("p"))) * 100 / F.sum("a"))
+    return sums.groupBy("level", "step", "month").agg(F.sum("a").alias("actual"), F.sum("p").alias("predicted"), error.alias("wmape"))
 
 
 def risk_flags(forecasts: DataFrame, gold: DataFrame, shares: DataFrame, calibration: DataFrame, before: object, sparse: int = 6, zero_rate: float = 0.50, concentrated: float = 0.85, jump: float = 3.0, low_units: float = 5.0, high_bias: float = 1.30) -> DataFrame:

@@ -7,9 +7,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.config import CROSTON_ALPHA, FOLDS, ROSTER, Folds
-from weftline.functions import mae, mape, rmse, wmape
-from weftline.operators.baselines import croston
+from weftline.config import FOLDS, LEARNT, ROSTER, Folds
+from weftline.functions import mae, mape, months_ago, rmse, wmape
+from weftline.operators.baselines import histories, levels, stepped
 
 CV_MODELS = ("ma_3", "ma_12", "seasonal_naive", "seasonal_avg3y", "croston_sba", "zero")
 
@@ -21,39 +21,23 @@ def origins(end: date, folds: Folds) -> list[date]:
     return [date(m // 12, m % 12 + 1, 1) for m in sorted(found)]
 
 
-def walk_forward(panel: DataFrame, end: date, folds: Folds) -> DataFrame:
-    """(entity, fold, origin, month, step, actual, one column a model): one window pass over the panel for all folds.
+def walk_forward(panel: DataFrame, end: date, folds: Folds | tuple[Folds, ...]) -> DataFrame:
+    """(entity, horizon, fold, origin, month, step, actual, one column a model).
 
-    Croston's method reads each series as it was at the origin, whose length the calendar bounds.
+    One grouping of the panel to a history a series serves all origins of all horizons: they are literal rows, and each cuts the
+    histories at its place. The calendar bounds a history, and only months of origins are ever computed.
     """
-    w = Window.partitionBy("entity").orderBy("month")
-    steps = range(1, folds.horizon + 1)
-
-    def mean(n: int):
-        return F.greatest(F.lit(0.0), F.avg("units").over(w.rowsBetween(1 - n, 0)))
-
-    def before(step: int, years: int):
-        return F.lag("units", 12 * years - step).over(w) if 12 * years > step else F.col("units")
-
-    def ahead(h: int):
-        past = F.array(*(before(h, y) for y in (1, 2, 3)))
-        known = F.filter(past, lambda x: x.isNotNull())
-        return F.struct(
-            F.lit(h).alias("step"),
-            F.lead("units", h).over(w).alias("actual"),
-            F.coalesce(before(h, 1), F.lit(0.0)).alias("seasonal_naive"),
-            F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.size(known)).otherwise(0.0).alias("seasonal_avg3y"),
-        )
-
-    rows = panel.select("entity", "month", "units", mean(3).alias("ma_3"), mean(12).alias("ma_12"), F.row_number().over(w).alias("age"), F.collect_list("units").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("u"), F.array(*(ahead(h) for h in steps)).alias("ahead"))
-    starts = origins(end, folds)
-    fold = F.lit(None).cast("int")
-    for k, o in enumerate(starts, 1):
-        fold = F.when(F.col("month") == F.lit(o), k).otherwise(fold)
-    chosen = rows.withColumn("fold", fold).where((F.col("fold").isNotNull()) & (F.col("age") >= folds.least))
-    sba = (croston(F.col("u")) * (1 - CROSTON_ALPHA / 2)).alias("croston_sba")
-    each = chosen.select("entity", "fold", F.col("month").alias("origin"), "ma_3", "ma_12", sba, F.explode("ahead").alias("a"))
-    return each.select("entity", "fold", "origin", F.expr("add_months(origin, a.step)").alias("month"), F.col("a.step").alias("step"), F.col("a.actual").alias("actual"), "ma_3", "ma_12", F.col("a.seasonal_naive").alias("seasonal_naive"), F.col("a.seasonal_avg3y").alias("seasonal_avg3y"), "croston_sba", F.lit(0.0).alias("zero")).where("actual is not null")
+    folds = (folds,) if isinstance(folds, Folds) else folds
+    starts = [
+        F.struct(F.lit(f.horizon).alias("horizon"), F.lit(k).alias("fold"), F.lit(o).alias("origin"), F.lit(f.least).alias("least"))
+        for f in folds
+        for k, o in enumerate(origins(end, f), 1)
+    ]
+    rows = histories(panel, first=True).select("entity", "first", F.col("u").alias("whole"), F.explode(F.array(*starts)).alias("o"))
+    rows = rows.withColumn("age", -months_ago("o.origin", F.col("first")) + 1).where("age >= o.least and age < size(whole)")
+    known = rows.select("entity", "o.horizon", "o.fold", "o.origin", "age", "whole", F.expr("slice(whole, 1, age)").alias("u"))
+    each = stepped(levels(known), F.col("horizon")).withColumn("actual", F.expr("get(whole, age - 1 + step)")).where("actual is not null")
+    return each.select("entity", "horizon", "fold", "origin", F.expr("add_months(origin, step)").alias("month"), "step", "actual", *CV_MODELS)
 
 
 def long_form(scored: DataFrame) -> DataFrame:
@@ -67,22 +51,26 @@ def in_roster(roster: dict[tuple[str, int], tuple[str, ...]] = ROSTER) -> Column
     return F.array_contains(tried, F.concat_ws("/", "segment", F.col("horizon").cast("string"), "model"))
 
 
-def cv_metrics(panel: DataFrame, segments: DataFrame, end: date, folds: tuple[Folds, ...] = FOLDS, roster: dict[tuple[str, int], tuple[str, ...]] | None = ROSTER, more: DataFrame | None = None) -> DataFrame:
-    """Errors by model, horizon, segment and fold, of the roster's models (of all without a roster).
+def tried(rows: DataFrame, segments: DataFrame, roster: dict[tuple[str, int], tuple[str, ...]] | None = ROSTER, more: DataFrame | None = None) -> DataFrame:
+    """Rows of walk_forward() in long form with their segment, of the roster's models (of all without a roster).
 
-    more: rows (entity, fold, origin, month, step, actual, horizon, model, predicted) of other models, which are all scored.
+    more: rows (entity, fold, origin, month, step, actual, horizon, model, predicted) of learnt models, taken where LEARNT asks for them.
     """
-    parts = [long_form(walk_forward(panel, end, f)).withColumn("horizon", F.lit(f.horizon)) for f in folds]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    a, p = F.col("actual"), F.col("predicted")
-    joined = rows.join(segments.select("entity", "segment"), "entity")
+    kinds = segments.select("entity", "segment")
+    joined = long_form(rows).join(kinds, "entity")
     if roster is not None:
         joined = joined.where(in_roster(roster))
     if more is not None:
-        joined = joined.unionByName(more.join(segments.select("entity", "segment"), "entity"))
-    return joined.groupBy("model", "horizon", "segment", "fold", "origin").agg(rmse(a, p).alias("rmse"), mae(a, p).alias("mae"), mape(a, p).alias("mape"), wmape(a, p).alias("wmape"), F.count_distinct("entity").alias("n_entities"), F.count("*").alias("n_rows"))
+        learnt = more.join(kinds, "entity")
+        joined = joined.unionByName(learnt if roster is None else learnt.where(in_roster(LEARNT)))
+    return joined
+
+
+def cv_metrics(panel: DataFrame, segments: DataFrame, end: date, folds: tuple[Folds, ...] = FOLDS, roster: dict[tuple[str, int], tuple[str, ...]] | None = ROSTER, more: DataFrame | None = None) -> DataFrame:
+    """Errors of tried() models by model, horizon, segment and fold."""
+    a, p = F.col("actual"), F.col("predicted")
+    rows = tried(walk_forward(panel, end, folds), segments, roster, more)
+    return rows.groupBy("model", "horizon", "segment", "fold", "origin").agg(rmse(a, p).alias("rmse"), mae(a, p).alias("mae"), mape(a, p).alias("mape"), wmape(a, p).alias("wmape"), F.count_distinct("entity").alias("n_entities"), F.count("*").alias("n_rows"))
 
 
 def best_models(metrics: DataFrame) -> DataFrame:

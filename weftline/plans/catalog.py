@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.config import BACKTEST, CROSS_VALIDATED, FOLDS, GLOBAL, MODEL_VERSION, ROSTER, Calendar, Calibration
+from weftline.config import BACKTEST, CAUTIOUS, CROSS_VALIDATED, FOLDS, GLOBAL, MODEL_VERSION, ROSTER, Adjustments, Calendar, Calibration
 from weftline.functions import ratio, settled
 from weftline.operators import baselines, calibrate, etl, ml, panel, score, selection, shares
 from weftline.plans.sqltext import END, HOLDOUT, shares as shares_sql, sql, walk
@@ -287,13 +290,13 @@ def fc_adjust_blend(spark, d):
     return f.select("entity", "month", "step", F.round(baselines.blended(F.col("ma_3"), F.col("seasonal_naive")), 4).alias("units"))
 
 
-@query(sql("select entity, month, step, round(least(seasonal_naive * 3, greatest(1.5::double * sum_12 / 12, 3 * last_sold, 1)), 4) as units from forecast_sku", "forecast_sku"))
+@query(sql("select entity, month, step, round(least(seasonal_naive * 3, greatest(2 * sum_12 / 12, 3 * last_sold, 1)), 4) as units from forecast_sku", "forecast_sku"))
 def fc_adjust_cap(spark, d):
     f = baselines.forecast(dense(spark, d, "sku"), CAL.train_end, 3)
     return f.select("entity", "month", "step", F.round(baselines.capped(F.col("seasonal_naive") * 3, F.col("sum_12"), F.col("last_sold")), 4).alias("units"))
 
 
-@query(sql("select entity, month, step, round(case when trail_3 > 0 and seasonal_naive > 2 * trail_3 then 0.8::double * trail_3 + 0.2::double * seasonal_naive else seasonal_naive end, 4) as units from forecast_sku", "forecast_sku"))
+@query(sql("select entity, month, step, round(case when trail_3 > 0 and seasonal_naive > 1.5::double * trail_3 then 0.8::double * seasonal_naive + 0.2::double * trail_3 else seasonal_naive end, 4) as units from forecast_sku", "forecast_sku"))
 def fc_adjust_shrink(spark, d):
     f = baselines.forecast(dense(spark, d, "sku"), CAL.train_end, 3)
     return f.select("entity", "month", "step", F.round(baselines.shrunk(F.col("seasonal_naive"), F.col("trail_3")), 4).alias("units"))
@@ -318,7 +321,7 @@ def metrics(spark, d):
 @query(sql(f"select entity, fold, origin, month, step, horizon, {rounds('actual ma_3 ma_12 seasonal_naive seasonal_avg3y croston_sba zero')} from ({CV_ROWS})", "panel_color"))
 def cv_folds(spark, d):
     p = dense(spark, d, "color")
-    return rounded(score.union_all([selection.walk_forward(p, CAL.train_end, f).withColumn("horizon", F.lit(f.horizon)) for f in FOLDS]))
+    return rounded(selection.walk_forward(p, CAL.train_end, FOLDS))
 
 
 @query(sql(f"select model, horizon, segment, fold, origin, {rounds('rmse mae mape wmape')}, n_entities, n_rows from {CV_SQL}", "segment_color"))
@@ -335,20 +338,88 @@ SKU_CV = f"""(select segment, model, avg(wmape) as mean_wmape from (select model
     from (select entity, fold, actual, model, predicted from {walk('sku', 3, *SQL_FOLDS[3])} unpivot (predicted for model in (ma_3, ma_12, seasonal_naive, seasonal_avg3y, croston_sba, zero))) join segment_sku using (entity)
     where (segment || '/3/' || model) in ({TRIED}) group by model, segment, fold) group by segment, model)"""
 SKU_BEST = f"(select segment, model as best_model from (select *, row_number() over (partition by segment order by round(mean_wmape, 6) nulls last, model) as place from {SKU_CV}) where place = 1)"
+DISPATCHED = f"""(select f.*, s.segment, coalesce(b.best_model, 'seasonal_naive') as model,
+    case coalesce(b.best_model, 'seasonal_naive') when 'zero' then 0 when 'croston_sba' then c.croston_sba when 'seasonal_avg3y' then f.seasonal_avg3y else f.seasonal_naive end as u
+    from forecast_sku f join segment_sku s using (entity) join croston_sku c using (entity) left join {SKU_BEST} b using (segment))"""
+DISPATCH_NEEDS = ("forecast_sku", "segment_sku", "croston_sku")
+AS_FORECAST = "entity as key, month, step as horizon, 'sku' as level, segment, model"
 
 
 def sku_best(p, s):
     return selection.best_models(selection.cv_metrics(p, s, CAL.train_end, tuple(f for f in FOLDS if f.horizon == 3)))
 
 
-@query(sql(f"""select entity as key, month, step as horizon, 'sku' as level, segment, model, '{MODEL_VERSION}' as model_version, round(u, 4) as units, round(u * 0.8::double, 4) as lower, round(u * 1.2::double, 4) as upper from
-    (select f.*, s.segment, coalesce(b.best_model, 'seasonal_naive') as model, case coalesce(b.best_model, 'seasonal_naive') when 'zero' then 0 when 'croston_sba' then c.croston_sba when 'seasonal_avg3y' then f.seasonal_avg3y else f.seasonal_naive end as u
-     from forecast_sku f join segment_sku s using (entity) join croston_sku c using (entity) left join {SKU_BEST} b using (segment))""", "forecast_sku", "segment_sku", "croston_sku"))
+def as_forecast(out: DataFrame) -> DataFrame:
+    named = [F.col("entity").alias("key"), "month", F.col("step").alias("horizon"), F.lit("sku").alias("level"), "segment", "model", F.lit(MODEL_VERSION).alias("model_version")]
+    return out.select(*named, *(F.round(c, 4).alias(c) for c in ("units", "lower", "upper")))
+
+
+@query(sql(f"select {AS_FORECAST}, '{MODEL_VERSION}' as model_version, round(u, 4) as units, round(u * 0.8::double, 4) as lower, round(u * 1.2::double, 4) as upper from {DISPATCHED}", *DISPATCH_NEEDS))
 def fc_dispatch(spark, d):
     p = dense(spark, d, "sku")
     s = panel.segment(p, CAL.train_end)
-    out = baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), s, sku_best(p, s))
-    return out.select(F.col("entity").alias("key"), "month", F.col("step").alias("horizon"), F.lit("sku").alias("level"), "segment", "model", F.lit(MODEL_VERSION).alias("model_version"), *(F.round(c, 4).alias(c) for c in ("units", "lower", "upper")))
+    return as_forecast(baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), s, sku_best(p, s)))
+
+
+CAP = "greatest({c.cap_multiple}::double * sum_12 / 12, 3 * last_sold, 1)"
+SHRUNK = "case when segment <> 'DEAD' and trail_3 > 0 and v > {c.shrink_threshold}::double * trail_3 then {c.shrink_weight}::double * v + (1 - {c.shrink_weight}::double) * trail_3 else v end"
+
+
+def corrected_sql(rows: str, cfg: Adjustments) -> str:
+    """Adds v (after the cap) and w (after shrinking) to rows with u, as a chain of plain selects."""
+    cap = f"(select *, case when segment = 'INTERMITTENT' then least(u, {CAP.format(c=cfg)}) else u end as v from {rows})"
+    return f"(select *, {SHRUNK.format(c=cfg)} as w from {cap})"
+
+
+def corrected(spark, d, cfg):
+    p = dense(spark, d, "sku")
+    s = panel.segment(p, CAL.train_end)
+    return baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), s, sku_best(p, s), cfg)
+
+
+@query(sql(f"select {AS_FORECAST}, '{MODEL_VERSION}' as model_version, round(w, 4) as units, round(w * 0.8::double, 4) as lower, round(w * 1.2::double, 4) as upper from {corrected_sql(DISPATCHED, Adjustments())}", *DISPATCH_NEEDS))
+def fc_adjusted(spark, d):
+    """The dispatched forecast after the corrections."""
+    return as_forecast(corrected(spark, d, Adjustments()))
+
+
+TRAIL_SQL = """select entity, step, row_number() over (partition by entity, step order by rule)::int as place, rule, round(before, 4) as before, round(after, 4) as after
+    from (select entity, step, 'cap' as rule, u as before, v as after from {rows} where u <> v union all select entity, step, 'shrink', v, w from {rows} where v <> w)"""
+
+
+@query(sql(TRAIL_SQL.format(rows=corrected_sql(DISPATCHED, CAUTIOUS)), *DISPATCH_NEEDS))
+def fc_adjust_trail(spark, d):
+    """Which corrections changed what, under the notebooks' settings."""
+    return rounded(baselines.trail_of(corrected(spark, d, CAUTIOUS)))
+
+
+#: A model that SQL can follow: the recursion, its guardrail and its feedback are then checked to the last digit.
+LINEAR = "0.5 * lag_1 + 0.3 * mean_3 + 0.5 * lag_12"
+_STEPS = """s0 as (select entity, list(units order by month)::double[] as u from panel_color group by entity),
+    s1 as (select *, u[-1] as prev, greatest(0, 0.5::double * u[-1] + 0.3::double * list_avg(u[greatest(1, len(u) - 2):]) + 0.5::double * case when len(u) >= 12 then u[len(u) - 11] else 0 end) as raw from s0),
+    t1 as (select entity, u, case when prev > 0 then least(raw, prev * 1.15::double) else raw end as r from s1), f1 as (select entity, u, r as r1, list_append(u, r) as h from t1),
+    s2 as (select *, greatest(0, 0.5::double * h[-1] + 0.3::double * list_avg(h[greatest(1, len(h) - 2):]) + 0.5::double * case when len(u) >= 11 then u[len(u) - 10] else 0 end) as raw from f1),
+    t2 as (select *, case when r1 > 0 then least(raw, r1 * 1.15::double) else raw end as r2, list_avg(h[greatest(1, len(h) - 2):]) as m from s2),
+    f2 as (select entity, u, r1, r2, list_append(h, case when m > 0 then greatest(0, 0.7::double * r2 + (1 - 0.7::double) * m) else r2 end) as h from t2),
+    s3 as (select *, greatest(0, 0.5::double * h[-1] + 0.3::double * list_avg(h[greatest(1, len(h) - 2):]) + 0.5::double * case when len(u) >= 10 then u[len(u) - 9] else 0 end) as raw from f2),
+    t3 as (select *, case when r2 > 0 then least(raw, r2 * 1.15::double) else raw end as r3 from s3),
+    said as (select entity, unnest([1, 2, 3]) as step, unnest([r1, r2, r3]) as r from t3)"""
+RECURSION_SQL = f"""(with {_STEPS} select r.entity, f.month, r.step, s.segment, r.r, f.seasonal_avg3y, f.sum_12, f.last_sold, f.trail_3,
+    case when abs(r.r - f.seasonal_avg3y) / greatest(1, f.seasonal_avg3y) > 0.25 then greatest(0, 0.7::double * r.r + (1 - 0.7::double) * f.seasonal_avg3y) else r.r end as u
+    from said r join forecast_color f using (entity, step) join segment_color s using (entity))"""
+
+
+@query(sql(f"select entity, month, step, segment, round(r + 1e-9::double, 4) as reported, round(w + 1e-9::double, 4) as units, round(w * 0.8::double + 1e-9::double, 4) as lower, round(w * 1.2::double + 1e-9::double, 4) as upper from {corrected_sql(RECURSION_SQL, Adjustments())}", "panel_color", "forecast_color", "segment_color"))
+def fc_recursive_linear(spark, d):
+    """Recursion first, then the seasonal blend, the cap and shrinkage, for every series, of a model that is a formula."""
+    p = dense(spark, d, "color")
+    model = PipelineModel([SQLTransformer(statement=f"select *, {LINEAR} as prediction from __THIS__")])
+    s = panel.segment(p, CAL.train_end)
+    everywhere = s.select("segment").distinct().withColumn("best_model", F.lit("linear"))
+    out = ml.dispatched(baselines.forecast(p, CAL.train_end, 3), ml.state(p), s, everywhere, {"linear": model}, 3)
+    said = ml.recursion(model, ml.state(p), 3).select("entity", "step", F.col("units").alias("reported"))
+    shown = [settled(F.col(c)).alias(c) for c in ("reported", "units", "lower", "upper")]
+    return out.join(said, ["entity", "step"]).select("entity", "month", "step", "segment", *shown)
 
 
 ERRORS_SQL = f"(select segment, horizon, case when segment = 'DEAD' then 0 else mean_wmape / 100 end as expected_error from {BEST_SQL})"
@@ -584,6 +655,16 @@ def tested(spark, d):
     return calibrate.backtest(dense(spark, d, "style"), CAL.train_end)
 
 
+BT_ALL = "(" + " union all ".join(f"select entity, horizon, origin, month, actual, model, predicted from {walk('style', h, 8, 3, 24)} unpivot (predicted for model in (ma_3, ma_12, seasonal_naive, seasonal_avg3y, croston_sba, zero))" for h in (1, 3)) + ")"
+
+
+@query(sql(f"select entity, segment, model, origin, month, horizon, {rounds('predicted actual')}, round(predicted - actual, 4) as error, round(abs(predicted - actual), 4) as abs_error, round(predicted / nullif(actual, 0), 4) as bias_ratio from {BT_ALL} join segment_style using (entity) where (segment || '/' || horizon || '/' || model) in ({TRIED})", "panel_style", "segment_style"))
+def backtest_roster(spark, d):
+    """Every model that a style's segment tries, from all origins."""
+    p = dense(spark, d, "style")
+    return rounded(calibrate.backtest_roster(p, panel.segment(p, CAL.train_end), CAL.train_end))
+
+
 @query(sql(f"select entity, origin, month, horizon, {rounds('predicted actual')}, round(predicted - actual, 4) as error, round(abs(predicted - actual), 4) as abs_error, round(predicted / nullif(actual, 0), 4) as bias_ratio from {BT_SQL}", "panel_style"))
 def backtest_stylecode(spark, d):
     return rounded(tested(spark, d))
@@ -820,25 +901,62 @@ def verdict(spark, d):
 # Models, upserts, streams
 
 
+def attributes(spark, d, entity):
+    """What learnt models know of an entity besides its history: (entity, categories)."""
+    p = retail.dim_product(spark, d)
+    if entity == "sku":
+        return p.select(F.col("sku").alias("entity"), "style", "brand", "size")
+    return p.select(F.col(entity).alias("entity"), *(("style", "brand") if entity == "color" else ())).distinct()
+
+
+CATEGORIES = ("style", "brand")
+
+
+def learnt_state(spark, d, p, segment="REGULAR"):
+    """Histories of the segment that global models learn from, with their categories."""
+    kinds = panel.segment(p, CAL.train_end)
+    return ml.state(p.join(kinds.where(F.col("segment") == segment).select("entity"), "entity", "left_semi"), attributes(spark, d, "color"))
+
+
 @query()
 def ml_gbt_recursive(spark, d):
-    h = ml.state(dense(spark, d, "color"))
-    return ml.recursive_forecast(ml.train("gbt", ml.training_rows(h), 3), h, CAL.train_end, 3)
+    h = ml.state(dense(spark, d, "color"), attributes(spark, d, "color"))
+    return ml.recursive_forecast(ml.train("gbt", ml.training_rows(h, 3), 3, CATEGORIES), h, CAL.train_end, 3)
 
 
 @query()
 def ml_rf_h1(spark, d):
-    h = ml.state(dense(spark, d, "color"))
-    return ml.recursive_forecast(ml.train("random_forest", ml.training_rows(h), 1), h, CAL.train_end, 1)
+    h = ml.state(dense(spark, d, "color"), attributes(spark, d, "color"))
+    return ml.recursive_forecast(ml.train("random_forest", ml.training_rows(h, 1), 1, CATEGORIES), h, CAL.train_end, 1)
+
+
+def learnt_metrics(spark, d, p, iterations=20):
+    """Errors of the roster's formulas and learnt models three months ahead; each fold's trees are learnt anew, the folds side by side."""
+    kinds = panel.segment(p, CAL.train_end)
+    folds = next(f for f in FOLDS if f.horizon == 3)
+    regular = p.join(kinds.where("segment = 'REGULAR'").select("entity"), "entity", "left_semi")
+    more = ml.walk_forward("gbt", regular, CAL.train_end, folds, attributes(spark, d, "color"), iterations)
+    return selection.cv_metrics(p, kinds, CAL.train_end, (folds,), more=more)
 
 
 @query()
 def ml_validation(spark, d):
-    """Errors of the roster with its boosted trees, three months ahead, by fold; each fold's trees are learnt anew."""
+    return rounded(learnt_metrics(spark, d, dense(spark, d, "color")))
+
+
+@query()
+def ml_best_model(spark, d):
+    """The choice with trees among the candidates."""
+    return rounded(selection.best_models(learnt_metrics(spark, d, dense(spark, d, "color"))))
+
+
+@query()
+def ml_dispatch(spark, d):
+    """Validate, choose, learn and save the models that were chosen, and forecast with what was saved: formulas and trees in one table, corrected, with bounds."""
     p = dense(spark, d, "color")
-    folds = next(f for f in FOLDS if f.horizon == 3)
-    more = ml.walk_forward("gbt", p, CAL.train_end, folds, iterations=20)
-    return rounded(selection.cv_metrics(p, panel.segment(p, CAL.train_end), CAL.train_end, (folds,), more=more))
+    best = sinks.kept(selection.best_models(learnt_metrics(spark, d, p)), "best-models")
+    out = ml.run(p, panel.segment(p, CAL.train_end), best, attributes(spark, d, "color"), CAL.train_end, 3, f"{sinks.shared_dir(spark)}/models-{uuid.uuid4().hex}")
+    return rounded(out.select("entity", "month", "step", "segment", "model", "units", "lower", "upper", F.size("trail").alias("n_corrections")))
 
 
 @query(sql("select date '2001-08-02' as run_date, entity as key, month, step as horizon, 'seasonal_naive' as model, round(case when step = 1 then seasonal_naive else ma_3 end, 4) as units from forecast_color", "forecast_color"))

@@ -14,11 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """sku, style, color, size, item, price; sku is unique."""
+    """sku, style, color, brand, size, item, price; sku is unique."""
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("sku"),
         F.col("p_type").alias("style"),
         F.concat_ws("|", "p_type", "p_brand").alias("color"),
+        F.col("p_brand").alias("brand"),
         F.col("p_size").cast("string").alias("size"),
         F.col("p_name").alias("item"),
         F.col("p_retailprice").alias("price"),

@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FORECAST_KEY = ("run_date", "key", "month", "horizon", "model")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as spark.checkpoint.dir names it; a local one only where nothing is named (tests)."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-weftline-"))
+        named = spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/")
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read back: it is made once, however often it is read, and survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/weftline-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, kind: str = "parquet", mode: str = "overwrite") -> None:
     writer = df.write.mode(mode).format(kind)
     if kind == "csv":

@@ -135,6 +135,8 @@ def links(nodes: DataFrame, parts: int, tile: int = TILE, radius: int = RADIUS)
     code = sum(((c + radius).cast("long") * base**k for k, c in enumerate(counts)), F.lit(0).cast("long"))
     coded = nodes.select("fp", code.alias("cell"))
     sizes = coded.groupBy("cell").agg(F.count("*").alias("n"))
+    if parts <= 4:  # 17 ** 4 cells at most; so a cell's nodes needn't meet in one task before they are dealt to shares
+        sizes = F.broadcast(sizes)
     shares = F.greatest(F.lit(1), F.ceil(F.col("n") / tile)).cast("int")
     placed = coded.join(sizes, "cell").select("cell", F.pmod(F.xxhash64("fp"), shares).cast("int").alias("share"), "fp")
     # A tile's size is bounded by the even spread of hashes over shares.

@@ -27,6 +27,13 @@ def clipped(c: Column, low: float | None = None, high: float | None = None) -> C
     return F.when(c.isNotNull(), out)
 
 
+def title(c: Column | str) -> Column:
+    """Every letter that follows none goes up, all others go down, so that "t-shirt" gives "T-Shirt"."""
+    spaced = F.regexp_replace(F.lower(c), r"(?<!\p{L})(\p{L})", "\u0001$1")  # a mark before each letter that begins a word
+    parts = F.split(spaced, "\u0001")
+    return F.array_join(F.transform(parts, lambda p, k: F.when(k == 0, p).otherwise(F.concat(F.upper(F.substring(p, 1, 1)), p.substr(F.lit(2), F.length(p))))), "")
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value) with the value computed once, however often it is used."""
     return F.element_at(F.transform(F.array(value), use), 1)

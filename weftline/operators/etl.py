@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions import month_of
+from weftline.functions import month_of, title
 
 EXCLUDED_ITEMS = "FREIGHT|LTL|SHIPPING|MISC"  # fixed value: lines for charges, not for goods
 
@@ -27,7 +27,7 @@ def clean_lines(raw: DataFrame, renames: dict[str, str], quantities: list[str])
     return out.withColumns(
         {
             "demand_month": F.coalesce(month_of(invoice), accounting),
-            "item_category": F.initcap(F.trim("item_category")),
+            "item_category": title(F.trim("item_category")),
             "line_key": F.concat_ws("|", "order_number", "line_number", "bo_number"),
             "is_substituted": F.coalesce(F.col("item_number") != F.col("original_item"), F.lit(False)).cast("int"),
             "is_return": (F.col("returned_qty") > 0).cast("int"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -36,13 +37,13 @@ def listed(splits: DataFrame) -> DataFrame:
 
 
 def whole_union(parts: Iterable[DataFrame]) -> DataFrame:
-    """union_of(), after a check that it has as many rows as its parts together."""
+    """union_of(), written to the shared folder and held against the number of its parts' rows while it is."""
+    from weftline.sources import sinks, versions
+
     parts = list(parts)
-    out = union_of(parts)
-    n, expected = out.count(), sum(p.count() for p in parts)
-    if n != expected:
-        raise ValueError(f"the union has {n} rows, its parts {expected}")
-    return out
+    path = f"{sinks.shared_dir(parts[0].sparkSession)}/weftline-union-{uuid.uuid4().hex}"
+    versions.write_union(parts, path)
+    return parts[0].sparkSession.read.schema(union_of(parts).schema).parquet(path)
 
 
 def read_lookups(spark: SparkSession, folder: str, names: Iterable[str] = ("item", "size", "style", "color"), kind: str = "csv") -> dict[str, DataFrame]:

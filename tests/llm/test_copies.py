@@ -193,3 +193,46 @@ def test_join_leaves_rows_without_doc_id_alone(spark):
     docs = spark.createDataFrame([(None, "one two three four five six"), (2**53 + 1, "one two three four five six"), (None, "x")], "doc_id long, text string").coalesce(1)
     assert sorted(map(str, op8_chosen_path.join(docs).collect())) == sorted([f"Row(doc_id={2**53 + 1}, class_id={2**53 + 1}, n_links=0)", *["Row(doc_id=None, class_id=None, n_links=0)"] * 2])
     assert op8_chosen_path.deduplicated(docs).count() == 3
+
+
+A, B, C = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+
+
+def test_rows_of_one_id_with_other_texts(spark):
+    """Sets are told apart by their texts: nothing is lost, and strangers that share an id aren't joined."""
+    rows = [(5, A), (5, B), (7, B), (9, A), (5, A), (3, ""), (3, None), (3, " "), (4, C), (4, C.replace("c7", "x") + " y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("root", op8_chosen_path.F.lit("clash"))
+    found = {}
+    for r in op8_chosen_path.join(docs).collect():
+        found.setdefault((r["doc_id"], r["class_id"]), set()).add(r["n_links"])
+    assert found[9, 9] == {2} and found[5, 9] == {2} and found[7, 7] == {1} and found[5, 7] == {1}
+    kept = op8_chosen_path.deduplicated(docs)
+    assert kept.columns == docs.columns
+    texts = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert texts.count((5, A)) == 1 and texts.count((5, B)) == 1 and not {(7, B), (9, A)} & set(texts)
+    assert len([t for t in texts if t[0] == 3]) == 2  # null and empty are one text, a blank is another
+    assert len(texts) == 2 + 2 + len({t for t in texts if t[0] == 4})
+
+
+def test_classes_without_an_id_of_their_own(spark):
+    found = op8_chosen_path.join(spark.createDataFrame([(1, A), (1, B), (1, C), (2, C)], "doc_id long, text string")).collect()
+    names = [r["class_id"] for r in found]
+    assert len(set(names)) == 3 and names.count(2) == 2 and sum(n < 0 for n in names) == 2
+
+
+def test_same_ids_in_large_groups(spark, monkeypatch):
+    """Many rows under few ids, in components of several blocks: as many links as with ids of their own."""
+    import random
+
+    monkeypatch.setattr(op8_chosen_path, "SMALL", 8)
+    monkeypatch.setattr(op8_chosen_path, "BLOCK", 16)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for k in range(50):
+        w = list(base)
+        w[rng.randrange(120)] = f"x{k}"
+        texts.append(" ".join(w))
+    own = {r["doc_id"]: r["n_links"] for r in op8_chosen_path.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    shared = op8_chosen_path.join(spark.createDataFrame([(k % 7, t) for k, t in enumerate(texts)], "doc_id long, text string")).collect()
+    assert sorted(r["n_links"] for r in shared) == sorted(own.values()) and max(own.values()) > 20

@@ -6,16 +6,20 @@ paths with more than SMALL sets are split again by further chosen coordinates (C
 similar sets go on together and others part. Before a split, sets are held against the path's root: those somewhat like it
 join its component at once, and go on only if a set unlike it is there that they might still be linked to, which the triangle
 inequality of Jaccard distance rules out for sets close to the root. So groups of copies aren't split again and again. Small buckets are
-compared by brute force on sketches, far below the threshold to lose nothing; what no split divides is joined whole. Runs repeat until a pair at the
-threshold is missed with a probability of (1 - threshold) ** RUNS at most, about 1e-7.
+compared by brute force on sketches, far below the threshold to lose nothing; what no split divides is joined whole. RUNS runs miss a pair at the
+threshold with a probability of (1 - threshold) ** RUNS, 1e-7, where its paths are small, and of about (1 - threshold * 0.96 ** LEVELS) ** RUNS, 5e-6, where they are split LEVELS times.
 
 The components that candidates form are then verified exactly: sets of a component meet in pairs of blocks of
 BLOCK sets, so no task holds a large component, and each pair's Jaccard similarity comes from integer counts.
 What is emitted from a block pair is a root and a number of links for each set, never a pair.
 
+Sets are told apart by their contents, never by doc_id, which may repeat: rows of one doc_id with other texts are documents of their own.
+
 Defined cases: words are split at white space after lower-casing; a text of fewer words than a shingle has one
 shingle of them all; a null or empty text has no shingles, links to nothing and is a class of its own;
-equal texts and repeated rows link to each other; rows without doc_id take no part (class null, no links, and deduplicated() keeps them); an empty table gives no rows; only doc_id and text are read.
+equal texts and repeated rows link to each other; a class is named by its smallest doc_id, but an id whose rows fall in several classes names none of them (a class
+without another id is named by a negative hash); deduplicated() keeps the row of each class with the smallest doc_id, of those with one id that with the smallest text hash, and of equal rows one;
+rows without doc_id take no part (class null, no links, and deduplicated() keeps them); an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_texts, written
@@ -90,8 +94,26 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _marked(docs: DataFrame) -> DataFrame:
+    """doc_texts() with t1 and t2, a 128-bit mark of the text, by which a row is found again."""
+    return doc_texts(docs).withColumns(text_marks(F.col("text")))
+
+
+def text_marks(text: Column) -> dict[str, Column]:
+    text = F.coalesce(text, F.lit(""))
+    return {"t1": F.xxhash64(text), "t2": F.xxhash64(F.lit(1), text)}
+
+
+def set_key(hashes: np.ndarray) -> np.ndarray:
+    """128 bits of a set's sorted hashes as two numbers."""
+    return np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64)
+
+
 def sketched(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, k1, k2: a 128-bit key of the set, sketch: a byte a coordinate, paths: a value for each run); null keys without words."""
+    """(doc_id, t1, t2: the text's mark, k1, k2: a 128-bit key of the set, sketch: a byte a coordinate, paths: a value for each run).
+
+    A row without words has a key of its own, from its id and text, and neither sketch nor paths.
+    """
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(shingle)
@@ -102,17 +124,17 @@ def sketched(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 m = iter(minhashes(full)) if full else iter(())
                 rows = []
-                for doc_id, s in zip(part["doc_id"], sets):
+                for doc_id, t1, t2, s in zip(part["doc_id"], part["t1"], part["t2"], sets):
                     if not len(s):
-                        rows.append((doc_id, None, None, None, None))
+                        k = set_key(np.array([doc_id, t1, t2, -1], np.int64))
+                        rows.append((doc_id, t1, t2, int(k[0]), int(k[1]), None, None))
                         continue
-                    values = next(m)
-                    k = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
+                    values, k = next(m), set_key(s)
                     paths = (values[:RUNS].astype(np.uint64) << np.uint64(16) | np.arange(RUNS, dtype=np.uint64)).astype(np.int64)
-                    rows.append((doc_id, int(k[0]), int(k[1]), values.astype(np.uint8).tobytes(), paths))
-                yield pd.DataFrame(rows, columns=["doc_id", "k1", "k2", "sketch", "paths"]).astype({"k1": "Int64", "k2": "Int64"})
+                    rows.append((doc_id, t1, t2, int(k[0]), int(k[1]), values.astype(np.uint8).tobytes(), paths))
+                yield pd.DataFrame(rows, columns=["doc_id", "t1", "t2", "k1", "k2", "sketch", "paths"])
 
-    return doc_texts(docs).mapInPandas(emit, "doc_id long, k1 long, k2 long, sketch binary, paths array<long>")
+    return _marked(docs).mapInPandas(emit, "doc_id long, t1 long, t2 long, k1 long, k2 long, sketch binary, paths array<long>")
 
 
 def _root(parent: np.ndarray, a: int) -> int:
@@ -212,13 +234,15 @@ def candidates(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """Adds `set`, the document's shingle hashes cut to SET_BYTES, in place of its text."""
+    """Adds `set`, the document's shingle hashes cut to SET_BYTES, in place of its text; rows of the same doc_id that are of another set are left out."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(shingle)
         for batch in batches:
-            out = batch.drop(columns="text")
-            out["set"] = [np.unique(shingler.of(t) >> np.uint64(64 - 8 * SET_BYTES)).view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes() for t in batch["text"]]
+            found = [shingler.of(t) for t in batch["text"]]
+            own = np.array([tuple(set_key(s)) == (k1, k2) for s, k1, k2 in zip(found, batch["k1"], batch["k2"])], bool)
+            out = batch.drop(columns=["text", "k1", "k2"])[own]
+            out["set"] = [np.unique(s >> np.uint64(64 - 8 * SET_BYTES)).view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes() for s, o in zip(found, own) if o]
             yield out
 
     return docs.mapInPandas(emit, "node long, copies long, component long, n_blocks int, share int, set binary")
@@ -240,11 +264,11 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def verified(members: DataFrame, docs: DataFrame, threshold: float, shingle: int) -> DataFrame:
-    """(node, root, links, n_blocks) for each block pair that a set is in. members: (node, copies, component)."""
+    """(node, root, links, n_blocks) for each block pair that a set is in. members: (node, doc_id: one that has the set, k1, k2, copies, component)."""
     counted = written(members.groupBy("component").count(), "component-sizes")
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    placed = members.join(counted, "component").select("node", "copies", "component", blocks.alias("n_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("share"))
-    texts = doc_texts(docs).withColumnRenamed("doc_id", "node").join(placed, "node").select("node", "copies", "component", "n_blocks", "share", "text")
+    placed = members.join(counted, "component").select("doc_id", "node", "k1", "k2", "copies", "component", blocks.alias("n_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("share"))
+    texts = doc_texts(docs).join(placed, "doc_id").select("node", "k1", "k2", "copies", "component", "n_blocks", "share", "text")
     others = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
     met = _sets(texts, shingle).withColumn("other", others).withColumns({"i": F.least("share", "other"), "j": F.greatest("share", "other")})
 
@@ -265,30 +289,46 @@ def verified(members: DataFrame, docs: DataFrame, threshold: float, shingle: int
     return met.groupBy("component", "i", "j").applyInPandas(check, "node long, root long, links long, n_blocks int")
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, class_id, n_links): a class is named by its smallest doc_id; links count all documents at the threshold or above."""
-    nameless = docs.where("doc_id is null").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    docs = docs.where("doc_id is not null")
+def _classes(docs: DataFrame, threshold: float, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(a row a document with a doc_id: doc_id, root, n_links; a row a class: root, and doc_id, t1, t2 of its first row)."""
     sketches = written(sketched(docs, shingle), "sketches")
-    worded = sketches.where("k1 is not null")
-    sets = written(worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "sets")
-    nodes = written(worded.select(F.col("doc_id").alias("node"), "sketch", "paths").join(sets.select("node"), "node", "left_semi").dropDuplicates(["node"]), "nodes")
-    members = components(candidates(nodes, threshold)).join(sets.select("node", "copies"), "node")
+    sets = sketches.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("first"), F.count("*").alias("copies"), F.any_value(F.struct("sketch", "paths")).alias("s"))
+    sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "sets")  # written, so the numbers stay
+    nodes = sets.where("s.sketch is not null").select("node", "s.sketch", "s.paths")
+    sets = sets.select("node", "k1", "k2", "first", "copies")
+    members = components(candidates(nodes, threshold)).join(sets.select("node", "first.doc_id", "k1", "k2", "copies"), "node")
     checked = written(verified(members, docs, threshold, shingle), "verified")
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
-    alone = checked.where("n_blocks = 1").select("node", F.col("root").alias("class_id"))
+    alone = checked.where("n_blocks = 1").select("node", "root")
     spread = checked.where("n_blocks > 1 and node <> root")
     found = alone
     if not spread.isEmpty():
-        found = alone.unionByName(components(spread.select("node", "root"), "node", "root").withColumnRenamed("component", "class_id"))
-    classes = sets.join(found, "node", "left").join(links, "node", "left")
-    classes = written(classes.select("k1", "k2", F.coalesce("class_id", "node").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
-    keyed = sketches.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"], "left")
-    found = keyed.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        found = alone.unionByName(components(spread.select("node", "root"), "node", "root").withColumnRenamed("component", "root"))
+    classes = sets.join(found, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = written(classes.select("k1", "k2", "first", "root", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
+    rows = sketches.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "root", "n_links")
+    return rows, classes.groupBy("root").agg(F.min("first").alias("first")).select("root", "first.*")
+
+
+def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, class_id, n_links): a class is named by its smallest doc_id; links count all documents at the threshold or above."""
+    nameless = docs.where("doc_id is null").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    rows, firsts = _classes(docs.where("doc_id is not null"), threshold, shingle)
+    rows = written(rows, "class-rows")
+    names = firsts.select("root", F.col("doc_id").alias("class_id"))
+    torn = written(rows.groupBy("doc_id").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("doc_id"), "ids-of-several-classes")
+    if not torn.isEmpty():
+        own = rows.join(torn, "doc_id", "left_anti").groupBy("root").agg(F.min("doc_id").alias("own"))
+        names = names.join(own, "root", "left").select("root", F.coalesce("own", F.shiftrightunsigned(F.xxhash64("root"), 1).bitwiseOR(F.lit(-(1 << 63)))).alias("class_id"))
+    found = rows.join(names, "root").select("doc_id", "class_id", F.col("n_links").cast("long").alias("n_links"))
     return found.unionByName(nameless)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents that are the smallest of their class, all columns kept; of repeated rows one stays."""
-    kept = join(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """One row of each class, all columns kept: the first by doc_id, then text; of repeated rows one stays."""
+    _, firsts = _classes(docs.where("doc_id is not null"), THRESHOLD, SHINGLE)
+    marks = {f"_{name}": c for name, c in text_marks(F.col("text").cast("string")).items()}
+    kept = firsts.select(F.col("doc_id").alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"))
+    rows = docs.where("doc_id is not null").withColumns(marks | {"_id": F.col("doc_id").cast("long")})
+    one = rows.join(kept, ["_id", "_t1", "_t2"], "left_semi").dropDuplicates(["_id", "_t1", "_t2"]).select(*docs.columns)
+    return one.unionByName(docs.where("doc_id is null"))

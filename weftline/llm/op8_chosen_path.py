@@ -17,8 +17,9 @@ Sets are told apart by their contents, never by doc_id, which may repeat: rows o
 
 Defined cases: words are split at white space after lower-casing; a text of fewer words than a shingle has one
 shingle of them all; a null or empty text has no shingles, links to nothing and is a class of its own;
-equal texts and repeated rows link to each other; a class is named by its smallest doc_id, but an id whose rows fall in several classes names none of them (a class
-without another id is named by a negative hash); deduplicated() keeps the row of each class with the smallest doc_id, of those with one id that with the smallest text hash, and of equal rows one;
+equal texts and repeated rows link to each other; a class is named by the smallest doc_id of its sets, but an id that is the smallest of several sets names only the one with
+the smallest key, and the others go by a number from 2 ** 62 on, made of their hash, which names a class of only such sets; deduplicated() keeps a row of each class's naming set, that with
+its smallest doc_id, of those with one id that with the smallest text hash, and of equal rows one;
 rows without doc_id take no part (class null, no links, and deduplicated() keeps them); an empty table gives no rows; only doc_id and text are read.
 """
 
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import doc_texts, written
@@ -47,6 +48,7 @@ LOOSE = 0.30  # an estimate from which on a set of a large path joins its root's
 BLOCK = 256
 SET_BYTES = 5  # of a shingle's hash, within a component
 CACHE = 300_000
+OTHERS = 1 << 62  # from here on are the nodes of sets whose smallest doc_id names another set
 
 
 class Shingler:
@@ -94,23 +96,19 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    """doc_texts() with t1 and t2, a 128-bit mark of the text, by which a row is found again."""
-    return doc_texts(docs).withColumns(text_marks(F.col("text")))
+def text_mark(text: Column) -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def text_marks(text: Column) -> dict[str, Column]:
-    text = F.coalesce(text, F.lit(""))
-    return {"t1": F.xxhash64(text), "t2": F.xxhash64(F.lit(1), text)}
-
-
-def set_key(hashes: np.ndarray) -> np.ndarray:
+def set_key(hashes: np.ndarray) -> tuple[int, int]:
     """128 bits of a set's sorted hashes as two numbers."""
-    return np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64)
+    a, b = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64)
+    return int(a), int(b)
 
 
 def sketched(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, t1, t2: the text's mark, k1, k2: a 128-bit key of the set, sketch: a byte a coordinate, paths: a value for each run).
+    """(doc_id, t: the text's mark, k1, k2: a 128-bit key of the set, sketch: a byte a coordinate, paths: a value for each run).
 
     A row without words has a key of its own, from its id and text, and neither sketch nor paths.
     """
@@ -124,17 +122,16 @@ def sketched(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 m = iter(minhashes(full)) if full else iter(())
                 rows = []
-                for doc_id, t1, t2, s in zip(part["doc_id"], part["t1"], part["t2"], sets):
+                for doc_id, mark, s in zip(part["doc_id"], part["t"], sets):
                     if not len(s):
-                        k = set_key(np.array([doc_id, t1, t2, -1], np.int64))
-                        rows.append((doc_id, t1, t2, int(k[0]), int(k[1]), None, None))
+                        rows.append((doc_id, mark, *set_key(np.array([doc_id, mark, -1], np.int64)), None, None))
                         continue
-                    values, k = next(m), set_key(s)
+                    values = next(m)
                     paths = (values[:RUNS].astype(np.uint64) << np.uint64(16) | np.arange(RUNS, dtype=np.uint64)).astype(np.int64)
-                    rows.append((doc_id, t1, t2, int(k[0]), int(k[1]), values.astype(np.uint8).tobytes(), paths))
-                yield pd.DataFrame(rows, columns=["doc_id", "t1", "t2", "k1", "k2", "sketch", "paths"])
+                    rows.append((doc_id, mark, *set_key(s), values.astype(np.uint8).tobytes(), paths))
+                yield pd.DataFrame(rows, columns=["doc_id", "t", "k1", "k2", "sketch", "paths"])
 
-    return _marked(docs).mapInPandas(emit, "doc_id long, t1 long, t2 long, k1 long, k2 long, sketch binary, paths array<long>")
+    return doc_texts(docs).withColumn("t", text_mark(F.col("text"))).mapInPandas(emit, "doc_id long, t long, k1 long, k2 long, sketch binary, paths array<long>")
 
 
 def _root(parent: np.ndarray, a: int) -> int:
@@ -238,12 +235,16 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(shingle)
+
+        def cut(text: str, k1: int, k2: int) -> bytes | None:
+            found = shingler.of(text)
+            if set_key(found) == (k1, k2):
+                return np.unique(found >> np.uint64(64 - 8 * SET_BYTES)).view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes()
+
         for batch in batches:
-            found = [shingler.of(t) for t in batch["text"]]
-            own = np.array([tuple(set_key(s)) == (k1, k2) for s, k1, k2 in zip(found, batch["k1"], batch["k2"])], bool)
-            out = batch.drop(columns=["text", "k1", "k2"])[own]
-            out["set"] = [np.unique(s >> np.uint64(64 - 8 * SET_BYTES)).view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes() for s, o in zip(found, own) if o]
-            yield out
+            out = batch.drop(columns=["text", "k1", "k2"])
+            out["set"] = [cut(*row) for row in zip(batch["text"], batch["k1"], batch["k2"])]
+            yield out[out["set"].notna()]
 
     return docs.mapInPandas(emit, "node long, copies long, component long, n_blocks int, share int, set binary")
 
@@ -290,13 +291,16 @@ def verified(members: DataFrame, docs: DataFrame, threshold: float, shingle: int
 
 
 def _classes(docs: DataFrame, threshold: float, shingle: int) -> tuple[DataFrame, DataFrame]:
-    """(a row a document with a doc_id: doc_id, root, n_links; a row a class: root, and doc_id, t1, t2 of its first row)."""
+    """(sketched(docs), a row a set: k1, k2, doc_id: its smallest, node, root: the smallest node of its class, n_links)."""
     sketches = written(sketched(docs, shingle), "sketches")
-    sets = sketches.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("first"), F.count("*").alias("copies"), F.any_value(F.struct("sketch", "paths")).alias("s"))
-    sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "sets")  # written, so the numbers stay
-    nodes = sets.where("s.sketch is not null").select("node", "s.sketch", "s.paths")
-    sets = sets.select("node", "k1", "k2", "first", "copies")
-    members = components(candidates(nodes, threshold)).join(sets.select("node", "first.doc_id", "k1", "k2", "copies"), "node")
+    sets = sketches.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("k1", "k2")) == 1
+    other = F.xxhash64("k1", "k2").bitwiseAND(F.lit(OTHERS - 1)).bitwiseOR(F.lit(OTHERS))
+    sets = written(sets.withColumn("node", F.when(first, F.col("doc_id")).otherwise(other)), "sets")
+    own = ["k1", "k2", "doc_id"]
+    nodes = sketches.where("sketch is not null").join(sets.select(*own, "node"), own).dropDuplicates(own).select("node", "sketch", "paths")
+    nodes = written(nodes, "nodes")
+    members = components(candidates(nodes, threshold)).join(sets.select("node", *own, "copies"), "node")
     checked = written(verified(members, docs, threshold, shingle), "verified")
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     alone = checked.where("n_blocks = 1").select("node", "root")
@@ -304,31 +308,23 @@ def _classes(docs: DataFrame, threshold: float, shingle: int) -> tuple[DataFrame
     found = alone
     if not spread.isEmpty():
         found = alone.unionByName(components(spread.select("node", "root"), "node", "root").withColumnRenamed("component", "root"))
-    classes = sets.join(found, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = written(classes.select("k1", "k2", "first", "root", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
-    rows = sketches.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "root", "n_links")
-    return rows, classes.groupBy("root").agg(F.min("first").alias("first")).select("root", "first.*")
+    classes = sets.join(found, "node", "left").join(links, "node", "left")
+    return sketches, written(classes.select(*own, "node", F.coalesce("root", "node").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links")), "classes")
 
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, class_id, n_links): a class is named by its smallest doc_id; links count all documents at the threshold or above."""
+    """(doc_id, class_id, n_links): links count all documents at the threshold or above."""
     nameless = docs.where("doc_id is null").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    rows, firsts = _classes(docs.where("doc_id is not null"), threshold, shingle)
-    rows = written(rows, "class-rows")
-    names = firsts.select("root", F.col("doc_id").alias("class_id"))
-    torn = written(rows.groupBy("doc_id").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("doc_id"), "ids-of-several-classes")
-    if not torn.isEmpty():
-        own = rows.join(torn, "doc_id", "left_anti").groupBy("root").agg(F.min("doc_id").alias("own"))
-        names = names.join(own, "root", "left").select("root", F.coalesce("own", F.shiftrightunsigned(F.xxhash64("root"), 1).bitwiseOR(F.lit(-(1 << 63)))).alias("class_id"))
-    found = rows.join(names, "root").select("doc_id", "class_id", F.col("n_links").cast("long").alias("n_links"))
-    return found.unionByName(nameless)
+    sketches, classes = _classes(docs.where("doc_id is not null"), threshold, shingle)
+    keyed = sketches.select("doc_id", "k1", "k2").join(classes.select("k1", "k2", F.col("root").alias("class_id"), "n_links"), ["k1", "k2"])
+    return keyed.select("doc_id", "class_id", "n_links").unionByName(nameless)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One row of each class, all columns kept: the first by doc_id, then text; of repeated rows one stays."""
-    _, firsts = _classes(docs.where("doc_id is not null"), THRESHOLD, SHINGLE)
-    marks = {f"_{name}": c for name, c in text_marks(F.col("text").cast("string")).items()}
-    kept = firsts.select(F.col("doc_id").alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"))
-    rows = docs.where("doc_id is not null").withColumns(marks | {"_id": F.col("doc_id").cast("long")})
-    one = rows.join(kept, ["_id", "_t1", "_t2"], "left_semi").dropDuplicates(["_id", "_t1", "_t2"]).select(*docs.columns)
+    """One row of each class, all columns kept."""
+    sketches, classes = _classes(docs.where("doc_id is not null"), THRESHOLD, SHINGLE)
+    naming = classes.where("node = root").select("k1", "k2", "doc_id")
+    kept = sketches.join(naming, ["k1", "k2", "doc_id"]).groupBy("k1", "k2", "doc_id").agg(F.min("t").alias("_t")).select(F.col("doc_id").alias("_id"), "_t")
+    rows = docs.where("doc_id is not null").withColumns({"_id": F.col("doc_id").cast("long"), "_t": text_mark(F.col("text").cast("string"))})
+    one = rows.join(kept, ["_id", "_t"], "left_semi").dropDuplicates(["_id", "_t"]).select(*docs.columns)
     return one.unionByName(docs.where("doc_id is null"))

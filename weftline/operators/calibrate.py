@@ -85,7 +85,7 @@ def global_gate(evidence: DataFrame, gate: DataFrame, cfg: Calibration = GLOBAL,
 
     gate: entity, horizon, month, predicted, actual, of every horizon at hand. Without gate rows a factor is refused unless accept_blind.
     """
-    table = factors(evidence, ["horizon"], cfg)
+    table = factors(evidence, ["horizon", *(["source"] if "source" in evidence.columns else [])], cfg)  # a horizon has one source
     raw = _gate_error(gate, F.col("predicted")).withColumnRenamed("wmape", "raw_wmape")
     projected = _gate_error(gate.join(F.broadcast(table.select("horizon", "factor")), "horizon"), F.col("predicted") * F.col("factor")).withColumnRenamed("wmape", "calibrated_wmape")
     rows = table.join(raw, "horizon", "left").join(projected, "horizon", "left")

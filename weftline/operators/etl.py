@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import month_of, title
+from weftline.sources.versions import unique
 
 EXCLUDED_ITEMS = "FREIGHT|LTL|SHIPPING|MISC"  # fixed value: lines for charges, not for goods
 
@@ -17,12 +18,17 @@ def clean_orders(raw: DataFrame, renames: dict[str, str], dates: list[str], numb
     return out.withColumn("order_month", month_of("order_date")) if "order_date" in out.columns else out
 
 
+def accounting_month(year: str, period: str) -> Column:
+    """The first day of an accounting period, null where the two are no month."""
+    y, p = F.expr(f"try_cast(`{year}` as int)"), F.expr(f"try_cast(`{period}` as int)")
+    return F.when(p.between(1, 12), F.make_date(y, p, F.lit(1)))
+
+
 def clean_lines(raw: DataFrame, renames: dict[str, str], quantities: list[str]) -> DataFrame:
     """Lines with demand month (of the invoice, or else the accounting period), composite key and flags."""
     out = raw.withColumnsRenamed(renames)
     out = out.withColumns({q: F.coalesce(F.expr(f"try_cast(`{q}` as double)"), F.lit(0.0)) for q in quantities})
-    year, period = F.expr("try_cast(acct_year as int)"), F.expr("try_cast(acct_period as int)")
-    accounting = F.when(period.between(1, 12), F.make_date(year, period, F.lit(1)))
+    accounting = accounting_month("acct_year", "acct_period")
     invoice = F.try_to_timestamp(F.col("invoice_date").cast("string")).cast("date")
     return out.withColumns(
         {
@@ -91,9 +97,31 @@ def union_profile(df: DataFrame, key: str, month: str, amount: str) -> DataFrame
     )
 
 
-def dim_product_from_parts(item: DataFrame, size: DataFrame, color: DataFrame, style: DataFrame) -> DataFrame:
-    """Items with their size, color and style descriptions; the lookups are small dimension tables that Spark broadcasts if they are."""
-    sized = item.withColumn("_size", F.expr("try_cast(size_code as bigint)")).join(size.withColumn("_size", F.expr("try_cast(size_code as bigint)")).drop("size_code"), "_size", "left").drop("_size")
-    full = sized.join(color, "color_key", "left").join(style, "style_code", "left")
-    w = Window.partitionBy("sku").orderBy(*(F.col(c).asc_nulls_last() for c in full.columns if c != "sku"))
-    return full.withColumn("_place", F.row_number().over(w)).where("_place = 1").drop("_place")
+#: Columns of the product dimension, and the lookup that fills each.
+DIMENSION = {
+    "sku": "item", "item_name": "item", "item_categ": "item", "style_code": "item", "style_desc": "style", "style_code_desc": "style", "color_code": "item",
+    "color_desc": "color", "size_code": "item", "size_desc": "size", "style_color_key": "item", "web_description": "style", "web_active": "style", "item_status": "style",
+}
+
+
+def dim_product(item: DataFrame, size: DataFrame, color: DataFrame, style: DataFrame, provenance: bool = False) -> DataFrame:
+    """The product dimension: DIMENSION's columns, a row a sku.
+
+    Items look up their size by the code's number ("01" is 1), their color by style and color together, and their style. Each lookup's key must be
+    unique, or reading fails: a doubled key would multiply items. Items that come twice are one by the first in the order of their values. provenance: also
+    `filled_by`, the lookups that had a row for the sku. item: sku, item_name, item_categ, style_code, color_code, size_code, style_color_key; size:
+    size_code, size_desc; color: style_color_key, color_desc; style: style_code, style_desc, style_code_desc, web_description, web_active, item_status.
+    """
+    number = F.expr("try_cast(size_code as bigint)")
+    lookups = [
+        ("size", unique(size.select(number.alias("_number"), "size_desc").where("_number is not null"), "_number"), "_number"),
+        ("color", unique(color.where("style_color_key is not null"), "style_color_key"), "style_color_key"),
+        ("style", unique(style.where("style_code is not null"), "style_code"), "style_code"),
+    ]
+    out = item.withColumn("_number", number)
+    for name, table, key in lookups:
+        out = out.join(table.withColumn(f"_{name}", F.lit(name)), key, "left")
+    columns = [F.col(c) for c in DIMENSION]
+    filled = [F.concat_ws(",", F.lit("item"), *(f"_{name}" for name in ("size", "color", "style"))).alias("filled_by")] if provenance else []
+    rest = F.struct(*(c for c in DIMENSION if c != "sku"), *(["filled_by"] if provenance else []))
+    return out.select(*columns, *filled).groupBy("sku").agg(F.min(rest).alias("_rest")).select("sku", "_rest.*")

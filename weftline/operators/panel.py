@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weftline.config import Features, Segments
 from weftline.functions import clipped, ratio
 from weftline.operators.ranking import placed
+from weftline.sources.versions import unique
 
 
 def demand_by(gold: DataFrame, products: DataFrame, entity: str) -> DataFrame:
@@ -30,9 +31,9 @@ def build_panel(demand: DataFrame, end: date) -> DataFrame:
 
 
 def with_products(panel: DataFrame, products: DataFrame) -> DataFrame:
-    """A sku panel with its product attributes, UNKNOWN where there is none."""
+    """A sku panel with its product attributes, UNKNOWN where there is none; a sku that the products have twice makes reading fail instead of doubling its rows."""
     attributes = ["style", "color", "size"]
-    joined = panel.join(products.select(F.col("sku").alias("entity"), *attributes), "entity", "left")
+    joined = panel.join(unique(products.select(F.col("sku").alias("entity"), *attributes), "entity"), "entity", "left")
     return joined.na.fill("UNKNOWN", attributes)
 
 

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.sources.sinks import kept
+
 
 def placed(df: DataFrame, order: list[Column], running: dict[str, str] | None = None) -> DataFrame:
     """df with `place` (from 1 on) in an order without ties, and running sums {new column: column}.
 
     Rows are range-partitioned by the order, numbered and summed within their partitions, and shifted by what the partitions before them
-    hold: only that table, a row a partition, is put in order in one task. The partitioned rows are kept, so that both readings see the same ones.
+    hold: only that table, a row a partition, is put in order in one task. The partitioned rows are written to the shared folder, so that both readings see the same ones, whatever executors are lost.
     """
     running = running or {}
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}).persist()
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    parts = kept(parts, "placed")
     sums = parts.groupBy("_part").agg(F.count("*").alias("_n"), *(F.sum(c).alias(f"_{name}") for name, c in running.items()))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("_part", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before{c}") for c in ["_n", *(f"_{name}" for name in running)]))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import accuracy_tier, direction, ratio
 from weftline.operators.ranking import placed
+from weftline.sources.files import normalised
 
 
 def scored(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
@@ -58,8 +61,8 @@ def decomposition(rows: DataFrame, products: DataFrame) -> DataFrame:
     return sums.groupBy("level", "step", "month").agg(F.sum("a").alias("actual"), F.sum("p").alias("predicted"), error.alias("wmape"))
 
 
-def risk_flags(forecasts: DataFrame, gold: DataFrame, shares: DataFrame, calibration: DataFrame, before: object, sparse: int = 6, zero_rate: float = 0.50, concentrated: float = 0.85, jump: float = 3.0, low_units: float = 5.0, high_bias: float = 1.30) -> DataFrame:
-    """(sku, month, step, flag, severity): one join with history and evidence, then an array of conditions exploded.
+def risk_flags(forecasts: DataFrame, gold: DataFrame, calibration: DataFrame, before: object, sparse: int = 6, zero_rate: float = 0.50, jump: float = 3.0, low_units: float = 5.0, high_bias: float = 1.30) -> DataFrame:
+    """(sku, month, step, flag, severity, reason): one join with history and evidence, then an array of conditions exploded.
 
     forecasts: sku, style, month, step, units; calibration: entity (the style), horizon, evidence, bias. History ends before `before`; its
     last three months are counted from its own last one. A sku without history has no months, a zero rate of 1 and a recent mean of 0.
@@ -68,20 +71,23 @@ def risk_flags(forecasts: DataFrame, gold: DataFrame, shares: DataFrame, calibra
     last = known.agg(F.add_months(F.max("month"), -2)).scalar()
     recent = F.col("month") >= last
     history = known.groupBy("sku").agg(F.count_if(F.col("units") > 0).alias("sold"), (1 - F.count_if(F.col("units") > 0) / F.count("*")).alias("zeros"), F.avg(F.when(recent, F.col("units"))).alias("mean_3"))
-    rows = forecasts.join(history, "sku", "left").join(shares.select(F.col("child").alias("sku"), "share"), "sku", "left")
-    rows = rows.join(calibration.select(F.col("entity").alias("style"), F.col("horizon").alias("step"), "evidence", "bias"), ["style", "step"], "left")
-    mean = F.coalesce("mean_3", F.lit(0.0))
-    conditions: list[tuple[str, str, Column]] = [
-        ("sparse_history", "MEDIUM", F.coalesce("sold", F.lit(0)) < sparse),
-        ("intermittent_demand", "LOW", F.coalesce("zeros", F.lit(1.0)) > zero_rate),
-        ("high_allocation_concentration", "LOW", F.col("share") > concentrated),
-        ("large_forecast_jump", "HIGH", (mean > 0) & (F.col("units") > jump * mean)),
-        ("low_recent_demand", "LOW", mean <= low_units),
-        ("calibration_weak_or_missing", "LOW", F.coalesce("evidence", F.lit("NONE")).isin("WEAK", "NONE")),
-        ("parent_forecast_high_error", "MEDIUM", F.col("bias") > high_bias),
+    rows = forecasts.join(history, "sku", "left").join(calibration.select(F.col("entity").alias("style"), F.col("horizon").alias("step"), "evidence", "bias"), ["style", "step"], "left")
+    rows = rows.withColumns({"sold": F.coalesce("sold", F.lit(0)), "zeros": F.coalesce("zeros", F.lit(1.0)), "mean_3": F.coalesce("mean_3", F.lit(0.0)), "evidence": F.coalesce("evidence", F.lit("NONE"))})
+    sold, zeros, mean, units, bias = (F.col(c) for c in ("sold", "zeros", "mean_3", "units", "bias"))
+
+    def text(*parts: str | Column) -> Column:
+        return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+
+    conditions: list[tuple[str, str, Column, Column]] = [
+        ("sparse_history", "MEDIUM", sold < sparse, text("only ", sold, " months with sales")),
+        ("intermittent_demand", "LOW", zeros > zero_rate, text("zero rate ", F.round(zeros, 2))),
+        ("large_forecast_jump", "HIGH", (mean > 0) & (units > jump * mean), text("units ", F.round(units, 1), f" above {jump:g} times the recent mean ", F.round(mean, 1))),
+        ("low_recent_demand", "LOW", mean <= low_units, text("recent mean ", F.round(mean, 1))),
+        ("calibration_weak_or_missing", "LOW", F.col("evidence").isin("WEAK", "NONE"), text("evidence ", F.col("evidence"))),
+        ("parent_forecast_high_error", "MEDIUM", bias > high_bias, text("style forecast at ", F.round(bias, 2), " of the actuals")),
     ]
-    flags = F.array(*(F.when(c, F.struct(F.lit(name).alias("flag"), F.lit(severity).alias("severity"))) for name, severity, c in conditions))
-    return rows.select("sku", "month", "step", F.explode(F.filter(flags, lambda f: f.isNotNull())).alias("f")).select("sku", "month", "step", "f.flag", "f.severity")
+    flags = F.array(*(F.when(c, F.struct(F.lit(name).alias("flag"), F.lit(severity).alias("severity"), reason.alias("reason"))) for name, severity, c, reason in conditions))
+    return rows.select("sku", "month", "step", F.explode(F.filter(flags, lambda f: f.isNotNull())).alias("f")).select("sku", "month", "step", "f.*")
 
 
 def validation_report(parents: DataFrame, colors: DataFrame, skus: DataFrame, tolerance: float = 0.01) -> DataFrame:
@@ -121,6 +127,27 @@ def same_population(rows: DataFrame) -> DataFrame:
     return holdout_table(rows.join(both, ["sku", "month", "step"], "left_semi"), ["variant"])
 
 
+def against(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two forecasts' errors by step and month on the skus that both of them scored, with the difference and the better one. a, b: scored() rows."""
+    keys = ["sku", "month", "step"]
+    both = a.select(*keys, "actual", F.col("abs_error").alias("error_a")).join(b.select(*keys, F.col("abs_error").alias("error_b")), keys)
+    total = F.greatest(F.lit(1.0), F.sum("actual"))
+    sums = both.groupBy("step", "month").agg(F.count("*").alias("n"), F.count_distinct("sku").alias("n_skus"), (F.sum("error_a") * 100 / total).alias("wmape_a"), (F.sum("error_b") * 100 / total).alias("wmape_b"))
+    delta = F.round(F.col("wmape_a") - F.col("wmape_b"), 4)
+    return sums.withColumns({"delta": delta, "better": F.when(delta < 0, "a").when(delta > 0, "b").otherwise("tie")})
+
+
+def version_table(rows: DataFrame, products: DataFrame) -> DataFrame:
+    """Versions side by side: WMAPE by version, level, step and month, and the difference to the first version. rows: version and scored() columns."""
+    joined = rows.join(products.select("sku", "color", "style"), "sku", "left")
+    levels = F.array(*(F.struct(F.lit(level).alias("level"), F.col(level).alias("key")) for level in ("sku", "color", "style")))
+    each = joined.select("version", "step", "month", "actual", "predicted", F.explode(levels).alias("l")).where("l.key is not null")
+    sums = each.groupBy("version", "l.level", "l.key", "step", "month").agg(F.sum("actual").alias("a"), F.sum("predicted").alias("p"))
+    table = sums.groupBy("version", "level", "step", "month").agg(F.sum("a").alias("actual"), F.sum("p").alias("predicted"), F.when(F.sum("a") > 0, F.sum(F.abs(F.col("a") - F.col("p"))) * 100 / F.sum("a")).alias("wmape"))
+    first = F.first("wmape").over(Window.partitionBy("level", "step", "month").orderBy("version"))  # as many rows as versions
+    return table.withColumn("delta", F.col("wmape") - first)
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -128,6 +155,30 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def merged(predictions: DataFrame, actuals: DataFrame | None = None, products: DataFrame | None = None, months: Iterable | None = None, step: int | None = None) -> DataFrame:
+    """Scored rows for the diagnostics, from predictions in whatever columns they have: of the months and the step asked for.
+
+    Actuals are joined where the predictions have none, style and color where they lack them or have only nulls; tables are read only if they are needed.
+    """
+    out = normalised(predictions).withColumnsRenamed({"units": "predicted", "predicted_units": "predicted", "actual_units": "actual", "horizon": "step"})
+    if step is not None:
+        out = out.where(F.col("step") == step)
+    if months is not None:
+        out = out.where(F.col("month").isin(*months))
+    if "actual" not in out.columns and actuals is not None:
+        known = normalised(actuals).withColumnsRenamed({"units": "actual", "actual_units": "actual"})
+        out = out.join(known.groupBy("sku", "month").agg(F.any_value("actual").alias("actual")), ["sku", "month"])
+    if products is not None:
+        absent = [c for c in ("style", "color") if c not in out.columns]
+        there = [c for c in ("style", "color") if c in out.columns]
+        if there:
+            counts = out.agg(*(F.count(c).alias(c) for c in there)).first()
+            absent += [c for c in there if not counts[c]]
+        if absent:
+            out = out.drop(*absent).join(products.groupBy("sku").agg(*(F.any_value(c).alias(c) for c in absent)), "sku", "left")
+    return out if "actual" not in out.columns or "abs_error" in out.columns else out.withColumn("abs_error", F.abs(F.col("actual") - F.col("predicted")))
+
+
 # Diagnostics. rows: sku, month, step, predicted, actual, abs_error, style, color.
 
 

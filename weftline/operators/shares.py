@@ -198,11 +198,12 @@ def allocate(forecasts: DataFrame, shares: DataFrame) -> DataFrame:
 
 
 def reconcile(forecasts: DataFrame, allocated: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """For each parent, month and step: the parent's units, its children's, and whether they agree."""
+    """For each parent, month and step: the parent's units, its children's, their difference and ratio, and whether they agree: in units, in ratio (ten times the tolerance), and without negatives."""
     sums = allocated.groupBy("parent", "month", "step").agg(F.sum("units").alias("children_units"), F.count_if(F.col("units") < 0).alias("negatives"))
     joined = forecasts.select("parent", "month", "step", F.col("units").alias("parent_units")).join(sums, ["parent", "month", "step"], "left").na.fill(0)
-    difference = F.abs(F.col("parent_units") - F.col("children_units"))
-    return joined.withColumn("difference", difference).withColumn("passed", ((difference < tolerance) & (F.col("negatives") == 0)).cast("int"))
+    out = joined.withColumns({"difference": F.abs(F.col("parent_units") - F.col("children_units")), "ratio": F.try_divide("children_units", "parent_units")})
+    agrees = F.coalesce(F.abs(F.col("ratio") - 1) <= 10 * tolerance, F.lit(True))  # nothing to be in ratio to
+    return out.withColumns({"ratio_passed": agrees.cast("int"), "passed": ((F.col("difference") < tolerance) & agrees & (F.col("negatives") == 0)).cast("int")})
 
 
 def coverage(gold: DataFrame, products: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from weftline.functions import ratio, settled
 from weftline.operators import baselines, calibrate, etl, ml, panel, score, selection, shares
 from weftline.plans.sqltext import END, HOLDOUT, shares as shares_sql, sql, walk
 from weftline.plans.sqltext import FOLDS as SQL_FOLDS
-from weftline.sources import retail, sinks
+from weftline.sources import retail, sinks, versions
 from weftline.streaming import demand as stream
 
 CAL = Calendar()
@@ -93,11 +93,16 @@ def etl_header_dedupe(spark, d):
 
 
 def base_lines(spark, d):
-    headers = etl.latest_headers(doubled_headers(spark, d), "o_orderkey", ["o_orderdate"], "o_orderstatus").where("o_orderkey % 11 <> 0").withColumnRenamed("o_orderkey", "order_number")
-    return etl.with_headers(retail.order_lines(spark, d), headers)
+    """All lines with their headers, and those of every 11th order once more under an order that no header has."""
+    lines = retail.order_lines(spark, d)
+    lost = lines.where("order_number % 11 = 0").withColumns({"order_number": -F.col("order_number"), "line_key": F.concat(F.lit("lost-"), "line_key")})
+    headers = etl.latest_headers(doubled_headers(spark, d), "o_orderkey", ["o_orderdate"], "o_orderstatus").withColumnRenamed("o_orderkey", "order_number")
+    return etl.with_headers(lines.unionByName(lost), headers)
 
 
-BASE = "select l.*, h.o_orderstatus, h.o_orderdate, (h.o_orderkey is not null)::int as header_matched from lines l left join (select o_orderkey, max(o_orderdate) as o_orderdate, max(o_orderstatus) as o_orderstatus from " + DOUBLED + " where o_orderkey % 11 <> 0 group by o_orderkey) h on l.order_number = h.o_orderkey"
+BASE = f"""select l.*, h.o_orderstatus, h.o_orderdate, (h.o_orderkey is not null)::int as header_matched
+    from (select * from lines union all select * replace (-order_number as order_number, 'lost-' || line_key as line_key) from lines where order_number % 11 = 0) l
+    left join (select o_orderkey, max(o_orderdate) as o_orderdate, max(o_orderstatus) as o_orderstatus from {DOUBLED} group by o_orderkey) h on l.order_number = h.o_orderkey"""
 
 
 @query(sql(f"select line_key, sku, month, shipped_qty, o_orderstatus, o_orderdate, header_matched from ({BASE})", "lines"))
@@ -126,15 +131,29 @@ def etl_excluded_audit(spark, d):
     return etl.excluded_audit(retail.order_lines(spark, d).join(p, "sku"))
 
 
-@query("select p_partkey::varchar as sku, p_name as item, p_type as style_code, p_type || '|' || p_brand as color_key, s.size_name, 'color ' || p_type || '|' || p_brand as color_name, 'style ' || p_type as style_name from part left join (select distinct p_size as size_code, 'size ' || p_size as size_name from part where p_size <> 13) s on p_size = s.size_code")
+ITEMS = """(select p_partkey::varchar as sku, p_name as item_name, lower(p_type) as item_categ, p_type as style_code, p_brand as color_code, lpad(p_size::varchar, 3, '0') as size_code, p_type || '|' || p_brand as style_color_key from part
+    union all select 'new-' || p_partkey, p_name, lower(p_type), 'unlisted', p_brand, 'n/a', 'unlisted|' || p_brand from part where p_partkey % 50 = 0)"""
+DIM_PRODUCT = f"""select i.*, s.size_desc, c.color_desc, t.style_desc, t.style_code_desc, t.web_description, t.web_active, t.item_status,
+    concat_ws(',', 'item', case when s.size_code is not null then 'size' end, case when c.style_color_key is not null then 'color' end, case when t.style_code is not null then 'style' end) as filled_by
+    from {ITEMS} i left join (select distinct p_size as size_code, 'size ' || p_size as size_desc from part) s on s.size_code = try_cast(i.size_code as bigint)
+    left join (select distinct p_type || '|' || p_brand as style_color_key, lower(p_brand) as color_desc from part) c using (style_color_key)
+    left join (select p_type as style_code, 'style ' || p_type as style_desc, upper(p_type) as style_code_desc, case when count(*) > 2 then 'sold in ' || count(*) || ' items' end as web_description, case when count(*) % 2 = 0 then 'Y' else 'N' end as web_active, case when count(*) > 1 then 'A' else 'D' end as item_status from part group by p_type) t using (style_code)"""
+
+
+@query(DIM_PRODUCT)
 def etl_dim_product(spark, d):
+    """The dimension of 14 columns over all items, and some more whose size, color and style no lookup has; with the lookups that filled each row."""
     p = retail.table(spark, d, "part")
-    color, style = F.concat_ws("|", "p_type", "p_brand"), F.col("p_type")
-    item = p.select(F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("item"), F.format_string("%03d", "p_size").alias("size_code"), color.alias("color_key"), style.alias("style_code"))
-    size = p.where("p_size <> 13").select(F.col("p_size").cast("string").alias("size_code"), F.concat(F.lit("size "), F.col("p_size").cast("string")).alias("size_name")).distinct()
-    colors = p.select(color.alias("color_key"), F.concat(F.lit("color "), color).alias("color_name")).distinct()
-    styles = p.select(style.alias("style_code"), F.concat(F.lit("style "), style).alias("style_name")).distinct()
-    return etl.dim_product_from_parts(item, size, colors, styles).select("sku", "item", "style_code", "color_key", "size_name", "color_name", "style_name")
+    key = F.concat_ws("|", "p_type", "p_brand")
+    item = p.select(F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("item_name"), F.lower("p_type").alias("item_categ"), F.col("p_type").alias("style_code"), F.col("p_brand").alias("color_code"), F.format_string("%03d", "p_size").alias("size_code"), key.alias("style_color_key"))
+    unlisted = item.where("cast(sku as int) % 50 = 0").withColumns({"sku": F.concat(F.lit("new-"), "sku"), "style_code": F.lit("unlisted"), "size_code": F.lit("n/a"), "style_color_key": F.concat(F.lit("unlisted|"), "color_code")})
+    size = p.select(F.col("p_size").cast("string").alias("size_code"), F.concat(F.lit("size "), F.col("p_size").cast("string")).alias("size_desc")).distinct()
+    color = p.select(key.alias("style_color_key"), F.lower("p_brand").alias("color_desc")).distinct()
+    n = F.count("*")
+    style = p.groupBy(F.col("p_type").alias("style_code")).agg(
+        F.concat(F.lit("style "), F.first("p_type")).alias("style_desc"), F.upper(F.first("p_type")).alias("style_code_desc"), F.when(n > 2, F.concat(F.lit("sold in "), n.cast("string"), F.lit(" items"))).alias("web_description"), F.when(n % 2 == 0, "Y").otherwise("N").alias("web_active"), F.when(n > 1, "A").otherwise("D").alias("item_status"),
+    )
+    return etl.dim_product(item.unionByName(unlisted), size, color, style, provenance=True)
 
 
 @query(sql("select sku, line_number, count(*) as n from lines group by all having count(*) > 1", "lines"))
@@ -142,14 +161,37 @@ def etl_pk_duplicates(spark, d):
     return etl.key_duplicates(retail.order_lines(spark, d), "sku", "line_number")
 
 
-@query(sql("select m::date as month from (select unnest(generate_series(min(month), max(month), interval 1 month)) as m from gold where month(month) <> 5) where m not in (select month from gold where month(month) <> 5)", "gold"))
+GAPS = "select m::date as month from (select unnest(generate_series(min(month), max(month), interval 1 month)) as m from {rows}) where m not in (select month from {rows})"
+
+
+@query(sql(GAPS.format(rows="(select month from gold union all select (max(month) + interval 4 month)::date from gold)"), "gold"))
 def etl_month_gaps(spark, d):
-    return etl.month_gaps(gold(spark, d).where(F.month("month") != 5).select("month"))
+    """Months without demand, with a sale added some months after the last one."""
+    g = gold(spark, d).select("month")
+    return etl.month_gaps(g.unionByName(g.agg(F.add_months(F.max("month"), 4).alias("month"))))
 
 
-@query(f"select o_orderkey, count(*) as n_rows, count(distinct o_orderdate) as n_dates, string_agg(distinct o_orderstatus, ',' order by o_orderstatus) as statuses from {DOUBLED} group by 1 having count(*) > 1")
+@query(GAPS.format(rows="(select make_date(year(l_shipdate), month(l_shipdate), 1) as month from lineitem union all select (date_trunc('month', min(l_shipdate)) - interval 3 month)::date from lineitem)"))
+def etl_acct_month_gaps(spark, d):
+    """The same by accounting year and period, with a period added before the first."""
+    raw = retail.table(spark, d, "lineitem").select(F.year("l_shipdate").cast("string").alias("acct_year"), F.month("l_shipdate").cast("string").alias("acct_period"))
+    months = raw.select(etl.accounting_month("acct_year", "acct_period").alias("month"))
+    return etl.month_gaps(months.unionByName(months.agg(F.add_months(F.min("month"), -3).alias("month"))))
+
+
+@query(f"""select o_orderkey, count(*) as n_rows, count(distinct o_orderdate) as n_dates, string_agg(distinct o_orderstatus, ',' order by o_orderstatus) as statuses, string_agg(distinct source_file, ',' order by source_file) as files
+    from (select *, case when o_orderkey % 2 = 0 then 'orders_a.csv' else 'orders_b.csv' end as source_file from (select o_orderkey, o_orderdate::date as o_orderdate, o_orderstatus from orders)
+        union all select o_orderkey, (o_orderdate + interval 3 day)::date, o_orderstatus, 'orders_late.csv' from orders where o_orderkey % 7 = 0) group by 1 having count(*) > 1""")
 def etl_dup_header_profile(spark, d):
-    g = doubled_headers(spark, d).groupBy("o_orderkey").agg(F.count("*").alias("n_rows"), F.count_distinct("o_orderdate").alias("n_dates"), F.concat_ws(",", F.sort_array(F.collect_set("o_orderstatus"))).alias("statuses"))
+    """Orders with several headers: how many, how unlike, and in which sets of files."""
+    o = retail.table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderstatus")
+    first = o.withColumn("source_file", F.when(F.col("o_orderkey") % 2 == 0, "orders_a.csv").otherwise("orders_b.csv"))
+    late = o.where("o_orderkey % 7 = 0").withColumns({"o_orderdate": F.date_add("o_orderdate", 3), "source_file": F.lit("orders_late.csv")})
+
+    def listed(c: str):
+        return F.concat_ws(",", F.sort_array(F.collect_set(c)))
+
+    g = first.unionByName(late).groupBy("o_orderkey").agg(F.count("*").alias("n_rows"), F.count_distinct("o_orderdate").alias("n_dates"), listed("o_orderstatus").alias("statuses"), listed("source_file").alias("files"))
     return g.where("n_rows > 1")
 
 
@@ -187,20 +229,34 @@ def segment_counts(spark, d):
     return segments(spark, d, "sku").groupBy("segment").agg(F.count("*").alias("n"), F.round(F.sum("trailing_sum"), 2).alias("trailing_sum"))
 
 
-@query(sql("select p.entity, p.month, p.units, coalesce(q.style, 'UNKNOWN') as style, coalesce(q.color, 'UNKNOWN') as color, coalesce(q.size, 'UNKNOWN') as size, year(p.month)::int as year, quarter(p.month)::int as quarter, month(p.month)::int as month_of_year from panel_sku p left join (select * from products where sku::int % 10 <> 0) q on p.entity = q.sku", "panel_sku", "products"))
+def gold_new(spark, d):
+    """All demand, and that of every tenth sku once more under a sku that has no dimension row."""
+    g = gold(spark, d)
+    return g.unionByName(g.where("cast(sku as int) % 10 = 0").withColumn("sku", F.concat(F.lit("new-"), "sku")))
+
+
+def dense_new(spark, d):
+    return panel.build_panel(panel.demand_by(gold_new(spark, d), retail.dim_product(spark, d), "sku"), CAL.train_end)
+
+
+@query(sql("select p.entity, p.month, p.units, coalesce(q.style, 'UNKNOWN') as style, coalesce(q.color, 'UNKNOWN') as color, coalesce(q.size, 'UNKNOWN') as size, year(p.month)::int as year, quarter(p.month)::int as quarter, month(p.month)::int as month_of_year from panel_new p left join products q on p.entity = q.sku", "panel_new", "products"))
 def panel_attributes(spark, d):
-    p = panel.with_products(dense(spark, d, "sku"), retail.dim_product(spark, d).where("cast(sku as int) % 10 <> 0"))
+    p = panel.with_products(dense_new(spark, d), retail.dim_product(spark, d))
     return panel.with_calendar(p, retail.dim_date(spark).drop("split")).select("entity", "month", "units", "style", "color", "size", "year", "quarter", "month_of_year")
 
 
-@query(sql("select distinct sku from gold where sku::int % 10 = 0", "gold"))
+@query(sql("select distinct sku from gold_new where sku like 'new-%'", "gold_new"))
 def standalone_skus(spark, d):
-    return panel.standalone(gold(spark, d), retail.dim_product(spark, d).where("cast(sku as int) % 10 <> 0"))
+    return panel.standalone(gold_new(spark, d), retail.dim_product(spark, d))
+
+
+COVERAGE_SQL = """select * from (with s as (select distinct sku from gold_new) select (select count(*) from products) as dim_skus, (select count(distinct color) from products) as colors, (select count(distinct style) from products) as styles,
+    0::bigint as skus_without_parent, count(*) as sold_skus, count(p.sku) as sold_with_dim, count(p.style) as sold_with_style, count(*) - count(p.style) as standalone_skus from s left join products p using (sku))"""
 
 
-@query(sql("select * from (with p as (select * from products where sku::int % 10 <> 0), s as (select distinct sku from gold) select (select count(*) from p) as dim_skus, (select count(distinct color) from p) as colors, (select count(distinct style) from p) as styles, 0::bigint as skus_without_parent, count(*) as sold_skus, count(p.sku) as sold_with_dim, count(p.style) as sold_with_style, count(*) - count(p.style) as standalone_skus from s left join p using (sku))", "gold", "products"))
+@query(sql(COVERAGE_SQL, "gold_new", "products"))
 def coverage_report(spark, d):
-    return shares.coverage(gold(spark, d), retail.dim_product(spark, d).where("cast(sku as int) % 10 <> 0"))
+    return shares.coverage(gold_new(spark, d), retail.dim_product(spark, d))
 
 
 # Features
@@ -434,21 +490,29 @@ def scenario_bounds_cv(spark, d):
     return rounded(selection.scenarios(f, selection.expected_error(m, selection.best_models(m))).select("entity", "month", "horizon", "segment", "units", "conservative", "aggressive"))
 
 
-SIMULATION = f"(select f.entity, s.segment, f.month, f.step as horizon, 'seasonal_naive' as model, round(f.seasonal_naive) as predicted, d.units as actual from forecast_color f join segment_color s using (entity) left join demand_color d on d.entity = f.entity and d.month = f.month and d.month in {HOLDOUT})"
+SIMULATION = f"""(select f.entity, s.segment, f.month, f.step as horizon, coalesce(b.best_model, 'seasonal_naive') as model, round(case coalesce(b.best_model, 'seasonal_naive')
+    when 'zero' then 0 when 'croston_sba' then c.croston_sba when 'seasonal_avg3y' then f.seasonal_avg3y else f.seasonal_naive end) as predicted, d.units as actual
+    from forecast_color f join segment_color s using (entity) join croston_color c using (entity) left join (select segment, best_model from {BEST_SQL} where horizon = 3) b using (segment)
+    left join demand_color d on d.entity = f.entity and d.month = f.month and d.month in {HOLDOUT})"""
+SIMULATION_NEEDS = ("forecast_color", "segment_color", "croston_color", "demand_color")
 
 
-def simulated(spark, d):
+def simulated(spark, d, best=None):
+    """Whole units by the model that validation chose for each segment, with the actuals that came."""
     p = dense(spark, d, "color")
+    kinds = panel.segment(p, CAL.train_end)
+    best = selection.best_models(selection.cv_metrics(p, kinds, CAL.train_end, tuple(f for f in FOLDS if f.horizon == 3))) if best is None else best.where("horizon = 3")
     actual = panel.demand_by(gold(spark, d), retail.dim_product(spark, d), "color").where(F.col("month").isin(*CAL.holdout)).select("entity", "month", F.col("units").alias("actual"))
-    f = baselines.forecast(p, CAL.train_end, 3).join(panel.segment(p, CAL.train_end).select("entity", "segment"), "entity")
-    f = f.select("entity", "segment", "month", F.col("step").alias("horizon"), F.lit("seasonal_naive").alias("model"), F.round("seasonal_naive").alias("predicted"))
+    f = baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), kinds, best)
+    f = f.select("entity", "segment", "month", F.col("step").alias("horizon"), "model", F.round("units").alias("predicted"))
     return f.join(actual, ["entity", "month"], "left")
 
 
-@query(sql(f"select coalesce(o.segment, e.segment) as segment, coalesce(o.horizon, e.horizon) as horizon, round(case when coalesce(o.segment, e.segment) = 'DEAD' then 0 else coalesce(o.own, e.expected_error, 0) end, 4) as expected_error from (select segment, horizon, case when count(*) >= 5 then sum(abs(actual - predicted)) / nullif(sum(abs(actual)), 0) end as own from {SIMULATION} where actual is not null group by all) o full join {ERRORS_SQL} e on o.segment = e.segment and o.horizon = e.horizon", "forecast_color", "segment_color", "demand_color"))
+@query(sql(f"select coalesce(o.segment, e.segment) as segment, coalesce(o.horizon, e.horizon) as horizon, round(case when coalesce(o.segment, e.segment) = 'DEAD' then 0 else coalesce(o.own, e.expected_error, 0) end, 4) as expected_error from (select segment, horizon, case when count(*) >= 5 then sum(abs(actual - predicted)) / nullif(sum(abs(actual)), 0) end as own from {SIMULATION} where actual is not null group by all) o full join {ERRORS_SQL} e on o.segment = e.segment and o.horizon = e.horizon", *SIMULATION_NEEDS))
 def scenario_bounds_sim(spark, d):
-    m = metrics(spark, d)
-    return rounded(selection.simulation_error(simulated(spark, d).where("actual is not null"), selection.expected_error(m, selection.best_models(m))))
+    m = sinks.kept(metrics(spark, d), "cv-metrics")
+    best = selection.best_models(m)
+    return rounded(selection.simulation_error(simulated(spark, d, best).where("actual is not null"), selection.expected_error(m, best)))
 
 
 for _by in ("month", "segment", "model"):
@@ -457,7 +521,7 @@ for _by in ("month", "segment", "model"):
         return rounded(selection.simulation_summary(simulated(spark, d), by))
 
     _simulation_query.__name__ = f"simulation_by_{_by}"
-    query(sql(f"select {_by}, horizon, count(distinct entity) as n_entities, count(actual) as n_scored, round(sum(predicted), 4) as predicted, round(sum(actual), 4) as actual, round(sum(abs(actual - predicted)) * 100 / nullif(sum(abs(actual)), 0), 4) as wmape, round(avg(abs(actual - predicted)), 4) as mae from {SIMULATION} group by 1, 2", "forecast_color", "segment_color", "demand_color"))(_simulation_query)
+    query(sql(f"select {_by}, horizon, count(distinct entity) as n_entities, count(actual) as n_scored, round(sum(predicted), 4) as predicted, round(sum(actual), 4) as actual, round(sum(abs(actual - predicted)) * 100 / nullif(sum(abs(actual)), 0), 4) as wmape, round(avg(abs(actual - predicted)), 4) as mae from {SIMULATION} group by 1, 2", *SIMULATION_NEEDS))(_simulation_query)
 
 
 # Shares and allocation
@@ -543,6 +607,7 @@ def sku_alloc_sql(**args) -> str:
     return f"(select s.parent, s.child, f.month, f.step, {', '.join(f'round(greatest(f.{c} * s.share, 0) + 1e-9::double, 4) as {c}' for c in ('units', 'lower', 'upper'))} from {COLOR_ALLOC} f join {shares_sql('color', 'sku', **args)} s on s.parent = f.child)"
 
 
+FLOOR1 = "round(sum(abs_error) * 100 / greatest(1, sum(actual)), 4) as wmape"
 ALLOC_NEEDS = ("forecast_style", "demand_color", "demand_sku", "products")
 
 
@@ -565,17 +630,91 @@ def alloc_sku(spark, d):
     return sku_alloc(spark, d)
 
 
-@query(sql(f"select child as sku, month, step, units, 0 as standalone from {sku_alloc_sql()} where child::int % 10 <> 0 union all select entity, month, step, round(seasonal_naive, 4), 1 from forecast_sku where entity::int % 10 = 0", *ALLOC_NEEDS, "forecast_sku"))
+def alone(spark, d):
+    """Forecasts of skus that no parent's forecast is split to."""
+    orphans = panel.standalone(gold_new(spark, d), retail.dim_product(spark, d))
+    f = baselines.forecast(dense_new(spark, d), CAL.train_end, 3).withColumnRenamed("entity", "sku").join(orphans, "sku", "left_semi")
+    return f.select("sku", "month", "step", F.round("seasonal_naive", 4).alias("units"), F.lit(1).alias("standalone"))
+
+
+ALONE = "select entity as sku, month, step, round(seasonal_naive, 4) as units, 1 as standalone from forecast_new where entity like 'new-%'"
+
+
+@query(sql(f"select child as sku, month, step, units, 0 as standalone from {sku_alloc_sql()} union all {ALONE}", *ALLOC_NEEDS, "forecast_new"))
 def alloc_with_standalone(spark, d):
-    own = sku_alloc(spark, d).where("cast(child as int) % 10 <> 0").select(F.col("child").alias("sku"), "month", "step", "units", F.lit(0).alias("standalone"))
-    alone = panel.standalone(gold(spark, d), retail.dim_product(spark, d).where("cast(sku as int) % 10 <> 0"))
-    f = baselines.forecast(dense(spark, d, "sku"), CAL.train_end, 3).withColumnRenamed("entity", "sku").join(alone, "sku", "left_semi")
-    return own.unionByName(f.select("sku", "month", "step", F.round("seasonal_naive", 4).alias("units"), F.lit(1).alias("standalone")))
+    own = sku_alloc(spark, d).select(F.col("child").alias("sku"), "month", "step", "units", F.lit(0).alias("standalone"))
+    return own.unionByName(alone(spark, d))
+
+
+RECONCILED = f"""(select f.parent, f.month, f.step, f.units as parent_units, coalesce(a.u, 0) as children_units, coalesce(a.u, 0) / nullif(f.units, 0) as ratio
+    from {STYLE_FC} f left join (select parent, month, step, sum(units) as u from {COLOR_ALLOC} group by all) a using (parent, month, step))"""
 
 
-@query(sql(f"select f.parent, f.month, f.step, round(f.units, 4) as parent_units, round(coalesce(a.u, 0), 4) as children_units, (abs(f.units - coalesce(a.u, 0)) < 0.01)::int as passed from {STYLE_FC} f left join (select parent, month, step, sum(units) as u from {COLOR_ALLOC} group by all) a using (parent, month, step)", *ALLOC_NEEDS))
+@query(sql(f"""select parent, month, step, {rounds('parent_units children_units ratio')}, coalesce(abs(ratio - 1) <= 0.1, true)::int as ratio_passed,
+    (abs(parent_units - children_units) < 0.01 and coalesce(abs(ratio - 1) <= 0.1, true))::int as passed from {RECONCILED}""", *ALLOC_NEEDS))
 def alloc_reconcile(spark, d):
-    return rounded(shares.reconcile(parent_forecast(spark, d), color_alloc(spark, d)).select("parent", "month", "step", "parent_units", "children_units", "passed"))
+    out = shares.reconcile(parent_forecast(spark, d), color_alloc(spark, d))
+    return rounded(out.select("parent", "month", "step", "parent_units", "children_units", "ratio", "ratio_passed", "passed"))
+
+
+# The chain over colors: forecast colors, split them by size, append what stands alone
+
+V6_ALLOC = f"""(select s.parent, s.child as sku, f.month, f.step, round(greatest(f.seasonal_naive * s.share, 0) + 1e-9::double, 4) as units, 0 as standalone from forecast_color f join {SIZE_PARTS} s on s.parent = f.entity
+    union all select null, sku, month, step, units, standalone from ({ALONE}))"""
+V6_NEEDS = ("forecast_color", "gold", "products", "forecast_new", "segment_new", "gold_new")
+V6_SCORED = f"(select a.sku, a.month, a.step, a.units as predicted, g.units as actual, abs(g.units - a.units) as abs_error from {V6_ALLOC} a join gold_new g on g.sku = a.sku and g.month = a.month where a.month in {HOLDOUT})"
+
+
+def v6_alloc(spark, d):
+    f = baselines.forecast(dense(spark, d, "color"), CAL.train_end, 3).withColumns({"parent": F.col("entity"), "units": F.col("seasonal_naive")})
+    kids = retail.dim_product(spark, d).select(F.col("color").alias("parent"), F.col("sku").alias("child"), F.nullif("size", F.lit("13")).alias("size"))
+    split_ = shares.allocate(baselines.bounded(f), shares.size_shares(child_demand(spark, d, "sku"), kids, CAL.train_end))
+    own = split_.select("parent", F.col("child").alias("sku"), "month", "step", "units", F.lit(0).alias("standalone"))
+    return own.unionByName(alone(spark, d).withColumn("parent", F.lit(None).cast("string")))
+
+
+def v6_scored(spark, d):
+    return score.scored(v6_alloc(spark, d).where(F.col("month").isin(*CAL.holdout)), gold_new(spark, d))
+
+
+@query(sql(f"select parent, sku, month, step, units, standalone from {V6_ALLOC}", *V6_NEEDS))
+def alloc_v6(spark, d):
+    return v6_alloc(spark, d)
+
+
+@query(sql(f"""select step, month, coalesce(segment, 'ALL') as segment, count(*) as n, round(sum(actual), 4) as actual, round(sum(predicted), 4) as predicted, {FLOOR1}
+    from (select r.*, coalesce(s.segment, 'UNKNOWN') as segment from {V6_SCORED} r left join segment_new s on s.entity = r.sku) group by grouping sets ((step, month, segment), (step, month))""", *V6_NEEDS))
+def holdout_v6(spark, d):
+    return rounded(score.holdout_by_segment(v6_scored(spark, d), panel.segment(dense_new(spark, d), CAL.train_end)))
+
+
+DIRECT = f"(select a.entity as sku, a.month, a.step, g.units as actual, abs(g.units - a.u) as abs_error from {DISPATCHED} a join gold g on g.sku = a.entity and g.month = a.month where a.month in {HOLDOUT})"
+
+
+@query(sql(f"""select *, case when delta < 0 then 'a' when delta > 0 then 'b' else 'tie' end as better from (select step, month, n, n_skus, {rounds('wmape_a wmape_b')}, round(wmape_a - wmape_b, 4) as delta from
+    (select step, month, count(*) as n, count(distinct sku) as n_skus, sum(a.abs_error) * 100 / greatest(1, sum(a.actual)) as wmape_a, sum(b.abs_error) * 100 / greatest(1, sum(a.actual)) as wmape_b from {V6_SCORED} a join {DIRECT} b using (sku, month, step) group by step, month))""", *V6_NEEDS, *DISPATCH_NEEDS))
+def v6_against_skus(spark, d):
+    """The chain over colors against forecasts of skus themselves, where both have one: what only stands alone isn't compared."""
+    p = dense(spark, d, "sku")
+    s = panel.segment(p, CAL.train_end)
+    direct = baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), s, sku_best(p, s)).withColumnRenamed("entity", "sku").where(F.col("month").isin(*CAL.holdout))
+    return rounded(score.against(v6_scored(spark, d), score.scored(direct, gold(spark, d))))
+
+
+# Allocation by kinds of parents, with its score
+
+SEGMENTED_ALLOC = f"""(select s.parent, s.child as sku, s.profile, f.month, f.step, round(greatest(f.units * s.share, 0) + 1e-9::double, 4) as predicted
+    from {COLOR_ALLOC} f join (with kinds as (select * from {_profile_sql('color', 'sku')}) {SEGMENTED_SQL}) s on s.parent = f.child)"""
+
+
+@query(sql(f"""select profile, step, month, count(*) as n, round(sum(actual), 4) as actual, round(sum(predicted), 4) as predicted, {FLOOR1}
+    from (select a.*, g.units as actual, abs(g.units - a.predicted) as abs_error from {SEGMENTED_ALLOC} a join gold g using (sku, month) where a.month in {HOLDOUT}) group by profile, step, month""", *ALLOC_NEEDS, "gold"))
+def alloc_segmented_scored(spark, d):
+    """Every color split by the settings of its profile, and how well that did, by profile."""
+    split_ = shares.segmented_shares(child_demand(spark, d, "sku"), children(spark, d, "color", "sku"), CAL.train_end, _kinds(spark, d, "color", "sku"))
+    up = color_alloc(spark, d).drop("parent").withColumnRenamed("child", "parent")
+    f = shares.allocate(up, split_.withColumnRenamed("profile", "variant")).withColumnRenamed("child", "sku").where(F.col("month").isin(*CAL.holdout))
+    return rounded(score.holdout_table(score.scored(f, gold(spark, d)), ["variant"]).withColumnRenamed("variant", "profile"))
 
 
 def sku_scored(spark, d, cfg=shares.BASELINE):
@@ -589,7 +728,6 @@ def scored_sql(**args) -> str:
 
 SCORE_NEEDS = (*ALLOC_NEEDS, "gold")
 VARIANT_ARGS = {"baseline": {}, "recency_only": {"recency": True}, "smoothing_only": {"smoothing": 0.3}, "caps_only": {"cap": 1.5}}
-FLOOR1 = "round(sum(abs_error) * 100 / greatest(1, sum(actual)), 4) as wmape"
 
 
 @query(sql(" union all ".join(f"select '{v}' as variant, step, month, count(*) as n, {FLOOR1} from {scored_sql(**a)} group by step, month" for v, a in VARIANT_ARGS.items()), *SCORE_NEEDS))
@@ -706,22 +844,34 @@ def calib_history(spark, d):
     return rounded(calibrate.history_factors(panel.demand_by(gold(spark, d), retail.dim_product(spark, d), "color"), CAL.train_end, 3))
 
 
-GATE_SQL = f"(select f.entity, h.horizon, f.month, f.seasonal_naive as predicted, g.units as actual from forecast_style f join demand_style g on g.entity = f.entity and g.month = f.month join (values (1), (3)) h(horizon) on f.step <= h.horizon where f.month in {HOLDOUT})"
-GLOBAL_SQL = f"""(with t as (select * from {factor_sql(BT_SQL, 'horizon', GLOBAL).format(positive='actual')}), x as (select g.*, t.factor from {GATE_SQL} g left join t using (horizon)),
+GATE_SQL = f"(select f.entity, h.horizon, f.month, f.seasonal_naive as predicted, g.units as actual from forecast_style f join demand_style g on g.entity = f.entity and g.month = f.month join (values (1), (2), (3)) h(horizon) on f.step <= h.horizon where f.month in {HOLDOUT})"
+EVIDENCE_SQL = f"""(with b as (select horizon, month, predicted, actual from {BT_SQL} where month < date '{CAL.holdout[0]}')
+    select *, 'backtest' as source from b union all select horizon, month, predicted, actual, 'diagnosis' from {GATE_SQL} where horizon not in (select horizon from b))"""
+GLOBAL_SQL = f"""(with t as (select * from {factor_sql(EVIDENCE_SQL, 'horizon, source', GLOBAL).format(positive='actual')}), x as (select g.*, t.factor from {GATE_SQL} g left join t using (horizon)),
     r as (select horizon, sum(abs(a - p)) * 100 / nullif(sum(a), 0) as raw_wmape, sum(abs(a - c)) * 100 / nullif(sum(a), 0) as calibrated_wmape from (select horizon, entity, sum(actual) as a, sum(predicted) as p, sum(predicted * factor) as c from x group by all) group by 1)
     select t.*, raw_wmape, calibrated_wmape, calibrated_wmape - raw_wmape as delta, coalesce(calibrated_wmape - raw_wmape <= 0.25, false)::int as accepted from t left join r using (horizon))"""
 
 
 def gate_rows(spark, d):
+    """Holdout rows of styles by the horizons they count for: a month one step ahead also counts for two and three."""
     f = baselines.forecast(dense(spark, d, "style"), CAL.train_end, 3).where(F.col("month").isin(*CAL.holdout))
-    horizons = F.explode(F.expr("filter(array(1, 3), h -> step <= h)"))
+    horizons = F.explode(F.expr("filter(array(1, 2, 3), h -> step <= h)"))
     f = f.select("entity", horizons.alias("horizon"), "month", F.col("seasonal_naive").alias("predicted"))
     return f.join(panel.demand_by(gold(spark, d), retail.dim_product(spark, d), "style").select("entity", "month", F.col("units").alias("actual")), ["entity", "month"])
 
 
-@query(sql(f"select horizon, {FACTOR_COLUMNS}, {rounds('raw_wmape calibrated_wmape delta')}, accepted, round(case when accepted = 1 then factor else 1 end, 4) as applied_factor, case when delta is null then 'no evidence' when accepted = 1 then 'within tolerance' else 'worse than tolerance' end as reason from {GLOBAL_SQL}", "panel_style", "forecast_style", "demand_style"))
+def gated(spark, d):
+    """Global factors from the backtest before the holdout; two months ahead were never backtested, so there the holdout's diagnosis stands in."""
+    gate = gate_rows(spark, d)
+    return calibrate.global_gate(calibrate.global_evidence(tested(spark, d), gate, CAL.holdout[0]), gate)
+
+
+GATED_COLUMNS = f"horizon, source, {FACTOR_COLUMNS}, {rounds('raw_wmape calibrated_wmape delta')}, accepted, round(case when accepted = 1 then factor else 1 end, 4) as applied_factor"
+
+
+@query(sql(f"select {GATED_COLUMNS}, case when delta is null then 'no evidence' when accepted = 1 then 'within tolerance' else 'worse than tolerance' end as reason from {GLOBAL_SQL}", "panel_style", "forecast_style", "demand_style"))
 def calib_global_gate(spark, d):
-    return rounded(calibrate.global_gate(tested(spark, d), gate_rows(spark, d)))
+    return rounded(gated(spark, d))
 
 
 @query(sql(f"select f.parent as entity, f.month, f.step, round(greatest(f.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as units, round(greatest(f.lower * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as lower, round(greatest(f.upper * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as upper, round(coalesce(t.factor, 1), 4) as calibration_factor, 'weftline-1+backtest' as model_version from {STYLE_FC} f left join {BT_FACTORS} t on t.entity = f.parent and t.horizon = f.step", "panel_style", "forecast_style"))
@@ -770,21 +920,27 @@ def production_sku(spark, d):
     return rounded(out.select("sku", "month", "step", "style", "color", "size", "segment", "units", "calibration_factor"))
 
 
-RISK_ROWS = f"""(select a.child as sku, a.month, a.step, a.units, s.share, t.evidence, t.bias, coalesce(h.sold, 0) as sold, coalesce(h.zeros, 1) as zeros, coalesce(h.mean_3, 0) as mean_3
+RISK_ROWS = f"""(select a.child as sku, a.month, a.step, a.units, coalesce(t.evidence, 'NONE') as evidence, t.bias, coalesce(h.sold, 0) as sold, coalesce(h.zeros, 1) as zeros, coalesce(h.mean_3, 0) as mean_3
     from {sku_alloc_sql()} a join products p on p.sku = a.child
     left join (select sku, count(*) filter (units > 0) as sold, 1 - count(*) filter (units > 0)::double / count(*) as zeros,
         avg(units) filter (month >= (select max(month) from gold where month < date '2001-08-01') - interval 2 month) as mean_3 from gold where month < date '2001-08-01' group by 1) h on h.sku = a.child
-    left join {shares_sql('color', 'sku')} s on s.child = a.child
     left join (select entity, horizon, evidence, total_predicted / nullif(total_actual, 0) as bias from {BT_FACTORS}) t on t.entity = p.style and t.horizon = a.step)"""
-RISKS = [("sparse_history", "MEDIUM", "sold < 6"), ("intermittent_demand", "LOW", "zeros > 0.5"), ("high_allocation_concentration", "LOW", "share > 0.85"), ("large_forecast_jump", "HIGH", "mean_3 > 0 and units > 3 * mean_3"),
-         ("low_recent_demand", "LOW", "mean_3 <= 5"), ("calibration_weak_or_missing", "LOW", "coalesce(evidence, 'NONE') in ('WEAK', 'NONE')"), ("parent_forecast_high_error", "MEDIUM", "bias > 1.3")]
-
-
-@query(sql("with r as materialized (select * from " + RISK_ROWS + ") " + " union all ".join(f"select sku, month, step, '{f}' as flag, '{s}' as severity from r where {c}" for f, s, c in RISKS), *SCORE_NEEDS, "panel_style").replace("\nwith r as materialized (", ",\nr as materialized (", 1))
+RISKS = [
+    ("sparse_history", "MEDIUM", "sold < 6", "'only ' || sold || ' months with sales'"),
+    ("intermittent_demand", "LOW", "zeros > 0.5", "'zero rate ' || round(zeros, 2)"),
+    ("large_forecast_jump", "HIGH", "mean_3 > 0 and units > 3 * mean_3", "'units ' || round(units, 1) || ' above 3 times the recent mean ' || round(mean_3, 1)"),
+    ("low_recent_demand", "LOW", "mean_3 <= 5", "'recent mean ' || round(mean_3, 1)::double"),
+    ("calibration_weak_or_missing", "LOW", "evidence in ('WEAK', 'NONE')", "'evidence ' || evidence"),
+    ("parent_forecast_high_error", "MEDIUM", "bias > 1.3", "'style forecast at ' || round(bias, 2) || ' of the actuals'"),
+]
+RISKS_SQL = " union all ".join(f"select sku, month, step, '{f}' as flag, '{s}' as severity, {r} as reason from r where {c}" for f, s, c, r in RISKS)
+
+
+@query(sql(f"with r as materialized (select * from {RISK_ROWS}) {RISKS_SQL}", *SCORE_NEEDS, "panel_style").replace("\nwith r as materialized (", ",\nr as materialized (", 1))
 def risk_flags(spark, d):
     f = sku_alloc(spark, d).withColumnRenamed("child", "sku").join(retail.dim_product(spark, d).select("sku", "style"), "sku")
     factors = calibrate.factors(tested(spark, d), ["entity", "horizon"], BACKTEST).withColumn("bias", ratio(F.col("total_predicted"), F.col("total_actual")))
-    return score.risk_flags(f, gold(spark, d), split(spark, d, "color", "sku", shares.BASELINE), factors, CAL.holdout[0])
+    return score.risk_flags(f, gold(spark, d), factors, CAL.holdout[0])
 
 
 def meets_sql(name: str, up: str, key: str, down: str) -> str:
@@ -800,15 +956,38 @@ def validation_report(spark, d):
     return score.validation_report(parent_forecast(spark, d), color_alloc(spark, d), sku_alloc(spark, d))
 
 
-@query(sql(" union all ".join(f"select '{v}' as version, {', '.join(f'round(sum(abs_error) filter (step = {s}) * 100 / greatest(1, sum(actual) filter (step = {s})), 4) as wmape_step_{s}' for s in (1, 2))} from {scored_sql(**a)}" for v, a in (("baseline", {}), ("recency_only", {"recency": True}))), *SCORE_NEEDS))
+PRODUCED = f"""(select 'v1' as version, child as sku, month, step, units from {sku_alloc_sql()}
+    union all select 'v2', a.child, a.month, a.step, round(greatest(a.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) from {sku_alloc_sql()} a left join products p on p.sku = a.child left join {BT_FACTORS} t on t.entity = p.style and t.horizon = a.step
+    union all select 'v3', a.child, a.month, a.step, round(greatest(a.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) from {sku_alloc_sql()} a left join (select horizon, case when accepted = 1 then factor else 1 end as factor from {GLOBAL_SQL}) t on t.horizon = a.step)"""
+PRODUCED_SCORED = f"(select a.*, g.units as actual, q.color, q.style from {PRODUCED} a join gold g on g.sku = a.sku and g.month = a.month join products q on q.sku = a.sku where a.month in {HOLDOUT})"
+VERSION_ROWS = " union all ".join(f"select version, '{e}' as level, step, month, sum(a) as actual, sum(p) as predicted, case when sum(a) > 0 then sum(abs(a - p)) * 100 / sum(a) end as wmape from (select version, step, month, {e}, sum(actual) as a, sum(units) as p from r group by all) group by version, step, month" for e in ("sku", "color", "style"))
+
+
+def published(spark, d) -> str:
+    """Three versions of the production table, in columns that grew with the versions: plain, calibrated by style, and by horizon."""
+    path = f"{sinks.shared_dir(spark)}/weftline-production-{uuid.uuid4().hex}"
+    f = sinks.kept(sku_alloc(spark, d).withColumnRenamed("child", "sku"), "sku-forecast").join(retail.dim_product(spark, d).select("sku", "style"), "sku", "left")
+    f = f.withColumns({"entity": F.col("style"), "horizon": F.col("step"), "model_version": F.lit(MODEL_VERSION)})
+    by_style = calibrate.apply_factors(f, calibrate.factors(tested(spark, d), ["entity", "horizon"], BACKTEST), ["entity", "horizon"], "+backtest")
+    by_horizon = calibrate.apply_factors(f, gated(spark, d), ["horizon"], "+global", factor="applied_factor")
+    checks = {"negative_units": F.col("units") < 0, "null_units": F.col("units").isNull()}
+    versions.publish(f.select("sku", "month", "step", "units"), path, "v1", ["month"], checks)
+    versions.publish(by_style.select("sku", "month", "step", "units", "calibration_factor"), path, "v2", ["month"], checks)
+    versions.publish(by_horizon.select("sku", "style", "month", "step", "units", "lower", "upper", "calibration_factor", "model_version"), path, "v3", ["month"], checks)
+    return path
+
+
+@query(sql(f"with r as materialized (select * from {PRODUCED_SCORED}), w as ({VERSION_ROWS}) select version, level, step, month, {rounds('actual predicted wmape')}, round(wmape - first(wmape) over (partition by level, step, month order by version), 4) + 0.0::double as delta from w", *SCORE_NEEDS, "panel_style", "demand_style").replace("\nwith r as materialized (", ",\nr as materialized (", 1))
 def version_compare(spark, d):
-    rows = variants_scored(spark, d, {"baseline": shares.BASELINE, "recency_only": shares.RECENCY}).withColumnRenamed("variant", "version")
-    w = F.sum("abs_error") * 100 / F.greatest(F.lit(1.0), F.sum("actual"))
-    return rounded(rows.groupBy("version").pivot("step", [1, 2]).agg(w).withColumnsRenamed({"1": "wmape_step_1", "2": "wmape_step_2"}))
+    """Versions of the production table as they were stored, read whichever are there (v9 isn't), scored and compared with the first."""
+    stored = versions.read_versions(spark, published(spark, d), ["v1", "v2", "v3", "v9"]).where(F.col("month").isin(*CAL.holdout))
+    rows = score.scored(stored.withColumnRenamed("version", "variant"), gold(spark, d)).withColumnRenamed("variant", "version")
+    return rounded(score.version_table(rows, retail.dim_product(spark, d))).withColumn("delta", F.col("delta") + 0.0)  # no negative zeros
 
 
 def diagnosed(spark, d):
-    return sku_scored(spark, d).join(retail.dim_product(spark, d).select("sku", "style", "color"), "sku")
+    f = sku_alloc(spark, d).select(F.col("child").alias("sku"), "month", F.col("step").alias("HorizonMonths"), F.col("units").alias("ForecastUnits"))
+    return score.merged(f, gold(spark, d).select("sku", "month", "units"), retail.dim_product(spark, d), CAL.holdout)
 
 
 DIAG = f"(select r.*, p.style, p.color from {scored_sql()} r join products p using (sku))"
@@ -961,12 +1140,28 @@ def ml_dispatch(spark, d):
 
 @query(sql("select date '2001-08-02' as run_date, entity as key, month, step as horizon, 'seasonal_naive' as model, round(case when step = 1 then seasonal_naive else ma_3 end, 4) as units from forecast_color", "forecast_color"))
 def upsert_forecasts(spark, d):
-    f = baselines.forecast(dense(spark, d, "color"), CAL.train_end, 3)
+    """A table of forecasts by month, into which a run of one step is merged: only that month's partition is written again."""
+    f = sinks.kept(baselines.forecast(dense(spark, d, "color"), CAL.train_end, 3), "forecast")
+    path = f"{sinks.shared_dir(spark)}/weftline-forecasts-{uuid.uuid4().hex}"
 
     def rows(df, column):
         return df.select(F.lit("2001-08-02").cast("date").alias("run_date"), F.col("entity").alias("key"), "month", F.col("step").alias("horizon"), F.lit("seasonal_naive").alias("model"), F.round(column, 4).alias("units"))
 
-    return sinks.merged(rows(f, "ma_3"), rows(f.where("step = 1"), "seasonal_naive"))
+    for new in (rows(f, "ma_3"), rows(f.where("step = 1"), "seasonal_naive")):
+        versions.upsert_partitions(spark, path, new)
+    return spark.read.schema(rows(f, "ma_3").schema).parquet(path)
+
+
+@query(sql(f"""select phase, train_end, count(*) as n_months, round(sum(units), 4) as units, 2::int as n_holdout from
+    (select 1 as phase, {END} as train_end union all select 2, (select max(m) from (values {', '.join(f"(date '{m}')" for m in CAL.holdout)}) x(m) where m in (select month from gold))) p
+    join (select month, sum(units) as units from gold group by month) g on g.month <= p.train_end group by phase, train_end""", "gold"))
+def calendar_phases(spark, d):
+    """Where training ends in both phases, found in the calendar and the fact, and how much demand each sees."""
+    months, g = retail.dim_date(spark), gold(spark, d).groupBy("month").agg(F.sum("units").alias("units"))
+    held = retail.holdout(months, g)
+    ends = F.array(*(F.struct(F.lit(p).alias("phase"), F.lit(retail.phase_end(months, p)).alias("train_end")) for p in (1, 2)))
+    each = g.withColumn("p", F.explode(ends)).where("month <= p.train_end")
+    return rounded(each.groupBy("p.phase", "p.train_end").agg(F.count("*").alias("n_months"), F.sum("units").alias("units")).withColumn("n_holdout", F.lit(len(held))))
 
 
 @query("select date_trunc('day', ts) as start, event_type as key, count(*) as n, round(sum(value), 2) as total from events group by 1, 2")

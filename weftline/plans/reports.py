@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import functions as F
 
-from weftline.operators import baselines, calibrate, etl, panel, score, shares
+from weftline.operators import calibrate, etl, panel, score, shares
 from weftline.plans import catalog as c
 from weftline.plans.sqltext import HOLDOUT, sql
 from weftline.sources import retail
@@ -39,12 +37,16 @@ def etl_clean_lines_raw(spark, d):
     return clean.select("line_key", "demand_month", "item_category", "is_substituted", "is_return", "is_cancelled", "is_zero_ship", "shipped_qty")
 
 
-@c.query("select o_orderstatus as status, count(*) as n_rows, count(distinct o_orderkey) as n_keys, count(*) filter (o_orderkey is null) as null_keys, min(o_orderdate)::date as first_date, max(o_orderdate)::date as last_date, round(avg(o_totalprice), 4) as mean_total, round(stddev_samp(o_totalprice), 4) as std_total, round(min(o_totalprice), 4) as min_total, round(max(o_totalprice), 4) as max_total, count(*) filter (o_totalprice < 0) as negatives from orders group by 1")
+QUARTILES = ", ".join(f"round(quantile_cont(o_totalprice, {q / 4}), 4) as q{q}_total" for q in (1, 2, 3))
+
+
+@c.query("select o_orderstatus as status, count(*) as n_rows, count(distinct o_orderkey) as n_keys, count(*) filter (o_orderkey is null) as null_keys, min(o_orderdate)::date as first_date, max(o_orderdate)::date as last_date, round(avg(o_totalprice), 4) as mean_total, round(stddev_samp(o_totalprice), 4) as std_total, round(min(o_totalprice), 4) as min_total, round(max(o_totalprice), 4) as max_total, count(*) filter (o_totalprice < 0) as negatives, " + QUARTILES + " from orders group by 1")
 def etl_order_profile(spark, d):
     o, t = retail.table(spark, d, "orders"), F.col("o_totalprice")
     return o.groupBy(F.col("o_orderstatus").alias("status")).agg(
         F.count("*").alias("n_rows"), F.count_distinct("o_orderkey").alias("n_keys"), F.count_if(F.col("o_orderkey").isNull()).alias("null_keys"), F.min(F.col("o_orderdate").cast("date")).alias("first_date"), F.max(F.col("o_orderdate").cast("date")).alias("last_date"),
         F.round(F.avg(t), 4).alias("mean_total"), F.round(F.stddev_samp(t), 4).alias("std_total"), F.round(F.min(t), 4).alias("min_total"), F.round(F.max(t), 4).alias("max_total"), F.count_if(t < 0).alias("negatives"),
+        *(F.round(F.percentile(t, F.lit(q / 4)), 4).alias(f"q{q}_total") for q in (1, 2, 3)),
     )
 
 
@@ -103,13 +105,13 @@ def error_lowest_step(spark, d):
 # Calibration
 
 HISTORY = f"(select entity, h.horizon, count(*) as n, sum(actual) as total_actual, sum(predicted) as total_predicted, sum(actual) / nullif(sum(predicted), 0) as raw_factor, 'WEAK' as evidence, 1.0::double as factor from (values (1), (3)) h(horizon) join (select a.entity, k.horizon, a.units as actual, b.units as predicted from demand_style a join (values (1), (3)) k(horizon) on true join demand_style b on a.entity = b.entity and b.month = a.month - to_months(k.horizon) where a.month <= {c.END} and a.month > {c.END} - interval 24 month and b.month > {c.END} - interval 24 month and b.units > 0) x on x.horizon = h.horizon group by entity, h.horizon)"
-CV_SOLID = f"(select * from {c.CV_FACTORS} where evidence <> 'NONE' and horizon = 1)"
+CV_SOLID = f"(select * from {c.CV_FACTORS} where evidence <> 'NONE')"
 
 
 @c.query(sql(f"select entity, horizon, n, round(total_actual, 4) as total_actual, evidence, round(factor, 4) as factor, source from (select entity, horizon, n, total_actual, evidence, factor, 'validation' as source from {CV_SOLID} union all select entity, horizon, n, total_actual, evidence, factor, 'history' from {HISTORY} h where not exists (select 1 from {CV_SOLID} s where s.entity = h.entity and s.horizon = h.horizon))", "panel_style", "demand_style"))
 def calib_merged(spark, d):
-    """Factors from validation where it covers the key (here: one month ahead), from history for the others."""
-    first = c.cv_factors(spark, d).where("evidence <> 'NONE' and horizon = 1").withColumn("source", F.lit("validation"))
+    """Factors from validation where it has evidence for the key, from history for the others."""
+    first = c.cv_factors(spark, d).where("evidence <> 'NONE'").withColumn("source", F.lit("validation"))
     demand = panel.demand_by(c.gold(spark, d), retail.dim_product(spark, d), "style")
     history = score.union_all([calibrate.history_factors(demand, c.CAL.train_end, h) for h in (1, 3)]).withColumn("source", F.lit("history"))
     return c.rounded(calibrate.first_of(first, history, ["entity", "horizon"]).select("entity", "horizon", "n", "total_actual", "evidence", "factor", "source"))
@@ -118,8 +120,7 @@ def calib_merged(spark, d):
 @c.query(sql(f"select f.parent as entity, f.month, f.step, round(greatest(f.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as units, round(coalesce(t.factor, 1), 4) as calibration_factor, 'weftline-1+global' as model_version from {c.STYLE_FC} f left join (select horizon, case when accepted = 1 then factor else 1 end as factor from {c.GLOBAL_SQL}) t on t.horizon = f.step", "panel_style", "forecast_style", "demand_style"))
 def calib_apply_global(spark, d):
     f = c.parent_forecast(spark, d).withColumnRenamed("parent", "entity").withColumns({"horizon": F.col("step"), "model_version": F.lit(c.MODEL_VERSION)})
-    table = calibrate.global_gate(c.tested(spark, d), c.gate_rows(spark, d))
-    return c.rounded(calibrate.apply_factors(f, table, ["horizon"], "+global", factor="applied_factor").select("entity", "month", "step", "units", "calibration_factor", "model_version"))
+    return c.rounded(calibrate.apply_factors(f, c.gated(spark, d), ["horizon"], "+global", factor="applied_factor").select("entity", "month", "step", "units", "calibration_factor", "model_version"))
 
 
 @c.query(sql(f"select coalesce(p.style, 'UNKNOWN') as style, coalesce(p.color, 'UNKNOWN') as color, a.step, count(*) as n_skus, round(sum(a.units), 4) as units from {c.sku_alloc_sql()} a left join products p on p.sku = a.child group by all", *c.ALLOC_NEEDS))
@@ -130,14 +131,8 @@ def production_filled(spark, d):
     return c.rounded(filled.groupBy("style", "color", "step").agg(F.count("*").alias("n_skus"), F.sum("units").alias("units")))
 
 
-DIAGNOSED = f"(select f.entity, h.horizon, f.month, f.seasonal_naive as predicted, g.units as actual from forecast_style f join demand_style g on g.entity = f.entity and g.month = f.month join (values (1), (2), (3)) h(horizon) on f.step <= h.horizon where f.month in {HOLDOUT})"
-
-
-@c.query(sql(f"with b as (select horizon, predicted, actual from {c.BT_SQL} where month < date '2001-01-01') select horizon, source, count(*) as n, round(sum(predicted), 4) as predicted, round(sum(actual), 4) as actual from (select horizon, predicted, actual, 'backtest' as source from b union all select horizon, predicted, actual, 'diagnosis' from {DIAGNOSED} where horizon not in (select horizon from b)) group by all", "panel_style", "forecast_style", "demand_style").replace("\nwith b as (", ",\nb as (", 1))
+@c.query(sql(f"select horizon, source, count(*) as n, round(sum(predicted), 4) as predicted, round(sum(actual), 4) as actual from {c.EVIDENCE_SQL} group by all", "panel_style", "forecast_style", "demand_style"))
 def calib_global_evidence(spark, d):
-    """What the global factors rest on; two months ahead were never backtested, so the holdout's diagnosis stands in."""
-    f = baselines.forecast(c.dense(spark, d, "style"), c.CAL.train_end, 3).where(F.col("month").isin(*c.CAL.holdout))
-    f = f.select("entity", F.explode(F.expr("filter(array(1, 2, 3), h -> step <= h)")).alias("horizon"), "month", F.col("seasonal_naive").alias("predicted"))
-    actual = panel.demand_by(c.gold(spark, d), retail.dim_product(spark, d), "style").select("entity", "month", F.col("units").alias("actual"))
-    rows = calibrate.global_evidence(c.tested(spark, d), f.join(actual, ["entity", "month"]), date(2001, 1, 1))
+    """What the global factors rest on."""
+    rows = calibrate.global_evidence(c.tested(spark, d), c.gate_rows(spark, d), c.CAL.holdout[0])
     return c.rounded(rows.groupBy("horizon", "source").agg(F.count("*").alias("n"), F.sum("predicted").alias("predicted"), F.sum("actual").alias("actual")))

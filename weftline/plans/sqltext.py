@@ -101,13 +101,16 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         (),
     ),
     "goods": ("select l.*, p.item from lines l join products p using (sku) where shipped_qty > 0 and not regexp_matches(upper(item), 'FREIGHT|LTL|SHIPPING|MISC')", ("lines", "products")),
+    # Every tenth sku's demand once more, under a sku that has no dimension row.
+    "gold_new": ("select month, sku, units, revenue from gold union all select month, 'new-' || sku, units, revenue from gold where sku::int % 10 = 0", ("gold",)),
+    "demand_new": ("select sku as entity, month, units, revenue from gold_new", ("gold_new",)),
     "gold": ("select month, sku, sum(shipped_qty) as units, sum(revenue) as revenue from goods group by all", ("goods",)),
     "demand_sku": ("select sku as entity, month, units, revenue from gold", ("gold",)),
     **{f"demand_{e}": (f"select p.{e} as entity, g.month, sum(g.units) as units, sum(g.revenue) as revenue from gold g join products p using (sku) where p.{e} is not null group by all", ("gold", "products")) for e in ("color", "style")},
-    **{f"panel_{e}": (_panel(e), (f"demand_{e}",)) for e in ("sku", "color", "style")},
-    **{f"segment_{e}": (_segment(e), (f"panel_{e}",)) for e in ("sku", "color", "style")},
-    **{f"forecast_{e}": (_forecast(e), (f"panel_{e}",)) for e in ("sku", "color", "style")},
-    **{f"croston_{e}": (_croston(e), (f"panel_{e}",)) for e in ("sku", "color", "style")},
+    **{f"panel_{e}": (_panel(e), (f"demand_{e}",)) for e in ("sku", "color", "style", "new")},
+    **{f"segment_{e}": (_segment(e), (f"panel_{e}",)) for e in ("sku", "color", "style", "new")},
+    **{f"forecast_{e}": (_forecast(e), (f"panel_{e}",)) for e in ("sku", "color", "style", "new")},
+    **{f"croston_{e}": (_croston(e), (f"panel_{e}",)) for e in ("sku", "color", "style", "new")},
 }
 
 

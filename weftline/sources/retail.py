@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.config import Calendar
@@ -50,10 +50,44 @@ def dim_date(spark: SparkSession, calendar: Calendar = Calendar()) -> DataFrame:
     return months.select("month", F.year("month").alias("year"), F.month("month").alias("month_of_year"), F.quarter("month").alias("quarter"), split.alias("split"))
 
 
+SPLIT_COLUMNS = ("Split", "TrainHoldout", "DataSplit", "DatasetSplit", "Set")  # fixed values: names under which a calendar tells its splits
+
+
+def _split(months: DataFrame) -> Column | None:
+    """The calendar's split in capitals, from the first of the known columns that names a holdout month, else from is_train."""
+    names = {c.lower().replace("_", ""): c for c in months.columns}
+    found = [names[c.lower()] for c in SPLIT_COLUMNS if c.lower() in names]
+    if found:
+        held = months.agg(*(F.count_if(F.upper(F.trim(F.col(c).cast("string"))) == "HOLDOUT").alias(c) for c in found)).first()
+        return F.upper(F.trim(F.col(next((c for c in found if held[c]), found[0])).cast("string")))
+    if "istrain" in names:
+        return F.when(F.lower(F.trim(F.col(names["istrain"]).cast("string"))).isin("1", "true"), "TRAIN").otherwise("HOLDOUT")
+    return None
+
+
 def train_end(months: DataFrame, with_holdout: bool = False) -> object:
-    """The last training month (one number: the only thing brought to the driver)."""
-    splits = ["TRAIN", "HOLDOUT"] if with_holdout else ["TRAIN"]
-    end = months.where(F.col("split").isin(*splits)).agg(F.max("month")).first()[0]
+    """The last training month, of both splits that have actuals if asked for (one number: the only thing brought to the driver)."""
+    split = _split(months)
+    end = None if split is None else months.where(split.isin(*(["TRAIN", "HOLDOUT"] if with_holdout else ["TRAIN"]))).agg(F.max(month_of("month"))).first()[0]
     if end is None:
         raise ValueError("no training month")
     return end
+
+
+def holdout(months: DataFrame, actuals: DataFrame | None = None) -> list:
+    """The calendar's holdout months in order, those with actuals if a fact is given. actuals: month."""
+    split = _split(months)
+    found = months.where(F.lit(False) if split is None else split == "HOLDOUT").select(month_of("month").alias("month")).distinct()
+    if actuals is not None:
+        found = found.join(actuals.select("month").distinct(), "month", "left_semi")
+    out = sorted(r["month"] for r in found.collect())  # a few months
+    if not out:
+        raise ValueError("no holdout month in Split, TrainHoldout, DataSplit, DatasetSplit, Set or is_train")
+    return out
+
+
+def phase_end(months: DataFrame, phase: int) -> object:
+    """Where training ends: phase 1 keeps the holdout out, phase 2 takes it in to refit for production."""
+    if phase not in (1, 2):
+        raise ValueError(f"phase must be 1 or 2, not {phase}")
+    return train_end(months, with_holdout=phase == 2)

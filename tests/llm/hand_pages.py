@@ -38,3 +38,25 @@ PAGES = [
     ('<body><nav><a href=/>Home</a></nav><article><h1>Rain by month</h1><p>The table shows how much rain fell in the first two months of the year at our station.</p><table><tr><td>January</td><td>80 mm</td></tr><tr><td>February</td><td>61 mm</td></tr></table><figure><img src=x><figcaption>The station in the hills.</figcaption></figure></article><aside class="sidebar"><h3>Archives</h3><ul><li><a href=1>May</a><li><a href=2>June</a></ul></aside><footer>© Weather Club</footer></body>',
         ["Rain by month","The table shows how much rain fell in the first two months of the year at our station.","January","80 mm","February","61 mm","The station in the hills."]),
 ]
+
+# Names of elements and phrases of side matter that occur nowhere in the layouts that the labeller learns from (a test asserts that), in languages that they don't have.
+UNSEEN = [
+    # Polish
+    ('<body><div id="gora"><a href=/>Gazeta Miejska</a> <a href=/s>Szukaj</a></div><div id="tresc"><h1>Nowy most otwarty</h1><p>Po trzech latach budowy nowy most został otwarty dla ruchu w poniedziałek rano.</p><p>Koszty były znacznie wyższe niż planowano, powiedział 14 maja burmistrz miasta.</p></div><div id="opinie"><h3>Opinie czytelników</h3><div><b>Jan</b> <p>Nareszcie, trwało to zbyt długo.</p></div></div><div id="stopka">© Gazeta Miejska</div></body>',
+        ["Nowy most otwarty", "Po trzech latach budowy nowy most został otwarty dla ruchu w poniedziałek rano.", "Koszty były znacznie wyższe niż planowano, powiedział 14 maja burmistrz miasta."]),
+    # Swedish, a wrapper around all
+    ('<body><div class="sida"><div class="meny"><ul><li><a href=1>Hem</a></li><li><a href=2>Kultur</a></li><li><a href=3>Väder</a></li></ul></div><div class="brodtext"><h1>Isen lade sig tidigt</h1><p>Sjön frös redan i november i år, vilket inte har hänt sedan 1987 enligt byns äldsta fiskare.</p><p>Den som vill åka skridskor bör ändå vänta några veckor till.</p><p>Isen är bara 4 centimeter tjock vid stranden.</p></div><div class="hoger"><h3>Andra läste</h3><ul><li><a href=8>Ny färja</a></li><li><a href=9>Bokmässan</a></li></ul></div></div></body>',
+        ["Isen lade sig tidigt", "Sjön frös redan i november i år, vilket inte har hänt sedan 1987 enligt byns äldsta fiskare.", "Den som vill åka skridskor bör ändå vänta några veckor till.", "Isen är bara 4 centimeter tjock vid stranden."]),
+    # numbers in every paragraph, names without meaning
+    ('<body><div class="k1"><a href=/>Start</a><a href=/r>Results</a></div><div class="k2"><h1>Results of round 7</h1><p>Team 1 beat team 4 by 3 goals to 1 after a slow first half on the wet pitch.</p><p>Team 2 and team 3 drew 0 to 0, and both keepers had little to do all day.</p><p>Round 8 is on May 14 at 15:00, when teams 1 and 2 meet for the first time.</p></div><div class="k3"><a href=/i>Imprint of the league</a></div></body>',
+        ["Results of round 7", "Team 1 beat team 4 by 3 goals to 1 after a slow first half on the wet pitch.", "Team 2 and team 3 drew 0 to 0, and both keepers had little to do all day.", "Round 8 is on May 14 at 15:00, when teams 1 and 2 meet for the first time."]),
+    # questions and answers that unfold
+    ('<body><nav><a href=/>Front</a> <a href=/q>Questions</a></nav><main><h1>Questions about the library</h1><details><summary>Who may borrow books?</summary><p>Everyone who lives in the county may borrow books for four weeks.</p></details><details><summary>What does a lost book cost?</summary><p>It costs what the library pays for a new one.</p></details></main><footer><p>County library, Mill Lane 3</p></footer></body>',
+        ["Questions about the library", "Who may borrow books?", "Everyone who lives in the county may borrow books for four weeks.", "What does a lost book cost?", "It costs what the library pays for a new one."]),
+    # a glossary, sources at the end
+    ('<body><div class="oben"><a href=/>Wood lore</a></div><article><h1>Words of the forest</h1><p>Foresters have words of their own, and some of them are older than the maps of the place.</p><dl><dt>Coppice</dt><dd>Trees that are cut near the ground and grow again.</dd><dt>Ride</dt><dd>A broad path that was made for horses.</dd></dl><h2>Sources</h2><ul><li>County archive, box 12</li><li>Hale, Old Woods</li></ul></article><div class="unten">Wood lore society</div></body>',
+        ["Words of the forest", "Foresters have words of their own, and some of them are older than the maps of the place.", "Coppice", "Trees that are cut near the ground and grow again.", "Ride", "A broad path that was made for horses.", "Sources", "County archive, box 12", "Hale, Old Woods"]),
+    # an interview, speakers in bold
+    ('<body><header><p>Radio North</p></header><main><h1>Talk with a lighthouse keeper</h1><p><b>How long were you there?</b></p><p>For 31 years, until the light was made to work by itself.</p><p><b>Was it lonely?</b></p><p>Not with so many birds around the house all day.</p><p><b>Would you do it again?</b></p><p>I would, but only if my dog could come along.</p></main><footer><a href=/k>Write to the station</a></footer></body>',
+        ["Talk with a lighthouse keeper", "How long were you there?", "For 31 years, until the light was made to work by itself.", "Was it lonely?", "Not with so many birds around the house all day.", "Would you do it again?", "I would, but only if my dog could come along."]),
+]

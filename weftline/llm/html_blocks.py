@@ -1,4 +1,7 @@
-"""Pages as sequences of leaf blocks: one scan over the tags, open elements on a stack."""
+"""Pages as sequences of leaf blocks: one scan over the tags, open elements on a stack.
+
+A block knows its innermost element and an element its parent, so a page takes time and memory in proportion to its length, however deep it nests.
+"""
 
 from __future__ import annotations
 
@@ -17,16 +20,33 @@ _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[^\W\d_]+")
 
 
-Element = tuple[str, tuple[str, ...], int]  # tag, the names in its attributes, its number in the page
+class Element:
+    """An open tag: names, the words in its attributes; number, its place in the page, above its parent's; title, whether it is in a title."""
+
+    __slots__ = ("tag", "names", "number", "parent", "title", "block_at")
+
+    def __init__(self, tag: str, names: tuple[str, ...], number: int, parent: Element | None, block_at: int):
+        self.tag, self.names, self.number, self.parent = tag, names, number, parent
+        self.title = tag == "title" or parent is not None and parent.title
+        self.block_at = block_at  # where on the stack the nearest block element is, itself included
 
 
 class Block:
-    """Text of one leaf: path, the open elements from the root on; linked, characters inside links; raw: no text of the page, as a title."""
+    """Text of one leaf: element, the innermost open one; linked, characters inside links; raw: no text of the page, as a title."""
 
-    __slots__ = ("path", "text", "linked", "raw")
+    __slots__ = ("element", "text", "linked", "raw")
 
-    def __init__(self, path: tuple[Element, ...], text: str, linked: int, raw: bool):
-        self.path, self.text, self.linked, self.raw = path, text, linked, raw
+    def __init__(self, element: Element | None, text: str, linked: int):
+        self.element, self.text, self.linked = element, text, linked
+        self.raw = element is not None and element.title
+
+    def path(self) -> list[Element]:
+        """The open elements from the root on."""
+        found, e = [], self.element
+        while e is not None:
+            found.append(e)
+            e = e.parent
+        return found[::-1]
 
 
 def names_of(attrs: str) -> tuple[str, ...]:
@@ -41,6 +61,7 @@ def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, white space inside each made one space. Unclosed elements end with the block that holds them."""
     out: list[Block] = []
     stack: list[Element] = []
+    places: dict[str, list[int]] = {}  # where on the stack each tag is
     parts: list[str] = []
     linked = opened = 0
 
@@ -48,7 +69,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = _SPACE.sub(" ", "".join(parts)).strip()
         if text:
-            out.append(Block(tuple(stack), text, linked, any(e[0] == "title" for e in stack)))
+            out.append(Block(stack[-1] if stack else None, text, linked))
         parts.clear()
         linked = 0
 
@@ -57,9 +78,18 @@ def blocks(page: str) -> list[Block]:
         if text:
             text = html.unescape(text)
             parts.append(text)
-            if any(e[0] == "a" for e in stack):
+            if places.get("a"):
                 linked += len(text)
 
+    def leave(k: int) -> None:
+        """Close the elements from place k on."""
+        for e in stack[k:]:
+            places[e.tag].pop()
+        del stack[k:]
+
+    def block_at() -> int:
+        return stack[-1].block_at if stack else -1
+
     at, size = 0, len(page)
     while at < size:
         m = _MARKUP.search(page, at)
@@ -79,14 +109,10 @@ def blocks(page: str) -> list[Block]:
         elif m["close"]:
             if tag in BLOCK_TAGS:
                 flush()
-            elif not parts and not any(e[0] == tag for e in stack):
-                continue
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if stack[k][0] in BLOCK_TAGS and tag not in BLOCK_TAGS:
-                    break  # an inline end tag doesn't close the block around it
+            found = places.get(tag)
+            # An inline end tag doesn't close the block around it.
+            if found and (tag in BLOCK_TAGS or found[-1] > block_at()):
+                leave(found[-1])
         elif tag in RAW_TAGS and not m["attrs"].rstrip().endswith("/"):
             flush()
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -97,13 +123,12 @@ def blocks(page: str) -> list[Block]:
         else:
             if tag in BLOCK_TAGS:
                 flush()
-                if closes := CLOSES.get(tag):
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] in closes:
-                            del stack[k:]
-                        elif stack[k][0] in BLOCK_TAGS:
-                            break
+                closes = CLOSES.get(tag, ())
+                while (k := block_at()) >= 0 and stack[k].tag in closes:
+                    leave(k)
             opened += 1
-            stack.append((tag, names_of(m["attrs"]), opened))
+            k = len(stack)
+            places.setdefault(tag, []).append(k)
+            stack.append(Element(tag, names_of(m["attrs"]), opened, stack[-1] if stack else None, k if tag in BLOCK_TAGS else block_at()))
     flush()
     return out

@@ -55,6 +55,7 @@ class Layout:
     def __init__(self, rng: np.random.Generator, material: list[str]):
         self.rng, self.material = rng, material
         self.style = rng.choice(3, p=[0.6, 0.2, 0.2])
+        self.numbers = rng.choice([0.0, 0.02, 0.1])  # of the words are numbers, in main text as elsewhere
         self.semantic = rng.random() < (0.55 if self.style == 0 else 0.7)
 
     def chance(self, p: float) -> bool:
@@ -67,6 +68,8 @@ class Layout:
         source = self.pick(self.material).split() if self.material else PLAIN
         at = self.rng.integers(0, max(1, len(source) - n + 1))
         found = (source[at : at + n] + [self.pick(PLAIN) for _ in range(n)])[:n]
+        if self.numbers:
+            found = [str(self.rng.integers(1, 3000)) if self.chance(self.numbers) else w for w in found]
         return " ".join(found).replace("<", " ").replace("&", "&amp;")
 
     def sentence(self) -> str:
@@ -177,13 +180,16 @@ class Layout:
         return f"<{tag}>{MARK}{text}{end}"
 
     def body(self) -> str:
-        """Paragraphs with headings, lists, tables, quotations and pictures, and side matter among them."""
-        size = int(np.clip(self.rng.lognormal(1.6, 0.8), 1, 30))
+        """Paragraphs with headings, lists of all kinds, tables, quotations, pictures and folded parts, and side matter among them; a few bodies are long."""
+        size = int(self.rng.integers(30, 160)) if self.chance(0.05) else int(np.clip(self.rng.lognormal(1.6, 0.8), 1, 30))
         short = self.chance(0.15)
+        refrain = self.words(int(self.rng.integers(6, 14))) if self.chance(0.12) else ""  # an article may say much the same in every paragraph
         out = []
         for k in range(size):
             kind = self.rng.random()
-            if kind < 0.72:
+            if kind < 0.72 and refrain and self.chance(0.9):
+                out.append(self.text("p", f"{refrain[:1].upper()}{refrain[1:]}".replace(" ", f" {k if self.chance(0.5) else self.words(1)} ", 1) + "."))
+            elif kind < 0.72:
                 out.append(self.text("p", self.sentences(1, 2) if short or self.chance(0.25) else self.sentences(2, 8)))
             elif kind < 0.80:
                 out.append(self.text(self.pick(["h2", "h3", "h4"]), self.words(int(self.rng.integers(1, 8)))))
@@ -195,8 +201,12 @@ class Layout:
                 out.append("<figure><img src=a>" + self.text("figcaption", self.sentence()) + "</figure>")
             elif kind < 0.95:
                 out.append("<table>" + "".join("<tr>" + "".join(self.text("td", self.words(int(self.rng.integers(1, 4)))) for _ in range(2)) + "</tr>" for _ in range(self.rng.integers(1, 4))) + "</table>")
-            else:
+            elif kind < 0.97:
                 out.append(self.text("div", self.sentences(1, 4)))
+            elif kind < 0.985:
+                out += [f"<details>{self.text('summary', self.words(int(self.rng.integers(2, 9))))}{self.text('p', self.sentences(1, 3))}</details>" for _ in range(self.rng.integers(1, 5))]
+            else:
+                out.append("<dl>" + "".join(self.text("dt", self.words(int(self.rng.integers(1, 4)))) + self.text("dd", self.sentences(1, 2)) for _ in range(self.rng.integers(1, 5))) + "</dl>")
             if self.chance(0.05) and k < size - 1:
                 out.append(self.pick([self.ad, self.side, self.share, self.form])())
         return "".join(out)

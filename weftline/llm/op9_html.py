@@ -13,7 +13,7 @@ MATERIAL_BLOCKS of each page, MATERIAL_LETTERS of each block). Scripts, styles a
 
 Learning happens on the driver over the laid out pages; the weights, of fixed size, are broadcast, and pages are labelled
 in one pass without a shuffle. No page is shortened: a long one is read in stretches that hand the networks' states on, so the memory for vectors is bounded;
-the blocks themselves take memory in proportion to the page.
+the blocks themselves take memory in proportion to the page, and so does the time, however deep it nests.
 
 Defined cases: a null or empty html has the text ''; markup that is broken or cut off is read as far as it goes; equal
 pages give equal texts; repeated rows stay, and so do rows without page_id; an empty table gives no rows; other columns are ignored.
@@ -38,6 +38,7 @@ TRAINING_PAGES, TRAINING_STEPS, TRAINING_LENGTH = 2000, 500, 40
 NEAR_TAGS, FAR_TAGS, NEAR_NAMES, FAR_NAMES, WORD_BUCKETS, MEASURES = 48, 24, 64, 32, 64, 19
 PATH = NEAR_TAGS + FAR_TAGS + NEAR_NAMES + FAR_NAMES
 INPUT, HIDDEN = PATH + WORD_BUCKETS + MEASURES, 24
+WORDLESS = 0.5  # of the stretches are learnt from without their words, so that a page's result doesn't hang on them
 NEAREST = 3  # elements around a block whose names are told apart from the others'
 TOGETHER_BLOCKS = 1 << 13  # blocks, padding included, that are labelled at once
 
@@ -54,9 +55,11 @@ def _pieces(name: str) -> list[str]:
     return [name, *(name[k : k + 3] for k in range(len(name) - 2) if len(name) > 3)]
 
 
-def branch(path: tuple[Element, ...]) -> tuple[Element, ...]:
-    """The elements around a block, without those that are around every block."""
-    return tuple(e for e in path if e[0] not in ("html", "body"))
+def inner(e: Element | None) -> Element | None:
+    """The element itself, or the first around it that isn't around every block."""
+    while e is not None and e.tag in ("html", "body"):
+        e = e.parent
+    return e
 
 
 class WordBuckets(dict):
@@ -69,84 +72,146 @@ class WordBuckets(dict):
         return found
 
 
+class Place:
+    """A path of tags and names, known by its last element and the place around it; what holds for whole paths is summed up on the way down."""
+
+    __slots__ = ("up", "tag", "depth", "tags", "far", "near", "known", "inside")
+
+    def __init__(self, up: "Place | None" = None, tag: str = "", names: tuple[str, ...] = ()):
+        self.up, self.tag, self.depth = up, tag, up.depth + 1 if up else 0
+        self.known: np.ndarray | None = None
+        self.inside: dict[tuple[str, tuple[str, ...]], Place] = {}
+        self.near = np.zeros(NEAR_NAMES, np.float32)
+        self.tags, self.far = (up.tags.copy(), up.far.copy()) if up else (np.zeros(FAR_TAGS, np.float32), np.zeros(FAR_NAMES, np.float32))
+        if up:
+            self.tags[_bucket(tag, FAR_TAGS)] += 1
+            pieces = [p for n in names for p in _pieces(n)]
+            for p in pieces:
+                self.near[_bucket(p, NEAR_NAMES)] += 1 / np.sqrt(len(pieces))
+                self.far[_bucket(p, FAR_NAMES)] += 1 / np.sqrt(len(pieces))
+
+    def vector(self) -> np.ndarray:
+        if self.known is None:
+            found = np.zeros(PATH, np.float32)
+            found[NEAR_TAGS : NEAR_TAGS + FAR_TAGS] = self.tags
+            at, distance = self, 0
+            while at.up and distance < NEAREST:
+                found[_bucket(f"{distance}<{at.tag}", NEAR_TAGS)] += 1
+                found[NEAR_TAGS + FAR_TAGS : NEAR_TAGS + FAR_TAGS + NEAR_NAMES] += at.near
+                at, distance = at.up, distance + 1
+            found[NEAR_TAGS + FAR_TAGS + NEAR_NAMES :] = at.far
+            self.known = np.minimum(found, 2)
+        return self.known
+
+
 @dataclass
 class Vectors:
-    """Vectors of blocks, with bounded caches of hashed paths and words for each worker."""
+    """Vectors of blocks, with bounded caches of places and hashed words for each worker."""
 
-    paths: dict = field(default_factory=dict)
+    root: Place = field(default_factory=Place)
+    places: int = 0
     words: WordBuckets = field(default_factory=WordBuckets)
 
-    def path(self, elements: tuple[tuple[str, tuple[str, ...]], ...]) -> np.ndarray:
-        found = self.paths.get(elements)
+    def place(self, up: Place, tag: str, names: tuple[str, ...]) -> Place:
+        found = up.inside.get((tag, names))
         if found is None:
-            if len(self.paths) >= MOST_PATHS:
-                self.paths.clear()
-            found = np.zeros(PATH, np.float32)
-            for distance, (tag, names) in enumerate(reversed(elements)):
-                if distance < NEAREST:
-                    found[_bucket(f"{distance}<{tag}", NEAR_TAGS)] += 1
-                found[NEAR_TAGS + _bucket(tag, FAR_TAGS)] += 1
-                at, size = (NEAR_TAGS + FAR_TAGS, NEAR_NAMES) if distance < NEAREST else (NEAR_TAGS + FAR_TAGS + NEAR_NAMES, FAR_NAMES)
-                pieces = [p for n in names for p in _pieces(n)]
-                for p in pieces:
-                    found[at + _bucket(p, size)] += 1 / np.sqrt(len(pieces))
-            self.paths[elements] = found = np.minimum(found, 2)
+            self.places += 1
+            found = up.inside[tag, names] = Place(up, tag, names)
         return found
 
     def page(self, page: list[Block]) -> "PageVectors":
+        if self.places >= MOST_PATHS:
+            self.root, self.places = Place(), 0
         return PageVectors(self, page)
 
     def of(self, page: list[Block]) -> np.ndarray:
         return self.page(page).rows(0, len(page))
 
 
+@dataclass(slots=True)
+class Inside:
+    """What an element holds, and where it is."""
+
+    up: "Inside | None"
+    place: Place
+    plain: int = 0  # characters outside links
+    blocks: int = 0
+    linked: int = 0  # blocks that are mostly links
+    largest: float = 0.0  # share of the page's plain text that it or any element around it holds
+    around: tuple[float, ...] | None = None
+
+
 class PageVectors:
-    """The vectors of a page, made for a stretch of blocks at a time."""
+    """The vectors of a page, made for a stretch of blocks at a time; sums go up the tree once and largest shares down."""
 
     def __init__(self, make: Vectors, page: list[Block]):
         self.make, self.page = make, page
-        self.plain: dict[int, int] = {}  # characters outside links, by element
-        self.links: dict[int, list[int]] = {}  # blocks and mostly linked ones, by element
         self.total = 0
-        self.known: dict[int, tuple[float, ...]] = {}  # what around() found, by element
+        found: dict[int, Element] = {}
+        for b in page:
+            e = inner(b.element)
+            while e is not None and e.number not in found:
+                found[e.number] = e
+                e = inner(e.parent)
+        self.inside: dict[int, Inside] = {}
+        for number in sorted(found):  # from the root down
+            e = found[number]
+            up = inner(e.parent)
+            above = self.inside[up.number] if up is not None else None
+            self.inside[number] = Inside(above, make.place(above.place if above else make.root, e.tag, e.names))
         for b in page:
             if b.raw:
                 continue
             own = len(b.text) - min(b.linked, len(b.text))
             self.total += own
-            for _, _, number in b.path:
-                self.plain[number] = self.plain.get(number, 0) + own
-                counts = self.links.setdefault(number, [0, 0])
-                counts[0] += 1
-                counts[1] += 2 * b.linked > len(b.text)
-
-    def around(self, own: tuple[Element, ...]) -> tuple[float, ...]:
+            e = inner(b.element)
+            if e is not None:
+                x = self.inside[e.number]
+                x.plain += own
+                x.blocks += 1
+                x.linked += 2 * b.linked > len(b.text)
+        for x in reversed(self.inside.values()):
+            if x.up:
+                x.up.plain += x.plain
+                x.up.blocks += x.blocks
+                x.up.linked += x.linked
+        total = max(1, self.total)
+        for x in self.inside.values():
+            x.largest = max(x.plain / total, x.up.largest if x.up else 0.0)
+
+    def around(self, own: Inside | None) -> tuple[float, ...]:
         """Of the elements around a block's own one: their shares of the page's plain text, how much of them is linked, and the largest share of any."""
-        key = own[-2][2] if len(own) > 1 else 0
-        found = self.known.get(key)
-        if found is None:
-            total, near = max(1, self.total), [e[2] for e in own[-2:-6:-1]]
-            shares = [self.plain.get(e, 0) / total for e in near] + [1.0] * (4 - len(near))
-            linked = [many / all_ for all_, many in (self.links.get(e, (1, 0)) for e in near[:2])] + [0.0] * (2 - len(near))
-            found = self.known[key] = (max((self.plain.get(e[2], 0) / total for e in own[:-1]), default=0.0), *shares, *linked)
-        return found
+        above = own.up if own else None
+        if above is None:
+            return 0.0, 1.0, 1.0, 1.0, 1.0, 0.0, 0.0
+        if above.around is None:
+            total, near, x = max(1, self.total), [], above
+            while x and len(near) < 4:
+                near.append(x)
+                x = x.up
+            shares = [x.plain / total for x in near] + [1.0] * (4 - len(near))
+            linked = [x.linked / x.blocks if x.blocks else 0.0 for x in near[:2]] + [0.0] * (2 - len(near))
+            above.around = (above.largest, *shares, *linked)
+        return above.around
 
     def rows(self, begin: int, end: int) -> np.ndarray:
         out = np.zeros((end - begin, INPUT), np.float32)
         size, total = len(self.page), max(1, self.total)
         for k in range(begin, end):
             b, row = self.page[k], out[k - begin]
-            own = branch(b.path)
-            row[:PATH] = self.make.path(tuple(e[:2] for e in own))
+            e = inner(b.element)
+            own = self.inside[e.number] if e is not None else None
+            place = own.place if own else self.make.root
+            row[:PATH] = place.vector()
             words = b.text.lower().split()  # at least one, as blocks aren't blank
             hashed = np.bincount(list(map(self.make.words.__getitem__, words)), minlength=WORD_BUCKETS)
             row[PATH : PATH + WORD_BUCKETS] = np.sqrt(hashed / len(words))
             n = len(b.text)
             largest, *around = self.around(own)
-            largest = max(largest, self.plain.get(own[-1][2], 0) / total if own else 1.0)
+            largest = max(largest, own.plain / total if own else 1.0)
             row[PATH + WORD_BUCKETS :] = (
                 np.log1p(n) / 8, min(1, b.linked / n), sum(map(b.text.count, ".,;:!?")) / len(words), b.text.rstrip("\"”»)")[-1:] in _ENDS, any(map(str.isdigit, b.text[:40])),
-                k == 0, k == size - 1, k / size, np.log1p(size) / 8, len(own) / 16, n / total, largest, *around, b.raw,
+                k == 0, k == size - 1, k / size, np.log1p(size) / 8, place.depth / 16, n / total, largest, *around, b.raw,
             )
         return out
 
@@ -252,7 +317,11 @@ class Labeller:
             for k in rng.integers(0, len(pages), batch):
                 x, y = pages[k]
                 at = rng.integers(0, max(1, len(x) - TRAINING_LENGTH + 1))
-                chosen.append((x[at : at + TRAINING_LENGTH], y[at : at + TRAINING_LENGTH]))
+                x, y = x[at : at + TRAINING_LENGTH], y[at : at + TRAINING_LENGTH]
+                if rng.random() < WORDLESS:
+                    x = x.copy()
+                    x[:, PATH : PATH + WORD_BUCKETS] = 0
+                chosen.append((x, y))
             x, mask, turned = self._stacked([c[0] for c in chosen])
             column = np.arange(batch)
             y = np.zeros(mask.shape, np.float32)

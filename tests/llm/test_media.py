@@ -135,6 +135,82 @@ def test_frames_table(spark):
     assert rows[0]["histogram"][np.array([3 * 16]).item()] == 2  # two red samples
 
 
+def plain_frames(data):
+    """A GIF drawn pixel by pixel, by the book: (start, delay, canvas as rows of RGBA tuples, the frame's samples)."""
+    width, height, flags = struct.unpack("<HHB", data[6:11])
+    at, shared = 13, []
+    if flags & 0x80:
+        n = 2 << (flags & 7)
+        shared = [tuple(data[13 + 3 * k : 16 + 3 * k]) for k in range(n)]
+        at += 3 * n
+    canvas, clock, out = [[(0, 0, 0, 0)] * width for _ in range(height)], 0, []
+
+    def blocks(at):
+        body = b""
+        while data[at]:
+            body += data[at + 1 : at + 1 + data[at]]
+            at += data[at] + 1
+        return body, at + 1
+
+    while data[at] != 0x3B:
+        if data[at] == 0x21:
+            body, at = blocks(at + 2)
+            packed, hundredths, index = struct.unpack("<BHB", body)
+            continue
+        left, top, w, h, flags = struct.unpack("<HHHHB", data[at + 1 : at + 10])
+        at, palette = at + 10, shared
+        if flags & 0x80:
+            n = 2 << (flags & 7)
+            palette = [tuple(data[at + 3 * k : at + 3 * k + 3]) for k in range(n)]
+            at += 3 * n
+        bits = data[at]
+        stream, at = blocks(at + 1)
+        samples = plain_decode(stream, bits, w * h)
+        before = [list(r) for r in canvas]
+        for k, s in enumerate(samples):
+            if not (packed & 1 and s == index):
+                canvas[top + k // w][left + k % w] = (*palette[s], 255)
+        out.append((clock, 10 * hundredths, [list(r) for r in canvas], samples))
+        clock += 10 * hundredths
+        if packed >> 2 & 7 == 2:
+            for y in range(top, top + h):
+                canvas[y][left : left + w] = [(0, 0, 0, 0)] * w
+        elif packed >> 2 & 7 == 3:
+            canvas = before
+    return out
+
+
+def plain_boxes(canvas):
+    found = [0] * 64
+    for row in canvas:
+        for r, g, b, a in row:
+            if a:
+                found[16 * (r >> 6) + 4 * (g >> 6) + (b >> 6)] += 1
+    return found
+
+
+def test_stored_media_are_drawn_as_by_the_book(spark):
+    """Palettes, transparency, all ways of disposal and times of what the query stores, against a plain decoder of the stored bytes."""
+    rng = random.Random(8)
+    texts = ["", "short", " ".join(rng.choice(["one", "two", "été", " "]) for _ in range(900)), "word " * 700]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    media = op1_gif.to_media(docs, rows=8).cache()
+    stored = {r["doc_id"]: bytes(r["media"]) for r in media.collect()}
+    frames = {}
+    for r in op1_gif.frames(media).collect():
+        frames.setdefault(r["id"], {})[r["frame"]] = r
+    for r in op1_gif.digest(media).collect():
+        plain = plain_frames(stored[r["doc_id"]])
+        assert b"".join(p[3] for p in plain)[: r["n_bytes"]] == texts[r["doc_id"]].encode()
+        assert [(f["start_ms"], f["delay_ms"], list(f["histogram"])) for f in r["frames"]] == [(start, delay, plain_boxes(canvas)) for start, delay, canvas, _ in plain]
+        for k, (start, delay, canvas, samples) in enumerate(plain):
+            f = frames[r["doc_id"]][k]
+            assert (f["start_ms"], f["delay_ms"], bytes(f["samples"])) == (start, delay, samples)
+            assert bytes(f["rgba"]) == bytes(v for row in canvas for pixel in row for v in pixel) and list(f["shown"]) == plain_boxes(canvas)
+    assert len(frames[3]) > 5 and len({tuple(f["shown"]) for f in frames[3].values()}) > 3
+    assert any(0 in {a for row in canvas for *_, a in row} for *_, canvas, _ in plain_frames(stored[2]))  # something was cleared
+
+
 def test_no_rows(no_docs):
     assert op1_gif.digest(op1_gif.to_media(no_docs)).count() == 0
 

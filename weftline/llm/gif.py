@@ -139,8 +139,11 @@ class Frame:
     canvas: np.ndarray  # (height, width, 4): what is shown, composed by the rules of disposal
 
 
-def _colours(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(-1, 3)
+def _colours(data: bytes, at: int, n: int) -> np.ndarray:
+    """n bytes of a palette."""
+    if at + n > len(data):
+        raise Broken("cut off in a palette")
+    return np.frombuffer(data, np.uint8, n, at).reshape(-1, 3)
 
 
 def _sub_blocks(data: bytes, at: int) -> tuple[bytes, int]:
@@ -174,7 +177,7 @@ def _frames(data: bytes, compose: bool) -> Iterator[Frame]:
     shared = np.zeros((0, 3), np.uint8)
     if flags & 0x80:
         n = 3 << (flags & 7) + 1
-        shared, at = _colours(data[at : at + n]), at + n
+        shared, at = _colours(data, at, n), at + n
     if width * height > MOST_PIXELS:
         raise Broken("too large")
     canvas = np.zeros((height, width, 4) if compose else (0, 0, 4), np.uint8)
@@ -197,7 +200,7 @@ def _frames(data: bytes, compose: bool) -> Iterator[Frame]:
         palette = shared
         if flags & 0x80:
             n = 3 << (flags & 7) + 1
-            palette, at = _colours(data[at : at + n]), at + n
+            palette, at = _colours(data, at, n), at + n
         if w * h > MOST_PIXELS:
             raise Broken("too large")
         stream, after = _sub_blocks(data, at + 1)
@@ -226,15 +229,29 @@ def _frames(data: bytes, compose: bool) -> Iterator[Frame]:
         delay, disposal, transparent = 0, 0, None
 
 
+def _palettes() -> list[bytes]:
+    """Grey, and three whose channels run against each other; all are one to one, so samples stay what they are."""
+    i = np.arange(256, dtype=np.uint8)
+    return [np.stack(c, 1).tobytes() for c in ((i, i, i), (i, ~i, i ^ 0x55), (~i, i ^ 0xAA, i), (i ^ 0x33, i, ~i))]
+
+
+PALETTES = _palettes()
+DISPOSALS = (1, 2, 3, 1)  # stays, is cleared, is taken back
+TRANSPARENT = 0x20  # in every second frame, where what was there before shows through
+
+
 def encode(samples: bytes, width: int, rows: int, delay_ms: int) -> bytes:
-    """Samples as a GIF of frames of the given width and at most `rows` rows, shown one after another over one grey palette."""
-    grey = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
+    """Samples as a GIF of frames of the given width and at most `rows` rows, shown one after another.
+
+    The first frame has the shared grey palette, and later ones take their own palettes, ways of disposal, transparency and times in turn. None of these
+    touches the samples, which come back as they were.
+    """
     height = min(rows, len(samples) // width)
-    parts = [b"GIF89a", struct.pack("<HHBBB", width, height, 0xF7, 0, 0), grey]
-    for at in range(0, len(samples), width * rows):
-        frame = samples[at : at + width * rows]
-        parts.append(b"\x21\xf9\x04" + struct.pack("<BHB", 1 << 2, delay_ms // 10, 0) + b"\0")
-        parts.append(b"\x2c" + struct.pack("<HHHHB", 0, 0, width, len(frame) // width, 0) + b"\x08")
+    parts = [b"GIF89a", struct.pack("<HHBBB", width, height, 0xF7, 0, 0), PALETTES[0]]
+    for k, at in enumerate(range(0, len(samples), width * rows)):
+        frame, own = samples[at : at + width * rows], k % len(PALETTES)
+        parts.append(b"\x21\xf9\x04" + struct.pack("<BHB", DISPOSALS[k % len(DISPOSALS)] << 2 | k & 1, delay_ms // 10 * (1 + k % 3), TRANSPARENT if k & 1 else 0) + b"\0")
+        parts.append(b"\x2c" + struct.pack("<HHHHB", 0, 0, width, len(frame) // width, 0x87 if own else 0) + (PALETTES[own] if own else b"") + b"\x08")
         stream = lzw_encode(frame)
         parts += [bytes([len(b)]) + b for b in (stream[k : k + 255] for k in range(0, len(stream), 255))]
         parts.append(b"\0")

@@ -406,3 +406,23 @@ def test_lstm_gradients():
 def test_no_pages(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert op9_html.query(none).count() == 0
+
+
+def test_toxicity_stretches():
+    """Whole documents, all of them once, with the pairs inside them; empty documents too."""
+    rng = np.random.default_rng(3)
+    for limit in (1, 7, 50, 10_000):
+        length = rng.integers(0, 20, 60)
+        doc = np.repeat(np.arange(60), length)
+        at = np.flatnonzero(doc[1:] == doc[:-1]) + 1
+        before, op7_toxicity.STRETCH_WORDS = op7_toxicity.STRETCH_WORDS, limit
+        try:
+            found = op7_toxicity.stretches(length, at)
+        finally:
+            op7_toxicity.STRETCH_WORDS = before
+        assert np.concatenate([np.arange(60)[d] for d, _, _ in found]).tolist() == list(range(60))
+        assert np.concatenate([np.arange(len(doc))[w] for _, w, _ in found]).tolist() == list(range(len(doc)))
+        assert np.concatenate([at[p] for *_, p in found]).tolist() == at.tolist()
+        for d, w, p in found:
+            assert length[d].sum() == w.stop - w.start and all(w.start < x < w.stop for x in at[p])
+    assert op7_toxicity.stretches(np.array([0, 0]), np.empty(0, np.int64)) == [(slice(0, 2), slice(0, 0), slice(0, 0))]

@@ -26,7 +26,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -44,6 +44,7 @@ PREFIX = 4
 WORD = re.compile(r"\w+")
 TRUSTED, TRUSTED_PAIRS = 3.0, 10.0  # contexts at which a word's, and uses at which a pair's own ratio counts half
 BLOCK_WORDS = 1_000_000  # of the documents of a block; a longer document is a block of its own
+STRETCH_WORDS = 200_000  # of a block that are judged at once
 BUCKET_ENTRIES = 1_000_000  # that a bucket's task has at once, about
 SPARE = 12
 CACHED_WORDS = 500_000
@@ -412,6 +413,14 @@ def evidence(r: np.ndarray, length: np.ndarray) -> np.ndarray:
     return out
 
 
+def stretches(length: np.ndarray, at: np.ndarray) -> list[tuple[slice, slice, slice]]:
+    """(documents, their words, their pairs): whole documents of about STRETCH_WORDS words together, so that only some of a block is expanded at a time."""
+    ends = np.concatenate([[0], np.cumsum(length)])
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(STRETCH_WORDS, ends[-1], STRETCH_WORDS)), [len(length)]]))
+    pairs = np.searchsorted(at, ends[cuts])
+    return [(slice(a, b), slice(int(ends[a]), int(ends[b])), slice(p, q)) for a, b, p, q in zip(cuts[:-1].tolist(), cuts[1:].tolist(), pairs[:-1].tolist(), pairs[1:].tolist())]
+
+
 def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
     """(doc_id, text_key, label, FEATURES by all rows, half_ + FEATURES by the rows of the other half) of all documents of the blocks.
 
@@ -479,8 +488,13 @@ def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
             columns = {"id": s.doc_id, "known": s.known_id, "text_key": s.text_key, "kind": s.kind}
 
             def features(rows: int) -> np.ndarray:
-                own = uses.sum(2) if rows == ALL_ROWS else uses[:, :, rows - 1]
-                return np.hstack([evidence(r, s.length) for r in ratios(s, at, own, values, begun, by_rows_levels[rows], different, rows)])
+                found = []
+                for docs, words_, pairs_ in stretches(s.length, at):
+                    own = uses[pairs_].sum(2) if rows == ALL_ROWS else uses[pairs_, :, rows - 1]
+                    part = replace(s, code=s.code[words_], length=s.length[docs])
+                    of_words = ratios(part, at[pairs_] - words_.start, own, values, begun, by_rows_levels[rows], different, rows)
+                    found.append(np.hstack([evidence(r, part.length) for r in of_words]))
+                return np.vstack(found)
 
             whole, other = features(ALL_ROWS), np.full((len(s.kind), len(FEATURES)), np.nan)
             for rows in usable:  # a document of one half is judged by what the other half says

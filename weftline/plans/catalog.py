@@ -412,7 +412,7 @@ def as_forecast(out: DataFrame) -> DataFrame:
 
 @query(sql(f"select {AS_FORECAST}, '{MODEL_VERSION}' as model_version, round(u, 4) as units, round(u * 0.8::double, 4) as lower, round(u * 1.2::double, 4) as upper from {DISPATCHED}", *DISPATCH_NEEDS))
 def fc_dispatch(spark, d):
-    p = dense(spark, d, "sku")
+    p = sinks.kept(dense(spark, d, "sku"), "sku-panel")  # read for kinds, validation and forecasts
     s = panel.segment(p, CAL.train_end)
     return as_forecast(baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), s, sku_best(p, s)))
 
@@ -428,7 +428,7 @@ def corrected_sql(rows: str, cfg: Adjustments) -> str:
 
 
 def corrected(spark, d, cfg):
-    p = dense(spark, d, "sku")
+    p = sinks.kept(dense(spark, d, "sku"), "sku-panel")  # read for kinds, validation and forecasts
     s = panel.segment(p, CAL.train_end)
     return baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), s, sku_best(p, s), cfg)
 
@@ -695,7 +695,7 @@ DIRECT = f"(select a.entity as sku, a.month, a.step, g.units as actual, abs(g.un
     (select step, month, count(*) as n, count(distinct sku) as n_skus, sum(a.abs_error) * 100 / greatest(1, sum(a.actual)) as wmape_a, sum(b.abs_error) * 100 / greatest(1, sum(a.actual)) as wmape_b from {V6_SCORED} a join {DIRECT} b using (sku, month, step) group by step, month))""", *V6_NEEDS, *DISPATCH_NEEDS))
 def v6_against_skus(spark, d):
     """The chain over colors against forecasts of skus themselves, where both have one: what only stands alone isn't compared."""
-    p = dense(spark, d, "sku")
+    p = sinks.kept(dense(spark, d, "sku"), "sku-panel")  # read for kinds, validation and forecasts
     s = panel.segment(p, CAL.train_end)
     direct = baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), s, sku_best(p, s)).withColumnRenamed("entity", "sku").where(F.col("month").isin(*CAL.holdout))
     return rounded(score.against(v6_scored(spark, d), score.scored(direct, gold(spark, d))))
@@ -1120,19 +1120,19 @@ def learnt_metrics(spark, d, p, iterations=20):
 
 @query()
 def ml_validation(spark, d):
-    return rounded(learnt_metrics(spark, d, dense(spark, d, "color")))
+    return rounded(learnt_metrics(spark, d, sinks.kept(dense(spark, d, "color"), "color-panel")))
 
 
 @query()
 def ml_best_model(spark, d):
     """The choice with trees among the candidates."""
-    return rounded(selection.best_models(learnt_metrics(spark, d, dense(spark, d, "color"))))
+    return rounded(selection.best_models(learnt_metrics(spark, d, sinks.kept(dense(spark, d, "color"), "color-panel"))))
 
 
 @query()
 def ml_dispatch(spark, d):
     """Validate, choose, learn and save the models that were chosen, and forecast with what was saved: formulas and trees in one table, corrected, with bounds."""
-    p = dense(spark, d, "color")
+    p = sinks.kept(dense(spark, d, "color"), "color-panel")
     best = sinks.kept(selection.best_models(learnt_metrics(spark, d, p)), "best-models")
     out = ml.run(p, panel.segment(p, CAL.train_end), best, attributes(spark, d, "color"), CAL.train_end, 3, f"{sinks.shared_dir(spark)}/models-{uuid.uuid4().hex}")
     return rounded(out.select("entity", "month", "step", "segment", "model", "units", "lower", "upper", F.size("trail").alias("n_corrections")))

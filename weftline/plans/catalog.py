@@ -125,7 +125,11 @@ def etl_gold_monthly(spark, d):
     return rounded(gold(spark, d))
 
 
-@query(sql("select case when shipped_qty <= 0 then 'not shipped' else 'charge' end as reason, count(*) as n_lines, round(sum(revenue), 2) as revenue, count(distinct sku) as n_skus from (select l.*, case when p.sku::int % 10 = 3 then 'freight ' || item else item end as item from lines l join products p using (sku)) where shipped_qty <= 0 or regexp_matches(upper(item), 'FREIGHT|LTL|SHIPPING|MISC') group by 1", "lines", "products"))
+@query(sql("""select case when shipped_qty <= 0 then 'not shipped' else 'charge' end as reason, count(*) as n_lines, round(sum(revenue), 2) as revenue, count(distinct sku) as n_skus
+    from (select l.*, case when p.sku::int % 10 = 3 then 'freight ' || item else item end as item
+    from lines l join products p using (sku))
+    where shipped_qty <= 0 or regexp_matches(upper(item), 'FREIGHT|LTL|SHIPPING|MISC')
+    group by 1""", "lines", "products"))
 def etl_excluded_audit(spark, d):
     p = retail.dim_product(spark, d).select("sku", F.when(F.col("sku").cast("int") % 10 == 3, F.concat(F.lit("freight "), "item")).otherwise(F.col("item")).alias("item"))
     return etl.excluded_audit(retail.order_lines(spark, d).join(p, "sku"))
@@ -195,12 +199,15 @@ def etl_dup_header_profile(spark, d):
     return g.where("n_rows > 1")
 
 
-@query(sql("select count(*) as n_rows, count(distinct sku) as n_keys, count(*) filter (sku is null) as null_keys, min(month) as first_month, max(month) as last_month, round(sum(revenue), 2) as total, count(*) filter (revenue < 0) as negatives from lines", "lines"))
+@query(sql("""select count(*) as n_rows, count(distinct sku) as n_keys, count(*) filter (sku is null) as null_keys, min(month) as first_month, max(month) as last_month, round(sum(revenue), 2) as total, count(*) filter (revenue < 0) as negatives
+    from lines""", "lines"))
 def etl_union_profile(spark, d):
     return etl.union_profile(retail.order_lines(spark, d), "sku", "month", "revenue")
 
 
-@query("select date_trunc('month', o_orderdate)::date as month, c_mktsegment as segment, n_name as nation, count(*) as n_orders, round(sum(o_totalprice), 2) as total from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by all")
+@query("""select date_trunc('month', o_orderdate)::date as month, c_mktsegment as segment, n_name as nation, count(*) as n_orders, round(sum(o_totalprice), 2) as total
+    from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+    group by all""")
 def orders_by_segment(spark, d):
     o, c, n = (retail.table(spark, d, t) for t in ("orders", "customer", "nation"))
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
@@ -239,7 +246,9 @@ def dense_new(spark, d):
     return panel.build_panel(panel.demand_by(gold_new(spark, d), retail.dim_product(spark, d), "sku"), CAL.train_end)
 
 
-@query(sql("select p.entity, p.month, p.units, coalesce(q.style, 'UNKNOWN') as style, coalesce(q.color, 'UNKNOWN') as color, coalesce(q.size, 'UNKNOWN') as size, year(p.month)::int as year, quarter(p.month)::int as quarter, month(p.month)::int as month_of_year from panel_new p left join products q on p.entity = q.sku", "panel_new", "products"))
+@query(sql("""select p.entity, p.month, p.units, coalesce(q.style, 'UNKNOWN') as style, coalesce(q.color, 'UNKNOWN') as color, coalesce(q.size, 'UNKNOWN') as size, year(p.month)::int as year, quarter(p.month)::int as quarter, month(p.month)::int as month_of_year
+    from panel_new p
+    left join products q on p.entity = q.sku""", "panel_new", "products"))
 def panel_attributes(spark, d):
     p = panel.with_products(dense_new(spark, d), retail.dim_product(spark, d))
     return panel.with_calendar(p, retail.dim_date(spark).drop("split")).select("entity", "month", "units", "style", "color", "size", "year", "quarter", "month_of_year")
@@ -465,7 +474,8 @@ RECURSION_SQL = f"""(with {_STEPS} select r.entity, f.month, r.step, s.segment,
     from said r join forecast_color f using (entity, step) join segment_color s using (entity))"""
 
 
-@query(sql(f"select entity, month, step, segment, round(r + 1e-9::double, 4) as reported, round(w + 1e-9::double, 4) as units, round(w * 0.8::double + 1e-9::double, 4) as lower, round(w * 1.2::double + 1e-9::double, 4) as upper from {corrected_sql(RECURSION_SQL, Adjustments())}", "panel_color", "forecast_color", "segment_color"))
+@query(sql(f"""select entity, month, step, segment, round(r + 1e-9::double, 4) as reported, round(w + 1e-9::double, 4) as units, round(w * 0.8::double + 1e-9::double, 4) as lower, round(w * 1.2::double + 1e-9::double, 4) as upper
+    from {corrected_sql(RECURSION_SQL, Adjustments())}""", "panel_color", "forecast_color", "segment_color"))
 def fc_recursive_linear(spark, d):
     """Recursion first, then the seasonal blend, the cap and shrinkage, for every series, of a model that is a formula."""
     p = dense(spark, d, "color")
@@ -481,7 +491,10 @@ def fc_recursive_linear(spark, d):
 ERRORS_SQL = f"(select segment, horizon, case when segment = 'DEAD' then 0 else mean_wmape / 100 end as expected_error from {BEST_SQL})"
 
 
-@query(sql(f"select entity, month, step as horizon, segment, {rounds('units conservative aggressive')} from (select f.entity, f.month, f.step, s.segment, f.seasonal_naive as units, greatest(0, f.seasonal_naive * (1 - coalesce(e.expected_error, 0))) as conservative, f.seasonal_naive * (1 + coalesce(e.expected_error, 0)) as aggressive from forecast_color f join segment_color s using (entity) left join {ERRORS_SQL} e on e.segment = s.segment and e.horizon = f.step)", "forecast_color", "segment_color"))
+@query(sql(f"""select entity, month, step as horizon, segment, {rounds('units conservative aggressive')}
+    from (select f.entity, f.month, f.step, s.segment, f.seasonal_naive as units, greatest(0, f.seasonal_naive * (1 - coalesce(e.expected_error, 0))) as conservative, f.seasonal_naive * (1 + coalesce(e.expected_error, 0)) as aggressive
+    from forecast_color f join segment_color s using (entity)
+    left join {ERRORS_SQL} e on e.segment = s.segment and e.horizon = f.step)""", "forecast_color", "segment_color"))
 def scenario_bounds_cv(spark, d):
     p = dense(spark, d, "color")
     s = panel.segment(p, CAL.train_end)
@@ -508,7 +521,11 @@ def simulated(spark, d, best=None):
     return f.join(actual, ["entity", "month"], "left")
 
 
-@query(sql(f"select coalesce(o.segment, e.segment) as segment, coalesce(o.horizon, e.horizon) as horizon, round(case when coalesce(o.segment, e.segment) = 'DEAD' then 0 else coalesce(o.own, e.expected_error, 0) end, 4) as expected_error from (select segment, horizon, case when count(*) >= 5 then sum(abs(actual - predicted)) / nullif(sum(abs(actual)), 0) end as own from {SIMULATION} where actual is not null group by all) o full join {ERRORS_SQL} e on o.segment = e.segment and o.horizon = e.horizon", *SIMULATION_NEEDS))
+@query(sql(f"""select coalesce(o.segment, e.segment) as segment, coalesce(o.horizon, e.horizon) as horizon, round(case when coalesce(o.segment, e.segment) = 'DEAD' then 0 else coalesce(o.own, e.expected_error, 0) end, 4) as expected_error
+    from (select segment, horizon, case when count(*) >= 5 then sum(abs(actual - predicted)) / nullif(sum(abs(actual)), 0) end as own
+    from {SIMULATION}
+    where actual is not null
+    group by all) o full join {ERRORS_SQL} e on o.segment = e.segment and o.horizon = e.horizon""", *SIMULATION_NEEDS))
 def scenario_bounds_sim(spark, d):
     m = sinks.kept(metrics(spark, d), "cv-metrics")
     best = selection.best_models(m)
@@ -553,7 +570,12 @@ for _name, (_parent, _child, _cfg, _args) in SHARE_QUERIES.items():
     query(sql(f"select {SHARE_COLUMNS} from {shares_sql(_parent, _child, **_args)}", f"demand_{_child}", "products"))(_share_query)
 
 
-SIZE_PARTS = "(with products as (select *, color || '#' || coalesce(nullif(size, '13'), '(null)') as sized from products), demand_sized as (select p.sized as entity, g.month, sum(g.units) as units from gold g join products p using (sku) group by all), sh as (select * from " + shares_sql("color", "sized", unseen="zero") + ") select p.color as parent, p.sku as child, sh.units, coalesce(sh.share / nullif(sum(sh.share) over (partition by p.color), 0), 1.0::double / count(*) over (partition by p.color)) as share, sh.used_window from products p join sh on sh.child = p.sized)"
+SIZE_PARTS = """(with products as (select *, color || '#' || coalesce(nullif(size, '13'), '(null)') as sized
+    from products), demand_sized as (select p.sized as entity, g.month, sum(g.units) as units
+    from gold g join products p using (sku)
+    group by all), sh as (select *
+    from """ + shares_sql("color", "sized", unseen="zero") + """) select p.color as parent, p.sku as child, sh.units, coalesce(sh.share / nullif(sum(sh.share) over (partition by p.color), 0), 1.0::double / count(*) over (partition by p.color)) as share, sh.used_window
+    from products p join sh on sh.child = p.sized)"""
 
 
 @query(sql(f"select {SHARE_COLUMNS} from {SIZE_PARTS}", "gold", "products"))
@@ -600,7 +622,8 @@ def share_segmented(spark, d):
 
 
 STYLE_FC = "(select entity as parent, month, step, seasonal_naive as units, seasonal_naive * 0.8::double as lower, seasonal_naive * 1.2::double as upper from forecast_style)"
-COLOR_ALLOC = f"(select s.parent, s.child, f.month, f.step, {', '.join(f'round(greatest(f.{c} * s.share, 0) + 1e-9::double, 4) as {c}' for c in ('units', 'lower', 'upper'))} from {STYLE_FC} f join {shares_sql('style', 'color', unseen='zero')} s using (parent))"
+COLOR_ALLOC = f"""(select s.parent, s.child, f.month, f.step, {', '.join(f'round(greatest(f.{c} * s.share, 0) + 1e-9::double, 4) as {c}' for c in ('units', 'lower', 'upper'))}
+    from {STYLE_FC} f join {shares_sql('style', 'color', unseen='zero')} s using (parent))"""
 
 
 def sku_alloc_sql(**args) -> str:
@@ -777,7 +800,11 @@ def alloc_grid_best(spark, d):
     return rounded(grid(spark, d).orderBy(F.desc("validated"), "place").limit(1).select("variant", "validated", "h3_wmape"))
 
 
-@query(sql(f"select parent, round(sum(a.actual), 4) as actual, round(sum(a.abs_error), 4) as error_a, round(sum(b.abs_error), 4) as error_b, case when round(sum(b.abs_error) - sum(a.abs_error), 4) < 0 then 'b' when round(sum(b.abs_error) - sum(a.abs_error), 4) > 0 then 'a' else 'tie' end as winner from {scored_sql()} a join {scored_sql(recency=True)} b using (sku, month, step) join (select sku, style as parent from products) using (sku) group by 1", *SCORE_NEEDS))
+@query(sql(f"""select parent, round(sum(a.actual), 4) as actual, round(sum(a.abs_error), 4) as error_a, round(sum(b.abs_error), 4) as error_b, case when round(sum(b.abs_error) - sum(a.abs_error), 4) < 0 then 'b' when round(sum(b.abs_error) - sum(a.abs_error), 4) > 0 then 'a' else 'tie' end as winner
+    from {scored_sql()} a join {scored_sql(recency=True)} b using (sku, month, step)
+    join (select sku, style as parent
+    from products) using (sku)
+    group by 1""", *SCORE_NEEDS))
 def parent_win_loss(spark, d):
     both = variants_scored(spark, d, {"a": shares.BASELINE, "b": shares.RECENCY})
     return rounded(score.win_loss(both, retail.dim_product(spark, d)))
@@ -793,17 +820,21 @@ def tested(spark, d):
     return calibrate.backtest(dense(spark, d, "style"), CAL.train_end)
 
 
-BT_ALL = "(" + " union all ".join(f"select entity, horizon, origin, month, actual, model, predicted from {walk('style', h, 8, 3, 24)} unpivot (predicted for model in (ma_3, ma_12, seasonal_naive, seasonal_avg3y, croston_sba, zero))" for h in (1, 3)) + ")"
+BT_ALL = "(" + " union all ".join(f"""select entity, horizon, origin, month, actual, model, predicted
+    from {walk('style', h, 8, 3, 24)} unpivot (predicted for model in (ma_3, ma_12, seasonal_naive, seasonal_avg3y, croston_sba, zero))""" for h in (1, 3)) + ")"
 
 
-@query(sql(f"select entity, segment, model, origin, month, horizon, {rounds('predicted actual')}, round(predicted - actual, 4) as error, round(abs(predicted - actual), 4) as abs_error, round(predicted / nullif(actual, 0), 4) as bias_ratio from {BT_ALL} join segment_style using (entity) where (segment || '/' || horizon || '/' || model) in ({TRIED})", "panel_style", "segment_style"))
+@query(sql(f"""select entity, segment, model, origin, month, horizon, {rounds('predicted actual')}, round(predicted - actual, 4) as error, round(abs(predicted - actual), 4) as abs_error, round(predicted / nullif(actual, 0), 4) as bias_ratio
+    from {BT_ALL} join segment_style using (entity)
+    where (segment || '/' || horizon || '/' || model) in ({TRIED})""", "panel_style", "segment_style"))
 def backtest_roster(spark, d):
     """Every model that a style's segment tries, from all origins."""
     p = dense(spark, d, "style")
     return rounded(calibrate.backtest_roster(p, panel.segment(p, CAL.train_end), CAL.train_end))
 
 
-@query(sql(f"select entity, origin, month, horizon, {rounds('predicted actual')}, round(predicted - actual, 4) as error, round(abs(predicted - actual), 4) as abs_error, round(predicted / nullif(actual, 0), 4) as bias_ratio from {BT_SQL}", "panel_style"))
+@query(sql(f"""select entity, origin, month, horizon, {rounds('predicted actual')}, round(predicted - actual, 4) as error, round(abs(predicted - actual), 4) as abs_error, round(predicted / nullif(actual, 0), 4) as bias_ratio
+    from {BT_SQL}""", "panel_style"))
 def backtest_stylecode(spark, d):
     return rounded(tested(spark, d))
 
@@ -839,12 +870,18 @@ def calib_backtest(spark, d):
     return rounded(calibrate.factors(tested(spark, d), ["entity", "horizon"], BACKTEST))
 
 
-@query(sql(f"select entity, 3 as horizon, count(*) as n, round(sum(actual), 4) as total_actual, round(sum(predicted), 4) as total_predicted, round(sum(actual) / nullif(sum(predicted), 0), 4) as raw_factor, 'WEAK' as evidence, 1.0::double as factor from (select a.entity, a.units as actual, b.units as predicted from demand_color a join demand_color b on a.entity = b.entity and b.month = a.month - interval 3 month where a.month <= {END} and a.month > {END} - interval 24 month and b.month > {END} - interval 24 month and b.units > 0) group by entity", "demand_color"))
+@query(sql(f"""select entity, 3 as horizon, count(*) as n, round(sum(actual), 4) as total_actual, round(sum(predicted), 4) as total_predicted, round(sum(actual) / nullif(sum(predicted), 0), 4) as raw_factor, 'WEAK' as evidence, 1.0::double as factor
+    from (select a.entity, a.units as actual, b.units as predicted
+    from demand_color a join demand_color b on a.entity = b.entity and b.month = a.month - interval 3 month
+    where a.month <= {END} and a.month > {END} - interval 24 month and b.month > {END} - interval 24 month and b.units > 0)
+    group by entity""", "demand_color"))
 def calib_history(spark, d):
     return rounded(calibrate.history_factors(panel.demand_by(gold(spark, d), retail.dim_product(spark, d), "color"), CAL.train_end, 3))
 
 
-GATE_SQL = f"(select f.entity, h.horizon, f.month, f.seasonal_naive as predicted, g.units as actual from forecast_style f join demand_style g on g.entity = f.entity and g.month = f.month join (values (1), (2), (3)) h(horizon) on f.step <= h.horizon where f.month in {HOLDOUT})"
+GATE_SQL = f"""(select f.entity, h.horizon, f.month, f.seasonal_naive as predicted, g.units as actual
+    from forecast_style f join demand_style g on g.entity = f.entity and g.month = f.month join (values (1), (2), (3)) h(horizon) on f.step <= h.horizon
+    where f.month in {HOLDOUT})"""
 EVIDENCE_SQL = f"""(with b as (select horizon, month, predicted, actual from {BT_SQL} where month < date '{CAL.holdout[0]}')
     select *, 'backtest' as source from b union all select horizon, month, predicted, actual, 'diagnosis' from {GATE_SQL} where horizon not in (select horizon from b))"""
 GLOBAL_SQL = f"""(with t as (select * from {factor_sql(EVIDENCE_SQL, 'horizon, source', GLOBAL).format(positive='actual')}), x as (select g.*, t.factor from {GATE_SQL} g left join t using (horizon)),
@@ -874,20 +911,34 @@ def calib_global_gate(spark, d):
     return rounded(gated(spark, d))
 
 
-@query(sql(f"select f.parent as entity, f.month, f.step, round(greatest(f.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as units, round(greatest(f.lower * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as lower, round(greatest(f.upper * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as upper, round(coalesce(t.factor, 1), 4) as calibration_factor, 'weftline-1+backtest' as model_version from {STYLE_FC} f left join {BT_FACTORS} t on t.entity = f.parent and t.horizon = f.step", "panel_style", "forecast_style"))
+@query(sql(f"""select f.parent as entity, f.month, f.step, round(greatest(f.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as units, round(greatest(f.lower * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as lower, round(greatest(f.upper * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as upper, round(coalesce(t.factor, 1), 4) as calibration_factor, 'weftline-1+backtest' as model_version
+    from {STYLE_FC} f
+    left join {BT_FACTORS} t on t.entity = f.parent and t.horizon = f.step""", "panel_style", "forecast_style"))
 def calib_apply(spark, d):
     f = parent_forecast(spark, d).withColumnRenamed("parent", "entity").withColumn("horizon", F.col("step")).withColumn("model_version", F.lit(MODEL_VERSION))
     out = calibrate.apply_factors(f, calibrate.factors(tested(spark, d), ["entity", "horizon"], BACKTEST), ["entity", "horizon"], "+backtest")
     return rounded(out.drop("horizon"))
 
 
-@query(sql(f"select horizon, round(sum(actual), 4) as actual, round(sum(predicted), 4) as raw, round(sum(c), 4) as calibrated, round(sum(predicted) / nullif(sum(actual), 0), 4) as raw_bias, round(sum(c) / nullif(sum(actual), 0), 4) as calibrated_bias, round(sum(abs(actual - predicted)) * 100 / nullif(sum(actual), 0), 4) as raw_wmape, round(sum(abs(actual - c)) * 100 / nullif(sum(actual), 0), 4) as calibrated_wmape from (select b.*, b.predicted * coalesce(t.factor, 1) as c from {BT_SQL} b left join {BT_FACTORS} t using (entity, horizon)) group by horizon", "panel_style"))
+@query(sql(f"""select horizon, round(sum(actual), 4) as actual, round(sum(predicted), 4) as raw, round(sum(c), 4) as calibrated, round(sum(predicted) / nullif(sum(actual), 0), 4) as raw_bias, round(sum(c) / nullif(sum(actual), 0), 4) as calibrated_bias, round(sum(abs(actual - predicted)) * 100 / nullif(sum(actual), 0), 4) as raw_wmape, round(sum(abs(actual - c)) * 100 / nullif(sum(actual), 0), 4) as calibrated_wmape
+    from (select b.*, b.predicted * coalesce(t.factor, 1) as c
+    from {BT_SQL} b
+    left join {BT_FACTORS} t using (entity, horizon))
+    group by horizon""", "panel_style"))
 def bias_analysis(spark, d):
     rows = tested(spark, d)
     return rounded(calibrate.bias_analysis(rows, calibrate.factors(rows, ["entity", "horizon"], BACKTEST), ["entity", "horizon"], ["horizon"]))
 
 
-@query(sql(f"select 'factor_range' as \"check\", (count(*) filter (factor < 0.85 or factor > 1.15) = 0)::int as passed, count(*) filter (factor < 0.85 or factor > 1.15) as n_failed from {BT_FACTORS} union all select 'unique_keys', (count(*) = 0)::int, count(*) from (select entity, horizon from {BT_FACTORS} group by all having count(*) > 1) union all select 'no_leakage', (max(month) < date '2001-08-01')::int, (max(month) >= date '2001-08-01')::int from {BT_SQL}", "panel_style"))
+@query(sql(f"""select 'factor_range' as "check", (count(*) filter (factor < 0.85 or factor > 1.15) = 0)::int as passed, count(*) filter (factor < 0.85 or factor > 1.15) as n_failed
+    from {BT_FACTORS}
+    union all select 'unique_keys', (count(*) = 0)::int, count(*)
+    from (select entity, horizon
+    from {BT_FACTORS}
+    group by all
+    having count(*) > 1)
+    union all select 'no_leakage', (max(month) < date '2001-08-01')::int, (max(month) >= date '2001-08-01')::int
+    from {BT_SQL}""", "panel_style"))
 def calib_validate(spark, d):
     rows = tested(spark, d)
     last = rows.agg(F.max("month")).first()[0]
@@ -902,17 +953,29 @@ def score_holdout(spark, d):
     return rounded(score.holdout_table(sku_scored(spark, d)))
 
 
-@query(sql(f"select step, month, coalesce(segment, 'ALL') as segment, count(*) as n, round(sum(actual), 4) as actual, round(sum(predicted), 4) as predicted, {FLOOR1} from (select r.*, coalesce(s.segment, 'UNKNOWN') as segment from {scored_sql()} r left join segment_sku s on s.entity = r.sku) group by grouping sets ((step, month, segment), (step, month))", *SCORE_NEEDS, "segment_sku"))
+@query(sql(f"""select step, month, coalesce(segment, 'ALL') as segment, count(*) as n, round(sum(actual), 4) as actual, round(sum(predicted), 4) as predicted, {FLOOR1}
+    from (select r.*, coalesce(s.segment, 'UNKNOWN') as segment
+    from {scored_sql()} r
+    left join segment_sku s on s.entity = r.sku)
+    group by grouping sets ((step, month, segment), (step, month))""", *SCORE_NEEDS, "segment_sku"))
 def holdout_by_segment(spark, d):
     return rounded(score.holdout_by_segment(sku_scored(spark, d), segments(spark, d, "sku")))
 
 
-@query(sql(" union all ".join(f"select '{e}' as level, step, month, round(sum(a), 4) as actual, round(sum(p), 4) as predicted, round(case when sum(a) > 0 then sum(abs(a - p)) * 100 / sum(a) end, 4) as wmape from (select step, month, {e}, sum(actual) as a, sum(predicted) as p from {scored_sql()} join products using (sku) group by all) group by step, month" for e in ("sku", "color", "style")), *SCORE_NEEDS))
+@query(sql(" union all ".join(f"""select '{e}' as level, step, month, round(sum(a), 4) as actual, round(sum(p), 4) as predicted, round(case when sum(a) > 0 then sum(abs(a - p)) * 100 / sum(a) end, 4) as wmape
+    from (select step, month, {e}, sum(actual) as a, sum(predicted) as p
+    from {scored_sql()} join products using (sku)
+    group by all)
+    group by step, month""" for e in ("sku", "color", "style")), *SCORE_NEEDS))
 def error_decomp(spark, d):
     return rounded(score.decomposition(sku_scored(spark, d), retail.dim_product(spark, d)))
 
 
-@query(sql(f"select a.child as sku, a.month, a.step, p.style, p.color, p.size, s.segment, round(a.units * coalesce(t.factor, 1) + 1e-9::double, 4) as units, round(coalesce(t.factor, 1), 4) as calibration_factor from {sku_alloc_sql()} a left join products p on p.sku = a.child left join segment_sku s on s.entity = a.child left join {BT_FACTORS} t on t.entity = p.style and t.horizon = a.step", *ALLOC_NEEDS, "segment_sku", "panel_style"))
+@query(sql(f"""select a.child as sku, a.month, a.step, p.style, p.color, p.size, s.segment, round(a.units * coalesce(t.factor, 1) + 1e-9::double, 4) as units, round(coalesce(t.factor, 1), 4) as calibration_factor
+    from {sku_alloc_sql()} a
+    left join products p on p.sku = a.child
+    left join segment_sku s on s.entity = a.child
+    left join {BT_FACTORS} t on t.entity = p.style and t.horizon = a.step""", *ALLOC_NEEDS, "segment_sku", "panel_style"))
 def production_sku(spark, d):
     f = sku_alloc(spark, d).withColumnRenamed("child", "sku").join(retail.dim_product(spark, d).select("sku", "style", "color", "size"), "sku", "left").join(segments(spark, d, "sku").select(F.col("entity").alias("sku"), "segment"), "sku", "left")
     f = f.withColumns({"entity": F.col("style"), "horizon": F.col("step")})
@@ -960,7 +1023,11 @@ PRODUCED = f"""(select 'v1' as version, child as sku, month, step, units from {s
     union all select 'v2', a.child, a.month, a.step, round(greatest(a.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) from {sku_alloc_sql()} a left join products p on p.sku = a.child left join {BT_FACTORS} t on t.entity = p.style and t.horizon = a.step
     union all select 'v3', a.child, a.month, a.step, round(greatest(a.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) from {sku_alloc_sql()} a left join (select horizon, case when accepted = 1 then factor else 1 end as factor from {GLOBAL_SQL}) t on t.horizon = a.step)"""
 PRODUCED_SCORED = f"(select a.*, g.units as actual, q.color, q.style from {PRODUCED} a join gold g on g.sku = a.sku and g.month = a.month join products q on q.sku = a.sku where a.month in {HOLDOUT})"
-VERSION_ROWS = " union all ".join(f"select version, '{e}' as level, step, month, sum(a) as actual, sum(p) as predicted, case when sum(a) > 0 then sum(abs(a - p)) * 100 / sum(a) end as wmape from (select version, step, month, {e}, sum(actual) as a, sum(units) as p from r group by all) group by version, step, month" for e in ("sku", "color", "style"))
+VERSION_ROWS = " union all ".join(f"""select version, '{e}' as level, step, month, sum(a) as actual, sum(p) as predicted, case when sum(a) > 0 then sum(abs(a - p)) * 100 / sum(a) end as wmape
+    from (select version, step, month, {e}, sum(actual) as a, sum(units) as p
+    from r
+    group by all)
+    group by version, step, month""" for e in ("sku", "color", "style"))
 
 
 def published(spark, d) -> str:
@@ -977,7 +1044,9 @@ def published(spark, d) -> str:
     return path
 
 
-@query(sql(f"with r as materialized (select * from {PRODUCED_SCORED}), w as ({VERSION_ROWS}) select version, level, step, month, {rounds('actual predicted wmape')}, round(wmape - first(wmape) over (partition by level, step, month order by version), 4) + 0.0::double as delta from w", *SCORE_NEEDS, "panel_style", "demand_style").replace("\nwith r as materialized (", ",\nr as materialized (", 1))
+@query(sql(f"""with r as materialized (select *
+    from {PRODUCED_SCORED}), w as ({VERSION_ROWS}) select version, level, step, month, {rounds('actual predicted wmape')}, round(wmape - first(wmape) over (partition by level, step, month order by version), 4) + 0.0::double as delta
+    from w""", *SCORE_NEEDS, "panel_style", "demand_style").replace("\nwith r as materialized (", ",\nr as materialized (", 1))
 def version_compare(spark, d):
     """Versions of the production table as they were stored, read whichever are there (v9 isn't), scored and compared with the first."""
     stored = versions.read_versions(spark, published(spark, d), ["v1", "v2", "v3", "v9"]).where(F.col("month").isin(*CAL.holdout))
@@ -1026,15 +1095,21 @@ def style_perf(spark, d):
 SKU_PERF, STYLE_PERF = perf_sql("sku", 50, 100), perf_sql("style", 40, 70)
 
 
-@query(sql(f"select sku, round(abs_error, 4) as abs_error, rank, round(sum(abs_error) over (order by rank), 4) as cumulative_error, round(sum(abs_error) over (order by rank) * 100 / sum(abs_error) over () + 1e-9::double, 4) as cumulative_percent from (select *, row_number() over (order by round(abs_error, 6) desc, sku) as rank from {SKU_PERF})", *SCORE_NEEDS))
+@query(sql(f"""select sku, round(abs_error, 4) as abs_error, rank, round(sum(abs_error) over (order by rank), 4) as cumulative_error, round(sum(abs_error) over (order by rank) * 100 / sum(abs_error) over () + 1e-9::double, 4) as cumulative_percent
+    from (select *, row_number() over (order by round(abs_error, 6) desc, sku) as rank
+    from {SKU_PERF})""", *SCORE_NEEDS))
 def diag_error_concentration(spark, d):
     return rounded(score.concentration(sku_perf(spark, d), "sku").withColumn("cumulative_percent", settled(F.col("cumulative_percent"))))
 
 
-BAND_SQL = f"(select *, case when place <= greatest(1, ceil(n * 2 / 10)) then 'TOP_20' when place <= greatest(1, ceil(n * 2 / 10)) + greatest(1, ceil(n * 3 / 10)) then 'MIDDLE_30' else 'BOTTOM_50' end as band from (select *, row_number() over (order by round(actual, 6) desc, sku) as place, count(*) over () as n from {SKU_PERF}))"
+BAND_SQL = f"""(select *, case when place <= greatest(1, ceil(n * 2 / 10)) then 'TOP_20' when place <= greatest(1, ceil(n * 2 / 10)) + greatest(1, ceil(n * 3 / 10)) then 'MIDDLE_30' else 'BOTTOM_50' end as band
+    from (select *, row_number() over (order by round(actual, 6) desc, sku) as place, count(*) over () as n
+    from {SKU_PERF}))"""
 
 
-@query(sql(f"select band, count(*) as n, round(sum(actual), 4) as actual, round(sum(predicted), 4) as predicted, round(sum(abs_error), 4) as abs_error, round(sum(abs_error) * 100 / nullif(sum(actual), 0), 4) as wmape, round(sum(predicted) / nullif(sum(actual), 0), 4) as bias_ratio from {BAND_SQL} group by 1", *SCORE_NEEDS))
+@query(sql(f"""select band, count(*) as n, round(sum(actual), 4) as actual, round(sum(predicted), 4) as predicted, round(sum(abs_error), 4) as abs_error, round(sum(abs_error) * 100 / nullif(sum(actual), 0), 4) as wmape, round(sum(predicted) / nullif(sum(actual), 0), 4) as bias_ratio
+    from {BAND_SQL}
+    group by 1""", *SCORE_NEEDS))
 def diag_volume_bands(spark, d):
     return rounded(score.volume_bands(sku_perf(spark, d), "sku"))
 
@@ -1071,7 +1146,10 @@ def diag_client_summary(spark, d):
     return rounded(score.client_summary(sku_perf(spark, d), style_perf(spark, d)))
 
 
-@query(sql(f"select step, {rounds('wmape bias_ratio')}, case when wmape < 55 and abs(bias_ratio - 1) <= 0.05 then 'GREEN' when wmape <= 70 and abs(bias_ratio - 1) <= 0.1 then 'AMBER' else 'RED' end as verdict from (select step, sum(abs_error) * 100 / sum(actual) as wmape, sum(predicted) / sum(actual) as bias_ratio from {scored_sql()} group by 1)", *SCORE_NEEDS))
+@query(sql(f"""select step, {rounds('wmape bias_ratio')}, case when wmape < 55 and abs(bias_ratio - 1) <= 0.05 then 'GREEN' when wmape <= 70 and abs(bias_ratio - 1) <= 0.1 then 'AMBER' else 'RED' end as verdict
+    from (select step, sum(abs_error) * 100 / sum(actual) as wmape, sum(predicted) / sum(actual) as bias_ratio
+    from {scored_sql()}
+    group by 1)""", *SCORE_NEEDS))
 def verdict(spark, d):
     s = sku_scored(spark, d).groupBy("step").agg((F.sum("abs_error") * 100 / F.sum("actual")).alias("wmape"), (F.sum("predicted") / F.sum("actual")).alias("bias_ratio"))
     return rounded(score.verdict(s))

@@ -40,7 +40,7 @@ def etl_clean_lines_raw(spark, d):
 QUARTILES = ", ".join(f"round(quantile_cont(o_totalprice, {q / 4}), 4) as q{q}_total" for q in (1, 2, 3))
 
 
-@c.query("select o_orderstatus as status, count(*) as n_rows, count(distinct o_orderkey) as n_keys, count(*) filter (o_orderkey is null) as null_keys, min(o_orderdate)::date as first_date, max(o_orderdate)::date as last_date, round(avg(o_totalprice), 4) as mean_total, round(stddev_samp(o_totalprice), 4) as std_total, round(min(o_totalprice), 4) as min_total, round(max(o_totalprice), 4) as max_total, count(*) filter (o_totalprice < 0) as negatives, " + QUARTILES + " from orders group by 1")
+@c.query("""select o_orderstatus as status, count(*) as n_rows, count(distinct o_orderkey) as n_keys, count(*) filter (o_orderkey is null) as null_keys, min(o_orderdate)::date as first_date, max(o_orderdate)::date as last_date, round(avg(o_totalprice), 4) as mean_total, round(stddev_samp(o_totalprice), 4) as std_total, round(min(o_totalprice), 4) as min_total, round(max(o_totalprice), 4) as max_total, count(*) filter (o_totalprice < 0) as negatives, """ + QUARTILES + " from orders group by 1")
 def etl_order_profile(spark, d):
     o, t = retail.table(spark, d, "orders"), F.col("o_totalprice")
     return o.groupBy(F.col("o_orderstatus").alias("status")).agg(
@@ -50,7 +50,9 @@ def etl_order_profile(spark, d):
     )
 
 
-@c.query(sql("select year(month)::int as year, count(*) as n_rows, count(*) filter (coalesce(trim(sku), '') = '') as blank_items, round(avg((shipped_qty = 0)::int), 6) as zero_share, round(avg((shipped_qty < 0)::int), 6) as negative_share, sum(is_return)::bigint as returns, sum(is_open)::bigint as open from lines group by 1", "lines"))
+@c.query(sql("""select year(month)::int as year, count(*) as n_rows, count(*) filter (coalesce(trim(sku), '') = '') as blank_items, round(avg((shipped_qty = 0)::int), 6) as zero_share, round(avg((shipped_qty < 0)::int), 6) as negative_share, sum(is_return)::bigint as returns, sum(is_open)::bigint as open
+    from lines
+    group by 1""", "lines"))
 def etl_line_profile(spark, d):
     q = F.col("shipped_qty")
     return retail.order_lines(spark, d).groupBy(F.year("month").alias("year")).agg(
@@ -82,7 +84,11 @@ def same_population(spark, d):
 PIVOT = " , ".join(f"round(max(wmape) filter (month = date '2001-0{7 + s}-01'), 4) as wmape_{s}" for s in (1, 2))
 
 
-@c.query(sql(f"select variant, level, {PIVOT} from (" + " union all ".join(f"select '{v}' as variant, '{e}' as level, month, case when sum(a) > 0 then sum(abs(a - p)) * 100 / sum(a) end as wmape from (select month, {e}, sum(actual) as a, sum(predicted) as p from {c.scored_sql(**args)} join products using (sku) group by all) group by month" for v, args in c.VARIANT_ARGS.items() for e in ("sku", "color", "style")) + ") group by variant, level", *c.SCORE_NEEDS))
+@c.query(sql(f"select variant, level, {PIVOT} from (" + " union all ".join(f"""select '{v}' as variant, '{e}' as level, month, case when sum(a) > 0 then sum(abs(a - p)) * 100 / sum(a) end as wmape
+    from (select month, {e}, sum(actual) as a, sum(predicted) as p
+    from {c.scored_sql(**args)} join products using (sku)
+    group by all)
+    group by month""" for v, args in c.VARIANT_ARGS.items() for e in ("sku", "color", "style")) + ") group by variant, level", *c.SCORE_NEEDS))
 def variant_levels(spark, d):
     """WMAPE of variants by level, the months side by side."""
     rows = c.variants_scored(spark, d, shares.VARIANTS).join(retail.dim_product(spark, d).select("sku", "color", "style"), "sku")
@@ -104,11 +110,23 @@ def error_lowest_step(spark, d):
 
 # Calibration
 
-HISTORY = f"(select entity, h.horizon, count(*) as n, sum(actual) as total_actual, sum(predicted) as total_predicted, sum(actual) / nullif(sum(predicted), 0) as raw_factor, 'WEAK' as evidence, 1.0::double as factor from (values (1), (3)) h(horizon) join (select a.entity, k.horizon, a.units as actual, b.units as predicted from demand_style a join (values (1), (3)) k(horizon) on true join demand_style b on a.entity = b.entity and b.month = a.month - to_months(k.horizon) where a.month <= {c.END} and a.month > {c.END} - interval 24 month and b.month > {c.END} - interval 24 month and b.units > 0) x on x.horizon = h.horizon group by entity, h.horizon)"
+HISTORY = f"""(select entity, h.horizon, count(*) as n, sum(actual) as total_actual, sum(predicted) as total_predicted, sum(actual) / nullif(sum(predicted), 0) as raw_factor, 'WEAK' as evidence, 1.0::double as factor
+    from (values (1), (3)) h(horizon)
+    join (select a.entity, k.horizon, a.units as actual, b.units as predicted
+    from demand_style a join (values (1), (3)) k(horizon) on true join demand_style b on a.entity = b.entity and b.month = a.month - to_months(k.horizon)
+    where a.month <= {c.END} and a.month > {c.END} - interval 24 month and b.month > {c.END} - interval 24 month and b.units > 0) x on x.horizon = h.horizon
+    group by entity, h.horizon)"""
 CV_SOLID = f"(select * from {c.CV_FACTORS} where evidence <> 'NONE')"
 
 
-@c.query(sql(f"select entity, horizon, n, round(total_actual, 4) as total_actual, evidence, round(factor, 4) as factor, source from (select entity, horizon, n, total_actual, evidence, factor, 'validation' as source from {CV_SOLID} union all select entity, horizon, n, total_actual, evidence, factor, 'history' from {HISTORY} h where not exists (select 1 from {CV_SOLID} s where s.entity = h.entity and s.horizon = h.horizon))", "panel_style", "demand_style"))
+@c.query(sql(f"""select entity, horizon, n, round(total_actual, 4) as total_actual, evidence, round(factor, 4) as factor, source
+    from (select entity, horizon, n, total_actual, evidence, factor, 'validation' as source
+    from {CV_SOLID}
+    union all select entity, horizon, n, total_actual, evidence, factor, 'history'
+    from {HISTORY} h
+    where not exists (select 1
+    from {CV_SOLID} s
+    where s.entity = h.entity and s.horizon = h.horizon))""", "panel_style", "demand_style"))
 def calib_merged(spark, d):
     """Factors from validation where it has evidence for the key, from history for the others."""
     first = c.cv_factors(spark, d).where("evidence <> 'NONE'").withColumn("source", F.lit("validation"))
@@ -117,13 +135,19 @@ def calib_merged(spark, d):
     return c.rounded(calibrate.first_of(first, history, ["entity", "horizon"]).select("entity", "horizon", "n", "total_actual", "evidence", "factor", "source"))
 
 
-@c.query(sql(f"select f.parent as entity, f.month, f.step, round(greatest(f.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as units, round(coalesce(t.factor, 1), 4) as calibration_factor, 'weftline-1+global' as model_version from {c.STYLE_FC} f left join (select horizon, case when accepted = 1 then factor else 1 end as factor from {c.GLOBAL_SQL}) t on t.horizon = f.step", "panel_style", "forecast_style", "demand_style"))
+@c.query(sql(f"""select f.parent as entity, f.month, f.step, round(greatest(f.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) as units, round(coalesce(t.factor, 1), 4) as calibration_factor, 'weftline-1+global' as model_version
+    from {c.STYLE_FC} f
+    left join (select horizon, case when accepted = 1 then factor else 1 end as factor
+    from {c.GLOBAL_SQL}) t on t.horizon = f.step""", "panel_style", "forecast_style", "demand_style"))
 def calib_apply_global(spark, d):
     f = c.parent_forecast(spark, d).withColumnRenamed("parent", "entity").withColumns({"horizon": F.col("step"), "model_version": F.lit(c.MODEL_VERSION)})
     return c.rounded(calibrate.apply_factors(f, c.gated(spark, d), ["horizon"], "+global", factor="applied_factor").select("entity", "month", "step", "units", "calibration_factor", "model_version"))
 
 
-@c.query(sql(f"select coalesce(p.style, 'UNKNOWN') as style, coalesce(p.color, 'UNKNOWN') as color, a.step, count(*) as n_skus, round(sum(a.units), 4) as units from {c.sku_alloc_sql()} a left join products p on p.sku = a.child group by all", *c.ALLOC_NEEDS))
+@c.query(sql(f"""select coalesce(p.style, 'UNKNOWN') as style, coalesce(p.color, 'UNKNOWN') as color, a.step, count(*) as n_skus, round(sum(a.units), 4) as units
+    from {c.sku_alloc_sql()} a
+    left join products p on p.sku = a.child
+    group by all""", *c.ALLOC_NEEDS))
 def production_filled(spark, d):
     """Attributes of production rows: what the forecast lacks comes from the product dimension, else UNKNOWN."""
     f = c.sku_alloc(spark, d).withColumnRenamed("child", "sku").withColumns({"style": F.lit(None).cast("string"), "color": F.when(F.col("step") == 1, F.col("parent"))})

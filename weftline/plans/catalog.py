@@ -1056,7 +1056,8 @@ def version_compare(spark, d):
 
 def diagnosed(spark, d):
     f = sku_alloc(spark, d).select(F.col("child").alias("sku"), "month", F.col("step").alias("HorizonMonths"), F.col("units").alias("ForecastUnits"))
-    return score.merged(f, gold(spark, d).select("sku", "month", "units"), retail.dim_product(spark, d), CAL.holdout)
+    rows = score.merged(f, gold(spark, d).select("sku", "month", "units"), retail.dim_product(spark, d), CAL.holdout)
+    return sinks.kept(rows, "diagnosed")  # diagnostics read it for totals, places and sums
 
 
 DIAG = f"(select r.*, p.style, p.color from {scored_sql()} r join products p using (sku))"
@@ -1085,11 +1086,11 @@ def diag_sku_perf(spark, d):
 
 
 def sku_perf(spark, d):
-    return score.performance(diagnosed(spark, d), "sku", 50, 100)
+    return sinks.kept(score.performance(diagnosed(spark, d), "sku", 50, 100), "sku-performance")
 
 
 def style_perf(spark, d):
-    return score.performance(diagnosed(spark, d), "style", 40, 70)
+    return sinks.kept(score.performance(diagnosed(spark, d), "style", 40, 70), "style-performance")
 
 
 SKU_PERF, STYLE_PERF = perf_sql("sku", 50, 100), perf_sql("style", 40, 70)
@@ -1143,7 +1144,9 @@ def tier_sql(prefix: str) -> str:
         {tier_sql('skus')}, (select sum(abs_error) from (select abs_error from {SKU_PERF} order by abs_error desc, sku limit 10)) * 100 / nullif(sum(abs_error), 0) as error_top_10 from {BAND_SQL}),
     (select count(*)::double as n_styles, {tier_sql('styles')} from {STYLE_PERF})) unpivot (value for metric in (*))""", *SCORE_NEEDS))
 def diag_client_summary(spark, d):
-    return rounded(score.client_summary(sku_perf(spark, d), style_perf(spark, d)))
+    rows = diagnosed(spark, d)
+    skus, styles = sinks.kept(score.performance(rows, "sku", 50, 100), "sku-performance"), score.performance(rows, "style", 40, 70)
+    return rounded(score.client_summary(skus, styles))
 
 
 @query(sql(f"""select step, {rounds('wmape bias_ratio')}, case when wmape < 55 and abs(bias_ratio - 1) <= 0.05 then 'GREEN' when wmape <= 70 and abs(bias_ratio - 1) <= 0.1 then 'AMBER' else 'RED' end as verdict

@@ -71,7 +71,7 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
 
 
 def kneser_ney(rows, text):
-    """Plain dictionaries: (document, window, pair, top) by words and by beginnings of a text, from rows (words, label)."""
+    """Plain dictionaries: log-likelihoods a word of the ordinary and the toxic model, then (document, window, pair, top) by words and by beginnings of a text, from rows (words, label)."""
     uses, before, after = Counter(), defaultdict(set), defaultdict(set)
     for w, y in rows:
         for v, x in zip(w, w[1:]):
@@ -106,15 +106,23 @@ def kneser_ney(rows, text):
         p = single(counts, x)
         return (np.log(p[1] / p[0]) - rest(counts)) * n / (n + op7_toxicity.TRUSTED)
 
+    def by_class(counts, x):
+        total, d, kinds, different = level(counts)
+        n, shared = counts[0, x] + counts[1, x], np.log((counts[0, x] + counts[1, x] + 0.5) / (sum(total) + 0.5 * (different + 1)))
+        return [shared + n / (n + op7_toxicity.TRUSTED) * (np.log(p * total[y] / (d[y] * kinds[y])) - shared) for y, p in enumerate(single(counts, x))]
+
     d, w = [discount(uses, y) for y in (0, 1)], text
-    by_word = [ratio(context, x) for x in w]
+    by_word, likelihoods = [ratio(context, x) for x in w], [by_class(context, x) for x in w]
+    total, discounts, kinds, _ = level(context)
+    left = [discounts[y] * kinds[y] / total[y] for y in (0, 1)]
     for k in range(1, len(w)):
         v, x = w[k - 1], w[k]
         n, both = [sum(uses[y, v, z] for z in after[y, v]) for y in (0, 1)], uses[0, v, x] + uses[1, v, x]
         p = [max(uses[y, v, x] - d[y], 0) / (n[y] + 1) + (d[y] * len(after[y, v]) + 1) / (n[y] + 1) * (both / (sum(n) + 2) + single(context, x)[y]) / 2 for y in (0, 1)]
         if both:
+            likelihoods[k] = [l + (np.log(p[y] / left[y]) - l) * both / (both + op7_toxicity.TRUSTED_PAIRS) for y, l in enumerate(likelihoods[k])]
             by_word[k] += (np.log(p[1] / p[0]) - rest(context) - by_word[k]) * both / (both + op7_toxicity.TRUSTED_PAIRS)
-    out = []
+    out = np.mean(likelihoods, axis=0).tolist() if w else [0.0, 0.0]
     for r in (by_word, [ratio(begun, x[: op7_toxicity.PREFIX]) for x in w]):
         out.append(np.mean(r) if r else 0.0)
         out += [max(np.mean(r[i : i + k]) for i in range(len(r) - k + 1)) if r else 0.0 for k in (min(op7_toxicity.WINDOW, len(r)), min(op7_toxicity.SHORT_WINDOW, len(r)))]
@@ -134,12 +142,13 @@ def test_toxicity_models_by_their_definition(spark, monkeypatch):
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
     blocks_ = op7_toxicity.labelled(op7_toxicity.sequenced(docs), labels)
     tables = op7_toxicity.counted(blocks_)
-    found = {r["doc_id"]: [r[f] for f in op7_toxicity.FEATURES] for r in op7_toxicity.judged(blocks_, tables).collect()}
+    found = {r["doc_id"]: [r[f] for f in op7_toxicity.A_WORD + op7_toxicity.FEATURES] for r in op7_toxicity.judged(blocks_, tables).collect()}
     texts = {i: t for i, t, _ in rows} | {500: "", None: "stem roots", 501: "never seen before", 502: "root"}
     known = [(op7_toxicity.words(t), y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5]
     assert set(found) == set(texts)
     for i in list(range(0, 120, 7)) + [500, None, 501, 502]:
         assert found[i] == pytest.approx(kneser_ney(known, op7_toxicity.words(texts[i])), abs=1e-9)
+        assert found[i][2] == pytest.approx(found[i][1] - found[i][0], abs=1e-9)  # the document's ratio is the difference of its two log-likelihoods
 
 
 def test_machine_by_its_definition():

@@ -3,12 +3,13 @@
 Two models, one for each class, give a word after another one the probability of its class's bigrams; what these leave over goes
 half to the bigrams of both classes together, half to the class's words, and from there to the words of both classes. Below the bigrams
 a word counts as often as different words precede it in the class. A second pair of models does the same with the
-first PREFIX letters of words, for inflected and rare forms. What no class knows gets the same probability from both, and the ratio of an n-gram
-that is known from few contexts counts little (TRUSTED).
+first PREFIX letters of words, for inflected and rare forms. A class's log-likelihood of a word
+is drawn to that of the shared backoff as far as the n-gram is known from few contexts (TRUSTED), and counts from what the class leaves over for unknown words;
+so a word that no class knows is as likely in both.
 
-A document's words carry log ratios of the toxic to the ordinary model; a logistic curve over length-normalised
-ratios (of the whole document, of its most toxic windows, and of its most toxic words) makes them a score between 0 and 1. The curve
-is fitted on rows whose half its models did not count.
+A document has two log-likelihoods a word, by the ordinary and the toxic model (A_WORD). Their difference is the log ratio of the document; a logistic curve
+over such length-normalised differences (of the whole document, of its most toxic windows, and of its most toxic words) makes them a score between 0 and 1.
+The curve is fitted on rows whose half its models did not count.
 
 The counts come from every labelled row outside the held-out fold, rare n-grams too, and stay tables. Documents are read once, into blocks of
 numbered words. A block sends its different n-grams to buckets, packed; buckets add the counts of all blocks up, and tell blocks what
@@ -16,7 +17,7 @@ they ask. Common words and passages weigh no more than an entry a block. Only su
 on which the logistic curve is fitted. Words are known by 32-bit hashes, asked pairs by SPARE bits more than it takes to number all pairs, so that about one unknown pair
 in 2**SPARE is taken for another one.
 
-Defined cases: a null or empty text, or one without words, scores by the curve at 0 ratios; equal texts score equally;
+Defined cases: a null or empty text, or one without words, has log-likelihoods of 0 and scores by the curve at 0 ratios; equal texts score equally;
 repeated rows stay, and so do rows without doc_id, which have no label; of several labels of a doc_id the largest counts;
 without labels of both classes every score is 0; empty tables give no rows; other columns, among them lang and source, are never read.
 """
@@ -355,23 +356,23 @@ def _single(counts: np.ndarray, level: Level, different: int) -> np.ndarray:
     return np.maximum(counts - level.discount, 0) / np.maximum(level.total, 1) + level.freed * shared[:, None]
 
 
-def _rest(level: Level) -> float:
-    """The log ratio of what no class knows, which is taken away from all ratios."""
-    return float(np.log(level.freed[1] / level.freed[0]))
-
-
 def _trust(n: np.ndarray, half: float) -> np.ndarray:
     return n / (n + half)
 
 
-def ratios(s: Sequences, at: np.ndarray, uses: np.ndarray, values: np.ndarray, begun: np.ndarray, levels: dict[int, Level], different: dict[int, int], rows: int) -> np.ndarray:
-    """(2, words): log ratios of the toxic to the ordinary model for each word of a block, by words and by beginnings.
+def _smoothed(counts: np.ndarray, level: Level, different: int) -> tuple[np.ndarray, np.ndarray]:
+    """(n, 2): log-likelihoods of words by class, drawn to the shared backoff as far as few contexts are known; and each class's probabilities."""
+    single, shared = _single(counts, level, different), np.log(_shared(counts, level, different))[:, None]
+    return shared + (np.log(single / level.freed) - shared) * _trust(counts.sum(1), TRUSTED)[:, None], single
+
+
+def likelihoods(s: Sequences, at: np.ndarray, uses: np.ndarray, values: np.ndarray, begun: np.ndarray, levels: dict[int, Level], different: dict[int, int], rows: int) -> np.ndarray:
+    """(2, words, 2): log-likelihoods for each word of a block, by words and by beginnings, of the ordinary and the toxic model.
 
     uses (pairs, 2): counts of the pairs whose second words are at `at`; values (vocabulary, 2, 8) and begun (vocabulary, 2, 3): columns of WORDS and PREFIXES.
     """
-    contexts, level = values[:, :, rows].astype(float), levels[WORDS]
-    single, rest = _single(contexts, level, different[WORDS]), _rest(level)
-    own = (np.log(single[:, 1] / single[:, 0]) - rest) * _trust(contexts.sum(1), TRUSTED)
+    level = levels[WORDS]
+    own, single = _smoothed(values[:, :, rows].astype(float), level, different[WORDS])
     by_word = own[s.code]
     if len(at):
         before, word = s.code[at - 1], s.code[at]
@@ -380,18 +381,27 @@ def ratios(s: Sequences, at: np.ndarray, uses: np.ndarray, values: np.ndarray, b
         left = (d * after + 1) / (n + 1)  # one more for a word that was never seen before another
         both = uses.sum(1)
         p = np.maximum(uses - d, 0) / (n + 1) + left * (both[:, None] / (n.sum(1) + 2)[:, None] + single[word]) / 2
-        by_word[at] += np.where(both > 0, np.log(p[:, 1] / p[:, 0]) - rest - by_word[at], 0.0) * _trust(both, TRUSTED_PAIRS)
-    counts, level = begun[:, :, rows].astype(float), levels[PREFIXES]
-    single = _single(counts, level, different[PREFIXES])
-    by_beginning = (np.log(single[:, 1] / single[:, 0]) - _rest(level)) * _trust(counts.sum(1), TRUSTED)
+        by_word[at] += np.where(both[:, None] > 0, np.log(p / level.freed) - by_word[at], 0.0) * _trust(both, TRUSTED_PAIRS)[:, None]
+    by_beginning, _ = _smoothed(begun[:, :, rows].astype(float), levels[PREFIXES], different[PREFIXES])
     return np.stack([by_word, by_beginning[s.code]])
 
 
+#: A document's log-likelihoods a word, by class.
+A_WORD = ["ordinary_per_word", "toxic_per_word"]
 FEATURES = [f"{name}_{by}" for by in ("words", "beginnings") for name in ("mean", "window", "pair", "top")]
 
 
+def per_word(by_class: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """(documents, 2): log-likelihoods by class, normalised by length; 0 without words."""
+    out, has = np.zeros((len(length), 2)), np.flatnonzero(length)
+    if len(has):
+        size = length[has]
+        out[has] = np.add.reduceat(by_class, np.cumsum(size) - size) / size[:, None]
+    return out
+
+
 def evidence(r: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """(documents, 4): length-normalised ratios of each document, of its most toxic WINDOW and pair of words, and of its TOP most toxic words."""
+    """(documents, 4): length-normalised log ratios of each document, of its most toxic WINDOW and pair of words, and of its TOP most toxic words."""
     out = np.zeros((len(length), 4))
     has = np.flatnonzero(length)
     if not len(has):
@@ -422,7 +432,7 @@ def stretches(length: np.ndarray, at: np.ndarray) -> list[tuple[slice, slice, sl
 
 
 def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
-    """(doc_id, text_key, label, FEATURES by all rows, half_ + FEATURES by the rows of the other half) of all documents of the blocks.
+    """(doc_id, text_key, label, A_WORD and FEATURES by all rows, half_ + FEATURES by the rows of the other half) of all documents of the blocks.
 
     label is null where a row is not to be learnt from. A block asks the buckets for its different n-grams; they answer in the order of the question.
     """
@@ -487,25 +497,27 @@ def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
             uses, values, begun = counts[PAIRS].reshape(-1, 2, 2), counts[WORDS].reshape(-1, 2, 8), counts[PREFIXES].reshape(-1, 2, 3)
             columns = {"id": s.doc_id, "known": s.known_id, "text_key": s.text_key, "kind": s.kind}
 
-            def features(rows: int) -> np.ndarray:
+            def features(rows: int) -> tuple[np.ndarray, np.ndarray]:
                 found = []
                 for docs, words_, pairs_ in stretches(s.length, at):
                     own = uses[pairs_].sum(2) if rows == ALL_ROWS else uses[pairs_, :, rows - 1]
                     part = replace(s, code=s.code[words_], length=s.length[docs])
-                    of_words = ratios(part, at[pairs_] - words_.start, own, values, begun, by_rows_levels[rows], different, rows)
-                    found.append(np.hstack([evidence(r, part.length) for r in of_words]))
-                return np.vstack(found)
+                    of_words = likelihoods(part, at[pairs_] - words_.start, own, values, begun, by_rows_levels[rows], different, rows)
+                    found.append(np.hstack([per_word(of_words[0], part.length), *(evidence(l[:, 1] - l[:, 0], part.length) for l in of_words)]))
+                found = np.vstack(found)
+                return found[:, :2], found[:, 2:]
 
-            whole, other = features(ALL_ROWS), np.full((len(s.kind), len(FEATURES)), np.nan)
+            (a_word, whole), other = features(ALL_ROWS), np.full((len(s.kind), len(FEATURES)), np.nan)
             for rows in usable:  # a document of one half is judged by what the other half says
                 chosen = (s.kind > 0) & ((s.kind - 1) % 2 != rows - 1)
                 if chosen.any():
-                    other[chosen] = features(rows)[chosen]
+                    other[chosen] = features(rows)[1][chosen]
+            columns |= {f: a_word[:, k] for k, f in enumerate(A_WORD)}
             columns |= {f: whole[:, k] for k, f in enumerate(FEATURES)} | {f"half_{f}": other[:, k] for k, f in enumerate(FEATURES)}
             out.append(pd.DataFrame(columns))
         return pd.concat(out) if out else pd.DataFrame(columns=names)
 
-    names = ["id", "known", "text_key", "kind", *FEATURES, *(f"half_{f}" for f in FEATURES)]
+    names = ["id", "known", "text_key", "kind", *A_WORD, *FEATURES, *(f"half_{f}" for f in FEATURES)]
     shape = "id long, known boolean, text_key long, kind long, " + ", ".join(f"{f} double" for f in names[4:])
     found = blocks.select("block", "data", "labels").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(weigh, shape)
     label = F.when(F.col("kind") > 0, F.floor((F.col("kind") - 1) / 2).cast("int"))
@@ -545,11 +557,11 @@ def fitted_curve(features: DataFrame, most: dict[int, int] | None = None) -> np.
 
 
 def learnt(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None) -> tuple[Model | None, DataFrame]:
-    """The model of all labelled rows, and what it says about every document: (doc_id, text_key, score)."""
+    """The model of all labelled rows, and what it says about every document: (doc_id, text_key, score, A_WORD)."""
     blocks = labelled(sequenced(docs), labels)
     tables = counted(blocks)
     if tables is None:
-        return None, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key"), F.lit(0.0).alias("score"))
+        return None, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key"), F.lit(0.0).alias("score"), *(F.lit(0.0).alias(c) for c in A_WORD))
     features = written(judged(blocks, tables), "toxicity-features")
     model = Model(tables, fitted_curve(features, most))
     return model, scored(features, model)
@@ -563,14 +575,14 @@ def scored(features: DataFrame, model: Model) -> DataFrame:
     *weights, intercept = map(float, model.curve)
     z = sum((F.col(f) * w for f, w in zip(FEATURES, weights)), F.lit(intercept))
     z = F.least(F.lit(30.0), F.greatest(F.lit(-30.0), z))
-    return features.select("doc_id", "text_key", (1 / (1 + F.exp(-z))).alias("score"))
+    return features.select("doc_id", "text_key", (1 / (1 + F.exp(-z))).alias("score"), *A_WORD)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, score, predicted) of every whole text of other documents."""
+    """(doc_id, score, predicted, A_WORD) of every whole text of other documents."""
     blocks = sequenced(docs).withColumn("labels", F.lit(None).cast("array<struct<doc_id:bigint,label:int>>"))
     found = scored(judged(blocks, model.tables), model)
-    return found.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return found.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *A_WORD)
 
 
 def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -581,4 +593,4 @@ def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFram
 
 def query(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     found = learnt(docs, labels)[1]
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *A_WORD)

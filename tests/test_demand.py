@@ -117,6 +117,20 @@ def test_segments(spark):
     close(panel.segment(series(spark, [4, 8, 2]), month("2024-03")).first()["cv_nonzero"], 0.534522)
 
 
+def test_holdout_scores_drop_what_is_only_filled_in(spark):
+    at = month("2001-08")
+    models = "ma_3 double, ma_12 double, seasonal_naive double, seasonal_avg3y double, croston_sba double, zero double"
+    forecasts = spark.createDataFrame([(e, at, 1, 4.0, 4.0, 2.0, 2.0, 1.0, 0.0) for e in ("old", "young", "new")], f"entity string, month date, step int, {models}")
+    actuals = spark.createDataFrame([("old", at, 4.0), ("young", at, 0.0), ("gone", at, 9.0)], "entity string, month date, actual double")
+    kinds = spark.createDataFrame([("old", "REGULAR", 30), ("young", "REGULAR", 5), ("gone", "DEAD", 30)], "entity string, segment string, total_months int")
+    found = {r["model"]: r for r in selection.holdout_scores(forecasts, actuals, kinds).collect()}
+    assert {r["segment"] for r in found.values()} == {"REGULAR"} and len(found) == 6
+    naive, mean = found["seasonal_naive"], found["ma_3"]
+    assert (naive["n_candidate"], naive["n_dropped"], naive["n_obs"], naive["mae"], naive["wmape"]) == (2, 1, 1, 2.0, 50.0)
+    assert (mean["n_dropped"], mean["mae"], mean["mape"], mean["rmse"]) == (0, 2.0, 0.0, pytest.approx(8**0.5))
+    assert selection.holdout_scores(forecasts, actuals.where("false"), kinds).count() == 0
+
+
 def test_zero_fill(spark):
     d = spark.createDataFrame([("a", month("2025-01"), 3.0, 1.0), ("a", month("2025-04"), 4.0, 1.0), ("late", month("2025-07"), 1.0, 1.0), (None, month("2025-01"), 9.0, 1.0)], "entity string, month date, units double, revenue double")
     rows = panel.build_panel(d, month("2025-06")).orderBy("month").collect()

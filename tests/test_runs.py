@@ -71,6 +71,7 @@ def test_simulation_variants_and_diagnostics(spark, tmp_path):
     by = {name: spark.read.parquet(path) for name, path in out.items()}
     assert {r["model"] for r in by["predictions"].collect()} == {r["model"] for r in by["by_model"].collect()} and by["by_month"].count() == 3
     assert by["predictions"].where("has_actual").count() == by["by_segment"].agg({"n_scored": "sum"}).first()[0]
+    assert by["predictions"].where("has_actual <> (error is not null) or abs_pct_error < 0 or conservative > middle or middle > aggressive").count() == 0
     out = runs.run_variants(catalog.variant_alloc(spark, SF, {"a": catalog.shares.BASELINE, "b": catalog.shares.RECENCY}), catalog.gold(spark, SF), retail.dim_product(spark, SF), str(tmp_path / "v"))
     assert {p.name for p in (tmp_path / "v" / "sku_forecast").iterdir() if p.name.startswith("variant")} == {"variant=a", "variant=b"}
     table = spark.read.parquet(out["decomposition"])

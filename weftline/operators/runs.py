@@ -94,7 +94,7 @@ def run_production(spark: SparkSession, paths: dict[str, str], folder: str, end:
 def run_simulation(rows: DataFrame, folder: str) -> dict[str, str]:
     """Write simulated forecasts (entity, segment, month, horizon, model, predicted, actual) and their summaries by month, segment and model."""
     out = {name: f"{folder}/{name}" for name in ("predictions", "by_month", "by_segment", "by_model")}
-    write_checked(rows.withColumn("has_actual", F.col("actual").isNotNull()), out["predictions"], {"negative": F.col("predicted") < 0, "part_units": F.col("predicted") != F.round("predicted")})
+    write_checked(selection.simulation_rows(rows), out["predictions"], {"negative": F.col("predicted") < 0, "part_units": F.col("predicted") != F.round("predicted")})
     stored = rows.sparkSession.read.parquet(out["predictions"])
     for by in ("month", "segment", "model"):
         write_checked(selection.simulation_summary(stored, by), out[f"by_{by}"])

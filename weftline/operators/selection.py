@@ -12,6 +12,8 @@ from weftline.functions import mae, mape, months_ago, rmse, wmape
 from weftline.operators.baselines import histories, levels, stepped
 
 CV_MODELS = ("ma_3", "ma_12", "seasonal_naive", "seasonal_avg3y", "croston_sba", "zero")
+#: Months of history that a model needs for a forecast of its own.
+HISTORY = {"ma_3": 3, "ma_12": 12, "seasonal_naive": 12, "seasonal_avg3y": 12}
 
 
 def origins(end: date, folds: Folds) -> list[date]:
@@ -106,3 +108,28 @@ def simulation_summary(scored: DataFrame, by: str) -> DataFrame:
     """Errors of simulated whole-unit forecasts by month, segment or model."""
     a, p = F.col("actual"), F.col("predicted")
     return scored.groupBy(by, "horizon").agg(F.count_distinct("entity").alias("n_entities"), F.count(a).alias("n_scored"), F.sum(p).alias("predicted"), F.sum(a).alias("actual"), wmape(a, p).alias("wmape"), mae(a, p).alias("mae"))
+
+
+def simulation_rows(simulated: DataFrame) -> DataFrame:
+    """Simulated forecasts with has_actual, middle, error (actual less predicted), abs_error, and abs_pct_error (of actuals above 0); errors are null without an actual."""
+    error = F.col("actual") - F.col("predicted")
+    out = simulated.withColumns({"has_actual": F.col("actual").isNotNull(), "middle": F.col("predicted"), "error": error, "abs_error": F.abs(error)})
+    return out.withColumn("abs_pct_error", F.when(F.col("actual") > 0, F.col("abs_error") / F.col("actual") * 100.0))
+
+
+def holdout_scores(forecasts: DataFrame, actuals: DataFrame, segments: DataFrame, needs: dict[str, int] = HISTORY) -> DataFrame:
+    """Every model against the holdout: errors, n_candidate, n_dropped and n_obs by segment, step and model; what can't be scored gives no row.
+
+    A candidate is an actual (entity, month, actual) of a series that has a segment; a model drops those of series with fewer months than
+    it needs, so that what it only fills in isn't scored as its own.
+    """
+    rows = actuals.join(forecasts, ["entity", "month"]).join(segments.select("entity", "segment", "total_months"), "entity")
+    rows = rows.select("segment", F.col("step").alias("horizon"), "total_months", "actual", *CV_MODELS)
+    long = rows.unpivot(["segment", "horizon", "total_months", "actual"], list(CV_MODELS), "model", "predicted")
+    least = F.coalesce(*(F.when(F.col("model") == m, n) for m, n in needs.items()), F.lit(0))
+    kept = F.col("total_months") >= least
+    a, p = F.when(kept, F.col("actual")), F.when(kept, F.col("predicted"))
+    out = long.groupBy("segment", "horizon", "model").agg(
+        F.count("*").alias("n_candidate"), F.count_if(~kept).alias("n_dropped"), F.count(a).alias("n_obs"), rmse(a, p).alias("rmse"), mae(a, p).alias("mae"), mape(a, p).alias("mape"), wmape(a, p).alias("wmape")
+    )
+    return out.where("n_obs > 0")

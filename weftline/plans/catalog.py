@@ -503,10 +503,11 @@ def scenario_bounds_cv(spark, d):
     return rounded(selection.scenarios(f, selection.expected_error(m, selection.best_models(m))).select("entity", "month", "horizon", "segment", "units", "conservative", "aggressive"))
 
 
-SIMULATION = f"""(select f.entity, s.segment, f.month, f.step as horizon, coalesce(b.best_model, 'seasonal_naive') as model, round(case coalesce(b.best_model, 'seasonal_naive')
-    when 'zero' then 0 when 'croston_sba' then c.croston_sba when 'seasonal_avg3y' then f.seasonal_avg3y else f.seasonal_naive end) as predicted, d.units as actual
-    from forecast_color f join segment_color s using (entity) join croston_color c using (entity) left join (select segment, best_model from {BEST_SQL} where horizon = 3) b using (segment)
-    left join demand_color d on d.entity = f.entity and d.month = f.month and d.month in {HOLDOUT})"""
+SIMULATION = f"""(select entity, segment, month, horizon, model, round(units) as predicted, round(units * 0.8::double) as conservative, round(units * 1.2::double) as aggressive, actual
+    from (select f.entity, s.segment, f.month, f.step as horizon, coalesce(b.best_model, 'seasonal_naive') as model, case coalesce(b.best_model, 'seasonal_naive')
+        when 'zero' then 0 when 'croston_sba' then c.croston_sba when 'seasonal_avg3y' then f.seasonal_avg3y else f.seasonal_naive end as units, d.units as actual
+        from forecast_color f join segment_color s using (entity) join croston_color c using (entity) left join (select segment, best_model from {BEST_SQL} where horizon = 3) b using (segment)
+        left join demand_color d on d.entity = f.entity and d.month = f.month and d.month in {HOLDOUT}))"""
 SIMULATION_NEEDS = ("forecast_color", "segment_color", "croston_color", "demand_color")
 
 
@@ -517,10 +518,39 @@ def simulated(spark, d, best=None):
     best = selection.best_models(selection.cv_metrics(p, kinds, CAL.train_end, tuple(f for f in FOLDS if f.horizon == 3))) if best is None else best.where("horizon = 3")
     actual = panel.demand_by(gold(spark, d), retail.dim_product(spark, d), "color").where(F.col("month").isin(*CAL.holdout)).select("entity", "month", F.col("units").alias("actual"))
     f = baselines.dispatched(baselines.forecast(p, CAL.train_end, 3), kinds, best)
-    f = f.select("entity", "segment", "month", F.col("step").alias("horizon"), "model", F.round("units").alias("predicted"))
+    bounds = (F.round("lower").alias("conservative"), F.round("upper").alias("aggressive"))
+    f = f.select("entity", "segment", "month", F.col("step").alias("horizon"), "model", F.round("units").alias("predicted"), *bounds)
     return f.join(actual, ["entity", "month"], "left")
 
 
+@query(sql(f"""select entity, segment, month, horizon, model, {rounds('predicted actual')}, actual is not null as has_actual, round(actual - predicted, 4) as error, round(abs(actual - predicted), 4) as abs_error,
+    round(case when actual > 0 then abs(actual - predicted) / actual * 100 end, 4) as abs_pct_error, {rounds('conservative aggressive')}, round(predicted, 4) as middle
+    from {SIMULATION}""", *SIMULATION_NEEDS))
+def simulation_rows(spark, d):
+    """Every simulated month of every series with its bounds in whole units, and its errors where the actual has come."""
+    return rounded(selection.simulation_rows(simulated(spark, d)))
+
+
+HISTORY_SQL = " ".join(f"when '{m}' then {n}" for m, n in selection.HISTORY.items())
+
+
+@query(sql(f"""select segment, horizon, model, count(*) as n_candidate, count(*) filter (total_months < least) as n_dropped, count(*) filter (total_months >= least) as n_obs,
+    round(sqrt(avg((actual - predicted) * (actual - predicted)) filter (total_months >= least)), 4) as rmse, round(avg(abs(actual - predicted)) filter (total_months >= least), 4) as mae,
+    round(avg(abs(actual - predicted) / actual) filter (total_months >= least and actual > 0) * 100, 4) as mape,
+    round(sum(abs(actual - predicted)) filter (total_months >= least) * 100 / nullif(sum(abs(actual)) filter (total_months >= least), 0), 4) as wmape
+    from (select *, case model {HISTORY_SQL} else 0 end as least
+        from (unpivot (select s.segment, f.step as horizon, s.total_months, d.units as actual, f.ma_3, f.ma_12, f.seasonal_naive, f.seasonal_avg3y, c.croston_sba, f.zero
+            from demand_color d join forecast_color f on f.entity = d.entity and f.month = d.month join segment_color s on s.entity = d.entity join croston_color c on c.entity = d.entity
+            where d.month in {HOLDOUT}) on ma_3, ma_12, seasonal_naive, seasonal_avg3y, croston_sba, zero into name model value predicted))
+    group by 1, 2, 3
+    having count(*) filter (total_months >= least) > 0""", *SIMULATION_NEEDS))
+def holdout_by_model(spark, d):
+    """Every formula against the holdout's actuals, in one aggregation."""
+    p = dense(spark, d, "color")
+    actual = panel.demand_by(gold(spark, d), retail.dim_product(spark, d), "color").where(F.col("month").isin(*CAL.holdout)).select("entity", "month", F.col("units").alias("actual"))
+    return rounded(selection.holdout_scores(baselines.forecast(p, CAL.train_end, 3), actual, panel.segment(p, CAL.train_end)))
+
+
 @query(sql(f"""select coalesce(o.segment, e.segment) as segment, coalesce(o.horizon, e.horizon) as horizon, round(case when coalesce(o.segment, e.segment) = 'DEAD' then 0 else coalesce(o.own, e.expected_error, 0) end, 4) as expected_error
     from (select segment, horizon, case when count(*) >= 5 then sum(abs(actual - predicted)) / nullif(sum(abs(actual)), 0) end as own
     from {SIMULATION}

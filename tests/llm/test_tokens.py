@@ -68,6 +68,51 @@ def test_open_bins_are_bounded():
     assert bins.place(4) == (0, 6)
 
 
+def plain_best_fit(batches, length, most):
+    """(bin, offset) of each size, batch by batch the longest first: all open bins are looked through, the tightest one that fits takes it (of equal ones the last filled)."""
+    out, free, filled, made, clock = [], {}, {}, 0, 0
+    for sizes in batches:
+        places = [None] * len(sizes)
+        for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+            fits = [b for b in free if free[b] >= sizes[k]]
+            if fits:
+                b = min(fits, key=lambda b: (free[b], -filled[b]))
+            else:
+                b, made = made, made + 1
+                free[b] = length
+            places[k] = (b, length - free[b])
+            free[b] -= sizes[k]
+            clock += 1
+            filled[b] = clock
+            if not free[b]:
+                del free[b]
+            elif len(free) > most:
+                del free[min(free, key=lambda b: (free[b], -filled[b]))]  # the fullest closes
+        out.append(places)
+    return out
+
+
+@pytest.mark.parametrize("most", [1, 3, 40])
+def test_places_by_plain_best_fit(spark, texts, ids, most):
+    """Every place that the query gives, over several Arrow batches in a task, against a search through all open bins."""
+    length, rows = 64, [(k, t) for k, (_, t) in enumerate(texts)]
+    known = {k: ids[i] for k, (i, _) in enumerate(texts)}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        found = op10_packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), length, most).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    pieces = []
+    for k, _ in rows:
+        n = len(known[k]) + 1
+        pieces.append([n - length * (-(-n // length) - 1)] + [length] * (-(-n // length) - 1))
+    batches = [[(k, p, size) for k in range(a, min(a + 20, len(rows))) for p, size in enumerate(pieces[k])] for a in range(0, len(rows), 20)]
+    places = plain_best_fit([[size for *_, size in b] for b in batches], length, most)
+    expected = {(k, p): (size, *place) for b, at in zip(batches, places) for (k, p, size), place in zip(b, at)}
+    assert {(r["doc_id"], r["piece"]): (r["length"], r["sequence_id"], r["offset"]) for r in found} == expected
+
+
 @pytest.mark.parametrize("block", [7, 64, 1 << 18])
 def test_scan(docs, texts, ids, block):
     found = op6_separators.scan(op6_separators.write_flat(docs, block_tokens=block)).collect()

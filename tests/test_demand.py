@@ -215,6 +215,19 @@ def test_allocation_reconciles(spark):
     assert {r["parent"]: r["passed"] for r in shares.reconcile(f, out).collect()} == {"P": 1, "Q": 0}
 
 
+def test_allocation_that_does_not_meet_its_parents(spark):
+    up = spark.createDataFrame([("p", 1, 1, 10.0), ("q", 1, 1, 0.0), ("r", 1, 1, 5.0)], "parent string, month int, step int, units double")
+    down = spark.createDataFrame([("p", "a", 1, 1, 12.0), ("p", "b", 1, 1, -2.0), ("q", "c", 1, 1, 0.0), ("r", "d", 1, 1, 4.9)], "parent string, child string, month int, step int, units double")
+    found = shares.reconcile_summary(up, down).first()
+    assert (found["n_groups"], found["n_parents"], found["n_children"]) == (3, 3, 4)
+    assert (found["sum_check_passed"], found["share_check_passed"], found["no_negatives"]) == (0, 1, 0)
+    close(found["max_abs_diff"], 0.1)
+    without = shares.reconcile_summary(up, down.where("parent <> 'r'")).first()
+    assert (without["share_check_passed"], without["max_abs_diff"]) == (0, 5.0)  # a parent whose children are missing
+    none = shares.reconcile_summary(up.where("false"), down.where("false")).first()
+    assert (none["n_groups"], none["max_abs_diff"], none["sum_check_passed"], none["no_negatives"]) == (0, None, 1, 1)
+
+
 def test_upsert(spark, tmp_path):
     schema = "run_date date, key string, month date, horizon int, model string, units double"
     d = date(2025, 1, 1)

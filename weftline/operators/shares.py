@@ -206,6 +206,21 @@ def reconcile(forecasts: DataFrame, allocated: DataFrame, tolerance: float = 0.0
     return out.withColumns({"ratio_passed": agrees.cast("int"), "passed": ((F.col("difference") < tolerance) & agrees & (F.col("negatives") == 0)).cast("int")})
 
 
+def reconcile_summary(forecasts: DataFrame, allocated: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """One row: the largest difference of reconcile(), whether sums, ratios and signs pass, and how many parents, children and groups were checked. Without groups all pass."""
+    groups = reconcile(forecasts, allocated, tolerance).agg(
+        F.count("*").alias("n_groups"),
+        F.count_distinct("parent").alias("n_parents"),
+        F.max("difference").alias("max_abs_diff"),
+        F.count_if(F.col("difference") >= tolerance).alias("sums_failed"),
+        F.count_if(F.col("ratio_passed") == 0).alias("ratios_failed"),
+    )
+    children = allocated.agg(F.count_distinct("child").alias("n_children"), F.count_if(F.col("units") < 0).alias("negatives"))
+    one = groups.crossJoin(children)  # one row each
+    passed = [(F.col(failed) == 0).cast("int").alias(name) for failed, name in (("sums_failed", "sum_check_passed"), ("ratios_failed", "share_check_passed"), ("negatives", "no_negatives"))]
+    return one.select("n_groups", "n_parents", "n_children", "max_abs_diff", *passed)
+
+
 def coverage(gold: DataFrame, products: DataFrame) -> DataFrame:
     """One row: how many skus, colors and styles there are, sold, and can be allocated."""
     sold = gold.select("sku").distinct().select("sku", F.lit(1).alias("sold"))

@@ -1049,6 +1049,23 @@ def validation_report(spark, d):
     return score.validation_report(parent_forecast(spark, d), color_alloc(spark, d), sku_alloc(spark, d))
 
 
+def checks_sql(level: str, up: str, key: str, down: str) -> str:
+    return f"""select '{level}' as level, r.*, c.* from
+        (select count(*) as n_groups, count(distinct parent) as n_parents, round(max(abs(units - below)), 4) as max_abs_diff, (count(*) filter (abs(units - below) >= 0.01) = 0)::int as sum_check_passed,
+            (count(*) filter (units <> 0 and abs(below / units - 1) > 0.1) = 0)::int as share_check_passed
+        from (select u.{key} as parent, u.units, coalesce(b.below, 0) as below from {up} u left join (select parent, month, step, sum(units) as below from {down} group by all) b on b.parent = u.{key} and b.month = u.month and b.step = u.step)) r,
+        (select count(distinct child) as n_children, (count(*) filter (units < 0) = 0)::int as no_negatives from {down}) c"""
+
+
+@query(sql(checks_sql("color", STYLE_FC, "parent", COLOR_ALLOC) + " union all " + checks_sql("sku", COLOR_ALLOC, "child", sku_alloc_sql()), *SCORE_NEEDS))
+def alloc_checks(spark, d):
+    """Of each level of the allocation whether its children meet their parents."""
+    colors = color_alloc(spark, d)
+    of_colors = shares.reconcile_summary(parent_forecast(spark, d), colors).withColumn("level", F.lit("color"))
+    of_skus = shares.reconcile_summary(colors.drop("parent").withColumnRenamed("child", "parent"), sku_alloc(spark, d)).withColumn("level", F.lit("sku"))
+    return rounded(of_colors.unionByName(of_skus))
+
+
 PRODUCED = f"""(select 'v1' as version, child as sku, month, step, units from {sku_alloc_sql()}
     union all select 'v2', a.child, a.month, a.step, round(greatest(a.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) from {sku_alloc_sql()} a left join products p on p.sku = a.child left join {BT_FACTORS} t on t.entity = p.style and t.horizon = a.step
     union all select 'v3', a.child, a.month, a.step, round(greatest(a.units * coalesce(t.factor, 1), 0) + 1e-9::double, 4) from {sku_alloc_sql()} a left join (select horizon, case when accepted = 1 then factor else 1 end as factor from {GLOBAL_SQL}) t on t.horizon = a.step)"""

@@ -14,8 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """sku, style, color, brand, size, item, price; sku is unique."""
-    return table(spark, sf_dir, "part").select(
+    """sku, style, color, brand, size, item, price; sku is unique.
+
+    The hint goes with it to whatever it is joined with: a compressed file looks small, but its rows grow with the catalogue and must not be
+    broadcast through the driver.
+    """
+    return table(spark, sf_dir, "part").hint("shuffle_hash").select(
         F.col("p_partkey").cast("string").alias("sku"),
         F.col("p_type").alias("style"),
         F.concat_ws("|", "p_type", "p_brand").alias("color"),

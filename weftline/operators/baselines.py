@@ -15,7 +15,12 @@ MODELS = ("zero", "ma_3", "ma_12", "seasonal_naive", "seasonal_avg3y", "croston"
 
 
 def histories(panel: DataFrame, first: bool = False) -> DataFrame:
-    """(entity, u): units of each month, oldest first; a panel is dense, so places are months. Bounded by the calendar. first: with the first month."""
+    """(entity, u): units of each month, oldest first; a panel is dense, so places are months. Bounded by the calendar. first: with the first month.
+
+    A panel that has histories already (panel.series()) isn't grouped again; its segments come along, if it has them.
+    """
+    if "u" in panel.columns:
+        return panel.select("entity", "u", *(["first"] if first else []), *(c for c in panel.columns if c == "segment"))
     ordered = F.array_sort(F.collect_list(F.struct("month", "units")))
     more = [F.min("month").alias("first")] if first else []
     return panel.groupBy("entity").agg(F.transform(ordered, lambda x: x["units"]).alias("u"), *more)
@@ -23,17 +28,18 @@ def histories(panel: DataFrame, first: bool = False) -> DataFrame:
 
 def croston(u: Column, alpha: float = CROSTON_ALPHA) -> Column:
     """Smoothed size over smoothed interval of the non-zero months; 0 for a series without any."""
-    def state(size: Column, gap: Column, since: Column, begun: Column) -> Column:
-        return F.named_struct(F.lit("size"), size, F.lit("gap"), gap, F.lit("since"), since, F.lit("begun"), begun)
+    def state(size: Column, gap: Column, place: Column) -> Column:
+        return F.named_struct(F.lit("size"), size, F.lit("gap"), gap, F.lit("place"), place)
 
     def step(s: Column, x: Column) -> Column:
-        sold, since = x > 0, s["since"] + 1
-        size = F.when(s["begun"], alpha * x + (1 - alpha) * s["size"]).otherwise(x)
-        gap = F.when(s["begun"], alpha * since + (1 - alpha) * s["gap"]).otherwise(F.lit(1.0))
-        return state(F.when(sold, size).otherwise(s["size"]), F.when(sold, gap).otherwise(s["gap"]), F.when(sold, F.lit(0)).otherwise(since), sold | s["begun"])
+        begun = s["place"] >= 0
+        size = F.when(begun, alpha * x["units"] + (1 - alpha) * s["size"]).otherwise(x["units"])
+        gap = F.when(begun, alpha * (x["place"] - s["place"]) + (1 - alpha) * s["gap"]).otherwise(F.lit(1.0))
+        return state(size, gap, x["place"])
 
-    start = state(F.lit(0.0), F.lit(1.0), F.lit(0), F.lit(False))
-    return F.aggregate(u, start, step, lambda s: F.when(s["begun"], s["size"] / s["gap"]).otherwise(F.lit(0.0)))
+    sold = F.filter(F.transform(u, lambda x, i: F.struct(x.cast("double").alias("units"), i.alias("place"))), lambda x: x["units"] > 0)  # only these months change anything
+    start = state(F.lit(0.0), F.lit(1.0), F.lit(-1))
+    return F.aggregate(sold, start, step, lambda s: F.when(s["place"] >= 0, s["size"] / s["gap"]).otherwise(F.lit(0.0)))
 
 
 def _sum_of_last(n: int) -> str:
@@ -61,19 +67,20 @@ def levels(rows: DataFrame) -> DataFrame:
 def stepped(rows: DataFrame, steps: Column) -> DataFrame:
     """A row a step ahead of a known history `u`, with the seasonal models. They look at the same month of earlier years, never at steps before."""
     at = "size(u) + step - 1"
-    years = f"filter(transform(filter(array(12, 24, 36), k -> {at} - k >= 0), k -> get(u, {at} - k)), x -> x is not null)"
+    years = [f"get(u, int({at} - {k}))" for k in (12, 24, 36)]  # null where there is no such month
+    total, known = " + ".join(f"coalesce({y}, 0D)" for y in years), " + ".join(f"int({y} is not null)" for y in years)
     return rows.withColumn("step", F.explode(F.sequence(F.lit(1), steps))).withColumns(
         {
             "seasonal_naive": F.expr(f"coalesce(if({at} - 12 * ceil(step / 12D) >= 0, get(u, int({at} - 12 * ceil(step / 12D))), 0D), 0D)"),
-            "seasonal_avg3y": F.expr(f"if(size({years}) > 0, aggregate({years}, 0D, (a, x) -> a + x) / size({years}), 0D)"),
+            "seasonal_avg3y": F.expr(f"coalesce(try_divide({total}, {known}), 0D)"),
         }
     )
 
 
 def forecast(panel: DataFrame, end: date, steps: int) -> DataFrame:
-    """(entity, month, step, one column a model, trail_3, sum_12, last_sold) for the `steps` months after `end`."""
+    """(entity, month, step, one column a model, trail_3, sum_12, last_sold) for the `steps` months after `end`; with the segment, if the panel has it."""
     out = stepped(levels(histories(panel)), F.lit(steps))
-    return out.select("entity", F.expr(f"add_months(date'{end}', step)").alias("month"), "step", *MODELS, "trail_3", "sum_12", "last_sold")
+    return out.select("entity", *(c for c in out.columns if c == "segment"), F.expr(f"add_months(date'{end}', step)").alias("month"), "step", *MODELS, "trail_3", "sum_12", "last_sold")
 
 
 def blended(ml: Column, seasonal: Column, cfg: Adjustments = Adjustments()) -> Column:
@@ -127,7 +134,7 @@ def trail_of(adjusted_rows: DataFrame) -> DataFrame:
 
 def chosen(forecasts: DataFrame, segments: DataFrame, best: DataFrame, learnt: Iterable[str] = ()) -> DataFrame:
     """Forecast rows with their segment and the model that was chosen for it; without one, or without that model at hand, the seasonal naive. best: segment, best_model."""
-    joined = forecasts.join(segments.select("entity", "segment"), "entity", "left")
+    joined = forecasts if "segment" in forecasts.columns else forecasts.join(segments.select("entity", "segment"), "entity", "left")
     joined = joined.join(F.broadcast(best.select("segment", "best_model")), "segment", "left")  # a row a segment
     known = F.col("best_model").isin(*MODELS, *learnt)
     return joined.withColumn("model", F.when(known, F.col("best_model")).otherwise("seasonal_naive")).drop("best_model")

@@ -67,6 +67,19 @@ def gold_monthly(lines: DataFrame) -> DataFrame:
     return goods.groupBy("month", "sku").agg(F.sum("shipped_qty").alias("units"), F.coalesce(F.sum("revenue"), F.lit(0.0)).alias("revenue"))
 
 
+def packed(gold: DataFrame) -> DataFrame:
+    """(sku, months, units, revenue): the fact with a row a sku. The calendar bounds the arrays."""
+    each = gold.groupBy("sku").agg(F.collect_list(F.struct("month", "units", "revenue")).alias("_rows"))
+    return each.select("sku", F.col("_rows.month").alias("months"), F.col("_rows.units").alias("units"), F.col("_rows.revenue").alias("revenue"))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """The fact of packed() rows, with whatever else they have; all months of a sku come from one task, so sums by sku are nearly done before they are shuffled."""
+    more = [c for c in rows.columns if c not in ("sku", "months", "units", "revenue")]
+    each = rows.select("sku", "units", "revenue", *more, F.posexplode("months").alias("_place", "month"))
+    return each.select("month", "sku", F.get("units", "_place").alias("units"), F.get("revenue", "_place").alias("revenue"), *more)
+
+
 def excluded_audit(lines: DataFrame) -> DataFrame:
     """What the goods rule leaves out, by reason."""
     reason = F.when(F.col("shipped_qty") <= 0, "not shipped").when(~is_goods(), "charge")

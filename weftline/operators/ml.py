@@ -63,7 +63,7 @@ def state(panel: DataFrame, attributes: DataFrame | None = None) -> DataFrame:
 
     attributes: entity (unique) and the columns that models take as categories, UNKNOWN where there is none.
     """
-    out = baselines.histories(panel, first=True)
+    out = baselines.histories(panel, first=True).drop("segment")
     if attributes is None:
         return out
     names = [c for c in attributes.columns if c != "entity"]

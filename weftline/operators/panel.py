@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.config import Features, Segments
@@ -17,17 +17,47 @@ def demand_by(gold: DataFrame, products: DataFrame, entity: str) -> DataFrame:
     """Units and revenue by entity (sku, color or style) and month; rows without the entity stand alone and are left out."""
     if entity == "sku":
         return gold.select(F.col("sku").alias("entity"), "month", "units", "revenue")
-    mapped = gold.join(products.select("sku", F.col(entity).alias("entity")), "sku").where("entity is not null")
+    if entity in gold.columns:  # the fact knows it already
+        mapped = gold.withColumn("entity", F.col(entity)).where("entity is not null")
+    else:
+        mapped = gold.join(products.select("sku", F.col(entity).alias("entity")), "sku").where("entity is not null")
     return mapped.groupBy("entity", "month").agg(F.sum("units").alias("units"), F.sum("revenue").alias("revenue"))
 
 
+def series(demand: DataFrame, end: date, measures: tuple[str, ...] = ("units",)) -> DataFrame:
+    """(entity, first, u and other measures): every month from an entity's first sale to `end` as an array, zero where it sold nothing.
+
+    One grouping by entity: the months without sales are filled in between its sales, never joined, so only sales are shuffled. The calendar
+    bounds an array. `u` are the units.
+    """
+    known = demand.where((F.col("month") <= F.lit(end)) & F.col("entity").isNotNull()).repartition("entity")  # both groupings are within an entity
+    known = known.groupBy("entity", F.trunc("month", "MM").alias("month")).agg(*(F.sum(m).alias(m) for m in measures))
+    at = (F.year("month") * 12 + F.month("month")).alias("at")
+    sold = known.groupBy("entity").agg(F.min("month").alias("first"), F.array_sort(F.collect_list(F.struct(at, *measures))).alias("_sold"))
+    return _filled(sold, end, measures)
+
+
+def series_of(facts: DataFrame, end: date) -> DataFrame:
+    """series() by sku of etl.packed() rows: nothing is shuffled."""
+    each = F.expr(f"array_sort(filter(transform(months, (m, i) -> struct(year(m) * 12 + month(m) as at, get(units, i) as units, m as month)), x -> x.month <= date'{end}'))")
+    known = facts.where(F.col("sku").isNotNull() & F.expr(f"coalesce(array_min(months) <= date'{end}', false)"))
+    sold = known.select(F.col("sku").alias("entity"), each.alias("_sold"))
+    return _filled(sold.withColumn("first", F.expr("_sold[0].month")), end, ("units",))
+
+
+def _filled(sold: DataFrame, end: date, measures: tuple[str, ...]) -> DataFrame:
+    def dense(measure: str) -> Column:
+        gap = "if(i = 0, 0, x.at - get(_sold, i - 1).at - 1)"
+        months = f"transform(_sold, (x, i) -> concat(array_repeat(0D, {gap}), array(coalesce(double(x.{measure}), 0D))))"
+        return F.expr(f"concat(flatten({months}), array_repeat(0D, {end.year * 12 + end.month} - element_at(_sold, -1).at))")
+
+    return sold.select("entity", "first", *(dense(m).alias("u" if m == "units" else m) for m in measures))
+
+
 def build_panel(demand: DataFrame, end: date) -> DataFrame:
-    """Every month from an entity's first sale to `end`, zero where it sold nothing."""
-    known = demand.where((F.col("month") <= F.lit(end)) & F.col("entity").isNotNull())
-    known = known.groupBy("entity", "month").agg(F.sum("units").alias("units"), F.sum("revenue").alias("revenue"))
-    spans = known.groupBy("entity").agg(F.min("month").alias("first"))
-    grid = spans.select("entity", F.explode(F.sequence("first", F.lit(end), F.expr("interval 1 month"))).alias("month"))
-    return grid.join(known, ["entity", "month"], "left").na.fill(0.0, ["units", "revenue"])
+    """The rows of series(): entity, month, units and revenue of every month."""
+    each = series(demand, end, ("units", "revenue")).select("entity", "first", "revenue", F.posexplode("u").alias("_place", "units"))
+    return each.select("entity", F.add_months("first", F.col("_place")).alias("month"), "units", F.get("revenue", "_place").alias("revenue"))
 
 
 def with_products(panel: DataFrame, products: DataFrame) -> DataFrame:
@@ -57,7 +87,9 @@ def with_calendar(panel: DataFrame, months: DataFrame) -> DataFrame:
 
 
 def segment(panel: DataFrame, end: date, rules: Segments = Segments()) -> DataFrame:
-    """DEAD, INTERMITTENT or REGULAR, with the measures it follows from."""
+    """DEAD, INTERMITTENT or REGULAR, with the measures it follows from. panel: rows of build_panel(), or series() up to `end`, which need no grouping."""
+    if "u" in panel.columns:
+        return segmented(panel, end, rules).drop("u", "first")
     sold = F.when(F.col("units") > 0, F.col("units"))
     recent = F.col("month") > F.add_months(F.lit(end), -rules.trailing_months)
     measured = panel.groupBy("entity").agg(
@@ -69,13 +101,41 @@ def segment(panel: DataFrame, end: date, rules: Segments = Segments()) -> DataFr
         F.min("month").alias("first_sale"),
         F.max("month").alias("last_sale"),
     )
-    kind = F.when(F.col("trailing_sum") == 0, "DEAD").when(F.col("zero_ratio") >= rules.zero_ratio, "INTERMITTENT").otherwise("REGULAR")
-    return measured.withColumn("segment", kind)
+    return measured.withColumn("segment", _kind(rules))
+
+
+def _kind(rules: Segments) -> Column:
+    return F.when(F.col("trailing_sum") == 0, "DEAD").when(F.col("zero_ratio") >= rules.zero_ratio, "INTERMITTENT").otherwise("REGULAR")
+
+
+def segmented(rows: DataFrame, end: date, rules: Segments = Segments()) -> DataFrame:
+    """series() up to `end` with their segments and what those follow from, measured within the row."""
+    n = rules.trailing_months
+    out = rows.withColumn("_sold", F.expr("filter(u, x -> x > 0)"))
+    out = out.withColumn("_mean", F.expr("if(size(_sold) > 0, aggregate(_sold, 0D, (a, x) -> a + x) / size(_sold), 0D)"))
+    out = out.select(
+        "entity",
+        "first",
+        "u",
+        F.expr("size(filter(u, x -> x = 0)) / size(u)").alias("zero_ratio"),
+        F.expr("if(size(_sold) > 1, sqrt(aggregate(_sold, 0D, (a, x) -> a + (x - _mean) * (x - _mean)) / size(_sold)) / _mean, null)").alias("cv_nonzero"),
+        F.expr(f"aggregate(slice(u, -least({n}, size(u)), least({n}, size(u))), 0D, (a, x) -> a + x)").alias("trailing_sum"),
+        F.expr("bigint(size(_sold))").alias("active_months"),
+        F.expr("bigint(size(u))").alias("total_months"),
+        F.col("first").alias("first_sale"),
+        F.lit(end).alias("last_sale"),
+    )
+    return out.withColumn("segment", _kind(rules))
+
+
+def parentless(gold: DataFrame, products: DataFrame, parent: str = "color") -> DataFrame:
+    """Rows of skus that have no parent to be allocated from."""
+    return gold.join(products.where(F.col(parent).isNotNull()).select("sku"), "sku", "left_anti")
 
 
 def standalone(gold: DataFrame, products: DataFrame, parent: str = "color") -> DataFrame:
     """Skus that sold but have no parent to be allocated from."""
-    return gold.select("sku").distinct().join(products.where(F.col(parent).isNotNull()).select("sku"), "sku", "left_anti")
+    return parentless(gold.select("sku").distinct(), products, parent)
 
 
 def features(panel: DataFrame, cfg: Features = Features()) -> DataFrame:

@@ -23,11 +23,12 @@ def origins(end: date, folds: Folds) -> list[date]:
     return [date(m // 12, m % 12 + 1, 1) for m in sorted(found)]
 
 
-def walk_forward(panel: DataFrame, end: date, folds: Folds | tuple[Folds, ...]) -> DataFrame:
-    """(entity, horizon, fold, origin, month, step, actual, one column a model).
+def walk_forward(panel: DataFrame, end: date, folds: Folds | tuple[Folds, ...], roster: dict[tuple[str, int], tuple[str, ...]] | None = None) -> DataFrame:
+    """(entity, horizon, fold, origin, month, step, actual, one column a model); with the segment, if the panel has it.
 
     One grouping of the panel to a history a series serves all origins of all horizons: they are literal rows, and each cuts the
-    histories at its place. The calendar bounds a history, and only months of origins are ever computed.
+    histories at its place. The calendar bounds a history, and only months of origins are ever computed. With a roster, models that a row's
+    segment and horizon don't try are null and aren't computed; that needs the segment.
     """
     folds = (folds,) if isinstance(folds, Folds) else folds
     starts = [
@@ -35,31 +36,39 @@ def walk_forward(panel: DataFrame, end: date, folds: Folds | tuple[Folds, ...])
         for f in folds
         for k, o in enumerate(origins(end, f), 1)
     ]
-    rows = histories(panel, first=True).select("entity", "first", F.col("u").alias("whole"), F.explode(F.array(*starts)).alias("o"))
+    known = histories(panel, first=True)
+    kind = ["segment"] if "segment" in known.columns else []
+    rows = known.select("entity", *kind, "first", F.col("u").alias("whole"), F.explode(F.array(*starts)).alias("o"))
     rows = rows.withColumn("age", -months_ago("o.origin", F.col("first")) + 1).where("age >= o.least and age < size(whole)")
-    known = rows.select("entity", "o.horizon", "o.fold", "o.origin", "age", "whole", F.expr("slice(whole, 1, age)").alias("u"))
-    each = stepped(levels(known), F.col("horizon")).withColumn("actual", F.expr("get(whole, age - 1 + step)")).where("actual is not null")
-    return each.select("entity", "horizon", "fold", "origin", F.expr("add_months(origin, step)").alias("month"), "step", "actual", *CV_MODELS)
+    known = rows.select("entity", *kind, "o.horizon", "o.fold", "o.origin", "age", "whole", F.expr("slice(whole, 1, age)").alias("u"))
+    known = levels(known)
+    if roster is not None:
+        known = known.withColumns({m: F.when(in_roster(roster, m), F.col(m)) for m in CV_MODELS if m in known.columns})
+    each = stepped(known, F.col("horizon")).withColumn("actual", F.expr("get(whole, age - 1 + step)")).where("actual is not null")
+    return each.select("entity", *kind, "horizon", "fold", "origin", F.expr("add_months(origin, step)").alias("month"), "step", "actual", *CV_MODELS)
 
 
-def long_form(scored: DataFrame) -> DataFrame:
+def long_form(scored: DataFrame, models: tuple[str, ...] = CV_MODELS) -> DataFrame:
     """One row a model."""
-    return scored.unpivot([c for c in scored.columns if c not in CV_MODELS], list(CV_MODELS), "model", "predicted")
+    return scored.unpivot([c for c in scored.columns if c not in CV_MODELS], list(models), "model", "predicted")
 
 
-def in_roster(roster: dict[tuple[str, int], tuple[str, ...]] = ROSTER) -> Column:
-    """Whether a row's model is one of those that its segment and horizon try."""
-    tried = F.array(*(F.lit(f"{segment}/{horizon}/{model}") for (segment, horizon), models in roster.items() for model in models))
-    return F.array_contains(tried, F.concat_ws("/", "segment", F.col("horizon").cast("string"), "model"))
+def in_roster(roster: dict[tuple[str, int], tuple[str, ...]] = ROSTER, model: str | None = None) -> Column:
+    """Whether a row's model (the column's, unless one is named) is one of those that its segment and horizon try."""
+    tried = F.array(*(F.lit(f"{segment}/{horizon}/{m}") for (segment, horizon), models in roster.items() for m in models))
+    return F.array_contains(tried, F.concat_ws("/", "segment", F.col("horizon").cast("string"), F.col("model") if model is None else F.lit(model)))
 
 
 def tried(rows: DataFrame, segments: DataFrame, roster: dict[tuple[str, int], tuple[str, ...]] | None = ROSTER, more: DataFrame | None = None) -> DataFrame:
     """Rows of walk_forward() in long form with their segment, of the roster's models (of all without a roster).
 
+    Rows that have their segment already aren't joined, and rows of models that nobody tries are never made.
+
     more: rows (entity, fold, origin, month, step, actual, horizon, model, predicted) of learnt models, taken where LEARNT asks for them.
     """
     kinds = segments.select("entity", "segment")
-    joined = long_form(rows).join(kinds, "entity")
+    models = CV_MODELS if roster is None else tuple(m for m in CV_MODELS if any(m in names for names in roster.values()))
+    joined = long_form(rows if "segment" in rows.columns else rows.join(kinds, "entity"), models)
     if roster is not None:
         joined = joined.where(in_roster(roster))
     if more is not None:
@@ -69,10 +78,10 @@ def tried(rows: DataFrame, segments: DataFrame, roster: dict[tuple[str, int], tu
 
 
 def cv_metrics(panel: DataFrame, segments: DataFrame, end: date, folds: tuple[Folds, ...] = FOLDS, roster: dict[tuple[str, int], tuple[str, ...]] | None = ROSTER, more: DataFrame | None = None) -> DataFrame:
-    """Errors of tried() models by model, horizon, segment and fold."""
+    """Errors of tried() models by model, horizon, segment and fold. Every series that an origin scores is scored one step ahead, once."""
     a, p = F.col("actual"), F.col("predicted")
-    rows = tried(walk_forward(panel, end, folds), segments, roster, more)
-    return rows.groupBy("model", "horizon", "segment", "fold", "origin").agg(rmse(a, p).alias("rmse"), mae(a, p).alias("mae"), mape(a, p).alias("mape"), wmape(a, p).alias("wmape"), F.count_distinct("entity").alias("n_entities"), F.count("*").alias("n_rows"))
+    rows = tried(walk_forward(panel, end, folds, roster if "segment" in panel.columns else None), segments, roster, more)
+    return rows.groupBy("model", "horizon", "segment", "fold", "origin").agg(rmse(a, p).alias("rmse"), mae(a, p).alias("mae"), mape(a, p).alias("mape"), wmape(a, p).alias("wmape"), F.count_if(F.col("step") == 1).alias("n_entities"), F.count("*").alias("n_rows"))
 
 
 def best_models(metrics: DataFrame) -> DataFrame:

@@ -24,19 +24,28 @@ def child_sums(demand: DataFrame, children: DataFrame, end: date, cfgs: Iterable
     """(parent, child, units and whether sold in each stretch of months, the parent's months with sales in each window).
 
     demand: child, month, units (sparse); children: parent, child, unique by child. The stretches are bounded by the windows and recency steps of
-    all settings, so any of them follows from these sums; skewed parents are pre-aggregated by child before anything is joined.
+    all settings, so any of them follows from these sums; demand is aggregated by child before anything is joined. A child's months with sales are
+    bits, by the months they are ago, so a parent's are their union.
     """
     cfgs = list(cfgs)
-    known = demand.where(F.col("month") <= F.lit(end)).join(children, "child")
+    known = demand.where(F.col("month") <= F.lit(end))
     ago = months_ago("month", F.lit(end))
     stretches = []
     for low, high in _stretches(cfgs):
         inside = (ago >= low) & (ago <= high) if high is not None else ago >= low
         stretches += [F.sum(F.when(inside, F.col("units")).otherwise(0.0)).alias(f"u{low}"), F.max(inside.cast("int")).alias(f"s{low}")]
-    by_child = known.groupBy("parent", "child").agg(*stretches)
     windows = sorted({c.window for c in cfgs})
-    months = known.where(ago < windows[-1]).groupBy("parent").agg(*(F.count_distinct(F.when(ago < w, F.col("month"))).alias(f"m{w}") for w in windows))
-    return children.join(by_child, ["parent", "child"], "left").join(months, "parent", "left")
+    blocks = range(0, windows[-1], 60)
+    bits = [F.bit_or(F.when((ago >= b) & (ago < b + 60), F.call_function("shiftleft", F.lit(1).cast("long"), ago - b)).otherwise(0)).alias(f"_bits{b}") for b in blocks]
+    by_child = known.groupBy("child").agg(*stretches, *bits)
+    w = Window.partitionBy("parent")
+
+    def months(window: int) -> Column:
+        within = [(b, (1 << min(60, window - b)) - 1) for b in blocks if window > b]
+        return sum((F.bit_count(F.coalesce(F.bit_or(f"_bits{b}").over(w), F.lit(0)).bitwiseAND(F.lit(mask))) for b, mask in within), F.lit(0))
+
+    joined = children.join(by_child, "child", "left")
+    return joined.withColumns({f"m{n}": months(n) for n in windows}).drop(*(f"_bits{b}" for b in blocks))
 
 
 def _stretches(cfgs: list[Shares]) -> list[tuple[int, int | None]]:

@@ -77,6 +77,7 @@ def holdout_months(spark, d):
 
 
 @c.query(sql(f"select variant, step, month, count(*) as n, {c.FLOOR1} from (" + " union all ".join(f"select '{v}' as variant, * from {c.scored_sql(**a)}" for v, a in c.VARIANT_ARGS.items()) + ") group by all", *c.SCORE_NEEDS))
+@c.once
 def same_population(spark, d):
     return c.rounded(score.same_population(c.variants_scored(spark, d, shares.VARIANTS)).select("variant", "step", "month", "n", "wmape"))
 
@@ -89,6 +90,7 @@ PIVOT = " , ".join(f"round(max(wmape) filter (month = date '2001-0{7 + s}-01'),
     from {c.scored_sql(**args)} join products using (sku)
     group by all)
     group by month""" for v, args in c.VARIANT_ARGS.items() for e in ("sku", "color", "style")) + ") group by variant, level", *c.SCORE_NEEDS))
+@c.once
 def variant_levels(spark, d):
     """WMAPE of variants by level, the months side by side."""
     rows = c.variants_scored(spark, d, shares.VARIANTS).join(retail.dim_product(spark, d).select("sku", "color", "style"), "sku")
@@ -103,6 +105,7 @@ LOWEST = f"(select * from (select *, row_number() over (partition by sku, month
 
 
 @c.query(sql(f"select month, count(*) as n, round(sum(actual), 4) as actual, round(sum(predicted), 4) as predicted, {c.FLOOR1} from {LOWEST} group by month", *c.SCORE_NEEDS))
+@c.once
 def error_lowest_step(spark, d):
     rows = score.lowest_step(c.sku_scored(spark, d))
     return c.rounded(rows.groupBy("month").agg(F.count("*").alias("n"), F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"), (F.sum("abs_error") * 100 / F.greatest(F.lit(1.0), F.sum("actual"))).alias("wmape")))
@@ -127,6 +130,7 @@ CV_SOLID = f"(select * from {c.CV_FACTORS} where evidence <> 'NONE')"
     where not exists (select 1
     from {CV_SOLID} s
     where s.entity = h.entity and s.horizon = h.horizon))""", "panel_style", "demand_style"))
+@c.once
 def calib_merged(spark, d):
     """Factors from validation where it has evidence for the key, from history for the others."""
     first = c.cv_factors(spark, d).where("evidence <> 'NONE'").withColumn("source", F.lit("validation"))
@@ -139,6 +143,7 @@ def calib_merged(spark, d):
     from {c.STYLE_FC} f
     left join (select horizon, case when accepted = 1 then factor else 1 end as factor
     from {c.GLOBAL_SQL}) t on t.horizon = f.step""", "panel_style", "forecast_style", "demand_style"))
+@c.once
 def calib_apply_global(spark, d):
     f = c.parent_forecast(spark, d).withColumnRenamed("parent", "entity").withColumns({"horizon": F.col("step"), "model_version": F.lit(c.MODEL_VERSION)})
     return c.rounded(calibrate.apply_factors(f, c.gated(spark, d), ["horizon"], "+global", factor="applied_factor").select("entity", "month", "step", "units", "calibration_factor", "model_version"))
@@ -148,6 +153,7 @@ def calib_apply_global(spark, d):
     from {c.sku_alloc_sql()} a
     left join products p on p.sku = a.child
     group by all""", *c.ALLOC_NEEDS))
+@c.once
 def production_filled(spark, d):
     """Attributes of production rows: what the forecast lacks comes from the product dimension, else UNKNOWN."""
     f = c.sku_alloc(spark, d).withColumnRenamed("child", "sku").withColumns({"style": F.lit(None).cast("string"), "color": F.when(F.col("step") == 1, F.col("parent"))})
@@ -156,6 +162,7 @@ def production_filled(spark, d):
 
 
 @c.query(sql(f"select horizon, source, count(*) as n, round(sum(predicted), 4) as predicted, round(sum(actual), 4) as actual from {c.EVIDENCE_SQL} group by all", "panel_style", "forecast_style", "demand_style"))
+@c.once
 def calib_global_evidence(spark, d):
     """What the global factors rest on."""
     rows = calibrate.global_evidence(c.tested(spark, d), c.gate_rows(spark, d), c.CAL.holdout[0])

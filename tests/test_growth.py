@@ -3,9 +3,12 @@
 import datetime
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from weftline.operators import baselines, etl, panel, selection, shares
+from weftline.config import Folds
+from weftline.operators import baselines, etl, ml, panel, selection, shares
 from weftline.plans import catalog
 from weftline.sources import retail, sinks
 
@@ -96,3 +99,21 @@ def test_months_with_sales_beyond_sixty(spark):
     ago = {(2001 - m.year) * 12 + 7 - m.month for m in months if m <= END}
     for w in (6, 60, 61, 100):
         assert found["p"][f"m{w}"] == sum(a < w for a in ago) and not found["q"][f"m{w}"]
+
+
+def test_folds_learn_from_as_many_partitions_as_rows_need(spark, monkeypatch):
+    """Every tree runs jobs over all partitions: a small table must not have one for each of the shuffle's."""
+    seen = []
+
+    def learnt(name, rows, *args):
+        seen.append(rows.rdd.getNumPartitions())
+        return PipelineModel([SQLTransformer(statement="select *, lag_1 as prediction from __THIS__")])
+
+    monkeypatch.setattr(ml, "train", learnt)
+    p = catalog.dense(spark, SF, "style")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert ml.walk_forward("gbt", p, END, Folds(3, 2, 3, 24)).count() > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(seen) == 2 and max(seen) <= 4

@@ -17,6 +17,7 @@ from weftline.config import HISTORY, INPUTS, Adjustments, Features, Folds
 from weftline.functions import let
 from weftline.operators import baselines
 from weftline.operators.selection import origins
+from weftline.sources.sinks import kept
 
 TREES = {"gbt": 100, "random_forest": 300}
 UNKNOWN = "UNKNOWN"
@@ -130,11 +131,11 @@ def recursion(model: Transformer, histories: DataFrame, horizon: int, steps: int
     last three months, if that isn't 0. Reports and the history that is fed are apart in the state. The trail tells which of the two rules changed a value.
     """
     steps = steps or horizon
-    kept = histories.columns
+    own = histories.columns
     none = F.array().cast("array<double>")
     now = histories.withColumns({"_reported": none, "_trails": F.array().cast(f"array<{baselines.TRAIL}>")})
     for step in range(1, steps + 1):
-        predicted = model.transform(now.withColumns(inputs())).select(*kept, "_reported", "_trails", F.greatest("prediction", F.lit(0.0)).alias("_raw"))
+        predicted = model.transform(now.withColumns(inputs())).select(*own, "_reported", "_trails", F.greatest("prediction", F.lit(0.0)).alias("_raw"))
         previous = F.coalesce(F.try_element_at("_reported", F.lit(-1)), F.try_element_at("u", F.lit(-1)))
         mean_3 = F.expr("if(size(u) > 0, aggregate(slice(u, -least(3, size(u)), least(3, size(u))), 0D, (a, x) -> a + x) / least(3, size(u)), 0D)")
 
@@ -150,7 +151,7 @@ def recursion(model: Transformer, histories: DataFrame, horizon: int, steps: int
         raw, units, back = (F.get("_path", F.lit(k)) for k in range(3))
         entries = [F.struct(F.lit(rule).alias("rule"), a.alias("before"), b.alias("after")) for rule, a, b in (("guardrail", raw, units), ("feedback", units, back))]
         trail = F.filter(F.array(*entries), lambda e: e["before"] != e["after"]).cast(baselines.TRAIL)
-        now = predicted.withColumns({"_reported": F.concat("_reported", F.array(units)), "_trails": F.concat("_trails", F.array(trail)), "u": F.concat("u", F.array(back))}).select(*kept, "_reported", "_trails")
+        now = predicted.withColumns({"_reported": F.concat("_reported", F.array(units)), "_trails": F.concat("_trails", F.array(trail)), "u": F.concat("u", F.array(back))}).select(*own, "_reported", "_trails")
     each = now.select("entity", F.posexplode(F.arrays_zip(F.col("_reported").alias("units"), F.col("_trails").alias("trail"))).alias("place", "r"))
     return each.select("entity", (F.col("place") + 1).alias("step"), "r.units", "r.trail")
 
@@ -182,12 +183,12 @@ def dispatched(forecasts: DataFrame, histories: DataFrame, segments: DataFrame,
 def walk_forward(name: str, panel: DataFrame, end: date, folds: Folds, attributes: DataFrame | None = None, iterations: int | None = None) -> DataFrame:
     """(entity, fold, origin, month, step, actual, horizon, model, predicted): a model of each fold, learnt from what was known at its origin.
 
-    Features look only back, so one table of them serves all origins, each of which learns from its months; it is kept while the folds learn, at
-    most AT_ONCE at a time, in threads of this session. Forecasts feed on themselves as in production, and never see a month after their origin.
+    Features look only back, so one table of them serves all origins, each of which learns from its months; it is written, so that it has as many
+    partitions as its size asks for (every job of a tree runs over all of them), and stays in memory while the folds learn, at most AT_ONCE at a time, in threads of this session. Forecasts feed on themselves as in production, and never see a month after their origin.
     """
     categories = tuple(c for c in attributes.columns if c != "entity") if attributes is not None else ()
     whole = state(panel, attributes)
-    rows = training_rows(whole, folds.horizon).persist()
+    rows = kept(training_rows(whole, folds.horizon), "training").persist()
     starts = list(enumerate(origins(end, folds), 1))
 
     def learn(origin: date) -> PipelineModel:
@@ -222,7 +223,7 @@ def run(panel: DataFrame, segments: DataFrame, best: DataFrame, attributes: Data
     paths = {}
     for row in wanted.where(F.col("best_model").isin(*TREES)).select("segment", "best_model").collect():
         own = segments.where(F.col("segment") == row["segment"]).select("entity")
-        rows = training_rows(whole.join(own, "entity", "left_semi"), horizon)
+        rows = kept(training_rows(whole.join(own, "entity", "left_semi"), horizon), "training")
         paths |= save_models({(row["best_model"], horizon): train(row["best_model"], rows, horizon, categories, iterations)}, folder)
     models = load_models(paths, horizon)
     return dispatched(baselines.forecast(panel, end, horizon), whole, segments, wanted, models, horizon, cfg)

@@ -128,3 +128,8 @@ def test_folds_learn_from_as_many_partitions_as_rows_need(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert len(seen) == 2 and max(seen) <= 4
+
+
+def test_shares_are_not_broadcast(spark):
+    """The size of exploded variants is guessed from the products' file."""
+    assert "Broadcast" not in plan(catalog.variant_alloc(spark, SF, shares.weight_grid()))

@@ -200,7 +200,8 @@ def weight_grid() -> dict[str, Shares]:
 def allocate(forecasts: DataFrame, shares: DataFrame) -> DataFrame:
     """Parents' forecasts times their children's shares. forecasts: parent, month, step, units, lower, upper; shares may come in variants."""
     variant = ["variant"] if "variant" in shares.columns else []
-    joined = forecasts.join(shares.select(*variant, "parent", "child", "share"), "parent", "left")
+    # Forecasts have a row a parent and month, shares one a child and variant, though their size is guessed small: these must not be broadcast.
+    joined = forecasts.hint("shuffle_hash").join(shares.select(*variant, "parent", "child", "share"), "parent", "left")
     share = F.coalesce("share", F.lit(0.0))
     values = {c: settled(F.greatest(F.col(c) * share, F.lit(0.0))) for c in ("units", "lower", "upper")}
     return joined.select(*variant, "parent", "child", "month", "step", *(v.alias(c) for c, v in values.items()))

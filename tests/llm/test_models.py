@@ -435,3 +435,34 @@ def test_toxicity_stretches():
         for d, w, p in found:
             assert length[d].sum() == w.stop - w.start and all(w.start < x < w.stop for x in at[p])
     assert op7_toxicity.stretches(np.array([0, 0]), np.empty(0, np.int64)) == [(slice(0, 2), slice(0, 0), slice(0, 0))]
+
+
+def test_toxicity_leaves_no_shuffles(spark, docs, texts, monkeypatch):
+    """What a step has shuffled is gone when the next one begins, and blocks that ask in turn are judged as all at once."""
+    monkeypatch.setattr(op7_toxicity, "BLOCK_WORDS", 500)
+    labels = spark.createDataFrame([(i, k % 2) for k, (i, _) in enumerate(texts)], "doc_id long, toxic int")
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f.getName() for f in iter(lambda i=disk.getAllFiles().iterator(): i.next() if i.hasNext() else None, None) if f.getName().startswith("shuffle_")}
+
+    found, left, write = [], set(), op7_toxicity.written
+    before = shuffled()
+
+    def counting(df, label):
+        out = write(df, label)
+        left.update(shuffled() - before)
+        return out
+
+    monkeypatch.setattr(op7_toxicity, "written", counting)
+    for waves in (1, 4):
+        monkeypatch.setattr(op7_toxicity, "WAVES", waves)
+        found.append(sorted((r["text_key"], round(r["score"], 9)) for r in op7_toxicity.learnt(docs, labels)[1].collect()))
+    assert not left and found[0] == found[1] and len(found[0]) == len(texts)
+
+
+def test_toxicity_blocks_come_back_whole():
+    """Words in groups about as common, by their distances."""
+    keys = [np.array([2**63 + 5, 7, 7, 2**64 - 1, 7, 3], "u8"), np.array([], "u8"), np.array([3, 0], "u8")]
+    s = op7_toxicity.Sequences.read(op7_toxicity._block([(1, 1, -4), (2, 1, 5), (0, 0, 6)], keys))
+    assert s.vocabulary[s.code].tolist() == np.concatenate(keys).tolist() and s.length.tolist() == [6, 0, 2] and s.text_key.tolist() == [-4, 5, 6]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,20 @@ def written(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SWEEPING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile what a job has shuffled leaves the disk when the job ends, not when the driver's memory is cleaned. For steps that are written one after another."""
+    before = spark.conf.get(SWEEPING, None)
+    spark.conf.set(SWEEPING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SWEEPING) if before is None else spark.conf.set(SWEEPING, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

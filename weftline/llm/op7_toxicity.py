@@ -28,6 +28,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucketed, held_out, written
+from .common import bucketed, held_out, swept, written
 from .packing import from_steps, packed, steps, unpacked
 
 MOST = {0: 4000, 1: 2000}  # rows of each class that the logistic curve is fitted on; the counts come from all rows
@@ -47,6 +48,7 @@ TRUSTED, TRUSTED_PAIRS = 3.0, 10.0  # contexts at which a word's, and uses at wh
 BLOCK_WORDS = 1_000_000  # of the documents of a block; a longer document is a block of its own
 STRETCH_WORDS = 200_000  # of a block that are judged at once
 BUCKET_ENTRIES = 1_000_000  # that a bucket's task has at once, about
+WAVES = 3  # in which blocks ask, so that only a part of the questions and answers is on disk at a time
 SPARE = 12
 CACHED_WORDS = 500_000
 LOW32 = np.uint64(0xFFFFFFFF)
@@ -106,6 +108,7 @@ class Sequences:
     def read(data: bytes, labels: list | None = None) -> "Sequences":
         """labels: (doc_id, label) of the rows to learn from. Equal texts are in one half."""
         doc_id, known_id, text_key, length, vocabulary, code = unpacked(data)
+        vocabulary = from_steps(vocabulary)
         doc_id, known_id, kind = doc_id.view(np.int64), known_id.astype(bool), np.zeros(len(doc_id), np.int64)
         if labels is not None and len(labels):
             of = {r["doc_id"]: r["label"] for r in labels}
@@ -127,11 +130,11 @@ class Sequences:
 def _block(rows: list[tuple], keys: list[np.ndarray]) -> bytes:
     every = np.concatenate(keys) if keys else np.empty(0, "u8")
     vocabulary, code, uses = np.unique(every, return_inverse=True, return_counts=True)
-    order = np.argsort(-uses, kind="stable")  # common words get small numbers
+    order = np.argsort(-np.frexp(uses)[1], kind="stable")  # common words get small numbers; words about as common stay sorted, with short distances (that wrap between the groups)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     ids, known, text_key = (np.array(c, np.int64).view("u8") for c in zip(*rows))
-    return packed(ids, known, text_key, np.array([len(k) for k in keys]), vocabulary[order], place[code])
+    return packed(ids, known, text_key, np.array([len(k) for k in keys]), steps(vocabulary[order]), place[code])
 
 
 BLOCK = "block long, n long, ids array<long>, data binary"
@@ -289,7 +292,7 @@ def counted(blocks: DataFrame) -> Tables | None:
 
     shape = "bucket int, n long, spread array<long>, data binary"
     entries = blocks.where("labels is not null").select("block", "data", "labels").mapInPandas(emit, ENTRIES)
-    pairs_and_words = written(_dealt(entries, buckets).groupBy("bucket").applyInPandas(add_pairs, "kind int, " + shape), "toxicity-pairs")
+    pairs_and_words = bucketed(_dealt(entries, buckets).groupBy("bucket").applyInPandas(add_pairs, "kind int, " + shape), "bucket", max(1, min(buckets, 20_000)), "toxicity_pairs")  # asked bucket by bucket
     pairs = pairs_and_words.where(F.col("kind") == PAIRS)
     sums = {PAIRS: _sums(pairs, "spread")}
 
@@ -434,31 +437,32 @@ def stretches(length: np.ndarray, at: np.ndarray) -> list[tuple[slice, slice, sl
 def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
     """(doc_id, text_key, label, A_WORD and FEATURES by all rows, half_ + FEATURES by the rows of the other half) of all documents of the blocks.
 
-    label is null where a row is not to be learnt from. A block asks the buckets for its different n-grams; they answer in the order of the question.
+    label is null where a row is not to be learnt from. A block asks the buckets for its different n-grams; they answer in the order of the question,
+    with which n-grams they know and the counts of these.
     """
     n_buckets, spare, bits = tables.n_buckets, np.uint64(64 - tables.bits), tables.bits
 
-    def questions(s: Sequences) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def questions(s: Sequences, kinds: tuple[int, ...]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """By kind: different keys in order, their buckets, and the place of each pair or word among them."""
-        _, pair = s.pairs()
         found = {}
-        for kind, keys in ((PAIRS, mixed(pair) >> spare), (WORDS, s.vocabulary & LOW32), (PREFIXES, s.vocabulary >> HALF)):
+        for kind in kinds:
+            keys = mixed(s.pairs()[1]) >> spare if kind == PAIRS else s.vocabulary & LOW32 if kind == WORDS else s.vocabulary >> HALF
             different, index = np.unique(keys, return_inverse=True)
             found[kind] = different, share(different, bits, n_buckets[kind]) if kind == PAIRS else (different % np.uint64(n_buckets[kind])).astype(np.int64), index
         return found
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for block, data in zip(batch["block"], batch["data"]):
-                for kind, (keys, bucket, _) in questions(Sequences.read(data)).items():
-                    yield pd.DataFrame(_cut(block, kind, bucket, [keys]), columns=["kind", "bucket", "block", "data"])
+    def asked(kinds: tuple[int, ...]) -> DataFrame:
+        def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for block, data in zip(batch["block"], batch["data"]):
+                    for kind, (keys, bucket, _) in questions(Sequences.read(data), kinds).items():
+                        yield pd.DataFrame(_cut(block, kind, bucket, [keys]), columns=["kind", "bucket", "block", "data"])
 
-    asked = blocks.select("block", "data").mapInPandas(ask, ENTRIES)
+        return blocks.select("block", "data").mapInPandas(ask, ENTRIES)
 
     def told(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for kind in np.unique(right["kind"]):
-            width = WIDTH[kind]
             rows = [unpacked(d) for d in left.loc[left["kind"] == kind, "data"]]
             if not rows:
                 continue
@@ -470,13 +474,18 @@ def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
             for block, bucket, data in right.loc[right["kind"] == kind, ["block", "bucket", "data"]].itertuples(index=False):
                 wanted = from_steps(unpacked(data)[0])
                 at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                found = np.where((keys[at] == wanted)[:, None], counts[at], 0) if len(keys) else np.zeros((len(wanted), width), "u8")
-                out.append((int(kind), bucket, block, packed(*found.T)))
+                known = keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
+                out.append((int(kind), bucket, block, packed(known, *counts[at[known]].T)))
         return pd.DataFrame(out, columns=["kind", "bucket", "block", "data"])
 
-    listed = [table.select(F.lit(kind).alias("kind"), "bucket", "data") for kind, table in tables.tables.items()]
-    listed = listed[0].unionByName(listed[1]).unionByName(listed[2])
-    answers = _dealt(listed, n_buckets[PAIRS]).groupBy("bucket").cogroup(_dealt(asked, n_buckets[PAIRS]).groupBy("bucket")).applyInPandas(told, ENTRIES)
+    def answered(kinds: tuple[int, ...]) -> DataFrame:
+        n = n_buckets[kinds[0]]
+        listed = reduce(DataFrame.unionByName, (tables.tables[kind].select(F.lit(kind).alias("kind"), "bucket", "data") for kind in kinds))
+        if kinds != (PAIRS,):  # pairs lie in buckets already
+            listed = _dealt(listed, n)
+        return listed.groupBy("bucket").cogroup(_dealt(asked(kinds), n).groupBy("bucket")).applyInPandas(told, ENTRIES)
+
+    answers = answered((PAIRS,)).unionByName(answered((WORDS, PREFIXES)))
     by_rows_levels = {rows: {kind: tables.levels[kind, rows] for kind in WIDTH} for rows in (ALL_ROWS, *HALVES)}
     usable = [rows for rows in HALVES if all((level.total > 0).all() for level in by_rows_levels[rows].values())]
     different = tables.different
@@ -486,12 +495,13 @@ def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
         for data, labels in zip(left["data"], left["labels"]):
             s = Sequences.read(data, labels)
             counts = {}
-            for kind, (keys, bucket, index) in questions(s).items():
+            for kind, (keys, bucket, index) in questions(s, (PAIRS, WORDS, PREFIXES)).items():
                 found = np.zeros((len(keys), WIDTH[kind]), np.int64)
                 order = np.argsort(bucket, kind="stable")
                 ends = np.searchsorted(bucket[order], np.arange(n_buckets[kind] + 1))
                 for b, answer in right.loc[right["kind"] == kind, ["bucket", "data"]].itertuples(index=False):
-                    found[order[ends[b] : ends[b + 1]]] = np.stack(unpacked(answer), axis=1)
+                    known, *columns = unpacked(answer)
+                    found[order[ends[b] : ends[b + 1]][known.astype(bool)]] = np.stack(columns, axis=1)
                 counts[kind] = found[index]
             at, _ = s.pairs()
             uses, values, begun = counts[PAIRS].reshape(-1, 2, 2), counts[WORDS].reshape(-1, 2, 8), counts[PREFIXES].reshape(-1, 2, 3)
@@ -558,12 +568,14 @@ def fitted_curve(features: DataFrame, most: dict[int, int] | None = None) -> np.
 
 def learnt(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None) -> tuple[Model | None, DataFrame]:
     """The model of all labelled rows, and what it says about every document: (doc_id, text_key, score, A_WORD)."""
-    blocks = labelled(sequenced(docs), labels)
-    tables = counted(blocks)
-    if tables is None:
-        return None, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key"), F.lit(0.0).alias("score"), *(F.lit(0.0).alias(c) for c in A_WORD))
-    features = written(judged(blocks, tables), "toxicity-features")
-    model = Model(tables, fitted_curve(features, most))
+    with swept(docs.sparkSession):
+        blocks = labelled(sequenced(docs), labels)
+        tables = counted(blocks)
+        if tables is None:
+            return None, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key"), F.lit(0.0).alias("score"), *(F.lit(0.0).alias(c) for c in A_WORD))
+        waves = [blocks.where(F.pmod(F.xxhash64("block"), F.lit(WAVES)) == k) for k in range(WAVES)]
+        features = reduce(DataFrame.unionByName, [written(judged(wave, tables), "toxicity-features") for wave in waves])
+        model = Model(tables, fitted_curve(features, most))
     return model, scored(features, model)
 
 

@@ -466,3 +466,14 @@ def test_toxicity_blocks_come_back_whole():
     keys = [np.array([2**63 + 5, 7, 7, 2**64 - 1, 7, 3], "u8"), np.array([], "u8"), np.array([3, 0], "u8")]
     s = op7_toxicity.Sequences.read(op7_toxicity._block([(1, 1, -4), (2, 1, 5), (0, 0, 6)], keys))
     assert s.vocabulary[s.code].tolist() == np.concatenate(keys).tolist() and s.length.tolist() == [6, 0, 2] and s.text_key.tolist() == [-4, 5, 6]
+
+
+def test_toxicity_evidence_by_sorting():
+    """The top words against plain sorting: equal values, few words, none."""
+    rng = np.random.default_rng(4)
+    length = np.array([0, 1, 2, 3, 40, 0, 7, 5, 0])
+    r = rng.integers(-3, 3, length.sum()).astype(float)
+    parts = np.split(r, np.cumsum(length)[:-1])
+    assert op7_toxicity.evidence(r, length)[:, 3] == pytest.approx([np.mean(sorted(p)[-op7_toxicity.TOP :]) if len(p) else 0.0 for p in parts])
+    keys = rng.integers(0, 50, 99).astype("u8")
+    assert op7_toxicity._different(keys).tolist() == sorted(set(keys.tolist())) and len(op7_toxicity._different(keys[:0])) == 0

@@ -89,6 +89,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _different(keys: np.ndarray) -> np.ndarray:
+    """Sorted different keys; np.unique() takes four times as long for so many."""
+    keys = np.sort(keys)
+    return keys[np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))] if len(keys) else keys
+
+
 # Documents as blocks of numbered words.
 
 
@@ -277,7 +283,7 @@ def counted(blocks: DataFrame) -> Tables | None:
                 different, index = np.unique(pair, return_inverse=True)
                 uses = np.bincount(index * 4 + kind[at] - 1, minlength=4 * len(different)).reshape(-1, 4)
                 out = _cut(block, PAIRS, share(mixed(different), 64, buckets), [different, *uses.T])
-                spelled = s.vocabulary[np.unique(s.code[kind > 0])]
+                spelled = s.vocabulary[np.flatnonzero(np.bincount(s.code[kind > 0], minlength=len(s.vocabulary)))]
                 spelled = spelled[np.unique(spelled & LOW32, return_index=True)[1]]
                 out += _cut(block, SPELLED, (spelled & LOW32).astype(np.int64) % buckets, [spelled & LOW32, spelled >> HALF])
                 yield pd.DataFrame(out, columns=["kind", "bucket", "block", "data"])
@@ -377,14 +383,16 @@ def likelihoods(s: Sequences, at: np.ndarray, uses: np.ndarray, values: np.ndarr
     level = levels[WORDS]
     own, single = _smoothed(values[:, :, rows].astype(float), level, different[WORDS])
     by_word = own[s.code]
+    both = uses.sum(1)
+    known = np.flatnonzero(both > 0)  # other pairs change nothing
+    at, uses, both = at[known], uses[known], both[known]
     if len(at):
         before, word = s.code[at - 1], s.code[at]
         n = values[:, :, 3] + values[:, :, 4] if rows == ALL_ROWS else values[:, :, 2 + rows]
         n, after, d = n[before].astype(float), values[:, :, 5 + rows][before].astype(float), levels[PAIRS].discount
         left = (d * after + 1) / (n + 1)  # one more for a word that was never seen before another
-        both = uses.sum(1)
         p = np.maximum(uses - d, 0) / (n + 1) + left * (both[:, None] / (n.sum(1) + 2)[:, None] + single[word]) / 2
-        by_word[at] += np.where(both[:, None] > 0, np.log(p / level.freed) - by_word[at], 0.0) * _trust(both, TRUSTED_PAIRS)[:, None]
+        by_word[at] += (np.log(p / level.freed) - by_word[at]) * _trust(both, TRUSTED_PAIRS)[:, None]
     by_beginning, _ = _smoothed(begun[:, :, rows].astype(float), levels[PREFIXES], different[PREFIXES])
     return np.stack([by_word, by_beginning[s.code]])
 
@@ -420,9 +428,13 @@ def evidence(r: np.ndarray, length: np.ndarray) -> np.ndarray:
         fits = place + width <= size[doc]
         end = np.minimum(np.arange(len(r)) + width, len(r))
         out[has, column] = np.maximum.reduceat(np.where(fits, (sums[end] - sums[:-1]) / width, -np.inf), start)
-    order = np.lexsort((-r, doc))
-    best = np.where(place < TOP, r[order], 0.0)  # places count on, as documents keep their stretches in this order
-    out[has, 3] = np.add.reduceat(best, start) / np.minimum(TOP, size)
+    rest = r.copy()
+    for k in range(TOP):  # the largest that is left, of each document that has so many words
+        best = np.maximum.reduceat(rest, start)
+        out[has, 3] += np.where(k < size, best, 0.0)
+        at = np.flatnonzero(rest == best[doc])
+        rest[at[np.diff(doc[at], prepend=-1) > 0]] = -np.inf  # one of equal ones
+    out[has, 3] /= np.minimum(TOP, size)
     return out
 
 
@@ -442,12 +454,12 @@ def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
     """
     n_buckets, spare, bits = tables.n_buckets, np.uint64(64 - tables.bits), tables.bits
 
-    def questions(s: Sequences, kinds: tuple[int, ...]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """By kind: different keys in order, their buckets, and the place of each pair or word among them."""
+    def questions(s: Sequences, kinds: tuple[int, ...], places: bool = False) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+        """By kind: different keys in order, their buckets, and, if asked, the place of each pair or word among them."""
         found = {}
         for kind in kinds:
             keys = mixed(s.pairs()[1]) >> spare if kind == PAIRS else s.vocabulary & LOW32 if kind == WORDS else s.vocabulary >> HALF
-            different, index = np.unique(keys, return_inverse=True)
+            different, index = np.unique(keys, return_inverse=True) if places else (_different(keys), None)
             found[kind] = different, share(different, bits, n_buckets[kind]) if kind == PAIRS else (different % np.uint64(n_buckets[kind])).astype(np.int64), index
         return found
 
@@ -495,7 +507,7 @@ def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
         for data, labels in zip(left["data"], left["labels"]):
             s = Sequences.read(data, labels)
             counts = {}
-            for kind, (keys, bucket, index) in questions(s, (PAIRS, WORDS, PREFIXES)).items():
+            for kind, (keys, bucket, index) in questions(s, (PAIRS, WORDS, PREFIXES), places=True).items():
                 found = np.zeros((len(keys), WIDTH[kind]), np.int64)
                 order = np.argsort(bucket, kind="stable")
                 ends = np.searchsorted(bucket[order], np.arange(n_buckets[kind] + 1))
@@ -507,21 +519,23 @@ def judged(blocks: DataFrame, tables: Tables) -> DataFrame:
             uses, values, begun = counts[PAIRS].reshape(-1, 2, 2), counts[WORDS].reshape(-1, 2, 8), counts[PREFIXES].reshape(-1, 2, 3)
             columns = {"id": s.doc_id, "known": s.known_id, "text_key": s.text_key, "kind": s.kind}
 
-            def features(rows: int) -> tuple[np.ndarray, np.ndarray]:
+            def features(rows: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                doc = np.repeat(chosen, s.length)
+                mine, length, code, use = (np.cumsum(doc) - 1)[at[doc[at]]], s.length[chosen], s.code[doc], uses[doc[at]]
                 found = []
-                for docs, words_, pairs_ in stretches(s.length, at):
-                    own = uses[pairs_].sum(2) if rows == ALL_ROWS else uses[pairs_, :, rows - 1]
-                    part = replace(s, code=s.code[words_], length=s.length[docs])
-                    of_words = likelihoods(part, at[pairs_] - words_.start, own, values, begun, by_rows_levels[rows], different, rows)
+                for docs, words_, pairs_ in stretches(length, mine):
+                    own = use[pairs_].sum(2) if rows == ALL_ROWS else use[pairs_, :, rows - 1]
+                    part = replace(s, code=code[words_], length=length[docs])
+                    of_words = likelihoods(part, mine[pairs_] - words_.start, own, values, begun, by_rows_levels[rows], different, rows)
                     found.append(np.hstack([per_word(of_words[0], part.length), *(evidence(l[:, 1] - l[:, 0], part.length) for l in of_words)]))
                 found = np.vstack(found)
                 return found[:, :2], found[:, 2:]
 
-            (a_word, whole), other = features(ALL_ROWS), np.full((len(s.kind), len(FEATURES)), np.nan)
+            (a_word, whole), other = features(ALL_ROWS, np.ones(len(s.kind), bool)), np.full((len(s.kind), len(FEATURES)), np.nan)
             for rows in usable:  # a document of one half is judged by what the other half says
                 chosen = (s.kind > 0) & ((s.kind - 1) % 2 != rows - 1)
                 if chosen.any():
-                    other[chosen] = features(rows)[1][chosen]
+                    other[chosen] = features(rows, chosen)[1]
             columns |= {f: a_word[:, k] for k, f in enumerate(A_WORD)}
             columns |= {f: whole[:, k] for k, f in enumerate(FEATURES)} | {f"half_{f}": other[:, k] for k, f in enumerate(FEATURES)}
             out.append(pd.DataFrame(columns))

@@ -133,3 +133,16 @@ def test_folds_learn_from_as_many_partitions_as_rows_need(spark, monkeypatch):
 def test_shares_are_not_broadcast(spark):
     """The size of exploded variants is guessed from the products' file."""
     assert "Broadcast" not in plan(catalog.variant_alloc(spark, SF, shares.weight_grid()))
+
+
+def test_croston_is_computed_once_a_series(spark):
+    """Not once an origin: the pass over the months stands below the rows of origins, and gives what each origin's own history would."""
+    p = sinks.kept(catalog.segmented(spark, SF, "sku"), "sku-series")
+    rows = selection.walk_forward(p, END, (Folds(3, 4, 3, 24),))
+    found = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(filter(transform(u#" in found[found.rindex("Generate explode") :] and "aggregate(filter(transform(u#" not in found[: found.rindex("Generate explode")]
+    cut = rows.join(p.select("entity", "first", "u"), "entity").withColumn("u", F.expr("slice(u, 1, int(months_between(origin, first)) + 1)"))
+    wrong = cut.where(F.abs(F.col("croston_sba") - baselines.croston(F.col("u")) * 0.9) > 1e-12)
+    assert cut.where("croston_sba > 0").count() > 100 and wrong.count() == 0
+    empty = spark.createDataFrame([([],), ([0.0, 0.0],), ([0.0, 3.0, 0.0, 5.0],)], "u array<double>").select(baselines.croston_path(F.col("u")).alias("p")).collect()
+    assert [len(r["p"]) for r in empty] == [0, 0, 2]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +28,24 @@ def histories(panel: DataFrame, first: bool = False) -> DataFrame:
 
 def croston(u: Column, alpha: float = CROSTON_ALPHA) -> Column:
     """Smoothed size over smoothed interval of the non-zero months; 0 for a series without any."""
+    sold, start, step = _croston_steps(u, alpha)
+    return F.aggregate(sold, start, step, lambda s: F.when(s["place"] >= 0, s["size"] / s["gap"]).otherwise(F.lit(0.0)))
+
+
+def croston_path(u: Column, alpha: float = CROSTON_ALPHA) -> Column:
+    """What croston() is from each month with sales on, [(place, value)], in one pass over the series."""
+    sold, start, step = _croston_steps(u, alpha)
+    path = F.array().cast("array<struct<place:int,value:double>>")
+    both = F.aggregate(
+        sold,
+        F.struct(start.alias("now"), path.alias("path")),
+        lambda s, x: let(step(s["now"], x), lambda now: F.struct(now.alias("now"), F.array_append(s["path"], F.struct(now["place"].alias("place"), (now["size"] / now["gap"]).alias("value"))).alias("path"))),
+    )
+    return both["path"]
+
+
+def _croston_steps(u: Column, alpha: float) -> tuple[Column, Column, Callable[[Column, Column], Column]]:
+    """The months with sales, the state before them, and how one of them changes it."""
     def state(size: Column, gap: Column, place: Column) -> Column:
         return F.named_struct(F.lit("size"), size, F.lit("gap"), gap, F.lit("place"), place)
 
@@ -38,8 +56,7 @@ def croston(u: Column, alpha: float = CROSTON_ALPHA) -> Column:
         return state(size, gap, x["place"])
 
     sold = F.filter(F.transform(u, lambda x, i: F.struct(x.cast("double").alias("units"), i.alias("place"))), lambda x: x["units"] > 0)  # only these months change anything
-    start = state(F.lit(0.0), F.lit(1.0), F.lit(-1))
-    return F.aggregate(sold, start, step, lambda s: F.when(s["place"] >= 0, s["size"] / s["gap"]).otherwise(F.lit(0.0)))
+    return sold, state(F.lit(0.0), F.lit(1.0), F.lit(-1)), step
 
 
 def _sum_of_last(n: int) -> str:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.config import FOLDS, LEARNT, ROSTER, Folds
+from weftline.config import CROSTON_ALPHA, FOLDS, LEARNT, ROSTER, Folds
 from weftline.functions import mae, mape, months_ago, rmse, wmape
-from weftline.operators.baselines import histories, levels, stepped
+from weftline.operators.baselines import croston_path, histories, levels, stepped
 
 CV_MODELS = ("ma_3", "ma_12", "seasonal_naive", "seasonal_avg3y", "croston_sba", "zero")
 #: Months of history that a model needs for a forecast of its own.
@@ -38,10 +39,14 @@ def walk_forward(panel: DataFrame, end: date, folds: Folds | tuple[Folds, ...],
     ]
     known = histories(panel, first=True)
     kind = ["segment"] if "segment" in known.columns else []
-    rows = known.select("entity", *kind, "first", F.col("u").alias("whole"), F.explode(F.array(*starts)).alias("o"))
+    path = croston_path(F.col("u"))  # a series' once, not once an origin
+    if roster is not None:
+        path = F.when(F.col("segment").isin(*{segment for (segment, _), models in roster.items() if "croston_sba" in models}), path)
+    rows = known.withColumn("path", path).select("entity", *kind, "first", "path", F.col("u").alias("whole"), F.explode(F.array(*starts)).alias("o"))
     rows = rows.withColumn("age", -months_ago("o.origin", F.col("first")) + 1).where("age >= o.least and age < size(whole)")
-    known = rows.select("entity", *kind, "o.horizon", "o.fold", "o.origin", "age", "whole", F.expr("slice(whole, 1, age)").alias("u"))
-    known = levels(known)
+    known = rows.select("entity", *kind, "o.horizon", "o.fold", "o.origin", "age", "path", "whole", F.expr("slice(whole, 1, age)").alias("u"))
+    size = F.expr("coalesce(try_element_at(filter(path, x -> x.place < age), -1).value, 0D)")
+    known = levels(known).withColumns({"croston": size, "croston_sba": size * (1 - CROSTON_ALPHA / 2)})
     if roster is not None:
         known = known.withColumns({m: F.when(in_roster(roster, m), F.col(m)) for m in CV_MODELS if m in known.columns})
     each = stepped(known, F.col("horizon")).withColumn("actual", F.expr("get(whole, age - 1 + step)")).where("actual is not null")
@@ -55,8 +60,8 @@ def long_form(scored: DataFrame, models: tuple[str, ...] = CV_MODELS) -> DataFra
 
 def in_roster(roster: dict[tuple[str, int], tuple[str, ...]] = ROSTER, model: str | None = None) -> Column:
     """Whether a row's model (the column's, unless one is named) is one of those that its segment and horizon try."""
-    tried = F.array(*(F.lit(f"{segment}/{horizon}/{m}") for (segment, horizon), models in roster.items() for m in models))
-    return F.array_contains(tried, F.concat_ws("/", "segment", F.col("horizon").cast("string"), F.col("model") if model is None else F.lit(model)))
+    cases = [(F.col("segment") == segment) & (F.col("horizon") == horizon) & (F.col("model").isin(*models) if model is None else F.lit(model in models)) for (segment, horizon), models in roster.items()]
+    return reduce(Column.__or__, cases, F.lit(False))
 
 
 def tried(rows: DataFrame, segments: DataFrame, roster: dict[tuple[str, int], tuple[str, ...]] | None = ROSTER, more: DataFrame | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Steps whose cost must grow no faster than the tables: what is broadcast, how often the fact is made, and histories without joins."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -8,7 +9,7 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from weftline.config import Folds
-from weftline.operators import baselines, etl, ml, panel, selection, shares
+from weftline.operators import baselines, etl, ml, panel, score, selection, shares
 from weftline.plans import catalog
 from weftline.sources import retail, sinks
 
@@ -146,3 +147,57 @@ def test_croston_is_computed_once_a_series(spark):
     assert cut.where("croston_sba > 0").count() > 100 and wrong.count() == 0
     empty = spark.createDataFrame([([],), ([0.0, 0.0],), ([0.0, 3.0, 0.0, 5.0],)], "u array<double>").select(baselines.croston_path(F.col("u")).alias("p")).collect()
     assert [len(r["p"]) for r in empty] == [0, 0, 2]
+
+
+def test_versions_are_written_without_a_shuffle(spark, monkeypatch):
+    """There are three horizons and a few styles: looking up their factors by a shuffle would leave all skus to as many tasks."""
+    plans = {}
+    monkeypatch.setattr(catalog.versions, "publish", lambda df, path, version, *args: plans.update({version: plan(df)}))
+    catalog.once(catalog.published)(spark, SF)
+    joins = {v: [line.split("Join")[0].split()[-1] for line in p.splitlines() if "Join" in line] for v, p in plans.items()}
+    assert joins["v1"] == [] and joins["v2"] == ["BroadcastHash"] and joins["v3"][0] == "BroadcastHash"  # further down, v3 joins rows of styles
+
+
+def test_demand_of_parents_is_summed_once(spark, monkeypatch):
+    """However often a query asks for styles and colors, the fact is read once for them."""
+    read, unpack = [], etl.unpacked
+    monkeypatch.setattr(etl, "unpacked", lambda rows: read.append(1) or unpack(rows))
+
+    @catalog.once
+    def asked(spark, d):
+        found = [sorted((r["entity"], r["month"], r["units"], round(r["revenue"], 4)) for r in catalog.demand(spark, d, e).collect()) for e in ("style", "color", "style")]
+        return found, len(read)
+
+    found, n = asked(spark, SF)
+    expected = [sorted((r["entity"], r["month"], r["units"], round(r["revenue"], 4)) for r in catalog.demand(spark, SF, e).collect()) for e in ("style", "color")]
+    assert n == 1 and found == [*expected, expected[0]] and len(expected[1]) > len(expected[0]) > 0
+
+
+def test_version_table_against_plain_sums(spark):
+    """Skus without color or style count for skus only, and errors cancel out within a color or style but not within skus; sums of skus aren't shuffled."""
+    day = datetime.date(2001, 8, 1)
+    skus = {"a": ("x|1", "x"), "b": ("x|1", "x"), "c": ("x|2", "x"), "d": (None, None), "e": ("y", None)}
+    rows = [(v, s, day, step, 10.0 * (k + 1), 10.0 * (k + 1) + (-1) ** k * (k + step + len(v)), *skus[s]) for v in ("v1", "v22") for k, s in enumerate(skus) for step in (1, 2) if (v, s) != ("v22", "b")]
+    rows.append(("v1", "a", day, 2, 5.0, 1.0, *skus["a"]))  # a sku's second row is summed with its first
+    df = spark.createDataFrame(rows, "version string, sku string, month date, step int, actual double, predicted double, color string, style string").repartition("sku", "month")
+    table = score.version_table(df)
+    assert len(re.findall(r"hashpartitioning\([^)]*sku#", table._jdf.queryExecution().executedPlan().toString())) == 1
+    expected = {}
+    for level, at in (("sku", 1), ("color", 6), ("style", 7)):
+        for v in ("v1", "v22"):
+            for step in (1, 2):
+                sums = {}
+                for r in rows:
+                    if (r[0], r[3]) == (v, step) and r[at] is not None:
+                        a, p = sums.get(r[at], (0.0, 0.0))
+                        sums[r[at]] = (a + r[4], p + r[5])
+                total = sum(a for a, _ in sums.values())
+                expected[v, level, step] = (total, sum(p for _, p in sums.values()), sum(abs(a - p) for a, p in sums.values()) * 100 / total)
+    found = {(r["version"], r["level"], r["step"]): r for r in table.collect()}
+    assert set(found) == set(expected)
+    for (v, level, step), values in expected.items():
+        r = found[v, level, step]
+        assert (r["actual"], r["predicted"], r["wmape"], r["delta"]) == pytest.approx((*values, values[2] - expected["v1", level, step][2]))
+    products = spark.createDataFrame([(s, *skus[s]) for s in skus], "sku string, color string, style string")
+    joined = score.version_table(df.drop("color", "style"), products)
+    assert sorted(map(tuple, joined.select("version", "level", "step", F.round("wmape", 9)).collect())) == sorted(map(tuple, table.select("version", "level", "step", F.round("wmape", 9)).collect()))

@@ -12,10 +12,10 @@ from weftline.operators.ranking import placed
 from weftline.sources.files import normalised
 
 
-def scored(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
-    """Forecast rows with an actual (sku and month sold), with errors. forecasts: sku, month, step, units; actuals: sku, month, units."""
+def scored(forecasts: DataFrame, actuals: DataFrame, more: Iterable[str] = ()) -> DataFrame:
+    """Forecast rows with an actual (sku and month sold), with errors. forecasts: sku, month, step, units; actuals: sku, month, units, and `more` columns to keep."""
     variant = ["variant"] if "variant" in forecasts.columns else []
-    joined = forecasts.select(*variant, "sku", "month", "step", F.col("units").alias("predicted")).join(actuals.select("sku", "month", F.col("units").alias("actual")), ["sku", "month"])
+    joined = forecasts.select(*variant, "sku", "month", "step", F.col("units").alias("predicted")).join(actuals.select("sku", "month", F.col("units").alias("actual"), *more), ["sku", "month"])
     return joined.withColumn("abs_error", F.abs(F.col("actual") - F.col("predicted")))
 
 
@@ -137,13 +137,23 @@ def against(a: DataFrame, b: DataFrame) -> DataFrame:
     return sums.withColumns({"delta": delta, "better": F.when(delta < 0, "a").when(delta > 0, "b").otherwise("tie")})
 
 
-def version_table(rows: DataFrame, products: DataFrame) -> DataFrame:
-    """Versions side by side: WMAPE by version, level, step and month, and the difference to the first version. rows: version and scored() columns."""
-    joined = rows.join(products.select("sku", "color", "style"), "sku", "left")
-    levels = F.array(*(F.struct(F.lit(level).alias("level"), F.col(level).alias("key")) for level in ("sku", "color", "style")))
-    each = joined.select("version", "step", "month", "actual", "predicted", F.explode(levels).alias("l")).where("l.key is not null")
-    sums = each.groupBy("version", "l.level", "l.key", "step", "month").agg(F.sum("actual").alias("a"), F.sum("predicted").alias("p"))
-    table = sums.groupBy("version", "level", "step", "month").agg(F.sum("a").alias("actual"), F.sum("p").alias("predicted"), F.when(F.sum("a") > 0, F.sum(F.abs(F.col("a") - F.col("p"))) * 100 / F.sum("a")).alias("wmape"))
+def version_table(rows: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """Versions side by side: WMAPE by version, level, step and month, and the difference to the first version.
+
+    rows: version and scored() columns, of skus that aren't null; with color and style, or else products. Rows of a sku and month lie together, so
+    errors of skus are summed where they are, and only sums by color and style are shuffled.
+    """
+    joined = rows if products is None else rows.join(products.select("sku", "color", "style"), "sku", "left")
+    cell = ["version", "step", "month"]
+    skus = joined.groupBy(*cell, "sku", "color", "style").agg(F.sum("actual").alias("a"), F.sum("predicted").alias("p"))
+    error = F.sum(F.abs(F.col("a") - F.col("p")))
+    parents = skus.groupBy(*cell, "color", "style").agg(F.sum("a").alias("a"), F.sum("p").alias("p"), error.alias("sku_error"))
+    keys = {"sku": F.lit("all"), "color": F.col("color"), "style": F.col("style")}
+    levels = F.array(*(F.struct(F.lit(level).alias("level"), key.alias("key"), (F.col("sku_error") if level == "sku" else F.lit(None).cast("double")).alias("known")) for level, key in keys.items()))
+    each = parents.select(*cell, "a", "p", F.explode(levels).alias("l")).where("l.key is not null")
+    sums = each.groupBy(*cell, "l.level", "l.key").agg(F.sum("a").alias("a"), F.sum("p").alias("p"), F.sum("l.known").alias("known"))
+    error = F.sum(F.coalesce("known", F.abs(F.col("a") - F.col("p"))))
+    table = sums.groupBy("version", "level", "step", "month").agg(F.sum("a").alias("actual"), F.sum("p").alias("predicted"), F.when(F.sum("a") > 0, error * 100 / F.sum("a")).alias("wmape"))
     first = F.first("wmape").over(Window.partitionBy("level", "step", "month").orderBy("version"))  # as many rows as versions
     return table.withColumn("delta", F.col("wmape") - first)
 

@@ -134,7 +134,7 @@ CV_SOLID = f"(select * from {c.CV_FACTORS} where evidence <> 'NONE')"
 def calib_merged(spark, d):
     """Factors from validation where it has evidence for the key, from history for the others."""
     first = c.cv_factors(spark, d).where("evidence <> 'NONE'").withColumn("source", F.lit("validation"))
-    demand = panel.demand_by(c.gold(spark, d), retail.dim_product(spark, d), "style")
+    demand = c.demand(spark, d, "style")
     history = score.union_all([calibrate.history_factors(demand, c.CAL.train_end, h) for h in (1, 3)]).withColumn("source", F.lit("history"))
     return c.rounded(calibrate.first_of(first, history, ["entity", "horizon"]).select("entity", "horizon", "n", "total_actual", "evidence", "factor", "source"))
 

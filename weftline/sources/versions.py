@@ -64,7 +64,9 @@ def unique(df: DataFrame, *keys: str) -> DataFrame:
 def versions(spark: SparkSession, path: str) -> DataFrame:
     """(version, n_rows, columns) of what is committed, columns as a JSON schema; no rows where there is no table."""
     found = read_optional(spark, f"{path}/commits", kind="parquet", schema="n_rows long, columns string, version string")
-    return spark.createDataFrame([], "version string, n_rows long, columns string") if found is None else found.select("version", "n_rows", "columns")
+    if found is None:
+        return spark.range(0).select(F.lit("").alias("version"), F.col("id").alias("n_rows"), F.lit("").alias("columns"))
+    return found.select("version", "n_rows", "columns")
 
 
 def publish(df: DataFrame, path: str, version: str, partition_by: Iterable[str] = (), checks: dict[str, Column] | None = None) -> int:
@@ -73,7 +75,7 @@ def publish(df: DataFrame, path: str, version: str, partition_by: Iterable[str]
     if not versions(spark, path).where(F.col("version") == version).isEmpty():
         raise ValueError(f"version {version} of {path} is committed already")
     n = write_checked(df, f"{path}/data/version={version}", checks, partition_by)
-    commit = spark.createDataFrame([(n, df.schema.json())], "n_rows long, columns string").coalesce(1)
+    commit = spark.range(0, 1, 1, 1).select(F.lit(n).cast("long").alias("n_rows"), F.lit(df.schema.json()).alias("columns"))  # no Python worker for one row
     commit.write.mode("overwrite").parquet(f"{path}/commits/version={version}")
     return n
 

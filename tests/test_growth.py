@@ -101,6 +101,27 @@ def test_segments_of_series_are_those_of_rows(spark):
     assert settled(a) == settled(b)
 
 
+@pytest.mark.parametrize("entity", ["sku", "color"])
+def test_filters_on_segments_make_series_once(spark, entity):
+    """A filter on DEAD is pushed down to where months are sorted: they must not be sorted again for each month or use of a series."""
+    found = catalog.segments(spark, SF, entity).where("segment = 'DEAD'").select("entity")._jdf.queryExecution().optimizedPlan().toString()
+    assert (found.count("array_sort("), found.count("flatten(")) == (1, 1)
+
+
+def test_filters_on_segments_find_their_rows(spark):
+    """Gaps, null units, sales just within and just before the last twelve months, months after the end, and a series that begins after it."""
+    day = datetime.date
+    rows = [("a", day(2000, 7, 1), 5.0), ("b", day(2000, 8, 1), 5.0), ("c", day(2000, 5, 1), 1.0), ("c", day(2001, 8, 1), 9.0), ("d", day(2001, 6, 1), None), ("e", day(2001, 8, 1), 4.0)]
+    rows += [("f", day(1999 + k // 12, k % 12 + 1, 1), 2.0) for k in range(31)] + [(None, day(2001, 5, 1), 1.0)]
+    g = spark.createDataFrame(rows, "sku string, month date, units double").withColumn("revenue", F.lit(0.0))
+    demand = g.select(F.col("sku").alias("entity"), "month", "units", "revenue")
+    expected = {"DEAD": ["a", "c", "d"], "INTERMITTENT": ["b"], "REGULAR": ["f"]}
+    for made_by in (panel.series(demand, END), panel.series_of(etl.packed(g), END), panel.build_panel(demand, END)):
+        kinds = panel.segment(made_by, END)
+        for kind, skus in expected.items():
+            assert sorted(r["entity"] for r in kinds.where(F.col("segment") == kind).collect()) == skus
+
+
 def test_months_with_sales_beyond_sixty(spark):
     """Windows longer than a block of bits count every month once, of all children together."""
     months = [datetime.date(2001 - k // 12, 12 - k % 12, 1) for k in range(5, 125, 5)]

@@ -47,13 +47,18 @@ def series_of(facts: DataFrame, end: date) -> DataFrame:
 
 def _filled(sold: DataFrame, end: date, measures: tuple[str, ...]) -> DataFrame:
     def dense(measure: str) -> Column:
-        gap = "if(i = 0, 0, x.at - get(_sold, i - 1).at - 1)"
-        months = f"transform(_sold, (x, i) -> concat(array_repeat(0D, {gap}), array(coalesce(double(x.{measure}), 0D))))"
-        return F.expr(f"concat(flatten({months}), array_repeat(0D, {end.year * 12 + end.month} - element_at(_sold, -1).at))")
+        gap = "if(i = 0, 0, x.at - get(s, i - 1).at - 1)"
+        months = f"transform(s, (x, i) -> concat(array_repeat(0D, {gap}), array(coalesce(double(x.{measure}), 0D))))"
+        return F.expr(_let("_sold", "s", f"concat(flatten({months}), array_repeat(0D, {end.year * 12 + end.month} - element_at(s, -1).at))"))
 
     return sold.select("entity", "first", *(dense(m).alias("u" if m == "units" else m) for m in measures))
 
 
+def _let(value: str, name: str, use: str) -> str:
+    """functions.let() as text. A filter on what follows from a series is pushed down to where the series is made: each mention of it is one more making."""
+    return f"element_at(transform(array({value}), {name} -> {use}), 1)"
+
+
 def build_panel(demand: DataFrame, end: date) -> DataFrame:
     """The rows of series(): entity, month, units and revenue of every month."""
     each = series(demand, end, ("units", "revenue")).select("entity", "first", "revenue", F.posexplode("u").alias("_place", "units"))
@@ -105,7 +110,8 @@ def segment(panel: DataFrame, end: date, rules: Segments = Segments()) -> DataFr
 
 
 def _kind(rules: Segments) -> Column:
-    return F.when(F.col("trailing_sum") == 0, "DEAD").when(F.col("zero_ratio") >= rules.zero_ratio, "INTERMITTENT").otherwise("REGULAR")
+    selling = F.when(F.col("zero_ratio") >= rules.zero_ratio, "INTERMITTENT").otherwise("REGULAR")  # nested: a filter on DEAD asks for the sum alone
+    return F.when(F.col("trailing_sum") == 0, "DEAD").otherwise(selling)
 
 
 def segmented(rows: DataFrame, end: date, rules: Segments = Segments()) -> DataFrame:
@@ -117,9 +123,9 @@ def segmented(rows: DataFrame, end: date, rules: Segments = Segments()) -> DataF
         "entity",
         "first",
         "u",
-        F.expr("size(filter(u, x -> x = 0)) / size(u)").alias("zero_ratio"),
+        F.expr(_let("u", "v", "size(filter(v, x -> x = 0)) / size(v)")).alias("zero_ratio"),
         F.expr("if(size(_sold) > 1, sqrt(aggregate(_sold, 0D, (a, x) -> a + (x - _mean) * (x - _mean)) / size(_sold)) / _mean, null)").alias("cv_nonzero"),
-        F.expr(f"aggregate(slice(u, -least({n}, size(u)), least({n}, size(u))), 0D, (a, x) -> a + x)").alias("trailing_sum"),
+        F.expr(_let("u", "v", f"aggregate(slice(v, -least({n}, size(v)), least({n}, size(v))), 0D, (a, x) -> a + x)")).alias("trailing_sum"),
         F.expr("bigint(size(_sold))").alias("active_months"),
         F.expr("bigint(size(u))").alias("total_months"),
         F.col("first").alias("first_sale"),
